@@ -9,15 +9,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.expr import col_of
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def select_renamed(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
     """Keep only the mapped columns, in mapping order.
 
-    ``mapping`` is ``{output_name: source column name or Column}``.
+    ``mapping`` is ``{output_name: source column name or Column}``. A pure
+    rename is sent as one SQL projection (one call per column, not three).
     """
-    return df.select(*[col_of(src).alias(out) for out, src in mapping.items()])
+    if all(isinstance(v, str) for v in mapping.values()):
+        return df.selectExpr(*[f"{_quote(src)} AS {_quote(out)}" for out, src in mapping.items()])
+    return df.select(*[F.expr(f"{_quote(src)} AS {_quote(out)}") if isinstance(src, str)
+                       else src.alias(out) for out, src in mapping.items()])
 
 
 def conform_union(branches: Sequence[DataFrame], schema: T.StructType) -> DataFrame:
@@ -32,12 +39,13 @@ def conform_union(branches: Sequence[DataFrame], schema: T.StructType) -> DataFr
     names = [f.name for f in schema.fields]
     aligned = []
     for i, b in enumerate(branches):
+        present = set(b.columns)
         extra = [c for c in b.columns if c not in names]
         if extra:
             raise ValueError(f"branch {i} has columns outside the schema: {extra}")
-        aligned.append(b.select(*[
-            (F.col(f.name) if f.name in b.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields]))
+        aligned.append(b.selectExpr(*[
+            f"CAST({_quote(f.name) if f.name in present else 'NULL'} AS {f.dataType.simpleString()})"
+            f" AS {_quote(f.name)}" for f in schema.fields]))
     return reduce(lambda a, b: a.unionByName(b), aligned)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import label_map, typed_null
+from tidemark.functions.expr import label_map
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -38,8 +38,22 @@ CRYPTO_LOADED_AT = "2024-01-31 06:00:00"
 CRYPTO_CAP_FACTOR = 2000000
 
 
+_LOADED: dict[tuple, DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table as a lazy DataFrame, resolved once per session.
+
+    Resolving a parquet relation lists the files and infers the schema (a
+    small Spark job); reusing the resolved relation also lets identical scans
+    in one plan be recognised and their exchanges reused.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _LOADED.get(key)
+    if df is None:
+        df = _LOADED[key] = spark.read.parquet(path)
+    return df
 
 
 def raw_equity(events: DataFrame) -> DataFrame:
@@ -57,40 +71,36 @@ def raw_equity(events: DataFrame) -> DataFrame:
 
 def raw_crypto(customer: DataFrame, loaded_at: str = CRYPTO_LOADED_AT) -> DataFrame:
     """Crypto market snapshot per customer: price = balance, market cap =
-    balance x 2,000,000 (covers all four tiers and negatives)."""
-    k = F.col("c_custkey")
-    bal = F.col("c_acctbal")
-    day = (k % 30).cast("int")
-    last_updated = (F.lit("2024-01-01 23:59:59").cast("timestamp_ntz")
-                    + F.make_dt_interval(day))
-    return customer.select(
-        F.concat(F.lit("cust-"), k.cast("string")).alias("id"),
-        F.concat(F.lit("c"), k.cast("string")).alias("symbol"),
-        F.col("c_name").alias("name"),
-        typed_null("string").alias("image"),
-        bal.alias("current_price"),
-        (bal * F.lit(CRYPTO_CAP_FACTOR)).alias("market_cap"),
-        k.cast("int").alias("market_cap_rank"),
-        typed_null("double").alias("fully_diluted_valuation"),
-        (F.abs(bal) * F.lit(1000)).alias("total_volume"),
-        (bal + F.lit(1)).alias("high_24h"),
-        (bal - F.lit(1)).alias("low_24h"),
-        typed_null("double").alias("price_change_24h"),
-        ((F.col("c_nationkey") - F.lit(12)).cast("double") / F.lit(4)).alias("price_change_percentage_24h"),
-        typed_null("double").alias("market_cap_change_24h"),
-        typed_null("double").alias("market_cap_change_percentage_24h"),
-        (k.cast("double") * F.lit(1000)).alias("circulating_supply"),
-        (k.cast("double") * F.lit(1000)).alias("total_supply"),
-        typed_null("double").alias("max_supply"),
-        (bal * F.lit(1.5)).alias("ath"),
-        typed_null("double").alias("ath_change_percentage"),
-        F.lit("2021-11-10 14:24:11").cast("timestamp_ntz").alias("ath_date"),
-        typed_null("double").alias("atl"),
-        typed_null("double").alias("atl_change_percentage"),
-        typed_null("timestamp_ntz").alias("atl_date"),
-        F.lit("null").alias("roi"),
-        last_updated.alias("last_updated"),
-        F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
+    balance x 2,000,000 (covers all four tiers and negatives); the coin's
+    last update falls on one of 30 days at 23:59:59. One SQL projection."""
+    return customer.selectExpr(
+        "concat('cust-', CAST(c_custkey AS STRING)) AS id",
+        "concat('c', CAST(c_custkey AS STRING)) AS symbol",
+        "c_name AS name",
+        "CAST(NULL AS STRING) AS image",
+        "c_acctbal AS current_price",
+        f"c_acctbal * {CRYPTO_CAP_FACTOR} AS market_cap",
+        "CAST(c_custkey AS INT) AS market_cap_rank",
+        "CAST(NULL AS DOUBLE) AS fully_diluted_valuation",
+        "abs(c_acctbal) * 1000 AS total_volume",
+        "c_acctbal + 1 AS high_24h",
+        "c_acctbal - 1 AS low_24h",
+        "CAST(NULL AS DOUBLE) AS price_change_24h",
+        "CAST(c_nationkey - 12 AS DOUBLE) / 4 AS price_change_percentage_24h",
+        "CAST(NULL AS DOUBLE) AS market_cap_change_24h",
+        "CAST(NULL AS DOUBLE) AS market_cap_change_percentage_24h",
+        "CAST(c_custkey AS DOUBLE) * 1000 AS circulating_supply",
+        "CAST(c_custkey AS DOUBLE) * 1000 AS total_supply",
+        "CAST(NULL AS DOUBLE) AS max_supply",
+        "c_acctbal * 1.5D AS ath",
+        "CAST(NULL AS DOUBLE) AS ath_change_percentage",
+        "TIMESTAMP_NTZ '2021-11-10 14:24:11' AS ath_date",
+        "CAST(NULL AS DOUBLE) AS atl",
+        "CAST(NULL AS DOUBLE) AS atl_change_percentage",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS atl_date",
+        "'null' AS roi",
+        "TIMESTAMP_NTZ '2024-01-01 23:59:59' + make_dt_interval(CAST(c_custkey % 30 AS INT)) AS last_updated",
+        f"TIMESTAMP_NTZ '{loaded_at}' AS loaded_at",
     )
 
 

@@ -58,45 +58,70 @@ def register(name: str, covers: str, sql: str | None):
 
 # ------------------------------------------------------------------ Spark inputs
 
+def _once(fn):
+    """Build a model once per ``Inputs`` (one DataFrame object per model, so a
+    model used twice in a plan is the same subtree)."""
+    def get(self, *args, **kw):
+        key = (fn.__name__, args, tuple(sorted(kw.items())))
+        if key not in self._memo:
+            self._memo[key] = fn(self, *args, **kw)
+        return self._memo[key]
+    get.__name__ = fn.__name__
+    get.__doc__ = fn.__doc__
+    return get
+
+
 class Inputs:
     """The bound raw tables and the market models built on them (lazy)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._memo: dict = {}
 
     def table(self, name: str) -> DataFrame:
         return B.load(self.spark, self.sf_dir, name)
 
+    @_once
     def raw_equity(self):
         return B.raw_equity(self.table("events"))
 
+    @_once
     def raw_crypto(self):
         return B.raw_crypto(self.table("customer"))
 
+    @_once
     def raw_macro(self):
         return B.raw_macro(self.table("orders"))
 
+    @_once
     def seed(self):
         return B.seed_equity(self.table("nation"), self.table("region"))
 
+    @_once
     def stg_equity(self):
         return M.stg_equity_prices(self.raw_equity())
 
+    @_once
     def stg_crypto(self):
         return M.stg_crypto_prices(self.raw_crypto())
 
+    @_once
     def stg_macro(self):
         return M.stg_macro_indicators(self.raw_macro())
 
+    @_once
     def prices(self):
         return M.int_prices_combined(self.stg_crypto(), self.stg_equity())
 
+    @_once
     def macro_daily(self, bucket: bool = False):
         return M.int_macro_daily(self.stg_macro(), bucket=bucket)
 
+    @_once
     def dim(self):
         return M.dim_assets(self.stg_crypto(), self.stg_equity(), self.seed())
 
+    @_once
     def fct(self, since=None):
         return M.fct_daily_prices(self.prices(), self.dim(), since=since)
 
