@@ -63,3 +63,40 @@ def test_rank_ties_share_rank_and_skip(spark):
     out = rank_within(df, ["d"], [F.abs(F.col("p")).desc()], "r")
     assert rows(out, "s", "r") == [("a", 1), ("b", 1), ("c", 3)]
     assert dict(out.dtypes)["r"] == "bigint"
+
+
+def _hot(spark, seed=11):
+    rnd = random.Random(seed)
+    data = []
+    for a in range(5):
+        n = 700 if a == 0 else rnd.randint(1, 60)   # asset 0 is hot
+        day = D(2020, 1, 1)
+        for i in range(n):
+            day = day + dt.timedelta(days=rnd.randint(1, 3))
+            v = None if rnd.random() < 0.05 else round(rnd.uniform(-5, 5), 2)
+            data.append((a, day, v))
+    return spark.createDataFrame(data, "a int, d date, p double")
+
+
+def test_rolling_std_split_equals_single_window(spark):
+    from tidemark.operators.timeseries import row_index
+    df = _hot(spark)
+    wins = {"v7": 7, "v30": 30, "v90": 90}
+    one = rolling_std(df, ["a"], ["d"], "p", wins)
+    two = rolling_std(df, ["a"], ["d"], "p", wins, split_rows=100, bucket=F.date_trunc("month", "d"))
+    assert rows(one, "a", "d", "v7", "v30", "v90") == rows(two, "a", "d", "v7", "v30", "v90")
+    idx = row_index(df, ["a"], [F.col("d")], F.date_trunc("quarter", "d"), "i")
+    assert idx.groupBy("a").agg(F.max("i").alias("m"), F.count("*").alias("c")) \
+        .where("m != c").count() == 0
+
+
+def test_rank_by_value_split_equals_window(spark):
+    from tidemark.operators.timeseries import rank_by_value
+    rnd = random.Random(2)
+    data = [(0 if rnd.random() < 0.6 else rnd.randint(1, 4),
+             None if rnd.random() < 0.05 else float(rnd.randint(-30, 30))) for _ in range(2000)]
+    df = spark.createDataFrame(data, "g int, x double").withColumn("id", F.monotonically_increasing_id())
+    for desc in (True, False):
+        plain = rank_by_value(df, ["g"], F.abs("x"), "r", descending=desc)
+        split = rank_by_value(df, ["g"], F.abs("x"), "r", descending=desc, splits=8)
+        assert rows(plain, "id", "r") == rows(split, "id", "r")

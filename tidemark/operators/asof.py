@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.timeseries import forward_fill
 
@@ -35,7 +36,7 @@ def _right_columns(right: DataFrame, right_on: str, by: Sequence[str],
 
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
               by: Sequence[str] | None = None, right_cols: Sequence[str] | None = None,
-              flag_col: str | None = None, bucket=None, check_unique: bool = False) -> DataFrame:
+              flag_col: str | None = None, bucket="auto", check_unique: bool = False) -> DataFrame:
     """Backward inclusive as-of left join.
 
     ``right_cols`` are the right columns to attach (default: all but ``by``;
@@ -43,9 +44,15 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     "a match exists" column (X12). The right side must be unique on
     ``(by, right_on)``; ``check_unique=True`` verifies it with one aggregate.
     ``bucket`` is a function ``Column -> Column`` giving the time bucket for
-    the two-pass fill (e.g. ``lambda t: F.date_trunc('month', t)``).
+    the two-pass fill (e.g. ``lambda t: F.date_trunc('month', t)``), or None
+    for a single window. ``"auto"``: unkeyed DATE times need no bucket (the
+    time map has one row per calendar date); unkeyed timestamps are bucketed
+    by day; keyed joins by month (dates) or day (timestamps), so one key
+    holding a third of the rows is still spread over many tasks.
     """
     keys = list(by or [])
+    if bucket == "auto":
+        bucket = _auto_bucket(left.schema[left_on].dataType, bool(keys))
     cols = _right_columns(right, right_on, keys, right_cols)
     clash = [c for c in cols if c in left.columns]
     if clash:
@@ -59,6 +66,12 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     return _asof_time_map(left, right, left_on, right_on, cols, flag_col, bucket)
 
 
+def _auto_bucket(dtype: T.DataType, keyed: bool):
+    if isinstance(dtype, T.DateType):
+        return (lambda t: F.date_trunc("month", t)) if keyed else None
+    return lambda t: F.date_trunc("day", t)
+
+
 def _asof_time_map(left, right, left_on, right_on, cols, flag_col, bucket):
     t, m = "__asof_t", "__asof_match"
     left_times = left.select(F.col(left_on).alias(t)).where(F.col(t).isNotNull()).distinct()

@@ -88,19 +88,71 @@ def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str]
     return out.drop(b, *[n for trio in names.values() for n in (trio[0], trio[2])])
 
 
+def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket: Column,
+              name: str = "__idx") -> DataFrame:
+    """1-based position of each row within its key under ``order``, without
+    sorting a whole key in one task.
+
+    Rows are counted per (key, bucket) (a partial aggregate), the counts are
+    summed over earlier buckets on that small table, and the row number
+    inside each (key, bucket) is shifted by that offset. ``bucket`` must be
+    monotone in ``order`` (e.g. the month of the ordering date).
+    """
+    b, n, off, rn = "__ri_bucket", "__ri_n", "__ri_off", "__ri_rn"
+    x = df.withColumn(b, bucket)
+    counts = x.groupBy(*by, b).agg(F.count(F.lit(1)).alias(n))
+    before = (Window.partitionBy(*by) if by else Window).orderBy(b) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, b, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off))
+    local = x.withColumn(rn, F.row_number().over(Window.partitionBy(*by, b).orderBy(*order)))
+    return (local.join(offsets, [*by, b], "inner")
+                 .withColumn(name, (F.col(off) + F.col(rn)).cast("bigint"))
+                 .drop(b, off, rn))
+
+
 def rolling_std(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str,
-                windows: Mapping[str, int], digits: int | None = 4) -> DataFrame:
+                windows: Mapping[str, int], digits: int | None = 4,
+                split_rows: int | None = None, bucket: Column | None = None) -> DataFrame:
     """Sample stddev over the last ``n`` rows per key, rounded.
 
     All frames share one partition/order spec, so Spark computes them in a
     single Window operator after a single shuffle and sort.
+
+    ``split_rows`` (with a ``bucket`` monotone in the order, e.g. the month)
+    bounds the rows any task sorts: each row gets its position within the key
+    (``row_index``), keys are cut into chunks of ``split_rows`` positions, and
+    the last ``max(n) - 1`` rows of each chunk are copied into the next chunk
+    as context only. A key holding a third of all rows then spreads over many
+    tasks, with the same result as the single window.
     """
-    w = Window.partitionBy(*by).orderBy(*[col_of(o) for o in order])
-    out = df
+    order_cols = [col_of(o) for o in order]
+    if split_rows is None:
+        w = Window.partitionBy(*by).orderBy(*order_cols)
+        out = df
+        for name, n in windows.items():
+            sd = F.stddev_samp(F.col(value)).over(w.rowsBetween(-(n - 1), Window.currentRow))
+            out = out.withColumn(name, F.round(sd, digits) if digits is not None else sd)
+        return out
+    if bucket is None:
+        raise ValueError("split_rows needs a bucket column monotone in the order")
+    overlap = max(windows.values()) - 1
+    if split_rows <= overlap:
+        raise ValueError("split_rows must exceed the largest window")
+    idx, chunk, ctx = "__rs_idx", "__rs_chunk", "__rs_ctx"
+    x = row_index(df, by, order_cols, bucket, idx)
+    pos = (F.col(idx) - 1) % split_rows
+    c = F.floor((F.col(idx) - 1) / F.lit(split_rows)).cast("bigint")
+    copies = F.array(F.struct(c.alias(chunk), F.lit(False).alias(ctx)),
+                     F.when(pos >= split_rows - overlap,
+                            F.struct((c + 1).alias(chunk), F.lit(True).alias(ctx))))
+    x = (x.withColumn("__rs_copy", F.explode(copies)).where(F.col("__rs_copy").isNotNull())
+          .withColumn(chunk, F.col("__rs_copy." + chunk)).withColumn(ctx, F.col("__rs_copy." + ctx))
+          .drop("__rs_copy"))
+    w = Window.partitionBy(*by, chunk).orderBy(idx)
     for name, n in windows.items():
         sd = F.stddev_samp(F.col(value)).over(w.rowsBetween(-(n - 1), Window.currentRow))
-        out = out.withColumn(name, F.round(sd, digits) if digits is not None else sd)
-    return out
+        x = x.withColumn(name, F.round(sd, digits) if digits is not None else sd)
+    return x.where(~F.col(ctx)).drop(idx, chunk, ctx)
 
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str,
@@ -109,3 +161,44 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
     fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, fn().over(w).cast("bigint"))
+
+
+def rank_by_value(df: DataFrame, by: Sequence[str], value: Column, name: str,
+                  descending: bool = True, splits: int | None = None,
+                  accuracy: int = 10000) -> DataFrame:
+    """``rank() over (partition by by order by value)`` as bigint.
+
+    With ``splits`` a group is never ranked in one task: approximate
+    quantiles per group (a mergeable sketch aggregate) cut the value range
+    into ``splits`` slices, equal values always fall into the same slice,
+    each slice is ranked on its own and shifted by the number of rows in the
+    slices ranked before it. The result is exact; the quantiles only decide
+    how evenly the work spreads. NULLs order as Spark's default (last when
+    descending, first when ascending).
+    """
+    if splits is None or splits <= 1:
+        o = value.desc() if descending else value.asc()
+        return rank_within(df, by, [o], name)
+    v, r, n, off = "__rv_v", "__rv_slice", "__rv_n", "__rv_off"
+    x = df.withColumn(v, value)
+    probs = [i / splits for i in range(1, splits)]
+    bounds = x.groupBy(*by).agg(F.percentile_approx(v, probs, accuracy).alias("__rv_b"))
+    below = F.size(F.filter(F.col("__rv_b"), lambda b: b < F.col(v)))
+    null_slice = F.lit(splits) if descending else F.lit(-1)
+    x = (x.join(bounds, list(by), "left")
+          .withColumn(r, F.when(F.col(v).isNull(), null_slice).otherwise(below))
+          .drop("__rv_b"))
+    counts = x.groupBy(*by, r).agg(F.count(F.lit(1)).alias(n))
+    # ranked before = higher slices when descending (NULL slice last), lower when ascending
+    if descending:  # higher slices first, the NULL slice last
+        slice_order = [F.col(r) == null_slice, F.col(r).desc()]
+    else:           # the NULL slice (-1) first, then lower slices
+        slice_order = [F.col(r).asc()]
+    before_w = (Window.partitionBy(*by) if by else Window).orderBy(*slice_order) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*by, r, F.coalesce(F.sum(n).over(before_w), F.lit(0)).alias(off))
+    o = F.col(v).desc() if descending else F.col(v).asc()
+    local = x.withColumn("__rv_local", F.rank().over(Window.partitionBy(*by, r).orderBy(o)))
+    return (local.join(offsets, [*by, r], "inner")
+                 .withColumn(name, (F.col("__rv_local") + F.col(off)).cast("bigint"))
+                 .drop(v, r, off, "__rv_local"))

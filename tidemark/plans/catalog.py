@@ -32,7 +32,7 @@ from tidemark.operators.sinks import (
     upsert,
     with_load_stamp,
 )
-from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_within, rolling_std
+from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rank_within, rolling_std
 from tidemark.plans import bindings as B
 from tidemark.plans import market as M
 from tidemark.schemas import ddl
@@ -299,6 +299,36 @@ def q_daily_move_rank(spark, sf):
     return rank_within(s, ["trade_date"], [F.abs(F.col("price_change_pct")).desc()], "move_rank")
 
 
+_ROLLING_SQL = with_("stg_equity") + """
+SELECT ticker_symbol, trade_date, price_change_pct,
+  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
+        ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS volatility_7d,
+  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
+        ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 4) AS volatility_30d,
+  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
+        ROWS BETWEEN 89 PRECEDING AND CURRENT ROW), 4) AS volatility_90d
+FROM stg_equity WHERE price_change_pct IS NOT NULL"""
+
+
+@register("rolling_volatility_split", "W2 W3 W4, hot keys cut into row chunks", _ROLLING_SQL)
+def q_rolling_volatility_split(spark, sf):
+    s = Inputs(spark, sf).stg_equity().where(F.col("price_change_pct").isNotNull()) \
+        .select("ticker_symbol", "trade_date", "price_change_pct")
+    # Chunks of 100 rows here so the 30-row test keys really span chunks.
+    return rolling_std(s, ["ticker_symbol"], ["trade_date"], "price_change_pct", M.VOLATILITY_WINDOWS,
+                       split_rows=100, bucket=F.date_trunc("week", F.col("trade_date")))
+
+
+@register("daily_move_rank_split", "W5 X9, hot dates cut into value slices", with_("stg_equity") + """
+SELECT ticker_symbol, trade_date, price_change_pct,
+  rank() OVER (PARTITION BY trade_date ORDER BY abs(price_change_pct) DESC) AS move_rank
+FROM stg_equity WHERE price_change_pct IS NOT NULL""")
+def q_daily_move_rank_split(spark, sf):
+    s = Inputs(spark, sf).stg_equity().where(F.col("price_change_pct").isNotNull()) \
+        .select("ticker_symbol", "trade_date", "price_change_pct")
+    return rank_by_value(s, ["trade_date"], F.abs(F.col("price_change_pct")), "move_rank", splits=16)
+
+
 @register("topk_per_key", "W6 T1", """
 SELECT user_id, event_id, ts, value, recency_rank FROM (
   SELECT user_id, event_id, ts, value,
@@ -427,8 +457,7 @@ def q_asof_join(spark, sf):
                                     F.col("l_shipdate").cast("date").alias("ship_date"),
                                     "l_extendedprice")
     return asof_join(li, i.macro_daily(), "ship_date", "observation_date",
-                     right_cols=list(M.INDICATOR_COLUMNS.values()), flag_col="has_macro_data",
-                     bucket=lambda t: F.date_trunc("year", t))
+                     right_cols=list(M.INDICATOR_COLUMNS.values()), flag_col="has_macro_data")
 
 
 _KEYED_SQL = """
@@ -453,11 +482,11 @@ def _keyed_inputs(spark, sf):
     return open_, closed
 
 
-@register("asof_join_keyed", "J3 by key (union + last non-null per key)", _KEYED_SQL)
+@register("asof_join_keyed", "J3 by key (union + last non-null per key, one window)", _KEYED_SQL)
 def q_asof_join_keyed(spark, sf):
     open_, closed = _keyed_inputs(spark, sf)
     return asof_join(open_, closed, "order_date", "closed_date", by=["o_custkey"],
-                     right_cols=["closed_date", "closed_price"], flag_col="has_prior")
+                     right_cols=["closed_date", "closed_price"], flag_col="has_prior", bucket=None)
 
 
 @register("asof_join_keyed_bucketed", "J3 by key, hot keys split by time bucket", _KEYED_SQL)
@@ -491,6 +520,12 @@ def q_asset_volatility(spark, sf):
     return M.fct_asset_volatility(Inputs(spark, sf).fct())
 
 
+@register("asset_volatility_skew_safe", "M8 with the skew-safe windows",
+          with_("volatility") + "SELECT * FROM volatility")
+def q_asset_volatility_skew_safe(spark, sf):
+    return M.asset_volatility_skew_safe(Inputs(spark, sf).fct())
+
+
 @register("macro_enriched_fact", "M9 J3 X12 F1", with_("macro_fact") + "SELECT * FROM macro_fact")
 def q_macro_enriched_fact(spark, sf):
     i = Inputs(spark, sf)

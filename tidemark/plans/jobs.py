@@ -121,7 +121,7 @@ class DailyRun:
         vol_prev = read_current(spark, vol_path, _vol_schema(spark, fct))
         src = fct.where(F.col("price_change_pct").isNotNull())
         vol = incremental_window_merge(vol_prev, src, ["price_id"], "price_date", ["asset_id"],
-                                       89, M.asset_volatility)
+                                       89, M.asset_volatility_skew_safe)
         write_version(vol, vol_path)
 
         # K4: full rebuild.

@@ -21,7 +21,7 @@ from tidemark.functions.expr import (
 from tidemark.operators.asof import asof_join
 from tidemark.operators.relational import conform_union, enrich, select_renamed
 from tidemark.operators.scd2 import scd2_merge
-from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_within, rolling_std
+from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rolling_std
 from tidemark.schemas import DIM_ASSETS, PRICES_COMBINED
 
 # Macro series id -> category label (X11), default 'other'.
@@ -213,14 +213,31 @@ def fct_daily_prices(prices: DataFrame, assets: DataFrame, since=None) -> DataFr
         "price_change_pct", "price_year", "price_month", "price_day_of_week")
 
 
-def asset_volatility(fct: DataFrame) -> DataFrame:
-    """M8 computation: rolling volatility per asset and daily move rank."""
+def asset_volatility(fct: DataFrame, split_rows: int | None = None,
+                     rank_splits: int | None = None) -> DataFrame:
+    """M8 computation: rolling volatility per asset and daily move rank.
+
+    ``split_rows`` / ``rank_splits`` switch on the skew-safe forms (a hot
+    asset cut into row chunks, a hot date cut into value slices); the result
+    is the same.
+    """
     base = fct.where(F.col("price_change_pct").isNotNull()).select(
         "price_id", "asset_id", "asset_symbol", "asset_name", "asset_class", "market_cap_tier",
         "price_date", "price_usd", "price_change_pct")
-    vol = rolling_std(base, ["asset_id"], ["price_date"], "price_change_pct", VOLATILITY_WINDOWS)
-    return rank_within(vol, ["price_date"], [F.abs(F.col("price_change_pct")).desc()],
-                       "volatility_rank_daily")
+    vol = rolling_std(base, ["asset_id"], ["price_date"], "price_change_pct", VOLATILITY_WINDOWS,
+                      split_rows=split_rows,
+                      bucket=F.date_trunc("month", F.col("price_date")) if split_rows else None)
+    return rank_by_value(vol, ["price_date"], F.abs(F.col("price_change_pct")),
+                         "volatility_rank_daily", descending=True, splits=rank_splits)
+
+
+# Skew-safe settings for production runs: a key is cut into chunks of one
+# million rows, a date's moves into 64 value slices.
+SKEW_SAFE = {"split_rows": 1_000_000, "rank_splits": 64}
+
+
+def asset_volatility_skew_safe(fct: DataFrame) -> DataFrame:
+    return asset_volatility(fct, **SKEW_SAFE)
 
 
 def fct_asset_volatility(fct: DataFrame) -> DataFrame:
@@ -228,7 +245,7 @@ def fct_asset_volatility(fct: DataFrame) -> DataFrame:
     return asset_volatility(fct)
 
 
-def fct_macro_correlation(fct: DataFrame, macro_daily: DataFrame, bucket=None) -> DataFrame:
+def fct_macro_correlation(fct: DataFrame, macro_daily: DataFrame, bucket="auto") -> DataFrame:
     """M9: each priced day with the latest macro row at or before it."""
     p = fct.where(F.col("price_change_pct").isNotNull()).select(
         "price_id", "asset_id", "asset_symbol", "asset_name", "asset_class", "market_cap_tier",
