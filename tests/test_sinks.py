@@ -110,3 +110,21 @@ def test_conform_union_pads_and_rejects(spark):
     import pytest
     with pytest.raises(ValueError):
         conform_union([spark.createDataFrame([("x", 1)], "a string, c int")], schema)
+
+
+def test_null_key_rows_are_never_merged_together(spark):
+    src = spark.createDataFrame([(None, D(2024, 1, 2), 9.0, 1), (None, D(2024, 1, 2), 8.0, 2)],
+                                "s string, d date, v double, seq int")
+    out = upsert(_target(spark), src, ["s", "d"], order=["seq"])
+    assert out.where("s is null").count() == 2
+
+
+def test_write_version_skips_incomplete(spark, tmp_root):
+    import os
+    schema = ddl("s string")
+    base = f"{tmp_root}/t2"
+    write_version(spark.createDataFrame([("a",)], schema), base)
+    os.makedirs(f"{base}/v=00000002")  # a failed job left this behind, no _SUCCESS
+    assert rows(read_current(spark, base)) == [("a",)]
+    write_version(spark.createDataFrame([("b",)], schema), base)
+    assert rows(read_current(spark, base)) == [("b",)]

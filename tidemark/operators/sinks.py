@@ -21,18 +21,28 @@ from tidemark.functions.expr import as_of_timestamp, col_of
 # --------------------------------------------------------------------------- K1
 
 
+def _has_null_key(keys: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
+
+
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Keep the last row per key under ``order`` (later wins).
 
     Written as ``max_by(struct, order)`` per key: a partial + final hash
     aggregate, so duplicates are combined map-side and a heavily repeated key
-    never lands in one task as a whole.
+    never lands in one task as a whole. Rows with a NULL key part are never
+    duplicates of each other (they match nothing) and pass through.
     """
     others = [c for c in df.columns if c not in keys]
     okey = F.struct(*[col_of(o) for o in order])
     row = F.struct(*[F.col(c) for c in others])
-    picked = df.groupBy(*keys).agg(F.max_by(row, okey).alias("__row"))
-    return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
+    null_key = _has_null_key(keys)
+    picked = (df.where(~null_key).groupBy(*keys).agg(F.max_by(row, okey).alias("__row"))
+              .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns))
+    return picked.unionByName(df.where(null_key))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -48,16 +58,20 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     ``stamp=("loaded_at", as_of)`` sets the load time on every inserted or
     updated row. Columns missing on either side are NULL-padded (additive
     schema evolution). Result columns: target's, then new source columns.
-    NULL keys never match (SQL MERGE semantics): such source rows are inserted.
+    NULL keys never match (SQL MERGE semantics): such source rows are
+    inserted and such target rows kept, without entering the key shuffle.
     """
     src = dedupe_by_key(source, keys, order) if order else source
     if stamp is not None:
         name, as_of = stamp
         src = src.withColumn(name, as_of_timestamp(as_of))
     cols = list(target.columns) + [c for c in src.columns if c not in target.columns]
+    null_key = _has_null_key(keys)
     if update_cols is None:
-        kept = target.join(src.select(*keys), list(keys), "left_anti")
-        out = kept.unionByName(src, allowMissingColumns=True)
+        src_keys = src.where(~null_key).select(*keys)
+        kept = target.where(~null_key).join(src_keys, list(keys), "left_anti")
+        out = (kept.unionByName(target.where(null_key))
+                   .unionByName(src, allowMissingColumns=True))
         return out.select(*cols)
     # Partial update: matched rows keep the target's other columns.
     upd = set(update_cols) | ({stamp[0]} if stamp else set())
@@ -128,7 +142,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     return path
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _versions(spark: SparkSession, base: str, complete: bool = True) -> list[int]:
+    """Version numbers under ``base``; with ``complete`` only those whose
+    write finished (``_SUCCESS`` present)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(base)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -137,7 +153,8 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        if name.startswith("v=") and (
+                not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
             out.append(int(name[2:]))
     return sorted(out)
 
@@ -145,8 +162,9 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
 def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None = None) -> str:
     """Atomic full reload. Writes a new version directory; readers
     switch only once its ``_SUCCESS`` marker exists, so there is no moment
-    where the table is empty (the reference truncates, then inserts)."""
-    versions = _versions(df.sparkSession, base)
+    where the table is empty (the reference truncates, then inserts). A
+    version left incomplete by a failed job is skipped, never reused."""
+    versions = _versions(df.sparkSession, base, complete=False)
     path = f"{base.rstrip('/')}/v={(versions[-1] + 1) if versions else 1:08d}"
     return write_table(df, path, partition_by, mode="errorifexists")
 
