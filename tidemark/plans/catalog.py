@@ -807,16 +807,16 @@ def _fresh_sql(source: str, table: str, warn: float, error: float) -> str:
 
 
 # Freshness thresholds in hours (warn, error) per source (Q8).
-FRESHNESS = {"alphavantage": (25, 48), "coingecko": (25, 48), "fred": (49, 168)}
+FRESHNESS = {"equity_daily": (25, 48), "crypto_markets": (25, 48), "macro_series": (49, 168)}
 
 
 @register("source_freshness", "Q8 A7", with_("raw_equity", "raw_crypto", "raw_macro") + "\nUNION ALL\n".join([
-    _fresh_sql("alphavantage", "raw_equity", *FRESHNESS["alphavantage"]),
-    _fresh_sql("coingecko", "raw_crypto", *FRESHNESS["coingecko"]),
-    _fresh_sql("fred", "raw_macro", *FRESHNESS["fred"])]))
+    _fresh_sql("equity_daily", "raw_equity", *FRESHNESS["equity_daily"]),
+    _fresh_sql("crypto_markets", "raw_crypto", *FRESHNESS["crypto_markets"]),
+    _fresh_sql("macro_series", "raw_macro", *FRESHNESS["macro_series"])]))
 def q_source_freshness(spark, sf):
     i = Inputs(spark, sf)
-    parts = [Q.freshness(i.raw_equity(), "alphavantage", "loaded_at", *FRESHNESS["alphavantage"], AS_OF),
-             Q.freshness(i.raw_crypto(), "coingecko", "loaded_at", *FRESHNESS["coingecko"], AS_OF),
-             Q.freshness(i.raw_macro(), "fred", "loaded_at", *FRESHNESS["fred"], AS_OF)]
+    parts = [Q.freshness(i.raw_equity(), "equity_daily", "loaded_at", *FRESHNESS["equity_daily"], AS_OF),
+             Q.freshness(i.raw_crypto(), "crypto_markets", "loaded_at", *FRESHNESS["crypto_markets"], AS_OF),
+             Q.freshness(i.raw_macro(), "macro_series", "loaded_at", *FRESHNESS["macro_series"], AS_OF)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

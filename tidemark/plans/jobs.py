@@ -50,7 +50,7 @@ def load_equity(spark: SparkSession, landing: str, root: str, as_of, days: int =
     merge into the raw table on (symbol, trade_date)."""
     parsed = read_timeseries_payload(spark, landing)
     newest = topk_per_key(parsed, ["symbol"], [F.col("trade_date").desc()], days)
-    path = layer_path(root, RAW, "alphavantage_daily_prices")
+    path = layer_path(root, RAW, "equity_daily_prices")
     target = read_current(spark, path, RAW_EQUITY)
     merged = upsert(target, newest, ["symbol", "trade_date"], stamp=("loaded_at", as_of))
     write_version(merged, path)
@@ -62,7 +62,7 @@ def load_crypto(spark: SparkSession, landing: str, root: str, as_of, top_n: int
     replace the raw table as a whole (new version, never truncate-then-insert)."""
     recs = read_records_payload(spark, landing)
     top = topk(recs, [F.col("market_cap").desc_nulls_last(), F.col("id")], top_n)
-    path = layer_path(root, RAW, "coingecko_prices")
+    path = layer_path(root, RAW, "crypto_markets")
     write_version(with_load_stamp(top, "loaded_at", as_of), path)
     return read_current(spark, path, RAW_CRYPTO)
 
@@ -72,7 +72,7 @@ def load_macro(spark: SparkSession, landing: str, root: str, as_of, names: dict[
     """Parse observation payloads of the last ``since_days`` days, merge on
     (series_id, observation_date); updates value, name and load time."""
     obs = read_observations_payload(spark, landing, names, since_days, as_of)
-    path = layer_path(root, RAW, "fred_indicators")
+    path = layer_path(root, RAW, "macro_observations")
     target = read_current(spark, path, RAW_MACRO)
     merged = upsert(target, obs, ["series_id", "observation_date"], stamp=("loaded_at", as_of))
     write_version(merged.select(*RAW_MACRO.fieldNames()), path)
@@ -179,9 +179,9 @@ class DailyRun:
         report = parts[0]
         for p in parts[1:]:
             report = report.unionByName(p)
-        fresh = [Q.freshness(raw["equity"], "alphavantage", "loaded_at", 25, 48, self.as_of),
-                 Q.freshness(raw["crypto"], "coingecko", "loaded_at", 25, 48, self.as_of),
-                 Q.freshness(raw["macro"], "fred", "loaded_at", 49, 168, self.as_of)]
+        fresh = [Q.freshness(raw["equity"], "equity_daily", "loaded_at", 25, 48, self.as_of),
+                 Q.freshness(raw["crypto"], "crypto_markets", "loaded_at", 25, 48, self.as_of),
+                 Q.freshness(raw["macro"], "macro_series", "loaded_at", 49, 168, self.as_of)]
         self.reports = [report, fresh[0].unionByName(fresh[1]).unionByName(fresh[2])]
         return report
 
