@@ -52,3 +52,22 @@ def test_raw_equity_keeps_newest_days(spark, tmp_root):
     land = write_landing(f"{tmp_root}/d", 0)
     raw = jobs.load_equity(spark, land["equity"], f"{tmp_root}/wh", "2024-01-10 00:00:00", days=3)
     assert raw.where("symbol = 'AAPL'").agg(F.min("trade_date")).first()[0] == dt.date(2024, 1, 5)
+
+
+def test_seed_load_and_counts(spark, tmp_root):
+    p = f"{tmp_root}/seed.csv"
+    with open(p, "w") as f:
+        f.write("ticker_symbol,company_name,sector\nAAPL,Apple,Technology\nMSFT,Microsoft,Technology\n")
+    seed = jobs.load_seed(spark, p, f"{tmp_root}/wh")
+    assert seed.count() == 2 and jobs.LOAD_COUNTS["seed_equity_reference"] == 2
+    land = write_landing(f"{tmp_root}/d", 0)
+    jobs.load_crypto(spark, land["crypto"], f"{tmp_root}/wh", "2024-01-10 00:00:00")
+    assert jobs.LOAD_COUNTS["crypto_markets"] == 3
+
+
+def test_require_not_null_fails_fast(spark):
+    import pytest
+    from tidemark.operators.quality import require_not_null
+    df = spark.createDataFrame([("a",), (None,)], "k string")
+    with pytest.raises(Exception, match="NOT NULL"):
+        require_not_null(df, ["k"], "t").collect()

@@ -91,6 +91,19 @@ def out_of_range(bounds: dict[str, tuple[float, float]]) -> Column:
                   [~F.col(c).between(lo, hi) for c, (lo, hi) in bounds.items()])
 
 
+def require_not_null(df: DataFrame, cols: Sequence[str], table: str = "") -> DataFrame:
+    """Q10: NOT NULL key columns at load — the job fails on the first NULL.
+
+    Checked inside the projection that feeds the write (``raise_error``), so
+    it costs no extra pass over the data.
+    """
+    out = df
+    for c in cols:
+        out = out.withColumn(c, F.when(F.col(c).isNull(), F.raise_error(
+            F.lit(f"NULL in NOT NULL column {table}.{c}"))).otherwise(F.col(c)))
+    return out
+
+
 def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Non-NULL key values with more than one row, and their counts."""
     nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])

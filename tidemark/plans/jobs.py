@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
@@ -29,6 +29,7 @@ from tidemark.operators.sinks import (
 )
 from tidemark.plans import market as M
 from tidemark.schemas import RAW_CRYPTO, RAW_EQUITY, RAW_MACRO, ddl
+from tidemark.sources.tables import read_seed
 from tidemark.sources.payloads import (
     read_observations_payload,
     read_records_payload,
@@ -44,16 +45,39 @@ RAW, STAGING, CORE, FINANCE, SNAPSHOTS = "raw", "staging", "marts_core", "marts_
 
 # ------------------------------------------------------------------ M11–M13
 
+LOAD_COUNTS: dict[str, int] = {}
+
+
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """A5: rows per load, gathered while the write runs (no extra job)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def _write_counted(df: DataFrame, path: str, name: str) -> None:
+    counted, obs = _counted(df, name)
+    write_version(counted, path)
+    LOAD_COUNTS[name] = obs.get.get("rows", 0)
+
+
+def load_seed(spark: SparkSession, csv_path: str, root: str, table: str = "seed_equity_reference") -> DataFrame:
+    """K9: a CSV seed (S5) materialized in the seeds layer (K4)."""
+    path = layer_path(root, "seeds", table)
+    _write_counted(read_seed(spark, csv_path), path, table)
+    return read_current(spark, path)
+
+
 
 def load_equity(spark: SparkSession, landing: str, root: str, as_of, days: int = EQUITY_DAYS) -> DataFrame:
     """Parse daily series payloads, keep the newest ``days`` per symbol,
     merge into the raw table on (symbol, trade_date)."""
     parsed = read_timeseries_payload(spark, landing)
     newest = topk_per_key(parsed, ["symbol"], [F.col("trade_date").desc()], days)
+    newest = Q.require_not_null(newest, ["symbol", "trade_date"], "equity_daily_prices")
     path = layer_path(root, RAW, "equity_daily_prices")
     target = read_current(spark, path, RAW_EQUITY)
     merged = upsert(target, newest, ["symbol", "trade_date"], stamp=("loaded_at", as_of))
-    write_version(merged, path)
+    _write_counted(merged, path, "equity_daily_prices")
     return read_current(spark, path, RAW_EQUITY)
 
 
@@ -63,7 +87,7 @@ def load_crypto(spark: SparkSession, landing: str, root: str, as_of, top_n: int
     recs = read_records_payload(spark, landing)
     top = topk(recs, [F.col("market_cap").desc_nulls_last(), F.col("id")], top_n)
     path = layer_path(root, RAW, "crypto_markets")
-    write_version(with_load_stamp(top, "loaded_at", as_of), path)
+    _write_counted(with_load_stamp(top, "loaded_at", as_of), path, "crypto_markets")
     return read_current(spark, path, RAW_CRYPTO)
 
 
@@ -72,10 +96,11 @@ def load_macro(spark: SparkSession, landing: str, root: str, as_of, names: dict[
     """Parse observation payloads of the last ``since_days`` days, merge on
     (series_id, observation_date); updates value, name and load time."""
     obs = read_observations_payload(spark, landing, names, since_days, as_of)
+    obs = Q.require_not_null(obs, ["series_id", "observation_date"], "macro_observations")
     path = layer_path(root, RAW, "macro_observations")
     target = read_current(spark, path, RAW_MACRO)
     merged = upsert(target, obs, ["series_id", "observation_date"], stamp=("loaded_at", as_of))
-    write_version(merged.select(*RAW_MACRO.fieldNames()), path)
+    _write_counted(merged.select(*RAW_MACRO.fieldNames()), path, "macro_observations")
     return read_current(spark, path, RAW_MACRO)
 
 
@@ -206,4 +231,5 @@ def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str
     return tables, report
 
 
-__all__ = ["load_equity", "load_crypto", "load_macro", "DailyRun", "daily_run", "ddl"]
+__all__ = ["load_equity", "load_crypto", "load_macro", "load_seed", "DailyRun", "daily_run", "ddl",
+           "LOAD_COUNTS"]
