@@ -14,6 +14,19 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import col_of
 
+def _join_same_keys(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on ``keys`` with NULL-safe equality.
+
+    An inner equi join would infer ``IS NOT NULL`` filters on the big side and
+    push them below its window, so the two uses of that side would no longer
+    share one shuffle; NULL-safe equality infers nothing and matches NULL keys.
+    """
+    s = small.select(*[F.col(k).alias(f"__j_{k}") for k in keys],
+                     *[c for c in small.columns if c not in keys])
+    cond = [F.col(k).eqNullSafe(F.col(f"__j_{k}")) for k in keys]
+    return big.join(s, cond, "left").drop(*[f"__j_{k}" for k in keys])
+
+
 _AGGS = {"max": F.max, "min": F.min, "sum": F.sum, "first": F.first, "any_value": F.any_value}
 
 
@@ -100,12 +113,14 @@ def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket:
     """
     b, n, off, rn = "__ri_bucket", "__ri_n", "__ri_off", "__ri_rn"
     x = df.withColumn(b, bucket)
-    counts = x.groupBy(*by, b).agg(F.count(F.lit(1)).alias(n))
+    local = x.withColumn(rn, F.row_number().over(Window.partitionBy(*by, b).orderBy(*order)))
+    # The per-bucket counts come from the same windowed rows, so both
+    # branches share one shuffle of the input (a reused exchange).
+    counts = local.groupBy(*by, b).agg(F.max(rn).alias(n))
     before = (Window.partitionBy(*by) if by else Window).orderBy(b) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, b, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off))
-    local = x.withColumn(rn, F.row_number().over(Window.partitionBy(*by, b).orderBy(*order)))
-    return (local.join(offsets, [*by, b], "inner")
+    return (_join_same_keys(local, offsets, [*by, b])
                  .withColumn(name, (F.col(off) + F.col(rn)).cast("bigint"))
                  .drop(b, off, rn))
 
@@ -185,11 +200,13 @@ def rank_by_value(df: DataFrame, by: Sequence[str], value: Column, name: str,
     bounds = x.groupBy(*by).agg(F.percentile_approx(v, probs, accuracy).alias("__rv_b"))
     below = F.size(F.filter(F.col("__rv_b"), lambda b: b < F.col(v)))
     null_slice = F.lit(splits) if descending else F.lit(-1)
-    x = (x.join(bounds, list(by), "left")
+    x = (_join_same_keys(x, bounds, list(by))
           .withColumn(r, F.when(F.col(v).isNull(), null_slice).otherwise(below))
           .drop("__rv_b"))
-    counts = x.groupBy(*by, r).agg(F.count(F.lit(1)).alias(n))
-    # ranked before = higher slices when descending (NULL slice last), lower when ascending
+    o = F.col(v).desc() if descending else F.col(v).asc()
+    local = x.withColumn("__rv_local", F.rank().over(Window.partitionBy(*by, r).orderBy(o)))
+    # Slice sizes from the same windowed rows: one shuffle of the input.
+    counts = local.groupBy(*by, r).agg(F.count(F.lit(1)).alias(n))
     if descending:  # higher slices first, the NULL slice last
         slice_order = [F.col(r) == null_slice, F.col(r).desc()]
     else:           # the NULL slice (-1) first, then lower slices
@@ -197,8 +214,6 @@ def rank_by_value(df: DataFrame, by: Sequence[str], value: Column, name: str,
     before_w = (Window.partitionBy(*by) if by else Window).orderBy(*slice_order) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, r, F.coalesce(F.sum(n).over(before_w), F.lit(0)).alias(off))
-    o = F.col(v).desc() if descending else F.col(v).asc()
-    local = x.withColumn("__rv_local", F.rank().over(Window.partitionBy(*by, r).orderBy(o)))
-    return (local.join(offsets, [*by, r], "inner")
+    return (_join_same_keys(local, offsets, [*by, r])
                  .withColumn(name, (F.col("__rv_local") + F.col(off)).cast("bigint"))
                  .drop(v, r, off, "__rv_local"))
