@@ -13,6 +13,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"  # compare floats bit for bit
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -30,7 +31,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat(sep=" ")
     if isinstance(v, dt.date):

@@ -57,3 +57,14 @@ def test_seed_csv(spark, tmp_root):
         f.write("ticker_symbol,company_name,sector\nAAPL,Apple,Technology\nSPY,SPDR S&P 500 ETF Trust,Broad Market Index\n")
     df = read_seed(spark, p)
     assert rows(df) == [("AAPL", "Apple", "Technology"), ("SPY", "SPDR S&P 500 ETF Trust", "Broad Market Index")]
+
+
+def test_records_payload_json_lines(spark, tmp_root):
+    import json
+    import os
+    os.makedirs(f"{tmp_root}/jl")
+    with open(f"{tmp_root}/jl/part-0.json", "w") as f:
+        for i in range(5):
+            f.write(json.dumps(coin(f"coin{i}", 1e9 * i, i + 1, "2024-01-05T10:00:00.000Z")) + "\n")
+    df = read_records_payload(spark, f"{tmp_root}/jl", multi_line=False)
+    assert df.count() == 5 and df.where("roi = 'null'").count() == 5

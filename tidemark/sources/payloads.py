@@ -68,13 +68,17 @@ def read_timeseries_payload(spark: SparkSession, path: str, root: str = DAILY_SE
 def read_records_payload(spark: SparkSession, path: str,
                          columns: Sequence[str] = CRYPTO_PAYLOAD_COLUMNS,
                          schema: T.StructType = RAW_CRYPTO,
-                         json_cols: Sequence[str] = ("roi",)) -> DataFrame:
+                         json_cols: Sequence[str] = ("roi",), multi_line: bool = True) -> DataFrame:
     """A JSON array of flat records per file.
 
     Only ``columns`` are kept (extra payload fields are ignored). ``json_cols``
     hold nested objects: they are kept as compact JSON text and a missing or
     null object becomes the text ``null`` (G8). Doubles have NaN turned to NULL.
     Timestamps are read as text and parsed without any zone shift.
+
+    ``multi_line=True`` reads API-style files (one JSON array per file, each
+    file parsed by one task); ``False`` reads JSON Lines (one record per
+    line), which Spark splits across tasks however large a file is.
     """
     read_fields = []
     for c in columns:
@@ -85,7 +89,7 @@ def read_records_payload(spark: SparkSession, path: str,
             read_fields.append(T.StructField(c, T.StringType()))
         else:
             read_fields.append(f)
-    raw = spark.read.schema(T.StructType(read_fields)).option("multiLine", True).json(path)
+    raw = spark.read.schema(T.StructType(read_fields)).option("multiLine", multi_line).json(path)
     out = []
     for c in columns:
         f = schema[c]
