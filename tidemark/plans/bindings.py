@@ -49,7 +49,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     in one plan be recognised and their exchanges reused.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (id(getattr(spark, "_jsparkSession", spark)), path)
     df = _LOADED.get(key)
     if df is None:
         df = _LOADED[key] = spark.read.parquet(path)
