@@ -71,3 +71,15 @@ def test_require_not_null_fails_fast(spark):
     df = spark.createDataFrame([("a",), (None,)], "k string")
     with pytest.raises(Exception, match="NOT NULL"):
         require_not_null(df, ["k"], "t").collect()
+
+
+def test_crypto_append_mode_and_guarded_full_refresh(spark, tmp_root):
+    import pytest
+    root = f"{tmp_root}/wh"
+    l1, l2 = write_landing(f"{tmp_root}/a", 0), write_landing(f"{tmp_root}/b", 2)
+    jobs.load_crypto(spark, l1["crypto"], root, "2024-01-10 00:00:00", mode="append")
+    raw = jobs.load_crypto(spark, l2["crypto"], root, "2024-01-12 00:00:00", mode="append")
+    assert raw.count() == 6  # two snapshots of three coins
+    with pytest.raises(ValueError, match="history"):
+        jobs.daily_run(spark, root, "2024-01-12 00:00:00", l2, _seed(spark), SERIES_NAMES,
+                       full_refresh=True)

@@ -81,13 +81,24 @@ def load_equity(spark: SparkSession, landing: str, root: str, as_of, days: int =
     return read_current(spark, path, RAW_EQUITY)
 
 
-def load_crypto(spark: SparkSession, landing: str, root: str, as_of, top_n: int = CRYPTO_TOP_N) -> DataFrame:
-    """Parse the market records, keep the top ``top_n`` by market cap,
-    replace the raw table as a whole (new version, never truncate-then-insert)."""
+def load_crypto(spark: SparkSession, landing: str, root: str, as_of, top_n: int = CRYPTO_TOP_N,
+                mode: str = "replace") -> DataFrame:
+    """Parse the market records, keep the top ``top_n`` by market cap.
+
+    ``mode="replace"`` swaps the raw table as a whole, as the reference
+    does, but as a new version (never truncate-then-insert, G20).
+    ``mode="append"`` keeps every snapshot (merged on coin and update time),
+    so the raw layer holds crypto history too (G13).
+    """
     recs = read_records_payload(spark, landing)
-    top = topk(recs, [F.col("market_cap").desc_nulls_last(), F.col("id")], top_n)
+    top = with_load_stamp(topk(recs, [F.col("market_cap").desc_nulls_last(), F.col("id")], top_n),
+                          "loaded_at", as_of)
     path = layer_path(root, RAW, "crypto_markets")
-    _write_counted(with_load_stamp(top, "loaded_at", as_of), path, "crypto_markets")
+    if mode == "append":
+        top = upsert(read_current(spark, path, RAW_CRYPTO), top, ["id", "last_updated"])
+    elif mode != "replace":
+        raise ValueError(f"unknown mode {mode!r}")
+    _write_counted(top, path, "crypto_markets")
     return read_current(spark, path, RAW_CRYPTO)
 
 
@@ -116,6 +127,8 @@ class DailyRun:
     as_of: str
     seed: DataFrame
     reports: list = field(default_factory=list)
+    full_refresh: bool = False
+    allow_history_loss: bool = False
 
     def path(self, layer, table):
         return layer_path(self.root, layer, table)
@@ -136,6 +149,14 @@ class DailyRun:
         # K3: fct_daily_prices merged from the high-water mark on (inclusive).
         fct_path = self.path(CORE, "fct_daily_prices")
         fct_prev = read_current(spark, fct_path, _fct_schema(spark, prices, dim))
+        if self.full_refresh:
+            # The fact is the only place crypto history survives when the
+            # raw crypto table is replaced on each load; refuse to drop it
+            # unless asked to.
+            if not self.allow_history_loss:
+                raise ValueError("full refresh of fct_daily_prices drops history not held in raw "
+                                 "tables; pass allow_history_loss=True or load crypto in append mode")
+            fct_prev = fct_prev.limit(0)
         mark = high_water_mark(fct_prev, "price_date")
         new_rows = M.fct_daily_prices(prices, dim, since=mark)
         write_version(upsert(fct_prev, new_rows, ["price_id"]), fct_path)
@@ -144,6 +165,8 @@ class DailyRun:
         # K3 + G1: volatility with context rows, equal to a full refresh.
         vol_path = self.path(CORE, "fct_asset_volatility")
         vol_prev = read_current(spark, vol_path, _vol_schema(spark, fct))
+        if self.full_refresh:
+            vol_prev = vol_prev.limit(0)
         src = fct.where(F.col("price_change_pct").isNotNull())
         vol = incremental_window_merge(vol_prev, src, ["price_id"], "price_date", ["asset_id"],
                                        89, M.asset_volatility_skew_safe)
@@ -220,12 +243,14 @@ def _vol_schema(spark, fct):
 
 
 def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str],
-              seed: DataFrame, macro_names: dict[str, str]) -> tuple[dict, DataFrame]:
+              seed: DataFrame, macro_names: dict[str, str], crypto_mode: str = "replace",
+              full_refresh: bool = False, allow_history_loss: bool = False) -> tuple[dict, DataFrame]:
     """Loads (crypto, equity, macro, as in the reference's order), marts, tests."""
-    crypto = load_crypto(spark, landing["crypto"], root, as_of)
+    crypto = load_crypto(spark, landing["crypto"], root, as_of, mode=crypto_mode)
     equity = load_equity(spark, landing["equity"], root, as_of)
     macro = load_macro(spark, landing["macro"], root, as_of, macro_names)
-    run = DailyRun(spark, root, as_of, seed)
+    run = DailyRun(spark, root, as_of, seed, full_refresh=full_refresh,
+                   allow_history_loss=allow_history_loss)
     tables = run.build_marts(equity, crypto, macro)
     report = run.test(tables, {"equity": equity, "crypto": crypto, "macro": macro})
     return tables, report
