@@ -29,3 +29,10 @@ def test_scd2_rules(spark):
     h3 = scd2_merge(h2, load2, "k", ["tier", "cap"], "2024-03-01 00:00:00")
     assert rows(h3) == rows(h2)
     assert h2.select("scd_id").distinct().count() == h2.count()
+
+
+def test_scd2_null_key_fails(spark):
+    import pytest
+    src = spark.createDataFrame([(None, "a", 1.0)], S)
+    with pytest.raises(Exception, match="NOT NULL"):
+        scd2_merge(empty_history(spark, src), src, "k", ["tier", "cap"], T1).collect()

@@ -6,10 +6,13 @@ gives NULLs. Spark does not take the reference's correlated ``max`` in ``ON``,
 and a range join would pair every left row with every earlier right row. Two
 linear plans are used instead:
 
-* no key: a *time map*. Distinct left times and distinct right times are
-  unioned, the latest right time at or before each time is forward-filled
-  over that small table, and two equi joins attach the right row. The only
-  big-side work is the two equi joins; the fill runs over distinct times.
+* no key, DATE times: a *calendar spine* from the right side alone (each
+  right date covers the days until the next one), joined to the left by
+  date; left dates past the last right date take the last one.
+* no key, other times: a *time map*. Distinct left times and distinct right
+  times are unioned, the latest right time at or before each time is
+  forward-filled over that small table, and two equi joins attach the right
+  row. The fill runs over distinct times, bucketed by day.
 * keyed: left and right rows are unioned and the right payload is
   forward-filled per key in time order (right rows sort before left rows at
   equal time, so the match is inclusive). One shuffle, no pair explosion.
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +66,9 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
             raise ValueError("as-of right side is not unique on its key and time")
     if keys:
         return _asof_keyed(left, right, left_on, right_on, keys, cols, flag_col, bucket)
+    if (bucket is None and isinstance(left.schema[left_on].dataType, T.DateType)
+            and isinstance(right.schema[right_on].dataType, T.DateType)):
+        return _asof_calendar(left, right, left_on, right_on, cols, flag_col)
     return _asof_time_map(left, right, left_on, right_on, cols, flag_col, bucket)
 
 
@@ -72,6 +78,35 @@ def _auto_bucket(dtype: T.DataType, keyed: bool):
     return lambda t: F.date_trunc("day", t)
 
 
+def _asof_calendar(left, right, left_on, right_on, cols, flag_col):
+    """DATE times: a calendar spine built from the right side alone.
+
+    Each right date covers the days up to the day before the next right date
+    (one row per calendar day between the first and the last right date, so
+    the spine is bounded by the calendar, not by the data); left dates on or
+    after the last right date take the last one (a scalar subquery). The left
+    side is only joined, never aggregated, so an expensive left input is
+    computed once.
+    """
+    d, m = "__asof_day", "__asof_match"
+    rd = right.select(F.col(right_on).alias(m)).where(F.col(m).isNotNull()).distinct()
+    nxt = F.lead(m).over(Window.orderBy(m))  # distinct right dates: calendar-bounded
+    spine = (rd.withColumn("__asof_next", nxt)
+               .where(F.col("__asof_next").isNotNull())
+               .select(F.explode(F.sequence(F.col(m), F.date_sub("__asof_next", 1))).alias(d),
+                       F.col(m)))
+    last = rd.agg(F.max(m)).scalar()  # uncorrelated scalar subquery, run once
+    x = (left.join(spine, F.col(left_on) == F.col(d), "left")
+             .withColumn(m, F.when(F.col(left_on) >= last, last).otherwise(F.col(m)))
+             .drop(d))
+    rsel = right.select(F.col(right_on).alias("__asof_r"), *[F.col(c) for c in cols if c != right_on],
+                        *([F.col(right_on)] if right_on in cols else []))
+    out = x.join(rsel, F.col(m) == F.col("__asof_r"), "left").drop("__asof_r")
+    if flag_col:
+        out = out.withColumn(flag_col, F.col(m).isNotNull())
+    return out.drop(m)
+
+
 def _asof_time_map(left, right, left_on, right_on, cols, flag_col, bucket):
     t, m = "__asof_t", "__asof_match"
     left_times = left.select(F.col(left_on).alias(t)).where(F.col(t).isNotNull()).distinct()

@@ -48,7 +48,13 @@ def scd_id(key: str, ts) -> F.Column:
 
 def scd2_merge(history: DataFrame, source: DataFrame, key: str,
                check_cols: Sequence[str], as_of) -> DataFrame:
-    """Apply one snapshot of ``source`` to ``history`` at time ``as_of``."""
+    """Apply one snapshot of ``source`` to ``history`` at time ``as_of``.
+
+    A NULL key would open a new version on every snapshot, so it fails the
+    job (checked inside the projection, no extra pass).
+    """
+    from tidemark.operators.quality import require_not_null
+    source = require_not_null(source, [key], "scd2 source")
     cols = [c for c in source.columns]
     ts = as_of_timestamp(as_of)
     closed = history.where(F.col("valid_to").isNotNull()).select(*cols, *SCD_COLUMNS)
