@@ -25,3 +25,24 @@ def test_stream_upsert_available_now(spark, tmp_root):
     q.awaitTermination(120)
     out = read_current(spark, target)
     assert rows(out, "symbol", "trade_date", "close") == [("A", d1, 6.0), ("A", d2, 7.0), ("B", d1, 2.0)]
+
+
+def test_stream_upsert_partitioned_touches_only_batch_partitions(spark, tmp_root):
+    landing, target, ckpt = f"{tmp_root}/landing", f"{tmp_root}/target", f"{tmp_root}/ckpt"
+    os.makedirs(landing)
+    d1, d2, d3 = dt.date(2024, 1, 2), dt.date(2024, 1, 3), dt.date(2024, 1, 4)
+    spark.createDataFrame([("A", d1, 1.0, 1), ("B", d1, 2.0, 1), ("A", d2, 3.0, 1)], SRC) \
+        .write.parquet(f"{landing}/b1")
+    kw = dict(order=["seq"], stamp=("loaded_at", "2024-02-01 00:00:00"), partition_col="trade_date")
+    stream_upsert(spark, f"{landing}/*", SRC, target, TGT, ["symbol", "trade_date"], ckpt, **kw) \
+        .awaitTermination(120)
+    before = {p for p in os.listdir(target) if p.startswith("trade_date=")}
+    mtime_d1 = os.path.getmtime(f"{target}/trade_date=2024-01-02")
+    spark.createDataFrame([("A", d2, 5.0, 2), ("C", d3, 7.0, 1)], SRC).write.parquet(f"{landing}/b2")
+    stream_upsert(spark, f"{landing}/*", SRC, target, TGT, ["symbol", "trade_date"], ckpt, **kw) \
+        .awaitTermination(120)
+    out = spark.read.parquet(target)
+    assert rows(out, "symbol", "trade_date", "close") == [
+        ("A", d1, 1.0), ("A", d2, 5.0), ("B", d1, 2.0), ("C", d3, 7.0)]
+    assert before == {"trade_date=2024-01-02", "trade_date=2024-01-03"}
+    assert os.path.getmtime(f"{target}/trade_date=2024-01-02") == mtime_d1  # untouched

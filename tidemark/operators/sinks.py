@@ -169,6 +169,40 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None =
     return write_table(df, path, partition_by, mode="errorifexists")
 
 
+def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partition_col: str,
+                     schema: T.StructType, order: Sequence[str | Column] | None = None,
+                     stamp: tuple[str, object] | None = None) -> DataFrame:
+    """K1 at scale: merge ``source`` into a table partitioned by
+    ``partition_col``, rewriting only the partitions the source touches.
+
+    The touched partition values (a small distinct set) prune the target
+    read; the merged partitions are checkpointed into the shared checkpoint
+    folder first, so the write never reads the path it overwrites, and a
+    failed write can be retried from the checkpoint. Partitions not in the
+    source are neither read nor written. The partition column must be part
+    of the key (a row never moves between partitions).
+    """
+    if partition_col not in keys:
+        raise ValueError("the partition column must be one of the keys")
+    spark = source.sparkSession
+    if path_exists(spark, path):
+        touched = source.select(partition_col).where(F.col(partition_col).isNotNull()).distinct()
+        target = spark.read.schema(schema).parquet(path)
+        # a semi join against the touched values: with dynamic partition
+        # pruning only those partition directories are read. The broadcast is
+        # bounded by the table's partition count (dates or months).
+        target = target.join(F.broadcast(touched), partition_col, "left_semi")
+    else:
+        target = empty_table(spark, schema)
+    merged = upsert(target, source, keys, order=order, stamp=stamp).select(*schema.fieldNames())
+    from tidemark.session import checkpoint_root
+    checkpoint_root(spark)
+    merged = merged.checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+    return merged
+
+
 def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
     """Read the newest complete version written by ``write_version``."""
     versions = _versions(spark, base)

@@ -10,24 +10,34 @@ committed batch; a re-delivered batch is idempotent because the merge is by key.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.sinks import read_current, upsert, write_version
+from tidemark.operators.sinks import merge_partitions, read_current, upsert, write_version
 from tidemark.session import checkpoint_root
 
 
 def merge_batch(target_path: str, schema: T.StructType, keys: Sequence[str],
                 order: Sequence[str | Column] | None = None,
                 stamp: tuple[str, object] | None = None,
-                transform: Callable[[DataFrame], DataFrame] | None = None):
-    """A ``foreachBatch`` function: merge one micro-batch into the target."""
+                transform: Callable[[DataFrame], DataFrame] | None = None,
+                partition_col: str | None = None):
+    """A ``foreachBatch`` function: merge one micro-batch into the target.
+
+    With ``partition_col`` only the partitions the batch touches are read
+    and rewritten (``merge_partitions``); otherwise the merged table is
+    written as a new version.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         src = transform(batch) if transform else batch
+        if partition_col:
+            merge_partitions(src, target_path, keys, partition_col, schema, order, stamp)
+            return
         spark = src.sparkSession
         target = read_current(spark, target_path, schema)
         merged = upsert(target, src, keys, order=order, stamp=stamp)
@@ -42,16 +52,19 @@ def stream_upsert(spark: SparkSession, landing: str, source_schema: T.StructType
                   order: Sequence[str | Column] | None = None,
                   stamp: tuple[str, object] | None = None,
                   transform: Callable[[DataFrame], DataFrame] | None = None,
-                  available_now: bool = True, options: dict | None = None) -> StreamingQuery:
+                  available_now: bool = True, options: dict | None = None,
+                  partition_col: str | None = None) -> StreamingQuery:
     """Start the streaming upsert. ``available_now=True`` processes what has
     landed and stops (scheduled runs); False keeps running every trigger."""
     reader = spark.readStream.format(fmt).schema(source_schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     stream = reader.load(landing)
-    ckpt = checkpoint or f"{checkpoint_root(spark)}/stream-upsert-{abs(hash(target_path))}"
+    # a stable name: a restarted driver must find the same checkpoint
+    digest = hashlib.sha1(target_path.encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{checkpoint_root(spark)}/stream-upsert-{digest}"
     writer = (stream.writeStream.foreachBatch(
-        merge_batch(target_path, target_schema, keys, order, stamp, transform))
+        merge_batch(target_path, target_schema, keys, order, stamp, transform, partition_col))
         .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
