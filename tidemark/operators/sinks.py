@@ -171,7 +171,8 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None =
 
 def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partition_col: str,
                      schema: T.StructType, order: Sequence[str | Column] | None = None,
-                     stamp: tuple[str, object] | None = None) -> DataFrame:
+                     stamp: tuple[str, object] | None = None,
+                     max_partitions: int = 10000) -> DataFrame:
     """K1 at scale: merge ``source`` into a table partitioned by
     ``partition_col``, rewriting only the partitions the source touches.
 
@@ -188,10 +189,15 @@ def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partitio
     if path_exists(spark, path):
         touched = source.select(partition_col).where(F.col(partition_col).isNotNull()).distinct()
         target = spark.read.schema(schema).parquet(path)
-        # a semi join against the touched values: with dynamic partition
-        # pruning only those partition directories are read. The broadcast is
-        # bounded by the table's partition count (dates or months).
-        target = target.join(F.broadcast(touched), partition_col, "left_semi")
+        # The touched partition values are bounded by the table's partition
+        # count (dates, months); as literals they prune the scan statically
+        # to those directories. Past ``max_partitions`` a semi join keeps
+        # the result right without listing them on the driver.
+        values = [r[0] for r in touched.limit(max_partitions + 1).collect()]
+        if len(values) <= max_partitions:
+            target = target.where(F.col(partition_col).isin(values))
+        else:
+            target = target.join(touched, partition_col, "left_semi")
     else:
         target = empty_table(spark, schema)
     merged = upsert(target, source, keys, order=order, stamp=stamp).select(*schema.fieldNames())
