@@ -309,14 +309,23 @@ def incremental_window_merge(target: DataFrame, source: DataFrame, keys: Sequenc
     context + new rows, and only rows at or after the mark are merged.
     """
     mark = _shift(high_water_mark(target, date_col), lookback_days)
+    return upsert(target, incremental_window_rows(source, mark, date_col, by, context_rows, compute),
+                  keys)
+
+
+def incremental_window_rows(source: DataFrame, mark, date_col: str, by: Sequence[str],
+                            context_rows: int, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows a windowed incremental model (G1) must (re)write: ``compute``
+    over the source rows at or after ``mark`` plus the last ``context_rows``
+    rows per key before it, keeping only rows at or after ``mark``. A NULL
+    mark (empty target) computes everything."""
     if mark is None:
-        return upsert(target, compute(source), keys)
+        return compute(source)
     m = F.lit(mark)
     new = source.where(F.col(date_col) >= m)
     from tidemark.operators.relational import topk_per_key
     ctx = topk_per_key(source.where(F.col(date_col) < m), by, [F.col(date_col).desc()], context_rows)
-    computed = compute(new.unionByName(ctx)).where(F.col(date_col) >= m)
-    return upsert(target, computed, keys)
+    return compute(new.unionByName(ctx)).where(F.col(date_col) >= m)
 
 
 def as_date(value) -> date | None:

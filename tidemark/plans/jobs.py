@@ -4,8 +4,11 @@ Layout: ``<root>/<schema>/<table>`` with the schema names of the reference's
 layers (K8). Raw tables are merged by key (K1), the crypto snapshot is a full
 reload (K2), marts are rebuilt (K4) or merged incrementally (K3), the tier
 history is an SCD2 snapshot (K7), and the data tests run at the end (Q1–Q8).
-Every table write is a new version directory, so no job overwrites the path
-it reads, and a job that dies leaves the previous version current.
+Raw, dimension and snapshot tables are written as new version directories,
+so no job overwrites the path it reads and a job that dies leaves the
+previous version current. The two incremental facts are partitioned by
+``price_date``: a run reads and rewrites only the days at or after its
+high-water mark (``merge_partitions``), checkpointing the merged days first.
 """
 
 from __future__ import annotations
@@ -20,11 +23,14 @@ from tidemark.operators.relational import topk, topk_per_key
 from tidemark.operators.scd2 import history_schema
 from tidemark.operators.sinks import (
     high_water_mark,
-    incremental_window_merge,
+    incremental_window_rows,
     layer_path,
+    merge_partitions,
+    path_exists,
     read_current,
     upsert,
     with_load_stamp,
+    write_table,
     write_version,
 )
 from tidemark.plans import market as M
@@ -147,8 +153,11 @@ class DailyRun:
         dim = read_current(spark, dim_path)
 
         # K3: fct_daily_prices merged from the high-water mark on (inclusive).
+        # Partitioned by price_date; only the days at or after the mark are
+        # read and rewritten (price_id determines price_date).
         fct_path = self.path(CORE, "fct_daily_prices")
-        fct_prev = read_current(spark, fct_path, _fct_schema(spark, prices, dim))
+        fct_schema = _fct_schema(spark, prices, dim)
+        fct_prev = _read_partitioned(spark, fct_path, fct_schema)
         if self.full_refresh:
             # The fact is the only place crypto history survives when the
             # raw crypto table is replaced on each load; refuse to drop it
@@ -159,18 +168,25 @@ class DailyRun:
             fct_prev = fct_prev.limit(0)
         mark = high_water_mark(fct_prev, "price_date")
         new_rows = M.fct_daily_prices(prices, dim, since=mark)
-        write_version(upsert(fct_prev, new_rows, ["price_id"]), fct_path)
-        fct = read_current(spark, fct_path)
+        if self.full_refresh:
+            write_table(new_rows, fct_path, ["price_date"])
+        else:
+            merge_partitions(new_rows, fct_path, ["price_id", "price_date"], "price_date", fct_schema)
+        fct = _read_partitioned(spark, fct_path, fct_schema)
 
-        # K3 + G1: volatility with context rows, equal to a full refresh.
+        # K3 + G1: volatility with context rows, equal to a full refresh;
+        # only the days at or after the volatility table's own mark change.
         vol_path = self.path(CORE, "fct_asset_volatility")
-        vol_prev = read_current(spark, vol_path, _vol_schema(spark, fct))
-        if self.full_refresh:
-            vol_prev = vol_prev.limit(0)
+        vol_schema = _vol_schema(spark, fct)
+        vol_prev = _read_partitioned(spark, vol_path, vol_schema)
+        vol_mark = None if self.full_refresh else high_water_mark(vol_prev, "price_date")
         src = fct.where(F.col("price_change_pct").isNotNull())
-        vol = incremental_window_merge(vol_prev, src, ["price_id"], "price_date", ["asset_id"],
-                                       89, M.asset_volatility_skew_safe)
-        write_version(vol, vol_path)
+        vol_rows = incremental_window_rows(src, vol_mark, "price_date", ["asset_id"], 89,
+                                           M.asset_volatility_skew_safe).select(*vol_schema.fieldNames())
+        if self.full_refresh:
+            write_table(vol_rows, vol_path, ["price_date"])
+        else:
+            merge_partitions(vol_rows, vol_path, ["price_id", "price_date"], "price_date", vol_schema)
 
         # K4: full rebuild.
         corr_path = self.path(FINANCE, "fct_macro_correlation")
@@ -186,7 +202,7 @@ class DailyRun:
             "stg_equity": stg_e, "stg_crypto": stg_c, "stg_macro": stg_m,
             "dim_assets": read_current(spark, dim_path),
             "fct_daily_prices": fct,
-            "fct_asset_volatility": read_current(spark, vol_path),
+            "fct_asset_volatility": _read_partitioned(spark, vol_path, vol_schema),
             "fct_macro_correlation": read_current(spark, corr_path),
             "snapshot": read_current(spark, snap_path),
         }
@@ -234,6 +250,13 @@ class DailyRun:
         return report
 
 
+def _read_partitioned(spark, path, schema):
+    """A date-partitioned table, or an empty one before the first run."""
+    if path_exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
 def _fct_schema(spark, prices, dim):
     return M.fct_daily_prices(prices.limit(0), dim.limit(0)).schema
 

@@ -40,6 +40,8 @@ def build_session(master: str | None = None, app_name: str = "tidemark",
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.ui.enabled"] = "false"
+    # checkpoints taken by the partition-scoped merges are removed once unused
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
