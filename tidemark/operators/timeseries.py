@@ -101,6 +101,14 @@ def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str]
     return out.drop(b, *[n for trio in names.values() for n in (trio[0], trio[2])])
 
 
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Rows in the largest group: a partial + final count per key, then one
+    scalar to the driver. Used to decide whether a key needs splitting."""
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else df.select(
+        F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
+
+
 def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket: Column,
               name: str = "__idx") -> DataFrame:
     """1-based position of each row within its key under ``order``, without
@@ -127,7 +135,8 @@ def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket:
 
 def rolling_std(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str,
                 windows: Mapping[str, int], digits: int | None = 4,
-                split_rows: int | None = None, bucket: Column | None = None) -> DataFrame:
+                split_rows: int | None = None, bucket: Column | None = None,
+                check_skew: bool = False) -> DataFrame:
     """Sample stddev over the last ``n`` rows per key, rounded.
 
     All frames share one partition/order spec, so Spark computes them in a
@@ -138,9 +147,13 @@ def rolling_std(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
     (``row_index``), keys are cut into chunks of ``split_rows`` positions, and
     the last ``max(n) - 1`` rows of each chunk are copied into the next chunk
     as context only. A key holding a third of all rows then spreads over many
-    tasks, with the same result as the single window.
+    tasks, with the same result as the single window. With ``check_skew`` the
+    largest key is measured first and the single window is kept when no key
+    exceeds ``split_rows``.
     """
     order_cols = [col_of(o) for o in order]
+    if split_rows is not None and check_skew and largest_group(df, by) <= split_rows:
+        split_rows = None
     if split_rows is None:
         w = Window.partitionBy(*by).orderBy(*order_cols)
         out = df
@@ -179,8 +192,8 @@ def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
 
 
 def rank_by_value(df: DataFrame, by: Sequence[str], value: Column, name: str,
-                  descending: bool = True, splits: int | None = None,
-                  accuracy: int = 10000) -> DataFrame:
+                  descending: bool = True, splits: int | str | None = None,
+                  accuracy: int = 10000, rows_per_task: int = 5_000_000) -> DataFrame:
     """``rank() over (partition by by order by value)`` as bigint.
 
     With ``splits`` a group is never ranked in one task: approximate
@@ -189,8 +202,13 @@ def rank_by_value(df: DataFrame, by: Sequence[str], value: Column, name: str,
     each slice is ranked on its own and shifted by the number of rows in the
     slices ranked before it. The result is exact; the quantiles only decide
     how evenly the work spreads. NULLs order as Spark's default (last when
-    descending, first when ascending).
+    descending, first when ascending). ``splits="auto"`` measures the largest
+    group and uses ``ceil(largest / rows_per_task)`` slices (one slice, i.e.
+    the single window, when no group is that large).
     """
+    if splits == "auto":
+        largest = largest_group(df, by)
+        splits = max(1, -(-largest // rows_per_task))
     if splits is None or splits <= 1:
         o = value.desc() if descending else value.asc()
         return rank_within(df, by, [o], name)

@@ -314,11 +314,28 @@ FROM stg_equity WHERE price_change_pct IS NOT NULL"""
 def q_rolling_volatility_split(spark, sf):
     s = Inputs(spark, sf).stg_equity().where(F.col("price_change_pct").isNotNull()) \
         .select("ticker_symbol", "trade_date", "price_change_pct")
-    # Chunks of 100 rows here so the 30-row test keys really span chunks.
+    # The chunked path forced on (100-row chunks, the smallest above the
+    # 90-row window); chunk borders are crossed in the pytest's hot key.
     return rolling_std(s, ["ticker_symbol"], ["trade_date"], "price_change_pct", M.VOLATILITY_WINDOWS,
                        split_rows=100, bucket=F.date_trunc("week", F.col("trade_date")))
 
 
+_EVENT_ROLLING_SQL = """
+SELECT user_id, event_id, ts, value,
+  round(stddev_samp(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+        ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS v7,
+  round(stddev_samp(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
+        ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 4) AS v30
+FROM events"""
+
+
+@register("event_rolling_split", "W2 W3 over every event per user, 40-row chunks crossed", _EVENT_ROLLING_SQL)
+def q_event_rolling_split(spark, sf):
+    ev = Inputs(spark, sf).table("events").select("user_id", "event_id", "ts", "value")
+    return rolling_std(ev, ["user_id"], [F.col("ts"), F.col("event_id")], "value",
+                       {"v7": 7, "v30": 30}, split_rows=40, bucket=F.date_trunc("day", F.col("ts")))
+
+
 @register("daily_move_rank_split", "W5 X9, hot dates cut into value slices", with_("stg_equity") + """
 SELECT ticker_symbol, trade_date, price_change_pct,
   rank() OVER (PARTITION BY trade_date ORDER BY abs(price_change_pct) DESC) AS move_rank
@@ -520,10 +537,14 @@ def q_asset_volatility(spark, sf):
     return M.fct_asset_volatility(Inputs(spark, sf).fct())
 
 
-@register("asset_volatility_skew_safe", "M8 with the skew-safe windows",
+@register("asset_volatility_skew_safe", "M8 with the skew-safe windows forced on",
           with_("volatility") + "SELECT * FROM volatility")
 def q_asset_volatility_skew_safe(spark, sf):
-    return M.asset_volatility_skew_safe(Inputs(spark, sf).fct())
+    # The split paths forced on: every date cut into 8 value slices; assets
+    # indexed and chunked (200-row chunks; the driver data has at most 30 rows
+    # per asset, so chunk borders are crossed only in the pytest with a
+    # 700-row key).
+    return M.asset_volatility(Inputs(spark, sf).fct(), split_rows=200, rank_splits=8)
 
 
 @register("macro_enriched_fact", "M9 J3 X12 F1", with_("macro_fact") + "SELECT * FROM macro_fact")

@@ -214,7 +214,8 @@ def fct_daily_prices(prices: DataFrame, assets: DataFrame, since=None) -> DataFr
 
 
 def asset_volatility(fct: DataFrame, split_rows: int | None = None,
-                     rank_splits: int | None = None) -> DataFrame:
+                     rank_splits: int | str | None = None, check_skew: bool = False,
+                     rows_per_task: int = 5_000_000) -> DataFrame:
     """M8 computation: rolling volatility per asset and daily move rank.
 
     ``split_rows`` / ``rank_splits`` switch on the skew-safe forms (a hot
@@ -226,14 +227,20 @@ def asset_volatility(fct: DataFrame, split_rows: int | None = None,
         "price_date", "price_usd", "price_change_pct")
     vol = rolling_std(base, ["asset_id"], ["price_date"], "price_change_pct", VOLATILITY_WINDOWS,
                       split_rows=split_rows,
-                      bucket=F.date_trunc("month", F.col("price_date")) if split_rows else None)
+                      bucket=F.date_trunc("month", F.col("price_date")) if split_rows else None,
+                      check_skew=check_skew)
     return rank_by_value(vol, ["price_date"], F.abs(F.col("price_change_pct")),
-                         "volatility_rank_daily", descending=True, splits=rank_splits)
+                         "volatility_rank_daily", descending=True, splits=rank_splits,
+                         rows_per_task=rows_per_task)
 
 
-# Skew-safe settings for production runs: a key is cut into chunks of one
-# million rows, a date's moves into 64 value slices.
-SKEW_SAFE = {"split_rows": 1_000_000, "rank_splits": 64}
+# Skew-safe settings for production runs: the largest asset and the largest
+# date are measured first (one small aggregate each); an asset with more
+# than five million rows is cut into row chunks of that size, a date into
+# ceil(rows / five million) value slices. Without such keys the plain
+# single windows run.
+SKEW_SAFE = {"split_rows": 5_000_000, "rank_splits": "auto", "check_skew": True,
+             "rows_per_task": 5_000_000}
 
 
 def asset_volatility_skew_safe(fct: DataFrame) -> DataFrame:
