@@ -32,7 +32,7 @@ from tidemark.operators.sinks import (
     upsert,
     with_load_stamp,
 )
-from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rank_within, rolling_std
+from tidemark.operators.timeseries import pivot_wide, rank_by_value, rank_within, rolling_std
 from tidemark.plans import bindings as B
 from tidemark.plans import market as M
 from tidemark.schemas import ddl

@@ -34,7 +34,7 @@ from tidemark.operators.sinks import (
     write_version,
 )
 from tidemark.plans import market as M
-from tidemark.schemas import RAW_CRYPTO, RAW_EQUITY, RAW_MACRO, ddl
+from tidemark.schemas import RAW_CRYPTO, RAW_EQUITY, RAW_MACRO
 from tidemark.sources.tables import read_seed
 from tidemark.sources.payloads import (
     read_observations_payload,
@@ -279,5 +279,5 @@ def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str
     return tables, report
 
 
-__all__ = ["load_equity", "load_crypto", "load_macro", "load_seed", "DailyRun", "daily_run", "ddl",
+__all__ = ["load_equity", "load_crypto", "load_macro", "load_seed", "DailyRun", "daily_run",
            "LOAD_COUNTS"]
