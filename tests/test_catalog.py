@@ -39,3 +39,42 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+def _nodes(plan: str):
+    import re
+    out = []
+    for line in plan.splitlines():
+        m = re.search(r"[A-Za-z*]", line)
+        if m:
+            out.append((m.start(), line[m.start():]))
+    return out
+
+
+def _unguarded_single_partition_windows(plan: str) -> list[str]:
+    """Single-partition exchanges feeding a window whose input reaches a scan
+    without passing an aggregate (distinct / pivot): such a window would put
+    fact-sized data into one task."""
+    nodes, bad = _nodes(plan), []
+    for i, (depth, text) in enumerate(nodes):
+        if not (text.startswith("Exchange SinglePartition") and i
+                and nodes[i - 1][1].startswith(("Sort", "Window"))):
+            continue
+        stack, j = [], i + 1
+        while j < len(nodes) and nodes[j][0] > depth:
+            d, t = nodes[j]
+            while stack and stack[-1][0] >= d:
+                stack.pop()
+            stack.append((d, t))
+            if "Scan" in t and not any(s[1].startswith(("HashAggregate", "SortAggregate",
+                                                        "ObjectHashAggregate")) for s in stack):
+                bad.append(text[:80])
+            j += 1
+    return bad
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_no_single_partition_window_over_fact_rows(spark, name):
+    df = catalog.QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert _unguarded_single_partition_windows(plan) == []
