@@ -78,3 +78,16 @@ def test_no_single_partition_window_over_fact_rows(spark, name):
     df = catalog.QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert _unguarded_single_partition_windows(plan) == []
+
+
+def test_plan_check_flags_a_fact_sized_single_partition_window(spark):
+    from tidemark.operators.timeseries import forward_fill
+    from tidemark.plans.bindings import load
+    ev = load(spark, SF, "events")
+    bad = forward_fill(ev, "ts", ["value"])  # literal form over raw rows: must be flagged
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert _unguarded_single_partition_windows(plan)
+    from pyspark.sql import functions as F
+    good = forward_fill(ev, "ts", ["value"], bucket=F.date_trunc("day", "ts"))
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert _unguarded_single_partition_windows(plan) == []
