@@ -21,6 +21,7 @@ def test_daily_run_twice_equals_full_rebuild(spark, tmp_root):
     t2, rep2 = jobs.daily_run(spark, root, "2024-01-12 00:00:00", write_landing(f"{tmp_root}/d2", 2),
                               _seed(spark), SERIES_NAMES)
     fct = t2["fct_daily_prices"]
+    assert spark.sql("SELECT count(*) AS n FROM stg_equity_prices").first().n == 12  # K5 view: AAPL 8 days + ZERO 4
     # equity: union of both loads' dates; crypto: only what raw still holds + history
     assert fct.where("asset_class = 'equity' and asset_id = 'AAPL'").count() == 8
     assert fct.select("price_id").distinct().count() == fct.count()

@@ -28,6 +28,7 @@ from tidemark.operators.sinks import (
     merge_partitions,
     path_exists,
     read_current,
+    register_view,
     upsert,
     with_load_stamp,
     write_table,
@@ -141,9 +142,10 @@ class DailyRun:
 
     def build_marts(self, raw_equity: DataFrame, raw_crypto: DataFrame, raw_macro: DataFrame) -> dict:
         spark = self.spark
-        stg_e = M.stg_equity_prices(raw_equity)
-        stg_c = M.stg_crypto_prices(raw_crypto)
-        stg_m = M.stg_macro_indicators(raw_macro)
+        # K5: staging models are views (lazy, queryable by name)
+        stg_e = register_view(M.stg_equity_prices(raw_equity), "stg_equity_prices")
+        stg_c = register_view(M.stg_crypto_prices(raw_crypto), "stg_crypto_prices")
+        stg_m = register_view(M.stg_macro_indicators(raw_macro), "stg_macro_indicators")
         prices = M.int_prices_combined(stg_c, stg_e)
         macro = M.int_macro_daily(stg_m)
 
