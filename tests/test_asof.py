@@ -75,3 +75,20 @@ def test_plan_has_no_nested_loop_or_cartesian(spark):
                                                      R.withColumn("k", F.lit(1)), "t", "rt", by=["k"])):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_unkeyed_timestamps_auto_bucket_equals_brute_force(spark):
+    rnd = random.Random(9)
+    t0 = dt.datetime(2024, 1, 1)
+    left = [(t0 + dt.timedelta(minutes=rnd.randint(0, 6000)), i) for i in range(300)]
+    right = sorted({t0 + dt.timedelta(minutes=rnd.randint(0, 6000)) for _ in range(40)})
+    L = spark.createDataFrame(left, "t timestamp_ntz, id int")
+    R = spark.createDataFrame([(t, float(i)) for i, t in enumerate(right)], "rt timestamp_ntz, x double")
+    out = asof_join(L, R, "t", "rt", flag_col="has")  # auto: day buckets, time map
+    expect = []
+    for t, i in left:
+        c = [r for r in right if r <= t]
+        best = max(c) if c else None
+        expect.append((i, best, float(right.index(best)) if best else None, best is not None))
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert rows(out, "id", "rt", "x", "has") == sorted(expect, key=key)
