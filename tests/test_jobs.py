@@ -44,6 +44,11 @@ def test_daily_run_twice_equals_full_rebuild(spark, tmp_root):
     assert dim.where("asset_id = 'AAPL'").first().company_name == "Apple"
     assert dim.where("asset_id = 'ZERO'").first().company_name is None
     corr = t2["fct_macro_correlation"]
+    # the partially rebuilt macro fact equals a full rebuild from the final tables
+    macro = M.int_macro_daily(M.stg_macro_indicators(
+        spark.read.parquet(f"{root}/raw/macro_observations/v=00000002")))
+    full_corr = M.fct_macro_correlation(fct, macro)
+    assert rows(corr, *full_corr.columns) == rows(full_corr, *full_corr.columns)
     early = corr.where("price_date < '2024-01-01'").count()
     assert early == 0
     assert corr.where("has_macro_data").count() == corr.count()

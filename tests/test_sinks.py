@@ -128,3 +128,15 @@ def test_write_version_skips_incomplete(spark, tmp_root):
     assert rows(read_current(spark, base)) == [("a",)]
     write_version(spark.createDataFrame([("b",)], schema), base)
     assert rows(read_current(spark, base)) == [("b",)]
+
+
+def test_replace_partitions_from_keeps_older_and_drops_vanished(spark, tmp_root):
+    from tidemark.operators.sinks import replace_partitions_from, write_table
+    schema = ddl("k string, d date, v double")
+    path = f"{tmp_root}/p"
+    write_table(spark.createDataFrame([("a", D(2024, 1, 1), 1.0), ("a", D(2024, 1, 2), 2.0),
+                                       ("a", D(2024, 1, 3), 3.0)], schema), path, ["d"], replace_all=True)
+    new = spark.createDataFrame([("a", D(2024, 1, 2), 20.0)], schema)  # day 3 vanished
+    replace_partitions_from(new, path, "d", D(2024, 1, 2))
+    got = rows(spark.read.parquet(path), "k", "d", "v")
+    assert got == [("a", D(2024, 1, 1), 1.0), ("a", D(2024, 1, 2), 20.0)]

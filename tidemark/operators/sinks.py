@@ -132,12 +132,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                mode: str = "overwrite") -> str:
+                mode: str = "overwrite", replace_all: bool = False) -> str:
     """K4: materialize as parquet. With ``partition_by`` and dynamic partition
-    overwrite only the partitions present in ``df`` are replaced."""
+    overwrite only the partitions present in ``df`` are replaced;
+    ``replace_all`` replaces the whole table (static overwrite)."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "static" if replace_all else "dynamic")
     w.parquet(path)
     return path
 
@@ -209,6 +211,30 @@ def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partitio
     return merged
 
 
+def replace_partitions_from(df: DataFrame, path: str, partition_col: str, since) -> None:
+    """Replace every ``partition_col`` partition ``>= since`` with ``df``'s rows.
+
+    ``df`` must hold exactly the rows of those partitions (it must not read
+    ``path``). Partitions present in ``df`` are overwritten (dynamic
+    overwrite); partitions at or after ``since`` that ``df`` no longer has are
+    removed, so the table equals a full rebuild. The partition values are
+    calendar dates, a bounded set.
+    """
+    spark = df.sparkSession
+    write_table(df, path, [partition_col])
+    keep = {str(r[0]) for r in df.select(partition_col).distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{partition_col}="
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        if name.startswith(prefix):
+            value = name[len(prefix):]
+            if value >= str(since) and value not in keep:
+                fs.delete(st.getPath(), True)
+
+
 def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
     """Read the newest complete version written by ``write_version``."""
     versions = _versions(spark, base)

@@ -29,6 +29,7 @@ from tidemark.operators.sinks import (
     path_exists,
     read_current,
     register_view,
+    replace_partitions_from,
     upsert,
     with_load_stamp,
     write_table,
@@ -53,6 +54,7 @@ RAW, STAGING, CORE, FINANCE, SNAPSHOTS = "raw", "staging", "marts_core", "marts_
 # ------------------------------------------------------------------ M11–M13
 
 LOAD_COUNTS: dict[str, int] = {}
+LOAD_MIN_DATE: dict[str, object] = {}
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -115,6 +117,9 @@ def load_macro(spark: SparkSession, landing: str, root: str, as_of, names: dict[
     (series_id, observation_date); updates value, name and load time."""
     obs = read_observations_payload(spark, landing, names, since_days, as_of)
     obs = Q.require_not_null(obs, ["series_id", "observation_date"], "macro_observations")
+    # earliest observation this load may change: marts depending on the
+    # macro series need rebuilding only from here on
+    LOAD_MIN_DATE["macro_observations"] = obs.agg(F.min("observation_date")).first()[0]
     path = layer_path(root, RAW, "macro_observations")
     target = read_current(spark, path, RAW_MACRO)
     merged = upsert(target, obs, ["series_id", "observation_date"], stamp=("loaded_at", as_of))
@@ -136,6 +141,7 @@ class DailyRun:
     reports: list = field(default_factory=list)
     full_refresh: bool = False
     allow_history_loss: bool = False
+    macro_changed_since: object = None   # earliest macro date changed by this run's load
 
     def path(self, layer, table):
         return layer_path(self.root, layer, table)
@@ -171,7 +177,7 @@ class DailyRun:
         mark = high_water_mark(fct_prev, "price_date")
         new_rows = M.fct_daily_prices(prices, dim, since=mark)
         if self.full_refresh:
-            write_table(new_rows, fct_path, ["price_date"])
+            write_table(new_rows, fct_path, ["price_date"], replace_all=True)
         else:
             merge_partitions(new_rows, fct_path, ["price_id", "price_date"], "price_date", fct_schema)
         fct = _read_partitioned(spark, fct_path, fct_schema)
@@ -186,13 +192,28 @@ class DailyRun:
         vol_rows = incremental_window_rows(src, vol_mark, "price_date", ["asset_id"], 89,
                                            M.asset_volatility_skew_safe).select(*vol_schema.fieldNames())
         if self.full_refresh:
-            write_table(vol_rows, vol_path, ["price_date"])
+            write_table(vol_rows, vol_path, ["price_date"], replace_all=True)
         else:
             merge_partitions(vol_rows, vol_path, ["price_id", "price_date"], "price_date", vol_schema)
 
-        # K4: full rebuild.
+        # K4 (rebuild) limited to the days that can change: a day's macro
+        # values depend only on observations at or before it, so only days at
+        # or after min(this table's mark, earliest macro date loaded now) are
+        # recomputed; their partitions are replaced whole (equal to a rebuild).
         corr_path = self.path(FINANCE, "fct_macro_correlation")
-        write_version(M.fct_macro_correlation(fct, macro), corr_path)
+        corr_schema = M.fct_macro_correlation(fct.limit(0), macro.limit(0)).schema
+        corr_prev = _read_partitioned(spark, corr_path, corr_schema)
+        corr_mark = None if self.full_refresh else high_water_mark(corr_prev, "price_date")
+        since = None
+        if corr_mark is not None and self.macro_changed_since is not None:
+            since = min(corr_mark, self.macro_changed_since)
+        if since is None:
+            write_table(M.fct_macro_correlation(fct, macro), corr_path, ["price_date"],
+                        replace_all=True)
+        else:
+            rows = M.fct_macro_correlation(fct.where(F.col("price_date") >= F.lit(since)), macro)
+            replace_partitions_from(rows.select(*corr_schema.fieldNames()), corr_path,
+                                    "price_date", since)
 
         # K7: tier history.
         snap_path = self.path(SNAPSHOTS, "snapshot_crypto_market_cap_tier")
@@ -205,7 +226,7 @@ class DailyRun:
             "dim_assets": read_current(spark, dim_path),
             "fct_daily_prices": fct,
             "fct_asset_volatility": _read_partitioned(spark, vol_path, vol_schema),
-            "fct_macro_correlation": read_current(spark, corr_path),
+            "fct_macro_correlation": _read_partitioned(spark, corr_path, corr_schema),
             "snapshot": read_current(spark, snap_path),
         }
 
@@ -275,11 +296,12 @@ def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str
     equity = load_equity(spark, landing["equity"], root, as_of)
     macro = load_macro(spark, landing["macro"], root, as_of, macro_names)
     run = DailyRun(spark, root, as_of, seed, full_refresh=full_refresh,
-                   allow_history_loss=allow_history_loss)
+                   allow_history_loss=allow_history_loss,
+                   macro_changed_since=LOAD_MIN_DATE.get("macro_observations"))
     tables = run.build_marts(equity, crypto, macro)
     report = run.test(tables, {"equity": equity, "crypto": crypto, "macro": macro})
     return tables, report
 
 
 __all__ = ["load_equity", "load_crypto", "load_macro", "load_seed", "DailyRun", "daily_run",
-           "LOAD_COUNTS"]
+           "LOAD_COUNTS", "LOAD_MIN_DATE"]
