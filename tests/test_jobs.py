@@ -19,7 +19,7 @@ def test_daily_run_twice_equals_full_rebuild(spark, tmp_root):
     t1, rep1 = jobs.daily_run(spark, root, "2024-01-10 00:00:00", write_landing(f"{tmp_root}/d1", 0),
                               _seed(spark), SERIES_NAMES)
     t2, rep2 = jobs.daily_run(spark, root, "2024-01-12 00:00:00", write_landing(f"{tmp_root}/d2", 2),
-                              _seed(spark), SERIES_NAMES)
+                              _seed(spark), SERIES_NAMES, lookback_days=2)
     fct = t2["fct_daily_prices"]
     assert spark.sql("SELECT count(*) AS n FROM stg_equity_prices").first().n == 12  # K5 view: AAPL 8 days + ZERO 4
     # equity: union of both loads' dates; crypto: only what raw still holds + history

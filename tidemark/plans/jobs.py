@@ -142,6 +142,7 @@ class DailyRun:
     full_refresh: bool = False
     allow_history_loss: bool = False
     macro_changed_since: object = None   # earliest macro date changed by this run's load
+    lookback_days: int = 0               # G2: re-merge this many days below the mark (late rows)
 
     def path(self, layer, table):
         return layer_path(self.root, layer, table)
@@ -174,7 +175,7 @@ class DailyRun:
                 raise ValueError("full refresh of fct_daily_prices drops history not held in raw "
                                  "tables; pass allow_history_loss=True or load crypto in append mode")
             fct_prev = fct_prev.limit(0)
-        mark = high_water_mark(fct_prev, "price_date")
+        mark = _back(high_water_mark(fct_prev, "price_date"), self.lookback_days)
         new_rows = M.fct_daily_prices(prices, dim, since=mark)
         if self.full_refresh:
             write_table(new_rows, fct_path, ["price_date"], replace_all=True)
@@ -187,7 +188,8 @@ class DailyRun:
         vol_path = self.path(CORE, "fct_asset_volatility")
         vol_schema = _vol_schema(spark, fct)
         vol_prev = _read_partitioned(spark, vol_path, vol_schema)
-        vol_mark = None if self.full_refresh else high_water_mark(vol_prev, "price_date")
+        vol_mark = None if self.full_refresh else _back(high_water_mark(vol_prev, "price_date"),
+                                                        self.lookback_days)
         src = fct.where(F.col("price_change_pct").isNotNull())
         vol_rows = incremental_window_rows(src, vol_mark, "price_date", ["asset_id"], 89,
                                            M.asset_volatility_skew_safe).select(*vol_schema.fieldNames())
@@ -203,7 +205,8 @@ class DailyRun:
         corr_path = self.path(FINANCE, "fct_macro_correlation")
         corr_schema = M.fct_macro_correlation(fct.limit(0), macro.limit(0)).schema
         corr_prev = _read_partitioned(spark, corr_path, corr_schema)
-        corr_mark = None if self.full_refresh else high_water_mark(corr_prev, "price_date")
+        corr_mark = None if self.full_refresh else _back(high_water_mark(corr_prev, "price_date"),
+                                                         self.lookback_days)
         since = None
         if corr_mark is not None and self.macro_changed_since is not None:
             since = min(corr_mark, self.macro_changed_since)
@@ -273,6 +276,13 @@ class DailyRun:
         return report
 
 
+def _back(mark, days: int):
+    if mark is None or not days:
+        return mark
+    from datetime import timedelta
+    return mark - timedelta(days=days)
+
+
 def _read_partitioned(spark, path, schema):
     """A date-partitioned table, or an empty one before the first run."""
     if path_exists(spark, path):
@@ -290,14 +300,16 @@ def _vol_schema(spark, fct):
 
 def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str],
               seed: DataFrame, macro_names: dict[str, str], crypto_mode: str = "replace",
-              full_refresh: bool = False, allow_history_loss: bool = False) -> tuple[dict, DataFrame]:
+              full_refresh: bool = False, allow_history_loss: bool = False,
+              lookback_days: int = 0) -> tuple[dict, DataFrame]:
     """Loads (crypto, equity, macro, as in the reference's order), marts, tests."""
     crypto = load_crypto(spark, landing["crypto"], root, as_of, mode=crypto_mode)
     equity = load_equity(spark, landing["equity"], root, as_of)
     macro = load_macro(spark, landing["macro"], root, as_of, macro_names)
     run = DailyRun(spark, root, as_of, seed, full_refresh=full_refresh,
                    allow_history_loss=allow_history_loss,
-                   macro_changed_since=LOAD_MIN_DATE.get("macro_observations"))
+                   macro_changed_since=LOAD_MIN_DATE.get("macro_observations"),
+                   lookback_days=lookback_days)
     tables = run.build_marts(equity, crypto, macro)
     report = run.test(tables, {"equity": equity, "crypto": crypto, "macro": macro})
     return tables, report
