@@ -89,3 +89,17 @@ def test_crypto_append_mode_and_guarded_full_refresh(spark, tmp_root):
     with pytest.raises(ValueError, match="history"):
         jobs.daily_run(spark, root, "2024-01-12 00:00:00", l2, _seed(spark), SERIES_NAMES,
                        full_refresh=True)
+
+
+def test_command_line_daily_run(spark, tmp_root, capsys):
+    from tidemark.__main__ import main
+    land = write_landing(f"{tmp_root}/d", 0)
+    seed = f"{tmp_root}/seed.csv"
+    with open(seed, "w") as f:
+        f.write("ticker_symbol,company_name,sector\nAAPL,Apple,Technology\n")
+    code = main(["daily-run", "--root", f"{tmp_root}/wh", "--as-of", "2024-01-10 00:00:00",
+                 "--equity", land["equity"], "--crypto", land["crypto"], "--macro", land["macro"],
+                 "--seed", seed])
+    out = capsys.readouterr().out
+    assert "freshness equity_daily" in out and "fct_daily_prices.price_id unique" in out
+    assert code in (0, 1)

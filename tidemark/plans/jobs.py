@@ -312,6 +312,7 @@ def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str
                    lookback_days=lookback_days)
     tables = run.build_marts(equity, crypto, macro)
     report = run.test(tables, {"equity": equity, "crypto": crypto, "macro": macro})
+    tables["source_freshness"] = run.reports[1]
     return tables, report
 
 
