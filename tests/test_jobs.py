@@ -32,6 +32,8 @@ def test_daily_run_twice_equals_full_rebuild(spark, tmp_root):
     # open = 0 row: pct NULL, absent from volatility
     zero = fct.where("asset_id = 'ZERO' and price_date = '2024-01-02'").first()
     assert zero.price_change_pct is None
+    for t in ("fct_asset_volatility", "fct_macro_correlation"):  # open = 0: absent downstream
+        assert t2[t].where("asset_id = 'ZERO' and price_date = '2024-01-02'").count() == 0
     # tier history: bitcoin price moved -> closed + open rows
     snap = t2["snapshot"]
     assert snap.where("asset_id = 'bitcoin'").count() == 1  # cap unchanged
