@@ -66,6 +66,9 @@ INDICATOR_RANGES = {
 
 
 # ----------------------------------------------------------------- staging
+# The output column names of the staging, intermediate and
+# mart tables below are the data model users query, so they equal the
+# reference's names (FIXTURES.md §3); the maps pair them with raw columns.
 
 
 def stg_equity_prices(raw: DataFrame) -> DataFrame:
