@@ -9,9 +9,11 @@ from tidemark.operators.quality import (  # noqa: F401
     duplicate_keys,
     freshness,
     not_in_future,
+    orphan_count,
     orphans,
     out_of_range,
     positive,
+    require_not_null,
     violations,
 )
 from tidemark.operators.relational import (  # noqa: F401
@@ -30,10 +32,21 @@ from tidemark.operators.sinks import (  # noqa: F401
     incremental_candidates,
     incremental_merge,
     incremental_window_merge,
+    incremental_window_rows,
+    merge_partitions,
     read_current,
     read_or_empty,
+    replace_partitions_from,
     upsert,
     write_table,
     write_version,
 )
-from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_within, rolling_std  # noqa: F401
+from tidemark.operators.timeseries import (  # noqa: F401
+    forward_fill,
+    largest_group,
+    pivot_wide,
+    rank_by_value,
+    rank_within,
+    rolling_std,
+    row_index,
+)
