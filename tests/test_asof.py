@@ -92,3 +92,17 @@ def test_unkeyed_timestamps_auto_bucket_equals_brute_force(spark):
         expect.append((i, best, float(right.index(best)) if best else None, best is not None))
     key = lambda t: tuple((x is None, str(x)) for x in t)
     assert rows(out, "id", "rt", "x", "has") == sorted(expect, key=key)
+
+
+def test_keyed_auto_bucket_goes_finer_for_a_hot_key(spark):
+    from tidemark.operators import asof as A
+    rnd = random.Random(4)
+    left = [(0, D(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 60)), i) for i in range(400)]
+    right = [(0, D(2024, 1, 1) + dt.timedelta(days=d), float(d)) for d in range(0, 60, 7)]
+    L = spark.createDataFrame(left, "k int, t date, id int")
+    R = spark.createDataFrame(right, "k int, rt date, x double")
+    b = A._finer_if_hot(L, "t", ["k"], lambda c: F.date_trunc("month", c), rows_per_task=50)
+    one = L.select(b(F.col("t")).alias("b")).distinct().count()
+    assert one > 2  # day buckets, not two months
+    out = asof_join(L, R, "t", "rt", by=["k"], right_cols=["rt", "x"], rows_per_task=50)
+    assert rows(out, "id", "rt", "x") == _brute(left, right)

@@ -39,7 +39,8 @@ def _right_columns(right: DataFrame, right_on: str, by: Sequence[str],
 
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
               by: Sequence[str] | None = None, right_cols: Sequence[str] | None = None,
-              flag_col: str | None = None, bucket="auto", check_unique: bool = False) -> DataFrame:
+              flag_col: str | None = None, bucket="auto", check_unique: bool = False,
+              rows_per_task: int = 5_000_000) -> DataFrame:
     """Backward inclusive as-of left join.
 
     ``right_cols`` are the right columns to attach (default: all but ``by``;
@@ -56,6 +57,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     keys = list(by or [])
     if bucket == "auto":
         bucket = _auto_bucket(left.schema[left_on].dataType, bool(keys))
+        if keys:
+            bucket = _finer_if_hot(left, left_on, keys, bucket, rows_per_task)
     cols = _right_columns(right, right_on, keys, right_cols)
     clash = [c for c in cols if c in left.columns]
     if clash:
@@ -78,6 +81,15 @@ def _auto_bucket(dtype: T.DataType, keyed: bool):
     return lambda t: F.date_trunc("day", t)
 
 
+def _finer_if_hot(left, left_on, keys, bucket, rows_per_task):
+    from tidemark.operators.timeseries import largest_group
+    probe = left.select(*keys, bucket(F.col(left_on)).alias("__asof_b"))
+    if largest_group(probe, [*keys, "__asof_b"]) <= rows_per_task:
+        return bucket
+    finer = "day" if isinstance(left.schema[left_on].dataType, T.DateType) else "hour"
+    return lambda t: F.date_trunc(finer, t)
+
+
 def _asof_calendar(left, right, left_on, right_on, cols, flag_col):
     """DATE times: a calendar spine built from the right side alone.
 
