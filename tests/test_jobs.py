@@ -105,3 +105,7 @@ def test_command_line_daily_run(spark, tmp_root, capsys):
     out = capsys.readouterr().out
     assert "freshness equity_daily" in out and "fct_daily_prices.price_id unique" in out
     assert code in (0, 1)
+    code = main(["test", "--root", f"{tmp_root}/wh", "--as-of", "2024-01-10 00:00:00"])
+    out = capsys.readouterr().out
+    assert "dim_assets.asset_id unique" in out and code in (0, 1)
+    assert main(["seed", "--root", f"{tmp_root}/wh2", "--csv", seed]) == 0

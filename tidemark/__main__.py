@@ -28,25 +28,46 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--full-refresh", action="store_true")
     d.add_argument("--allow-history-loss", action="store_true")
     d.add_argument("--master", default=None)
+    t = sub.add_parser("test", help="data tests and source freshness on existing tables")
+    t.add_argument("--root", required=True)
+    t.add_argument("--as-of", required=True)
+    t.add_argument("--master", default=None)
+    sd = sub.add_parser("seed", help="load a CSV seed into the seeds layer")
+    sd.add_argument("--root", required=True)
+    sd.add_argument("--csv", required=True)
+    sd.add_argument("--table", default="seed_equity_reference")
+    sd.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
     from tidemark.plans import jobs
     from tidemark.session import build_session
 
     spark = build_session(a.master)
+    if a.cmd == "seed":
+        n = jobs.load_seed(spark, a.csv, a.root, a.table).count()
+        print(f"seeded {a.table}: {n} rows")
+        return 0
+    if a.cmd == "test":
+        report, fresh = jobs.test_tables(spark, a.root, a.as_of)
+        return _print_report(report.collect(), fresh.collect())
     seed = jobs.load_seed(spark, a.seed, a.root)
     tables, report = jobs.daily_run(
         spark, a.root, a.as_of, {"equity": a.equity, "crypto": a.crypto, "macro": a.macro},
         seed, json.loads(a.series_names), crypto_mode=a.crypto_mode,
         full_refresh=a.full_refresh, allow_history_loss=a.allow_history_loss,
         lookback_days=a.lookback_days)
-    rows = report.collect()  # one row per check: small
+    code = _print_report(report.collect(), tables["source_freshness"].collect())
+    print("loaded:", json.dumps(jobs.LOAD_COUNTS))
+    return code
+
+
+def _print_report(rows, fresh) -> int:
+    """One line per check (the report has one row per check: small)."""
     for r in rows:
         print(f"{r.status:5s} {r.table}.{r.column} {r.check}: {r.violations}")
-    for r in tables["source_freshness"].collect():
+    for r in fresh:
         print(f"{r.status:5s} freshness {r.source}: {r.age_hours} h")
-    print("loaded:", json.dumps(jobs.LOAD_COUNTS))
-    return 1 if any(r.status == "fail" for r in rows) else 0
+    return 1 if any(r.status == "fail" for r in rows) or any(r.status == "error" for r in fresh) else 0
 
 
 if __name__ == "__main__":

@@ -276,6 +276,26 @@ class DailyRun:
         return report
 
 
+def test_tables(spark: SparkSession, root: str, as_of: str) -> tuple[DataFrame, DataFrame]:
+    """Q1–Q8 on the tables already under ``root`` (no load, no build):
+    returns (test report, source freshness)."""
+    run = DailyRun(spark, root, as_of, seed=None)
+    raw = {"equity": read_current(spark, layer_path(root, RAW, "equity_daily_prices"), RAW_EQUITY),
+           "crypto": read_current(spark, layer_path(root, RAW, "crypto_markets"), RAW_CRYPTO),
+           "macro": read_current(spark, layer_path(root, RAW, "macro_observations"), RAW_MACRO)}
+    tables = {
+        "stg_equity": M.stg_equity_prices(raw["equity"]),
+        "stg_crypto": M.stg_crypto_prices(raw["crypto"]),
+        "stg_macro": M.stg_macro_indicators(raw["macro"]),
+        "dim_assets": read_current(spark, run.path(CORE, "dim_assets")),
+        "fct_daily_prices": spark.read.parquet(run.path(CORE, "fct_daily_prices")),
+        "fct_asset_volatility": spark.read.parquet(run.path(CORE, "fct_asset_volatility")),
+        "fct_macro_correlation": spark.read.parquet(run.path(FINANCE, "fct_macro_correlation")),
+    }
+    report = run.test(tables, raw)
+    return report, run.reports[1]
+
+
 def _back(mark, days: int):
     if mark is None or not days:
         return mark
@@ -316,5 +336,5 @@ def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str
     return tables, report
 
 
-__all__ = ["load_equity", "load_crypto", "load_macro", "load_seed", "DailyRun", "daily_run",
+__all__ = ["load_equity", "load_crypto", "load_macro", "load_seed", "DailyRun", "daily_run", "test_tables",
            "LOAD_COUNTS", "LOAD_MIN_DATE"]
