@@ -68,3 +68,12 @@ def test_records_payload_json_lines(spark, tmp_root):
             f.write(json.dumps(coin(f"coin{i}", 1e9 * i, i + 1, "2024-01-05T10:00:00.000Z")) + "\n")
     df = read_records_payload(spark, f"{tmp_root}/jl", multi_line=False)
     assert df.count() == 5 and df.where("roi = 'null'").count() == 5
+
+
+def test_timeseries_key_from_payload(spark, tmp_root):
+    from tests.fixtures import equity_payload
+    p = equity_payload({"2024-01-02": (1, 2, 0.5, 1.5, 10)})
+    p["Meta Data"] = {"2. Symbol": "IBM"}
+    write_json(f"{tmp_root}/k", "download-001.json", p)
+    df = read_timeseries_payload(spark, f"{tmp_root}/k", key_field=("Meta Data", "2. Symbol"))
+    assert [r.symbol for r in df.collect()] == ["IBM"]

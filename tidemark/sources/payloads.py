@@ -42,17 +42,24 @@ def _file_stem() -> Column:
 
 def read_timeseries_payload(spark: SparkSession, path: str, root: str = DAILY_SERIES_ROOT,
                             fields: Mapping[str, str] = DAILY_FIELDS, key_col: str = "symbol",
-                            date_col: str = "trade_date", integral: Sequence[str] = ("volume",)
-                            ) -> DataFrame:
+                            date_col: str = "trade_date", integral: Sequence[str] = ("volume",),
+                            key_field: tuple[str, str] | None = None) -> DataFrame:
     """``{root: {date: {field: "text"}}}`` per file.
 
     Each date entry becomes a row; values parse strictly (bad text fails the
     job) and a payload without ``root`` fails the job, as the reference raises.
+    The key is the file name stem, or with ``key_field=(object, field)`` the
+    text at that place in the payload (the file stem when it is absent).
     """
     inner = T.MapType(T.StringType(), T.StringType())
-    schema = T.StructType([T.StructField(root, T.MapType(T.StringType(), inner))])
-    raw = (spark.read.schema(schema).option("multiLine", True).json(path)
-           .select(F.col(f"`{root}`").alias("series"), _file_stem().alias(key_col)))
+    fields_ = [T.StructField(root, T.MapType(T.StringType(), inner))]
+    if key_field:
+        fields_.append(T.StructField(key_field[0], T.MapType(T.StringType(), T.StringType())))
+    key = _file_stem()
+    if key_field:
+        key = F.coalesce(F.col(f"`{key_field[0]}`").getItem(key_field[1]), key)
+    raw = (spark.read.schema(T.StructType(fields_)).option("multiLine", True).json(path)
+           .select(F.col(f"`{root}`").alias("series"), key.alias(key_col)))
     checked = raw.withColumn(
         "series", F.when(F.col("series").isNull(),
                          F.raise_error(F.concat(F.lit(f"no '{root}' in payload for "),
