@@ -24,7 +24,7 @@ from tidemark.operators.relational import (  # noqa: F401
     topk,
     topk_per_key,
 )
-from tidemark.operators.scd2 import empty_history, scd2_merge  # noqa: F401
+from tidemark.operators.scd2 import empty_history, read_history, scd2_merge, scd2_snapshot  # noqa: F401
 from tidemark.operators.sinks import (  # noqa: F401
     add_missing_columns,
     dedupe_by_key,

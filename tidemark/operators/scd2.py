@@ -83,3 +83,42 @@ def scd2_merge(history: DataFrame, source: DataFrame, key: str,
     touched = (j.select(F.explode(rows).alias("r")).where(F.col("r").isNotNull())
                 .select("r.*"))
     return closed.unionByName(touched)
+
+
+def scd2_snapshot(source: DataFrame, base: str, key: str, check_cols: Sequence[str], as_of) -> DataFrame:
+    """K7 on storage: apply one snapshot and return the full history.
+
+    History is kept as two tables under ``base``: ``current`` (open rows,
+    one version directory per run) and ``closed`` (rows that will never
+    change again, partitioned by the time they were closed). A run reads
+    and rewrites only the current rows and adds one ``closed`` partition;
+    rerunning the same snapshot overwrites that partition, so a retry after
+    a failure between the two writes leaves no duplicates.
+    """
+    from tidemark.operators.sinks import read_current, write_version
+    from tidemark.session import checkpoint_root
+
+    spark = source.sparkSession
+    checkpoint_root(spark)
+    schema = history_schema(source.schema)
+    cur_path, closed_path = f"{base.rstrip('/')}/current", f"{base.rstrip('/')}/closed"
+    current = read_current(spark, cur_path, schema)
+    merged = scd2_merge(current, source, key, check_cols, as_of).checkpoint(eager=True)
+    (merged.where(F.col("valid_to").isNotNull())
+     .withColumn("closed_at", F.col("valid_to"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("closed_at").parquet(closed_path))
+    write_version(merged.where(F.col("valid_to").isNull()), cur_path)
+    return read_history(spark, base, schema)
+
+
+def read_history(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """Closed and current rows of a history kept by ``scd2_snapshot``."""
+    from tidemark.operators.sinks import path_exists, read_current
+
+    current = read_current(spark, f"{base.rstrip('/')}/current", schema)
+    closed_path = f"{base.rstrip('/')}/closed"
+    if not path_exists(spark, closed_path):
+        return current
+    closed = spark.read.schema(schema).parquet(closed_path).select(*schema.fieldNames())
+    return closed.unionByName(current)

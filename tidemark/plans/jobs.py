@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.operators.relational import topk, topk_per_key
-from tidemark.operators.scd2 import history_schema
+from tidemark.operators.scd2 import scd2_snapshot
 from tidemark.operators.sinks import (
     high_water_mark,
     incremental_window_rows,
@@ -218,11 +218,11 @@ class DailyRun:
             replace_partitions_from(rows.select(*corr_schema.fieldNames()), corr_path,
                                     "price_date", since)
 
-        # K7: tier history.
+        # K7: tier history; only the open rows are rewritten, closed versions
+        # are appended once (scd2_snapshot).
         snap_path = self.path(SNAPSHOTS, "snapshot_crypto_market_cap_tier")
-        src_snap = M.crypto_tier_snapshot_source(dim)
-        hist = read_current(spark, snap_path, history_schema(src_snap.schema))
-        write_version(M.snapshot_crypto_tiers(hist, dim, self.as_of), snap_path)
+        snapshot = scd2_snapshot(M.crypto_tier_snapshot_source(dim), snap_path, "asset_id",
+                                 M.SNAPSHOT_CHECK_COLS, self.as_of)
 
         return {
             "stg_equity": stg_e, "stg_crypto": stg_c, "stg_macro": stg_m,
@@ -230,7 +230,7 @@ class DailyRun:
             "fct_daily_prices": fct,
             "fct_asset_volatility": _read_partitioned(spark, vol_path, vol_schema),
             "fct_macro_correlation": _read_partitioned(spark, corr_path, corr_schema),
-            "snapshot": read_current(spark, snap_path),
+            "snapshot": snapshot,
         }
 
     def test(self, t: dict, raw: dict) -> DataFrame:
