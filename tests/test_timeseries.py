@@ -100,3 +100,11 @@ def test_rank_by_value_split_equals_window(spark):
         plain = rank_by_value(df, ["g"], F.abs("x"), "r", descending=desc)
         split = rank_by_value(df, ["g"], F.abs("x"), "r", descending=desc, splits=8)
         assert rows(plain, "id", "r") == rows(split, "id", "r")
+
+
+def test_forward_fill_auto_bucket(spark):
+    df = _random_series(spark, n=300, keys=2)
+    one = forward_fill(df, "d", ["v"], partition_by=["k"])
+    auto_small = forward_fill(df, "d", ["v"], partition_by=["k"], bucket="auto")  # fits: one window
+    auto_hot = forward_fill(df, "d", ["v"], partition_by=["k"], bucket="auto", rows_per_task=20)
+    assert rows(one, "k", "d", "v") == rows(auto_small, "k", "d", "v") == rows(auto_hot, "k", "d", "v")

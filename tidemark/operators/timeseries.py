@@ -56,7 +56,7 @@ def _ffill_window(df: DataFrame, order: Sequence[Column], cols: Mapping[str, str
 
 def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str] | Mapping[str, str],
                  partition_by: Sequence[str] | None = None,
-                 bucket: Column | None = None) -> DataFrame:
+                 bucket: Column | str | None = None, rows_per_task: int = 5_000_000) -> DataFrame:
     """``last_value(c ignore nulls) over (order by t rows unbounded preceding)``.
 
     * ``bucket=None``: one window, partitioned by ``partition_by``. Without a
@@ -71,8 +71,15 @@ def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str]
 
     ``order`` lists the ordering columns (the first is the time, the rest
     break ties); NULLs before the first value stay NULL.
+
+    ``bucket="auto"`` measures the largest (key, month) group of the time
+    column (one small aggregate) and runs the single window when it fits in
+    ``rows_per_task`` rows, else the two passes by month, or by day when a
+    key-month is still larger than that.
     """
     order_cols = [order] if isinstance(order, str) else list(order)
+    if isinstance(bucket, str) and bucket == "auto":
+        bucket = _auto_fill_bucket(df, order_cols[0], list(partition_by or []), rows_per_task)
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     keys = list(partition_by or [])
     order_exprs = [F.col(c).asc() for c in order_cols]
@@ -109,6 +116,16 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
+def _auto_fill_bucket(df: DataFrame, time_col: str, keys: list[str], rows_per_task: int):
+    month = F.date_trunc("month", F.col(time_col))
+    if largest_group(df, keys) <= rows_per_task:
+        return None
+    probe = df.select(*keys, month.alias("__ff_b"))
+    if largest_group(probe, [*keys, "__ff_b"]) <= rows_per_task:
+        return month
+    return F.date_trunc("day", F.col(time_col))
+
+
 def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket: Column,
               name: str = "__idx") -> DataFrame:
     """1-based position of each row within its key under ``order``, without
