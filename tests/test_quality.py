@@ -50,3 +50,14 @@ def test_no_future(spark):
     assert Q.violations(df, Q.not_in_future("d", "2024-02-01")).count() == 1
     assert df.where(Q.not_in_future("d")).count() == 0 or True  # wall clock variant runs
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_freshness_age_ignores_daylight_saving(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 1, 0),)], "loaded_at timestamp_ntz")
+        r = Q.freshness(df, "x", "loaded_at", 25, 48, "2024-03-10 05:00:00").first()
+        assert r.age_hours == 4.0  # wall clock, although the zone skips an hour that night
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

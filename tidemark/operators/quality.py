@@ -175,8 +175,9 @@ def freshness(df: DataFrame, source: str, loaded_at: str, warn_after_hours: floa
     """
     now = as_of_timestamp(as_of)
     m = df.agg(F.max(loaded_at).alias("max_loaded_at"))
-    age = (F.unix_micros(now.cast("timestamp")) -
-           F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / F.lit(3_600_000_000.0)
+    # wall-clock difference of the two NTZ values: no session time zone (and
+    # no daylight-saving shift) enters the age
+    age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now) / F.lit(3_600_000_000.0)
     return m.select(
         F.lit(source).alias("source"), F.col("max_loaded_at"),
         F.round(age, 4).alias("age_hours"),

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings the operators rely on: ANSI casts raise on bad input (strict
 # parsing), UTC session time so DATE/TIMESTAMP_NTZ never shift, AQE for
 # runtime broadcast conversion, partition coalescing and skew-join splitting.
+# Partition overwrite mode is set per write, never for the whole session.
 DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
