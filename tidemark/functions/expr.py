@@ -120,7 +120,7 @@ def lenient_double(c: str | Column) -> Column:
 def strict_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     """String to date; bad input fails the job."""
     s = col_of(c)
-    parsed = F.try_to_timestamp(s, F.lit(fmt)).cast("date")
+    parsed = F.call_function("try_to_date", s, F.lit(fmt))  # straight to DATE: no time zone
     return F.when(s.isNotNull() & parsed.isNull(),
                   F.raise_error(F.concat(F.lit("invalid date: "), s))).otherwise(parsed)
 
