@@ -22,6 +22,7 @@ def test_daily_run_twice_equals_full_rebuild(spark, tmp_root):
                               _seed(spark), SERIES_NAMES, lookback_days=2)
     fct = t2["fct_daily_prices"]
     assert spark.sql("SELECT count(*) AS n FROM stg_equity_prices").first().n == 12  # K5 view: AAPL 8 days + ZERO 4
+    assert spark.sql("SELECT count(*) AS n FROM fct_daily_prices").first().n == fct.count()
     # equity: union of both loads' dates; crypto: only what raw still holds + history
     assert fct.where("asset_class = 'equity' and asset_id = 'AAPL'").count() == 8
     assert fct.select("price_id").distinct().count() == fct.count()

@@ -224,7 +224,7 @@ class DailyRun:
         snapshot = scd2_snapshot(M.crypto_tier_snapshot_source(dim), snap_path, "asset_id",
                                  M.SNAPSHOT_CHECK_COLS, self.as_of)
 
-        return {
+        out = {
             "stg_equity": stg_e, "stg_crypto": stg_c, "stg_macro": stg_m,
             "dim_assets": read_current(spark, dim_path),
             "fct_daily_prices": fct,
@@ -232,6 +232,11 @@ class DailyRun:
             "fct_macro_correlation": _read_partitioned(spark, corr_path, corr_schema),
             "snapshot": snapshot,
         }
+        # the stored tables, queryable by name with spark.sql
+        for name in ("dim_assets", "fct_daily_prices", "fct_asset_volatility", "fct_macro_correlation"):
+            register_view(out[name], name)
+        register_view(snapshot, "snapshot_crypto_market_cap_tier")
+        return out
 
     def test(self, t: dict, raw: dict) -> DataFrame:
         """Q1–Q8 of the reference's YAML and SQL tests as one report frame."""
