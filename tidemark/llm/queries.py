@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, line_dedup, mixing, near_dup, quality
 from tidemark.llm.common import read
 
 
@@ -20,6 +20,31 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boilerplate lines cut from every document; the source is its host."""
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"), F.col("source"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and the divergence verdict of every document."""
+    return quality.quality_rules(read(spark, sf_dir, "documents"))
+
+
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents over 4-word shingles."""
+    return near_dup.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken from every document by the curriculum, in training order of
+    the first copy; documents that are not taken come last."""
+    out = mixing.assign_positions(read(spark, sf_dir, "documents"))
+    first = F.when(F.col("copies") > 0, F.element_at("positions", 1))
+    return (out.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position"))
+            .orderBy(F.col("first_position").asc_nulls_last(), "doc_id"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     vocab = vocabulary("word_bpe_49k.json")
@@ -32,7 +57,70 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op4_quality": op4_quality,
+    "op7_near_dup": op7_near_dup,
+    "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+BLANKS = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": f"""
+WITH lines AS (
+  SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+         unnest(generate_series(1, len(string_split(text, chr(10))))) AS place
+  FROM documents WHERE text IS NOT NULL),
+marked AS (SELECT doc_id, source, place, line, trim(line, {BLANKS}) AS mark FROM lines),
+often AS (
+  SELECT n.source, n.mark
+  FROM (SELECT source, mark, count(DISTINCT doc_id) AS n FROM marked WHERE mark <> '' GROUP BY source, mark) n
+  JOIN (SELECT source, count(*) AS pages FROM documents GROUP BY source) p ON n.source IS NOT DISTINCT FROM p.source
+  WHERE n.n >= {line_dedup.MIN_PAGES} AND n.n > {line_dedup.RATIO}::DOUBLE * p.pages),
+kept AS (
+  SELECT m.doc_id, count(*) AS n_lines, count(o.mark) AS n_dropped,
+         coalesce(string_agg(m.line, chr(10) ORDER BY m.place) FILTER (WHERE o.mark IS NULL), '') AS text
+  FROM marked m LEFT JOIN often o ON m.source IS NOT DISTINCT FROM o.source AND m.mark = o.mark
+  GROUP BY m.doc_id)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped,
+       sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
+    "op9_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS mark,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), x -> x <> '')) AS BIGINT) AS size
+  FROM documents),
+sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS turn
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT source, source_size, [6.0::DOUBLE, 2.0, 0.5][turn + 1] AS ramp_start, [4.0::DOUBLE, 2.0, 1.5][turn + 1] AS ramp_end,
+         [5.0::DOUBLE, 2.0, 1.0][turn + 1] AS weight, 2.0::DOUBLE * source_size AS cap,
+         1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE) AS budget
+  FROM sums),
+levels AS (
+  SELECT *, row_number() OVER o AS place,
+         (budget - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed WINDOW o AS (ORDER BY cap / weight, source NULLS LAST)),
+found AS (SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= cap),
+targets AS (
+  SELECT l.source, l.source_size, l.ramp_start, l.ramp_end,
+         coalesce(least(l.cap, f.level * l.weight), l.cap) AS target
+  FROM levels l CROSS JOIN found f),
+placed AS (
+  SELECT s.*, t.source_size, t.target, t.ramp_start, t.ramp_end,
+         CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.mark, s.doc_id, s.size
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS DOUBLE) + s.size / 2.0::DOUBLE AS middle
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+shares AS (
+  SELECT *, CASE WHEN size > 0 AND middle < target
+                 THEN middle / target * ((ramp_start + ramp_end) / 2) END AS share
+  FROM placed)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN share IS NULL THEN 0 WHEN middle + source_size < target THEN 2 * size ELSE size END AS taken,
+       share * 2 / (ramp_start + sqrt(ramp_start * ramp_start + (ramp_end - ramp_start) / 2 * 4 * share)) AS first_position
+FROM shares""",
+}
