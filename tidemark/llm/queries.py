@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, line_dedup, mixing, near_dup, quality
+from tidemark.llm import bpe, language_id, line_dedup, mixing, near_dup, quality, secret_scan, topk
 from tidemark.llm.common import read
 
 
@@ -20,6 +20,15 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the three quarters that are not
+    held out."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+    model = language_id.fit(language_id.training_sample(docs.where(~held_out), "text", "lang", "doc_id"))
+    return language_id.identify(docs, model, "text", F.col("doc_id"), held_out.alias("held_out"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines cut from every document; the source is its host."""
     out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"), F.col("source"))
@@ -31,11 +40,33 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, scanned into a new ledger."""
+    docs = read(spark, sf_dir, "documents")
+    out = secret_scan.scan(docs, secret_scan.new_ledger_path(spark), path_col="doc_id")
+
+    def joined(findings):
+        return F.array_join(F.transform(findings, lambda f: F.concat_ws(
+            ":", f["kind"], f["start"].cast("string"), f["stop"].cast("string"))), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("findings", lambda f: f["kind"].isin("assign", "access", "hex"))
+    return out.select(F.col("path").alias("doc_id"), count("assign"), count("access"), count("hex"),
+                      F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over 4-word shingles."""
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every vector whose id is divisible by 20."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document by the curriculum, in training order of
     the first copy; documents that are not taken come last."""
@@ -57,9 +88,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op4_quality": op4_quality,
+    "op5_secrets": op5_secrets,
     "op7_near_dup": op7_near_dup,
+    "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
 }
@@ -86,10 +120,24 @@ kept AS (
 SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped,
        sha256(coalesce(k.text, '')) AS text_sha256
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
+    "op8_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20""",
     "op9_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS mark,
-         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '')) AS BIGINT) AS size
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '')) AS BIGINT) AS size
   FROM documents),
 sums AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
