@@ -6,37 +6,43 @@ joined back by position; decoding joins ids to the pieces of the vocabulary.
 Three passes over compact columns, none of which moves a text:
 
 1. *Split.* Each task cuts its texts into pre-tokens and closes a block every
-   few million of them. A block is stored as its distinct pre-tokens plus, for
-   every text, the positions into that list (``stored``: the block numbers are
-   fixed from here on, whatever task is run again).
+   few million of them: its distinct pre-tokens plus, for every text, the
+   positions into that list. Blocks are dealt out by number.
 2. *Encode.* The lists are dealt out by a hash of the word, so all blocks'
    copies of a word meet in one task, which encodes it once.
-3. *Join back.* The ids return to their block and are put in place of the
-   positions.
+3. *Join back.* The ids return to their block (which is read from the first
+   exchange again) and are put in place of the positions.
 
 Memory in a task is bounded by one block or by the distinct words of one
 partition. A word in every block gives one entry a block, not one a use.
 
+A block's number is a hash of its list. If a task that is run again on a lost
+executor's behalf got its texts in another order, its block would find no ids
+and the job would fail rather than mix up positions; files are always read in
+the same order, so only texts that come out of another shuffle need storing
+before.
+
 Defined cases: a null text counts as empty and has no ids; rows repeat as often
-as they come; a null id column value is kept; other columns are not read.
+as they come; a null id column value is kept; other columns are not read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from zlib import crc32
+import zlib
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.llm.common import spark_partitions, stored
+from tidemark.llm.common import spark_partitions
 
-BLOCK_TOKENS = 4_000_000   # pre-tokens after which a task closes a block
-SEGMENT_CHARS = 1_000_000  # characters that are split at once
+BLOCK_TOKENS = 3_000_000  # pre-tokens after which a task closes a block
+SEGMENT_CHARS = 250_000   # characters that are split at once
 
 
 def _byte_chars() -> list[str]:
@@ -135,7 +141,7 @@ class Splitter:
         ends = np.cumsum([len(p) + 1 for p in pieces])
         return words, np.diff(np.searchsorted(at, ends), prepend=0)
 
-    def chunks(self, texts: list[str | None]) -> Iterator[tuple[pa.Array, list[tuple[int, int]]]]:
+    def chunks(self, texts: Iterable[str | None]) -> Iterator[tuple[pa.Array, list[tuple[int, int]]]]:
         """Pre-tokens of texts, with (text's number, pre-tokens) for each piece."""
         pieces: list[str] = []
         owners: list[int] = []
@@ -180,20 +186,20 @@ class Splitter:
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers under 2**24 as three byte planes, compressed."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
+    """Numbers under 2**32 as byte planes, compressed."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
     return pa.Codec("zstd", 1).compress(np.ascontiguousarray(planes).tobytes(), asbytes=True)
 
 
 def _unpack(blob: bytes, size: int) -> np.ndarray:
     if not size:
         return np.zeros(0, np.int64)
-    raw = pa.Codec("zstd").decompress(blob, 3 * size, asbytes=True)
-    a, b, c = np.frombuffer(raw, np.uint8).reshape(3, size).astype(np.int64)
-    return a + (b << 8) + (c << 16)
+    raw = pa.Codec("zstd").decompress(blob, 4 * size, asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(4, size)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-_SPLIT = "block long, bucket int, row_ids array<long>, sizes array<int>, packed binary, words array<string>"
+_SPLIT = "block long, bucket int, row_ids array<long>, sizes array<int>, packed binary, words binary"
 
 
 def _split_task(vocab_json: str, buckets: int):
@@ -201,17 +207,19 @@ def _split_task(vocab_json: str, buckets: int):
         from pyspark import TaskContext
 
         splitter = Splitter(vocab_json)
-        block = TaskContext.get().partitionId() << 32
+        task = str(TaskContext.get().partitionId()).encode()
         chunks: list[pa.Array] = []
         docs: list[tuple[list, list[int]]] = []
         held = 0
         schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("row_ids", pa.list_(pa.int64())),
-                            ("sizes", pa.list_(pa.int32())), ("packed", pa.binary()), ("words", pa.list_(pa.string()))])
+                            ("sizes", pa.list_(pa.int32())), ("packed", pa.binary()), ("words", pa.binary())])
 
         def close() -> Iterator[pa.RecordBatch]:
+            # numbered by what it holds: the same texts give the same block again
             coded = pa.chunked_array(chunks, pa.string()).dictionary_encode()
             parts = coded.unify_dictionaries().chunks
             words = parts[0].dictionary.to_pylist() if parts else []
+            block = int.from_bytes(blake2b("\n".join(words).encode(), digest_size=8, key=task).digest(), "little", signed=True)
             at = np.concatenate([np.zeros(0, np.int64), *(p.indices.to_numpy(zero_copy_only=False) for p in parts)])
             done = 0
             for ids, sizes in docs:
@@ -221,80 +229,83 @@ def _split_task(vocab_json: str, buckets: int):
                 done += n
             by: dict[int, list[int]] = {}
             for i, w in enumerate(words):
-                by.setdefault(crc32(w.encode()) % buckets, []).append(i)
-            order = list(by.values())
+                by.setdefault(zlib.crc32(w.encode()) % buckets, []).append(i)
             yield pa.RecordBatch.from_pydict({
                 "block": [block] * len(by), "bucket": list(by), "row_ids": [None] * len(by),
-                "sizes": [None] * len(by), "packed": [np.array(x, "<u4").tobytes() for x in order],
-                "words": [[words[i] for i in x] for x in order]}, schema)
+                "sizes": [[len(x)] for x in by.values()],
+                "packed": [_pack(np.diff(x, prepend=0)) for x in by.values()],
+                "words": [zlib.compress("\n".join([words[i] for i in x]).encode(), 1) for x in by.values()]}, schema)
 
         for batch in batches:
-            row_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            row_ids = batch.column(0).to_pylist()
             counts: dict[int, int] = {}
-            for words, owned in splitter.chunks(texts):
+            for words, owned in splitter.chunks(t.as_py() for t in batch.column(1)):
                 chunks.append(words)
                 held += len(words)
                 for n, size in owned:
                     counts[n] = counts.get(n, 0) + size
-            docs.append((row_ids, [counts[n] for n in range(len(texts))]))
+            docs.append((row_ids, [counts[n] for n in range(len(row_ids))]))
             if held >= BLOCK_TOKENS:
                 yield from close()
-                chunks, docs, held, block = [], [], 0, block + 1
+                chunks, docs, held = [], [], 0
         if docs:
             yield from close()
 
     return run
 
 
+def _only_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A function, so that both uses of the blocks read the same exchange."""
+    for batch in batches:
+        yield batch.filter(pc.greater_equal(batch.column("bucket"), 0))
+
+
 def _encode_task(vocab_json: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(vocab_json)
         known: dict[str, list[int]] = {}
         for batch in batches:
-            lens, ids = [], []
-            for words in batch.column("words").to_pylist():
+            sizes, lens, ids = [], [], []
+            for words in batch.column("words"):
                 found = []
-                for w in words:
+                for w in zlib.decompress(words.as_py()).decode().split("\n"):
                     got = known.get(w)
                     if got is None:
-                        got = known[w] = splitter.ids(w)
+                        got = known[w] = np.array(splitter.ids(w), np.int64)
                     found.append(got)
-                lens.append(np.array([len(f) for f in found], "<u4").tobytes())
-                ids.append(np.array([i for f in found for i in f], "<u4").tobytes())
+                lens.append(_pack(np.array([len(f) for f in found])))
+                flat = np.concatenate(found)
+                ids.append(_pack(flat))
+                sizes.append([len(found), len(flat)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("packed"), pa.array(lens, pa.binary()), pa.array(ids, pa.binary())],
-                names=["block", "packed", "lens", "ids"])
+                [batch.column("block"), pa.array(sizes, pa.list_(pa.int32())), batch.column("packed"),
+                 pa.array(lens, pa.binary()), pa.array(ids, pa.binary())],
+                names=["block", "sizes", "packed", "lens", "ids"])
 
     return run
 
 
-def _join_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = None
-    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    begin = size = flat = None
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["block"] != block:
-                block, parts, begin = row["block"], [], None
-            if row["row_ids"] is None:
-                parts.append(tuple(np.frombuffer(row[k], "<u4") for k in ("packed", "lens", "ids")))
-                continue
-            if begin is None:  # the block's whole word table has come
-                at, lens, flat = (np.concatenate(x) if parts else np.zeros(0, "<u4") for x in zip(*parts)) \
-                    if parts else (np.zeros(0, np.int64),) * 3
-                size, begin = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-                size[at] = lens
-                begin[at] = np.cumsum(lens) - lens
-                parts = []
-            at = _unpack(row["packed"], sum(row["sizes"]))
-            lens = size[at]
-            ends = np.cumsum(lens)
-            ids = flat[np.repeat(begin[at] - (ends - lens), lens) + np.arange(int(ends[-1]) if len(ends) else 0)]
-            offsets = np.append(0, np.append(0, ends)[np.cumsum(row["sizes"])])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(row["row_ids"], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.astype(np.int32)))],
-                names=["row_id", "ids"])
+def _join_block(rows: pa.Table, table: pa.Table) -> pa.Table:
+    """Put the ids of a block's word table in place of the positions."""
+    none = np.zeros(0, np.int64)
+    parts = [(np.cumsum(_unpack(r["packed"], r["sizes"][0])), _unpack(r["lens"], r["sizes"][0]),
+              _unpack(r["ids"], r["sizes"][1])) for r in table.to_pylist()]
+    at, lens, flat = (np.concatenate(x) for x in zip((none, none, none), *parts))
+    size, begin = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    size[at] = lens
+    begin[at] = np.cumsum(lens) - lens
+    row_ids, found = [], []
+    for row in rows.filter(pc.equal(rows["bucket"], -1)).to_pylist():
+        at = _unpack(row["packed"], sum(row["sizes"]))
+        if len(at) and not len(size):
+            raise RuntimeError("a task that ran again got its texts in another order; store them first")
+        lens = size[at]
+        ends = np.cumsum(lens)
+        ids = flat[np.repeat(begin[at] - (ends - lens), lens) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        offsets = np.append(0, np.append(0, ends)[np.cumsum(row["sizes"])])
+        found.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids.astype(np.int32))))
+        row_ids += row["row_ids"]
+    return pa.table({"row_id": pa.array(row_ids, pa.int64()), "ids": pa.chunked_array(found, pa.list_(pa.int32()))})
 
 
 def encode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -305,19 +316,13 @@ def encode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str
     """
     with open(vocab_path, encoding="utf-8") as f:
         vocab = f.read()
-    spark = df.sparkSession
-    buckets = max(512, spark_partitions(spark))
+    buckets = max(512, spark_partitions(df.sparkSession))
     texts = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).cast("string").alias("text"))
-    split = stored(texts.mapInArrow(_split_task(vocab, buckets), _SPLIT), "bpe-split")
-    words = (split.where("bucket >= 0").select("block", "bucket", "packed", "words").repartition("bucket")
-             .mapInArrow(_encode_task(vocab), "block long, packed binary, lens binary, ids binary"))
-    rows = split.where("bucket < 0").select(
-        "block", F.lit(1).alias("step"), "row_ids", "sizes", "packed",
-        F.lit(None).cast("binary").alias("lens"), F.lit(None).cast("binary").alias("ids"))
-    table = words.select("block", F.lit(0).alias("step"), F.lit(None).cast("array<long>").alias("row_ids"),
-                         F.lit(None).cast("array<int>").alias("sizes"), "packed", "lens", "ids")
-    return (table.unionByName(rows).repartition("block").sortWithinPartitions("block", "step")
-            .mapInArrow(_join_task, "row_id long, ids array<int>"))
+    dealt = texts.mapInArrow(_split_task(vocab, buckets), _SPLIT).repartition("block")
+    words = dealt.mapInArrow(_only_words, _SPLIT).select("block", "bucket", "packed", "words").repartition("bucket")
+    table = words.mapInArrow(_encode_task(vocab), "block long, sizes array<int>, packed binary, lens binary, ids binary")
+    return (dealt.groupBy("block").cogroup(table.groupBy("block"))
+            .applyInArrow(_join_block, "row_id long, ids array<int>"))
 
 
 def pieces(vocab_path: str) -> list[str]:
@@ -332,27 +337,9 @@ def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str =
     """``df`` plus the decoded text of ``ids_col``: its pieces joined by one space.
 
     The id-to-piece table has one row an id of the vocabulary (at most a few
-    hundred thousand, whatever the data), so it goes to every task and is
-    joined there by position. Null ids stay null; no ids give an empty text.
+    hundred thousand, whatever the data). It goes into the plan as one array
+    and ids are joined to it by position. Null ids stay null; no ids give an
+    empty text.
     """
-    table = pa.array([p + " " for p in pieces(vocab_path)], pa.large_string())
-    schema = T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(ids_col)
-            found = table.take(ids.flatten())
-            ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset:found.offset + len(found) + 1]
-            data = found.buffers()[2]
-            data = memoryview(data) if data is not None else memoryview(b"")
-            texts, at = [], 0
-            for n in pc.list_value_length(ids).to_pylist():
-                if not n:
-                    texts.append(None if n is None else "")
-                    continue
-                texts.append(str(data[ends[at]:ends[at + n] - 1], "utf-8"))
-                at += n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, out_col])
-
-    return df.mapInArrow(run, schema)
+    table = F.split(F.lit("\n".join(pieces(vocab_path))), "\n")
+    return df.withColumn(out_col, F.array_join(F.transform(ids_col, lambda i: F.get(table, i)), " "))
