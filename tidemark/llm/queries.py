@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_id, line_dedup, mixing, near_dup, quality, secret_scan, topk
+from tidemark.llm import (
+    bpe, chat_format, language_id, line_dedup, mixing, near_dup, quality, secret_scan, token_counts, topk,
+)
 from tidemark.llm.common import read
 
 
@@ -35,6 +37,27 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits made from
+    its own columns: some characters in the middle give way to the source, the
+    language is put in front, and the end is cut off."""
+    import public_tokenizers
+
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    n = F.length(F.coalesce("text", F.lit("")))
+    middle = F.floor(n / 2).cast("int")
+    edits = token_counts.edits_of(
+        (middle, middle + 20, F.concat(F.lit(" ["), F.coalesce("source", F.lit("")), F.lit("]'"))),
+        (0, 0, F.concat(F.upper(F.coalesce("lang", F.lit(""))), F.lit(": "))),
+        (n - 25, n + 100, F.lit("")))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", edits.alias("edits"))
+    trees = token_counts.build(docs, ranks, public_tokenizers.PATTERN).withColumn("n_tokens_before", F.col("n_tokens"))
+    out = token_counts.apply_edits(trees, ranks, public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens_before", F.col("n_tokens").alias("n_tokens_after"),
+                      F.floor(F.length("tree_lengths") / 4).alias("n_pretokens"), "n_encoded",
+                      F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and the divergence verdict of every document."""
     return quality.quality_rules(read(spark, sf_dir, "documents"))
@@ -57,6 +80,34 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A preference pair of every conversation: chosen up to its last assistant
+    turn; rejected breaks off half-way (by words) through that turn, or through
+    the first one where the conversation's id is odd."""
+    turns = chat_format.gather_turns(read(spark, sf_dir, "conversations"))
+    spoken = F.transform("turns", lambda t: t["role"] == chat_format.ASSISTANT)
+    first = F.array_position(spoken, F.lit(True)).cast("int")
+    last = F.when(first > 0, F.size("turns") - F.array_position(F.reverse(spoken), F.lit(True)).cast("int") + 1).otherwise(0)
+    cut = F.when(F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(2)) == 1, first).otherwise(last)
+    words = F.split(F.get("turns", F.col("cut") - 1)["text"], " ", -1)
+    half = F.array_join(F.slice(words, 1, F.floor((F.size(words) + 1) / 2).cast("int")), " ")
+    pairs = (turns.withColumn("last", last).withColumn("cut", cut)
+             .withColumn("chosen", F.when(F.col("last") > 0, F.slice("turns", 1, F.col("last"))).otherwise(F.col("turns")))
+             .withColumn("rejected", F.when(F.col("last") > 0, F.concat(
+                 F.slice("turns", 1, F.greatest(F.col("cut") - 1, F.lit(0))),
+                 F.array(F.struct(F.lit(chat_format.ASSISTANT).alias("role"), half.alias("text")))))
+                 .otherwise(F.col("turns"))))
+    out = chat_format.format_preferences(pairs.select("conv_id", "chosen", "rejected"))
+
+    def spans(column: str):
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(
+            ":", s["start"].cast("string"), s["stop"].cast("string"))), ",").alias(column)
+
+    return out.select("conv_id", "n_common", F.sha2("prompt", 256).alias("prompt_sha256"),
+                      F.sha2("chosen", 256).alias("chosen_sha256"), F.sha2("rejected", 256).alias("rejected_sha256"),
+                      spans("chosen_spans"), spans("rejected_spans"), "usable")
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over 4-word shingles."""
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, percent=80)
@@ -90,8 +141,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
+    "op6_chat_format": op6_chat_format,
     "op7_near_dup": op7_near_dup,
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
@@ -120,6 +173,54 @@ kept AS (
 SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped,
        sha256(coalesce(k.text, '')) AS text_sha256
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
+    "op6_chat_format": """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations),
+c AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(place) FILTER (WHERE role = 'assistant'), 0) AS last,
+         CASE WHEN coalesce(conv_id, 0) % 2 = 1 THEN coalesce(min(place) FILTER (WHERE role = 'assistant'), 0)
+              ELSE coalesce(max(place) FILTER (WHERE role = 'assistant'), 0) END AS cut
+  FROM t GROUP BY conv_id),
+halves AS (
+  SELECT t.conv_id, t.place, t.role,
+         array_to_string(list_slice(string_split(t.text, ' '), 1, (len(string_split(t.text, ' ')) + 1) // 2), ' ') AS text
+  FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id AND t.place = c.cut),
+sides AS (
+  SELECT 'c' AS side, t.conv_id, t.place, t.role, t.text FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+  WHERE c.last = 0 OR t.place <= c.last
+  UNION ALL
+  SELECT 'r', t.conv_id, t.place, t.role, t.text FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+  WHERE c.last = 0 OR t.place < c.cut
+  UNION ALL SELECT 'r', conv_id, place, role, text FROM halves),
+common AS (
+  SELECT x.conv_id, coalesce(min(x.place) FILTER (WHERE y.place IS NULL OR x.role <> y.role OR x.text <> y.text),
+                             max(x.place) + 1) - 1 AS n_common
+  FROM sides x LEFT JOIN sides y ON y.side = 'r' AND x.conv_id IS NOT DISTINCT FROM y.conv_id AND x.place = y.place
+  WHERE x.side = 'c' GROUP BY x.conv_id),
+shown AS (
+  SELECT s.*, k.n_common, '<|' || s.role || '|>' || chr(10) AS head, chr(10) || '<|end|>' || chr(10) AS tail
+  FROM sides s JOIN common k ON s.conv_id IS NOT DISTINCT FROM k.conv_id),
+placed AS (
+  SELECT *, coalesce(sum(length(head) + length(text) + length(tail)) OVER (
+           PARTITION BY side, conv_id, place > n_common ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun
+  FROM shown),
+rendered AS (
+  SELECT conv_id, n_common,
+         string_agg(head || text || tail, '' ORDER BY place) FILTER (WHERE side = 'c' AND place <= n_common) AS prompt,
+         string_agg(head || text || tail, '' ORDER BY place) FILTER (WHERE side = 'c' AND place > n_common) AS chosen,
+         string_agg(head || text || tail, '' ORDER BY place) FILTER (WHERE side = 'r' AND place > n_common) AS rejected,
+         string_agg((begun + length(head)) || ':' || (begun + length(head) + length(text) + length(tail)), ',' ORDER BY place)
+           FILTER (WHERE side = 'c' AND place > n_common AND role = 'assistant') AS chosen_spans,
+         string_agg((begun + length(head)) || ':' || (begun + length(head) + length(text) + length(tail)), ',' ORDER BY place)
+           FILTER (WHERE side = 'r' AND place > n_common AND role = 'assistant') AS rejected_spans
+  FROM placed GROUP BY conv_id, n_common)
+SELECT conv_id, CAST(n_common AS INTEGER) AS n_common, sha256(coalesce(prompt, '')) AS prompt_sha256,
+       sha256(coalesce(chosen, '')) AS chosen_sha256, sha256(coalesce(rejected, '')) AS rejected_sha256,
+       coalesce(chosen_spans, '') AS chosen_spans, coalesce(rejected_spans, '') AS rejected_spans,
+       chosen_spans IS NOT NULL AND rejected_spans IS NOT NULL AS usable
+FROM rendered""",
     "op8_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
