@@ -45,10 +45,27 @@ def boilerplate(df: DataFrame, host: Column, text_col: str = "text", ratio: floa
     return often.groupBy("host").agg(F.collect_list("mark").alias("marks"))
 
 
+def cut_lines(df: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO,
+              min_pages: int = MIN_PAGES) -> DataFrame:
+    """``df`` with boilerplate lines cut from ``text_col``, plus __n_lines and
+    __n_dropped; see ``dedup_lines``."""
+    marks = stored(boilerplate(df, host, text_col, ratio, min_pages), "line-marks")
+    marks = marks.select(F.col("host").alias("__host"), F.col("marks").alias("__marks"))
+    lines = _lines(F.col(text_col))
+    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__marks"), _mark(x)))
+    missing = F.col(text_col).isNull()
+    return (df.join(marks, host.eqNullSafe(F.col("__host")), "left")
+            .withColumn("__kept", F.when(F.col("__marks").isNull(), lines).otherwise(kept))
+            .withColumn("__n_lines", F.when(missing, 0).otherwise(F.size(lines)).cast("long"))
+            .withColumn("__n_dropped", F.when(missing, 0).otherwise(F.size(lines) - F.size("__kept")).cast("long"))
+            .withColumn(text_col, F.array_join("__kept", "\n"))
+            .drop("__host", "__marks", "__kept"))
+
+
 def dedup_lines(df: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO,
                 min_pages: int = MIN_PAGES) -> DataFrame:
     """``df`` with boilerplate lines cut from ``text_col``, plus n_lines and
-    n_dropped (long).
+    n_dropped (long), which replace columns of these names.
 
     Lines are parted by line feeds and compared without blanks at their ends; a
     page counts once however often it repeats a line. Defined cases: lines
@@ -57,14 +74,5 @@ def dedup_lines(df: DataFrame, host: Column, text_col: str = "text", ratio: floa
     row is dropped; equal rows are pages of their own; an empty table gives no
     rows. Columns of any other name pass through.
     """
-    marks = stored(boilerplate(df, host, text_col, ratio, min_pages), "line-marks")
-    marks = marks.select(F.col("host").alias("__host"), F.col("marks").alias("__marks"))
-    lines = _lines(F.col(text_col))
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__marks"), _mark(x)))
-    return (df.join(marks, host.eqNullSafe(F.col("__host")), "left")
-            .withColumn("__kept", F.when(F.col("__marks").isNull(), lines).otherwise(kept))
-            .withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long"))
-            .withColumn("n_dropped", F.when(F.col(text_col).isNull(), 0)
-                        .otherwise(F.size(lines) - F.size("__kept")).cast("long"))
-            .withColumn(text_col, F.array_join("__kept", "\n"))
-            .drop("__host", "__marks", "__kept"))
+    return (cut_lines(df.drop("n_lines", "n_dropped"), host, text_col, ratio, min_pages)
+            .withColumnsRenamed({"__n_lines": "n_lines", "__n_dropped": "n_dropped"}))

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import stored
 from tidemark.llm.shingles import parts
@@ -199,6 +200,25 @@ FIGURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
            "base_failed boolean, kept boolean, char_distance double, word_distance double")
 
 
+def judged(df: DataFrame, text_col: str = "text", lang_col: str = "lang", refs: dict | None = None,
+           out_col: str = "__quality") -> DataFrame:
+    """All columns of ``df`` plus a struct of ``FIGURES``; see ``quality_rules``."""
+    refs = references(df, text_col, lang_col) if refs is None else refs
+    figures = T.StructType.fromDDL(FIGURES)
+    kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column(lang_col).cast(pa.string()).to_pylist()
+            rows = [measure(t, lang, refs) for t, lang in zip(_texts(batch.column(text_col)), langs)]
+            struct = pa.StructArray.from_arrays(
+                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
+                names=[f.name for f in figures.fields])
+            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, out_col])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, figures)]))
+
+
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   refs: dict | None = None) -> DataFrame:
     """(doc_id, figures, verdict) for every row of ``df``; the columns are
@@ -213,17 +233,6 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reference; without any reference only the base rules judge; equal rows get
     equal results; an empty table gives no rows. Other columns are not read.
     """
-    refs = references(df, text_col, lang_col) if refs is None else refs
-    names = [f.split()[0] for f in FIGURES.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [measure(t, lang, refs) for t, lang in zip(_texts(batch.column(2)), batch.column(1).to_pylist())]
-            kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))],
-                names=["doc_id", *names])
-
-    return (df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
-                      F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, f"doc_id long, {FIGURES}"))
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
+                     F.col(text_col).cast("string").alias("text"))
+    return judged(rows, refs=refs).select("doc_id", "__quality.*")
