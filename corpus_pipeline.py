@@ -1,27 +1,85 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup, mixing, encoding."""
+"""The corpus pipeline over ``documents``.
+
+Quality rules reject documents, line dedup cuts boilerplate lines, near-dedup
+keeps one document of each group, mixing repeats and orders documents towards
+the sources' target weights, and BPE encoding gives the token ids.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of ``docs``. ``run`` writes each stage's result under
+the shared scratch folder and reads it back as the next one's documents, so a
+lost executor costs work of one stage at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, line_dedup, mixing, near_dup, quality
 from tidemark.llm.common import read, stored
 from tidemark.llm.queries import vocabulary
+from tidemark.session import apply_conf
 
-# BPE ids have no SQL form; tests hold run() against a brute-force version.
+# BPE ids and the divergence verdict have no SQL form; tests hold run() against
+# a brute-force version.
 ORACLE_SQL = None
 
 
-def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the divergence rules keep."""
+    apply_conf(spark)
+    return quality.judged(docs).where("__quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that their source repeats too often;
+    n_chars follows the text."""
+    apply_conf(spark)
+    out = line_dedup.cut_lines(docs, F.col("source"))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (5-word shingles, 0.8): the
+    smallest doc_id, once. Documents without an id are not linked; equal ones
+    stay once."""
+    apply_conf(spark)
+    kept = near_dup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    named = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the curriculum takes it, in training order.
+    Rows that share an id share the positions of the shortest."""
+    apply_conf(spark)
+    places = (mixing.assign_positions(docs).groupBy(F.col("doc_id").alias("__id"))
+              .agg(F.min_by("positions", "size").alias("__positions")))
+    return (docs.join(places, F.col("doc_id").eqNullSafe(F.col("__id")))
+            .withColumn("__position", F.explode("__positions"))
+            .orderBy("__position", "doc_id").select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded) of every document."""
+    apply_conf(spark)
     vocab = vocabulary("word_bpe_49k.json")
-    return bpe.decode(bpe.encode(docs, vocab), vocab).withColumnRenamed("row_id", "doc_id")
+    return bpe.decode(bpe.encode(docs, vocab), vocab).select(
+        F.col("row_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
-STAGES = [("bpe", encode_texts)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("bpe", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each written and read again."""
+    """Apply the stages to ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
