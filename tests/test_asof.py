@@ -94,15 +94,15 @@ def test_unkeyed_timestamps_auto_bucket_equals_brute_force(spark):
     assert rows(out, "id", "rt", "x", "has") == sorted(expect, key=key)
 
 
-def test_keyed_auto_bucket_goes_finer_for_a_hot_key(spark):
-    from tidemark.operators import asof as A
+def test_keyed_hot_key_and_time_equals_brute_force(spark):
     rnd = random.Random(4)
-    left = [(0, D(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 60)), i) for i in range(400)]
+    left = [(0, D(2024, 1, 1) + dt.timedelta(days=rnd.choice([5, rnd.randint(0, 60)])), i) for i in range(400)]
     right = [(0, D(2024, 1, 1) + dt.timedelta(days=d), float(d)) for d in range(0, 60, 7)]
     L = spark.createDataFrame(left, "k int, t date, id int")
     R = spark.createDataFrame(right, "k int, rt date, x double")
-    b = A._finer_if_hot(L, "t", ["k"], lambda c: F.date_trunc("month", c), rows_per_task=50)
-    one = L.select(b(F.col("t")).alias("b")).distinct().count()
-    assert one > 2  # day buckets, not two months
-    out = asof_join(L, R, "t", "rt", by=["k"], right_cols=["rt", "x"], rows_per_task=50)
+    out = asof_join(L, R, "t", "rt", by=["k"], right_cols=["rt", "x"])
     assert rows(out, "id", "rt", "x") == _brute(left, right)
+    # the key itself may be attached, and NULL keys or times match nothing
+    L2 = L.union(spark.createDataFrame([(None, D(2024, 2, 1), 900), (0, None, 901)], "k int, t date, id int"))
+    got = {r.id: r.x for r in asof_join(L2, R, "t", "rt", by=["k"], right_cols=["x"]).collect()}
+    assert got[900] is None and got[901] is None and len(got) == 402

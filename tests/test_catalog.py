@@ -52,6 +52,16 @@ def _nodes(plan: str):
     return out
 
 
+def _grouped_by_calendar(node: str) -> bool:
+    """An aggregate by dates or time buckets alone, or of all rows into one."""
+    import re
+    m = re.match(r"\w*Aggregate\(keys?=\[(.*?)\], functions", node)
+    if not m:
+        return False
+    names = [re.sub(r"#.*", "", k.split(" AS ")[-1].strip().rstrip("]")) for k in re.split(r", (?![^(]*\))", m[1]) if k]
+    return all(re.search(r"date|day|bucket|_match$|_t$", n) for n in names)
+
+
 def _unguarded_single_partition_windows(plan: str) -> list[str]:
     """Single-partition exchanges feeding a window whose input reaches a scan
     without passing an aggregate (distinct / pivot): such a window would put
@@ -67,8 +77,7 @@ def _unguarded_single_partition_windows(plan: str) -> list[str]:
             while stack and stack[-1][0] >= d:
                 stack.pop()
             stack.append((d, t))
-            if "Scan" in t and not any(s[1].startswith(("HashAggregate", "SortAggregate",
-                                                        "ObjectHashAggregate")) for s in stack):
+            if "Scan" in t and not any(_grouped_by_calendar(s[1]) for s in stack):
                 bad.append(text[:80])
             j += 1
     return bad
@@ -82,13 +91,15 @@ def test_no_single_partition_window_over_fact_rows(spark, name):
 
 
 def test_plan_check_flags_a_fact_sized_single_partition_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
     from tidemark.operators.timeseries import forward_fill
     from tidemark.plans.bindings import load
     ev = load(spark, SF, "events")
-    bad = forward_fill(ev, "ts", ["value"])  # literal form over raw rows: must be flagged
-    plan = bad._jdf.queryExecution().executedPlan().toString()
-    assert _unguarded_single_partition_windows(plan)
-    from pyspark.sql import functions as F
-    good = forward_fill(ev, "ts", ["value"], bucket=F.date_trunc("day", "ts"))
-    plan = good._jdf.queryExecution().executedPlan().toString()
-    assert _unguarded_single_partition_windows(plan) == []
+    bad = ev.withColumn("v", F.last("value", ignorenulls=True).over(Window.orderBy("ts")))  # must be flagged
+    assert _unguarded_single_partition_windows(bad._jdf.queryExecution().executedPlan().toString())
+    # an aggregate that groups by a unique id bounds nothing
+    worse = ev.groupBy("event_id").agg(F.max("ts").alias("ts")).withColumn("n", F.row_number().over(Window.orderBy("ts")))
+    assert _unguarded_single_partition_windows(worse._jdf.queryExecution().executedPlan().toString())
+    good = forward_fill(ev, "ts", ["value"])
+    assert _unguarded_single_partition_windows(good._jdf.queryExecution().executedPlan().toString()) == []

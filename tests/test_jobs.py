@@ -110,3 +110,30 @@ def test_command_line_daily_run(spark, tmp_root, capsys):
     out = capsys.readouterr().out
     assert "dim_assets.asset_id unique" in out and code in (0, 1)
     assert main(["seed", "--root", f"{tmp_root}/wh2", "--csv", seed]) == 0
+
+
+def test_last_landed_file_wins_a_day(spark, tmp_root):
+    import os
+    from tests.fixtures import equity_payload, write_json
+    for n, close in (("a", 1.0), ("b", 2.0)):
+        p = equity_payload({"2024-01-02": (1, 2, 0.5, close, 10), "2024-01-03": (1, 2, 0.5, close, 10)})
+        p["Meta Data"] = {"2. Symbol": "X"}
+        write_json(f"{tmp_root}/land/{n}", "X.json", p)
+        os.utime(f"{tmp_root}/land/{n}/X.json", (1.7e9 + ord(n) * 100, 1.7e9 + ord(n) * 100))
+    raw = jobs.load_equity(spark, f"{tmp_root}/land/*", f"{tmp_root}/wh", "2024-01-10 00:00:00", days=2)
+    assert rows(raw, "trade_date", "close") == [(dt.date(2024, 1, 2), 2.0), (dt.date(2024, 1, 3), 2.0)]
+
+
+def test_duplicate_coin_fails_the_run_and_leaves_facts(spark, tmp_root):
+    import pytest
+    from tests.fixtures import coin, write_json
+    root = f"{tmp_root}/wh"
+    t, _ = jobs.daily_run(spark, root, "2024-01-10 00:00:00", write_landing(f"{tmp_root}/d1", 0), _seed(spark), SERIES_NAMES)
+    before = rows(t["fct_daily_prices"], "price_id", "price_usd"), rows(t["dim_assets"], "asset_id")
+    land = write_landing(f"{tmp_root}/d2", 2)
+    write_json(land["crypto"], "again.json", [coin("bitcoin", 1e12, 1, "2024-01-09T10:00:00.000Z")])
+    with pytest.raises(Exception, match="duplicate key"):
+        jobs.daily_run(spark, root, "2024-01-12 00:00:00", land, _seed(spark), SERIES_NAMES)
+    from tidemark.operators.sinks import read_current
+    stored = spark.read.parquet(f"{root}/marts_core/fct_daily_prices"), read_current(spark, f"{root}/marts_core/dim_assets")
+    assert (rows(stored[0], "price_id", "price_usd"), rows(stored[1], "asset_id")) == before

@@ -140,3 +140,75 @@ def test_replace_partitions_from_keeps_older_and_drops_vanished(spark, tmp_root)
     replace_partitions_from(new, path, "d", D(2024, 1, 2))
     got = rows(spark.read.parquet(path), "k", "d", "v")
     assert got == [("a", D(2024, 1, 1), 1.0), ("a", D(2024, 1, 2), 20.0)]
+
+
+def test_partition_writes_keep_null_partitions(spark, tmp_root):
+    from tidemark.operators.sinks import merge_partitions, replace_partitions_from
+    schema = ddl("k string, d date, v double")
+    path = f"{tmp_root}/n"
+
+    def load(*data):
+        return spark.createDataFrame(list(data), schema)
+    merge_partitions(load(("a", None, 1.0), ("b", D(2024, 1, 1), 2.0)), path, ["k", "d"], "d", schema)
+    merge_partitions(load(("c", None, 3.0), ("b", D(2024, 1, 1), 4.0)), path, ["k", "d"], "d", schema)
+    want = [("a", None, 1.0), ("b", D(2024, 1, 1), 4.0), ("c", None, 3.0)]
+    assert rows(spark.read.schema(schema).parquet(path), "k", "d", "v") == want
+    # without a NULL in the source the NULL partition is neither read nor written
+    merge_partitions(load(("e", D(2024, 1, 2), 5.0)), path, ["k", "d"], "d", schema)
+    replace_partitions_from(load(("f", D(2024, 1, 3), 6.0)), path, "d", D(2024, 1, 2))
+    assert rows(spark.read.schema(schema).parquet(path), "k", "d", "v") == sorted(
+        want + [("f", D(2024, 1, 3), 6.0)])
+    replace_partitions_from(load(("g", None, 7.0)), path, "d", D(2024, 1, 2))  # reloads NULLs, empties the rest
+    assert rows(spark.read.schema(schema).parquet(path), "k", "d", "v") == [("b", D(2024, 1, 1), 4.0), ("g", None, 7.0)]
+
+
+def test_old_versions_are_dropped(spark, tmp_root):
+    import os
+    from tidemark.operators.sinks import drop_old_versions
+    schema = ddl("s string")
+    base = f"{tmp_root}/old"
+    for s in "abcd":
+        write_version(spark.createDataFrame([(s,)], schema), base)
+    drop_old_versions(spark, base, keep=2)
+    assert sorted(os.listdir(base)) == ["v=00000003", "v=00000004"]
+    assert rows(read_current(spark, base)) == [("d",)]
+
+
+def test_enrich_fails_on_a_repeated_dimension_key(spark):
+    import pytest
+    from tidemark.operators.relational import enrich
+    fact = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, x int")
+    dim = spark.createDataFrame([("a", "A"), (None, "n1"), (None, "n2")], "k string, name string")
+    assert rows(enrich(fact, dim, "k"), "x", "name") == [(1, "A"), (2, None), (3, None)]
+    twice = dim.union(spark.createDataFrame([("a", "B")], "k string, name string"))
+    with pytest.raises(Exception, match="duplicate key"):
+        enrich(fact, twice, "k").collect()
+
+
+def test_building_incremental_plans_runs_no_job(spark):
+    tgt = spark.createDataFrame([("A", D(2024, 1, 5), 1.0)], "s string, d date, v double")
+    spark.sparkContext.setJobGroup("build-only", "plans only")
+    incremental_merge(tgt, tgt, ["s", "d"], "d", lookback_days=1)
+    incremental_window_merge(tgt, tgt, ["s", "d"], "d", ["s"], 3, lambda x: x)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build-only")
+    spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from tidemark import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

@@ -77,3 +77,39 @@ def test_timeseries_key_from_payload(spark, tmp_root):
     write_json(f"{tmp_root}/k", "download-001.json", p)
     df = read_timeseries_payload(spark, f"{tmp_root}/k", key_field=("Meta Data", "2. Symbol"))
     assert [r.symbol for r in df.collect()] == ["IBM"]
+
+
+def test_broken_and_incomplete_payloads_fail(spark, tmp_root):
+    write_json(f"{tmp_root}/m1", "GDP.json", {"error_message": "bad key"})
+    with pytest.raises(Exception, match="observations"):
+        read_observations_payload(spark, f"{tmp_root}/m1").collect()
+    import os
+    os.makedirs(f"{tmp_root}/m2")
+    with open(f"{tmp_root}/m2/GDP.json", "w") as f:
+        f.write('{"observations": [{"date": "2024-01-01", "val')
+    with pytest.raises(Exception):
+        read_observations_payload(spark, f"{tmp_root}/m2").collect()
+    write_json(f"{tmp_root}/e1", "X.json", {"Time Series (Daily)": {"2024-01-02": {"1. open": "1.0"}}})
+    with pytest.raises(Exception, match="no .*for X"):
+        read_timeseries_payload(spark, f"{tmp_root}/e1").collect()
+    bad = coin("c", 1e9, 1, "2024-01-05T10:00:00.000Z")
+    bad["market_cap"] = "abc"
+    write_json(f"{tmp_root}/c1", "page.json", [bad])
+    with pytest.raises(Exception):
+        read_records_payload(spark, f"{tmp_root}/c1").collect()
+    gone = coin("c", 1e9, 1, "2024-01-05T10:00:00.000Z")
+    del gone["market_cap"]
+    write_json(f"{tmp_root}/c2", "page.json", [gone])
+    with pytest.raises(ValueError, match="market_cap"):
+        read_records_payload(spark, f"{tmp_root}/c2")
+
+
+def test_exact_integers_and_json_numbers(spark, tmp_root):
+    p = equity_payload({"2024-01-02": (1, 2, 0.5, 1.5, 9007199254740993)})
+    write_json(f"{tmp_root}/big", "X.json", p)
+    assert read_timeseries_payload(spark, f"{tmp_root}/big").first().volume == 9007199254740993
+    import json
+    c = coin("c", 1e9, 1, "2024-01-05T10:00:00.000Z")
+    c["roi"] = {"times": 106.8, "currency": "btc", "percentage": 10680}
+    write_json(f"{tmp_root}/roi", "page.json", [c])
+    assert json.loads(read_records_payload(spark, f"{tmp_root}/roi").first().roi) == c["roi"]

@@ -3,7 +3,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_within, rolling_std
+from pyspark.sql import Window
+
+from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rolling_std, row_index
 from tests.conftest import rows
 
 D = dt.date
@@ -40,8 +42,9 @@ def _random_series(spark, n=400, keys=3, seed=7):
 
 def test_two_pass_fill_equals_window_fill(spark):
     df = _random_series(spark)
-    one = forward_fill(df, "d", ["v", "w"], partition_by=["k"])
-    two = forward_fill(df, "d", ["v", "w"], partition_by=["k"], bucket=F.date_trunc("month", "d"))
+    w = Window.partitionBy("k").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    one = df.select("k", "d", *[F.last(c, ignorenulls=True).over(w).alias(c) for c in ("v", "w")])
+    two = forward_fill(df, "d", ["v", "w"], partition_by=["k"])
     assert rows(one, "k", "d", "v", "w") == rows(two, "k", "d", "v", "w")
     g1 = forward_fill(df.where("k = 0"), "d", {"v": "fv"})
     g2 = forward_fill(df.where("k = 0"), "d", {"v": "fv"}, bucket=F.date_trunc("quarter", "d"))
@@ -60,7 +63,7 @@ def test_rolling_std_counts_rows_not_days(spark):
 
 def test_rank_ties_share_rank_and_skip(spark):
     df = spark.createDataFrame([("a", 1, -2.0), ("b", 1, 2.0), ("c", 1, 1.0)], "s string, d int, p double")
-    out = rank_within(df, ["d"], [F.abs(F.col("p")).desc()], "r")
+    out = rank_by_value(df, ["d"], F.abs(F.col("p")), "r")
     assert rows(out, "s", "r") == [("a", 1), ("b", 1), ("c", 3)]
     assert dict(out.dtypes)["r"] == "bigint"
 
@@ -78,33 +81,58 @@ def _hot(spark, seed=11):
     return spark.createDataFrame(data, "a int, d date, p double")
 
 
-def test_rolling_std_split_equals_single_window(spark):
-    from tidemark.operators.timeseries import row_index
+def _brute_std(df, wins):
+    import statistics
+    by, out = {}, []
+    for r in df.collect():
+        by.setdefault(r.a, []).append((r.d, r.p))
+    for a, vals in by.items():
+        vals.sort()
+        for i, (d, _) in enumerate(vals):
+            row = [a, d]
+            for n in wins.values():
+                w = [p for _, p in vals[max(0, i - n + 1):i + 1] if p is not None]
+                row.append(round(round(statistics.stdev(w), 9), 4) if len(w) > 1 else None)
+            out.append(tuple(row))
+    return out
+
+
+def test_rolling_std_equals_brute_force_on_a_hot_key(spark):
     df = _hot(spark)
     wins = {"v7": 7, "v30": 30, "v90": 90}
-    one = rolling_std(df, ["a"], ["d"], "p", wins)
-    two = rolling_std(df, ["a"], ["d"], "p", wins, split_rows=100, bucket=F.date_trunc("month", "d"))
-    assert rows(one, "a", "d", "v7", "v30", "v90") == rows(two, "a", "d", "v7", "v30", "v90")
+    want = {(a, d): v for a, d, *v in _brute_std(df, wins)}
+    for chunk_rows in (90, 100_000):
+        got = rolling_std(df, ["a"], ["d"], "p", wins, chunk_rows=chunk_rows).collect()
+        assert len(got) == len(want)
+        for r in got:
+            for g, w in zip((r.v7, r.v30, r.v90), want[(r.a, r.d)]):
+                assert (g is None) == (w is None) and (g is None or abs(g - w) <= 1.01e-4)
     idx = row_index(df, ["a"], [F.col("d")], F.date_trunc("quarter", "d"), "i")
     assert idx.groupBy("a").agg(F.max("i").alias("m"), F.count("*").alias("c")) \
         .where("m != c").count() == 0
 
 
-def test_rank_by_value_split_equals_window(spark):
-    from tidemark.operators.timeseries import rank_by_value
+def test_rank_by_value_equals_window_on_hot_group_and_value(spark):
     rnd = random.Random(2)
-    data = [(0 if rnd.random() < 0.6 else rnd.randint(1, 4),
-             None if rnd.random() < 0.05 else float(rnd.randint(-30, 30))) for _ in range(2000)]
+    special = [None, float("nan"), float("inf"), float("-inf"), 0.0, 1e-9, -1e300]
+    data = [(rnd.choice([0, 0, 0, 1, 2, None]),
+             7.0 if rnd.random() < 0.5 else rnd.choice(special) if rnd.random() < 0.2 else float(rnd.randint(-30, 30)))
+            for _ in range(2000)]
     df = spark.createDataFrame(data, "g int, x double").withColumn("id", F.monotonically_increasing_id())
     for desc in (True, False):
-        plain = rank_by_value(df, ["g"], F.abs("x"), "r", descending=desc)
-        split = rank_by_value(df, ["g"], F.abs("x"), "r", descending=desc, splits=8)
-        assert rows(plain, "id", "r") == rows(split, "id", "r")
-
-
-def test_forward_fill_auto_bucket(spark):
-    df = _random_series(spark, n=300, keys=2)
-    one = forward_fill(df, "d", ["v"], partition_by=["k"])
-    auto_small = forward_fill(df, "d", ["v"], partition_by=["k"], bucket="auto")  # fits: one window
-    auto_hot = forward_fill(df, "d", ["v"], partition_by=["k"], bucket="auto", rows_per_task=20)
-    assert rows(one, "k", "d", "v") == rows(auto_small, "k", "d", "v") == rows(auto_hot, "k", "d", "v")
+        o = F.col("x").desc() if desc else F.col("x").asc()
+        w = Window.partitionBy("g").orderBy(o)
+        for method, fn in (("rank", F.rank), ("dense_rank", F.dense_rank)):
+            plain = df.withColumn("r", fn().over(w).cast("bigint"))
+            assert rows(plain, "id", "r") == rows(rank_by_value(df, ["g"], F.col("x"), "r", desc, method), "id", "r")
+
+
+def test_forward_fill_null_key_is_a_key(spark):
+    df = spark.createDataFrame([(None, D(2024, 1, 1), 1.0), (None, D(2024, 3, 1), None), ("a", D(2024, 2, 1), None)],
+                               "k string, d date, v double")
+    assert rows(forward_fill(df, "d", ["v"], partition_by=["k"]), "k", "d", "v") == rows(
+        spark.createDataFrame([(None, D(2024, 1, 1), 1.0), (None, D(2024, 3, 1), 1.0), ("a", D(2024, 2, 1), None)],
+                              "k string, d date, v double"), "k", "d", "v")
+    import pytest
+    with pytest.raises(ValueError, match="bucket"):
+        forward_fill(df, "v", ["v"])

@@ -51,11 +51,9 @@ def label_map(value: str | Column, mapping: Mapping[str, str],
               default: str | None) -> Column:
     """X11: simple CASE lookup with a default.
 
-    Meant for small fixed maps; large lookups belong in a join against a
-    mapping table (see ``operators.relational.enrich``).
+    One branch per label, for fixed maps; lookups that come with the data
+    belong in a join against a mapping table (``operators.relational.enrich``).
     """
-    if len(mapping) > 200:
-        raise ValueError("label_map is for small fixed maps; join a mapping table instead")
     v = col_of(value)
     expr = None
     for key, label in mapping.items():
@@ -108,8 +106,10 @@ def strict_double(c: str | Column, what: str = "value") -> Column:
 
 
 def strict_long(c: str | Column, what: str = "value") -> Column:
-    """X4/X22 for integral measures (volume): parse as double, keep whole part."""
-    return strict_double(c, what).cast("bigint")
+    """X4/X22 for integral measures (volume): whole numbers are kept exactly;
+    other numbers ("12.0", "1e3") lose their fraction; bad text fails the job."""
+    s = col_of(c)
+    return F.coalesce(s.try_cast("bigint"), strict_double(s, what).cast("bigint"))
 
 
 def lenient_double(c: str | Column) -> Column:

@@ -19,7 +19,6 @@ from tidemark.operators.quality import (  # noqa: F401
 from tidemark.operators.relational import (  # noqa: F401
     conform_union,
     enrich,
-    not_null_rows,
     select_renamed,
     topk,
     topk_per_key,
@@ -35,7 +34,6 @@ from tidemark.operators.sinks import (  # noqa: F401
     incremental_window_rows,
     merge_partitions,
     read_current,
-    read_or_empty,
     replace_partitions_from,
     upsert,
     write_table,
@@ -43,10 +41,8 @@ from tidemark.operators.sinks import (  # noqa: F401
 )
 from tidemark.operators.timeseries import (  # noqa: F401
     forward_fill,
-    largest_group,
     pivot_wide,
     rank_by_value,
-    rank_within,
     rolling_std,
     row_index,
 )

@@ -9,14 +9,11 @@ linear plans are used instead:
 * no key, DATE times: a *calendar spine* from the right side alone (each
   right date covers the days until the next one), joined to the left by
   date; left dates past the last right date take the last one.
-* no key, other times: a *time map*. Distinct left times and distinct right
-  times are unioned, the latest right time at or before each time is
-  forward-filled over that small table, and two equi joins attach the right
-  row. The fill runs over distinct times, bucketed by day.
-* keyed: left and right rows are unioned and the right payload is
-  forward-filled per key in time order (right rows sort before left rows at
-  equal time, so the match is inclusive). One shuffle, no pair explosion.
-  With ``bucket`` the fill runs in two passes so a hot key is split by time.
+* otherwise: a *time map*. Distinct (key, left time) and (key, right time) are
+  unioned, the latest right time at or before each is forward-filled per key
+  over that table (in two passes by time bucket, so a hot key is split), and
+  two equi joins attach the right row. Repeated times of a key collapse in the
+  aggregate; the joins back are split by adaptive execution where they skew.
 """
 
 from __future__ import annotations
@@ -39,26 +36,18 @@ def _right_columns(right: DataFrame, right_on: str, by: Sequence[str],
 
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
               by: Sequence[str] | None = None, right_cols: Sequence[str] | None = None,
-              flag_col: str | None = None, bucket="auto", check_unique: bool = False,
-              rows_per_task: int = 5_000_000) -> DataFrame:
+              flag_col: str | None = None, bucket=None, check_unique: bool = False) -> DataFrame:
     """Backward inclusive as-of left join.
 
     ``right_cols`` are the right columns to attach (default: all but ``by``;
     they must not clash with left column names). ``flag_col`` adds a boolean
     "a match exists" column (X12). The right side must be unique on
     ``(by, right_on)``; ``check_unique=True`` verifies it with one aggregate.
-    ``bucket`` is a function ``Column -> Column`` giving the time bucket for
-    the two-pass fill (e.g. ``lambda t: F.date_trunc('month', t)``), or None
-    for a single window. ``"auto"``: unkeyed DATE times need no bucket (the
-    time map has one row per calendar date); unkeyed timestamps are bucketed
-    by day; keyed joins by month (dates) or day (timestamps), so one key
-    holding a third of the rows is still spread over many tasks.
+    ``bucket`` is a function ``Column -> Column`` giving the time bucket of the
+    fill (default: month of a date, day of a timestamp). A NULL key or time
+    matches nothing.
     """
     keys = list(by or [])
-    if bucket == "auto":
-        bucket = _auto_bucket(left.schema[left_on].dataType, bool(keys))
-        if keys:
-            bucket = _finer_if_hot(left, left_on, keys, bucket, rows_per_task)
     cols = _right_columns(right, right_on, keys, right_cols)
     clash = [c for c in cols if c in left.columns]
     if clash:
@@ -67,27 +56,10 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         dup = right.groupBy(*keys, right_on).count().filter("count > 1").limit(1).count()
         if dup:
             raise ValueError("as-of right side is not unique on its key and time")
-    if keys:
-        return _asof_keyed(left, right, left_on, right_on, keys, cols, flag_col, bucket)
-    if (bucket is None and isinstance(left.schema[left_on].dataType, T.DateType)
+    if (not keys and bucket is None and isinstance(left.schema[left_on].dataType, T.DateType)
             and isinstance(right.schema[right_on].dataType, T.DateType)):
         return _asof_calendar(left, right, left_on, right_on, cols, flag_col)
-    return _asof_time_map(left, right, left_on, right_on, cols, flag_col, bucket)
-
-
-def _auto_bucket(dtype: T.DataType, keyed: bool):
-    if isinstance(dtype, T.DateType):
-        return (lambda t: F.date_trunc("month", t)) if keyed else None
-    return lambda t: F.date_trunc("day", t)
-
-
-def _finer_if_hot(left, left_on, keys, bucket, rows_per_task):
-    from tidemark.operators.timeseries import largest_group
-    probe = left.select(*keys, bucket(F.col(left_on)).alias("__asof_b"))
-    if largest_group(probe, [*keys, "__asof_b"]) <= rows_per_task:
-        return bucket
-    finer = "day" if isinstance(left.schema[left_on].dataType, T.DateType) else "hour"
-    return lambda t: F.date_trunc(finer, t)
+    return _asof_time_map(left, right, left_on, right_on, keys, cols, flag_col, bucket)
 
 
 def _asof_calendar(left, right, left_on, right_on, cols, flag_col):
@@ -119,38 +91,23 @@ def _asof_calendar(left, right, left_on, right_on, cols, flag_col):
     return out.drop(m)
 
 
-def _asof_time_map(left, right, left_on, right_on, cols, flag_col, bucket):
+def _asof_time_map(left, right, left_on, right_on, keys, cols, flag_col, bucket):
     t, m = "__asof_t", "__asof_match"
-    left_times = left.select(F.col(left_on).alias(t)).where(F.col(t).isNotNull()).distinct()
-    right_times = right.select(F.col(right_on).alias(t)).where(F.col(t).isNotNull()).distinct()
-    times = (left_times.select(t, F.lit(None).cast(right.schema[right_on].dataType).alias(m))
-             .unionByName(right_times.select(t, F.col(t).alias(m)))
-             .groupBy(t).agg(F.max(m).alias(m)))
-    fill_bucket = bucket(F.col(t)) if bucket is not None else None
-    time_map = forward_fill(times, [t], [m], bucket=fill_bucket)
-    rsel = right.select(F.col(right_on).alias(m), *[F.col(c) for c in cols if c != right_on],
-                        *([F.col(right_on)] if right_on in cols else []))
-    out = (left.join(time_map, left[left_on] == time_map[t], "left").drop(t)
-               .join(rsel, m, "left"))
+
+    def times(df, on, match):
+        named = [F.col(k).alias(f"__asof_k_{k}") for k in keys]
+        rows = df.select(*named, F.col(on).cast(right.schema[right_on].dataType).alias(t)).dropna()
+        return rows.select("*", match.cast(right.schema[right_on].dataType).alias(m))
+
+    names = [f"__asof_k_{k}" for k in keys]
+    both = times(left, left_on, F.lit(None)).unionByName(times(right, right_on, F.col(t)))
+    time_map = forward_fill(both.groupBy(*names, t).agg(F.max(m).alias(m)), [t], [m], partition_by=names,
+                            bucket=bucket(F.col(t)) if bucket is not None else None)
+    rsel = right.select(*[F.col(k).alias(f"__asof_r_{k}") for k in keys], F.col(right_on).alias("__asof_r"),
+                        *[F.col(c).alias(c) for c in cols])
+    on_left = [left[left_on] == F.col(t), *[left[k] == F.col(f"__asof_k_{k}") for k in keys]]
+    on_right = [F.col(m) == F.col("__asof_r"), *[F.col(f"__asof_k_{k}") == F.col(f"__asof_r_{k}") for k in keys]]
+    out = left.join(time_map, on_left, "left").join(rsel, on_right, "left")
     if flag_col:
         out = out.withColumn(flag_col, F.col(m).isNotNull())
-    return out.drop(m)
-
-
-def _asof_keyed(left, right, left_on, right_on, keys, cols, flag_col, bucket):
-    side, t, p = "__asof_side", "__asof_t", "__asof_payload"
-    payload = F.struct(*[F.col(c).alias(c) for c in cols])
-    r = right.where(F.col(right_on).isNotNull())
-    for k in keys:  # a NULL key never matches in SQL; keep such right rows out
-        r = r.where(F.col(k).isNotNull())
-    r = r.select(*[F.col(k) for k in keys], F.col(right_on).alias(t), payload.alias(p),
-                 F.lit(0).alias(side))
-    lt = left.select("*", F.col(left_on).alias(t),
-                     F.lit(None).cast(r.schema[p].dataType).alias(p), F.lit(1).alias(side))
-    both = lt.unionByName(r, allowMissingColumns=True)
-    fill_bucket = bucket(F.col(t)) if bucket is not None else None
-    filled = forward_fill(both, [t, side], [p], partition_by=keys, bucket=fill_bucket)
-    out = filled.where(F.col(side) == 1)
-    out = out.select(*left.columns, *[F.col(f"{p}.{c}").alias(c) for c in cols],
-                     *([F.col(p).isNotNull().alias(flag_col)] if flag_col else []))
-    return out
+    return out.drop(t, m, "__asof_r", *names, *[f"__asof_r_{k}" for k in keys])

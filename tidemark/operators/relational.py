@@ -50,28 +50,33 @@ def conform_union(branches: Sequence[DataFrame], schema: T.StructType) -> DataFr
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
-           columns: Sequence[str] | None = None, how: str = "left",
-           broadcast: bool | None = None) -> DataFrame:
-    """Fact-to-dimension equi join.
+           columns: Sequence[str] | None = None, how: str = "left") -> DataFrame:
+    """Fact-to-dimension equi join that never multiplies facts.
+
+    A dimension key that occurs twice fails the job: the dimension is grouped
+    by its key first (the join needs it shuffled by that key anyway), and a
+    group of several rows raises. NULL keys match nothing and may repeat.
 
     The broadcast decision is left to the planner by default: the static
     planner broadcasts a side whose estimated size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans a sort-merge
     join as a broadcast join when the shuffled dimension turns out small. Both
-    are size-checked; ``broadcast=True`` forces the hint only for sides whose
-    size bound is known (fixed seeds).
+    are size-checked.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    d = dim if columns is None else dim.select(*keys, *[c for c in columns if c not in keys])
-    if broadcast:
-        d = F.broadcast(d)
-    return fact.join(d, keys, how)
-
-
-def not_null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """rows where every listed column is non-NULL."""
-    cond = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    return df.filter(cond)
+    others = [c for c in (dim.columns if columns is None else columns) if c not in keys]
+    return fact.join(unique_by(dim.select(*keys, *others), keys), keys, how)
+
+
+def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, whose rows with a repeated non-NULL key fail the job."""
+    others = [c for c in df.columns if c not in keys]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    told = F.concat(F.lit(f"duplicate key {', '.join(keys)}: "),
+                    F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    rows = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in others])
+            .withColumn("__n", F.when(known & (F.col("__n") > 1), F.raise_error(told).cast("bigint")).otherwise(F.col("__n"))))
+    return rows.where(F.col("__n") >= 1).select(*df.columns)
 
 
 def topk_per_key(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int,

@@ -96,14 +96,13 @@ def scd2_snapshot(source: DataFrame, base: str, key: str, check_cols: Sequence[s
     a failure between the two writes leaves no duplicates.
     """
     from tidemark.operators.sinks import read_current, write_version
-    from tidemark.session import checkpoint_root
+    from tidemark.session import cut_lineage
 
     spark = source.sparkSession
-    checkpoint_root(spark)
     schema = history_schema(source.schema)
     cur_path, closed_path = f"{base.rstrip('/')}/current", f"{base.rstrip('/')}/closed"
     current = read_current(spark, cur_path, schema)
-    merged = scd2_merge(current, source, key, check_cols, as_of).checkpoint(eager=True)
+    merged = cut_lineage(scd2_merge(current, source, key, check_cols, as_of))
     (merged.where(F.col("valid_to").isNotNull())
      .withColumn("closed_at", F.col("valid_to"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

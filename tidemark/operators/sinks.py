@@ -10,13 +10,13 @@ only the touched partitions, never the path being read.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.expr import as_of_timestamp, col_of
+from tidemark.session import cut_lineage
 
 # --------------------------------------------------------------------------- K1
 
@@ -39,10 +39,10 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     others = [c for c in df.columns if c not in keys]
     okey = F.struct(*[col_of(o) for o in order])
     row = F.struct(*[F.col(c) for c in others])
-    null_key = _has_null_key(keys)
-    picked = (df.where(~null_key).groupBy(*keys).agg(F.max_by(row, okey).alias("__row"))
-              .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns))
-    return picked.unionByName(df.where(null_key))
+    # rows with a NULL key part get a number each, which also spreads them
+    own = F.when(_has_null_key(keys), F.monotonically_increasing_id())
+    picked = df.withColumn("__own", own).groupBy(*keys, "__own").agg(F.max_by(row, okey).alias("__row"))
+    return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -59,20 +59,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     updated row. Columns missing on either side are NULL-padded (additive
     schema evolution). Result columns: target's, then new source columns.
     NULL keys never match (SQL MERGE semantics): such source rows are
-    inserted and such target rows kept, without entering the key shuffle.
+    inserted and such target rows kept (an anti join on equality keeps them).
     """
     src = dedupe_by_key(source, keys, order) if order else source
     if stamp is not None:
         name, as_of = stamp
         src = src.withColumn(name, as_of_timestamp(as_of))
     cols = list(target.columns) + [c for c in src.columns if c not in target.columns]
-    null_key = _has_null_key(keys)
     if update_cols is None:
-        src_keys = src.where(~null_key).select(*keys)
-        kept = target.where(~null_key).join(src_keys, list(keys), "left_anti")
-        out = (kept.unionByName(target.where(null_key))
-                   .unionByName(src, allowMissingColumns=True))
-        return out.select(*cols)
+        kept = target.join(src.select(*keys), list(keys), "left_anti")
+        return kept.unionByName(src, allowMissingColumns=True).select(*cols)
     # Partial update: matched rows keep the target's other columns.
     upd = set(update_cols) | ({stamp[0]} if stamp else set())
     t = target.alias("t")
@@ -121,13 +117,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """K10 + K11: read a table directory, or an empty one if absent; pad new columns."""
-    if path_exists(spark, path):
-        return add_missing_columns(spark.read.parquet(path), schema)
-    return empty_table(spark, schema)
-
-
 # --------------------------------------------------------------------------- K2 K4 K5 K8
 
 
@@ -173,39 +162,31 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None =
 
 def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partition_col: str,
                      schema: T.StructType, order: Sequence[str | Column] | None = None,
-                     stamp: tuple[str, object] | None = None,
-                     max_partitions: int = 10000) -> DataFrame:
+                     stamp: tuple[str, object] | None = None) -> DataFrame:
     """K1 at scale: merge ``source`` into a table partitioned by
     ``partition_col``, rewriting only the partitions the source touches.
 
-    The touched partition values (a small distinct set) prune the target
-    read; the merged partitions are checkpointed into the shared checkpoint
-    folder first, so the write never reads the path it overwrites, and a
-    failed write can be retried from the checkpoint. Partitions not in the
-    source are neither read nor written. The partition column must be part
-    of the key (a row never moves between partitions).
+    The source is checkpointed into the shared checkpoint folder and read from
+    there for both its partition values and the merge. The values (at most as
+    many as the table has partition directories, which the driver lists anyway)
+    prune the target read as literals; a NULL partition value, which the writer
+    keeps in a directory of its own, counts as one of them. The merged
+    partitions are checkpointed too, so the write never reads the path it
+    overwrites, and a failed write can be retried. The partition column must be
+    part of the key (a row never moves between partitions).
     """
     if partition_col not in keys:
         raise ValueError("the partition column must be one of the keys")
     spark = source.sparkSession
+    source = cut_lineage(source)
     if path_exists(spark, path):
-        touched = source.select(partition_col).where(F.col(partition_col).isNotNull()).distinct()
         target = spark.read.schema(schema).parquet(path)
-        # The touched partition values are bounded by the table's partition
-        # count (dates, months); as literals they prune the scan statically
-        # to those directories. Past ``max_partitions`` a semi join keeps
-        # the result right without listing them on the driver.
-        values = [r[0] for r in touched.limit(max_partitions + 1).collect()]
-        if len(values) <= max_partitions:
-            target = target.where(F.col(partition_col).isin(values))
-        else:
-            target = target.join(touched, partition_col, "left_semi")
+        touched = [r[0] for r in source.select(partition_col).distinct().collect()]
+        hit = F.col(partition_col).isin([v for v in touched if v is not None])
+        target = target.where(hit | F.col(partition_col).isNull() if None in touched else hit)
     else:
         target = empty_table(spark, schema)
-    merged = upsert(target, source, keys, order=order, stamp=stamp).select(*schema.fieldNames())
-    from tidemark.session import checkpoint_root
-    checkpoint_root(spark)
-    merged = merged.checkpoint(eager=True)
+    merged = cut_lineage(upsert(target, source, keys, order=order, stamp=stamp).select(*schema.fieldNames()))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return merged
@@ -214,25 +195,40 @@ def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partitio
 def replace_partitions_from(df: DataFrame, path: str, partition_col: str, since) -> None:
     """Replace every ``partition_col`` partition ``>= since`` with ``df``'s rows.
 
-    ``df`` must hold exactly the rows of those partitions (it must not read
-    ``path``). Partitions present in ``df`` are overwritten (dynamic
-    overwrite); partitions at or after ``since`` that ``df`` no longer has are
-    removed, so the table equals a full rebuild. The partition values are
-    calendar dates, a bounded set.
+    ``df`` must hold exactly the rows of those partitions, and those with a NULL
+    partition value if that partition is to be replaced too; it is checkpointed
+    first, so it may read ``path``. Partitions present in ``df`` are overwritten
+    (dynamic overwrite); partitions at or after ``since`` that ``df`` no longer
+    has are removed, so the table equals a full rebuild. Partitions before
+    ``since``, and the NULL partition if ``df`` has none, stay.
     """
     spark = df.sparkSession
-    write_table(df, path, [partition_col])
+    df = cut_lineage(df)
     keep = {str(r[0]) for r in df.select(partition_col).distinct().collect()}
+    write_table(df, path, [partition_col])
+    gone = (spark.read.parquet(path).select(partition_col).where(F.col(partition_col) >= F.lit(since))
+            .distinct().withColumn("name", F.col(partition_col).cast("string")).collect())
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(path)
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    prefix = f"{partition_col}="
+    gone = {r["name"] for r in gone} - keep
     for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if name.startswith(prefix):
-            value = name[len(prefix):]
-            if value >= str(since) and value not in keep:
-                fs.delete(st.getPath(), True)
+        if st.getPath().getName() in {f"{partition_col}={v}" for v in gone}:
+            fs.delete(st.getPath(), True)
+
+
+def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` complete versions of a table, and
+    incomplete ones older than those. Readers of the current version are safe;
+    keep more for readers that hold on to a version longer than a run."""
+    complete = _versions(spark, base)
+    if len(complete) <= keep:
+        return
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for v in _versions(spark, base, complete=False):
+        if v < complete[-keep]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/v={v:08d}"), True)
 
 
 def read_current(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:
@@ -270,48 +266,39 @@ def with_load_stamp(df: DataFrame, name: str = "loaded_at", as_of=None) -> DataF
 # --------------------------------------------------------------------------- K3
 
 
-def high_water_mark(target: DataFrame, date_col: str, mark_by: Sequence[str] | None = None):
-    """``max(date_col)`` of the target.
+def high_water_mark(target: DataFrame, date_col: str):
+    """``max(date_col)`` of the target, as a value (runs a job).
 
-    Global: one scalar fetched to the driver (a one-row aggregate) so the
-    source read can prune on a literal. Per key (G2): a small key -> mark table.
+    For jobs, which prune stored partitions with it. Plans that are built
+    without running anything use ``mark_of``.
     """
-    if mark_by:
-        return target.groupBy(*mark_by).agg(F.max(date_col).alias("__mark"))
     return target.agg(F.max(date_col).alias("m")).first()["m"]
 
 
-def _shift(mark, lookback_days: int):
-    if mark is None or not lookback_days:
-        return mark
-    from datetime import timedelta
-    return mark - timedelta(days=lookback_days)
+def mark_of(target: DataFrame, date_col: str, lookback_days: int = 0) -> Column:
+    """The same mark as a scalar subquery, moved back by ``lookback_days``."""
+    mark = target.agg(F.max(date_col)).scalar()
+    return F.date_sub(mark, lookback_days) if lookback_days else mark
 
 
-def incremental_candidates(target: DataFrame, source: DataFrame | Callable[[object], DataFrame],
-                           date_col: str, lookback_days: int = 0,
+def incremental_candidates(target: DataFrame, source: DataFrame, date_col: str, lookback_days: int = 0,
                            mark_by: Sequence[str] | None = None) -> DataFrame:
     """The rows of ``source`` at or after the target's high-water mark.
 
     G3: an empty target (NULL mark) loads everything. ``lookback_days`` (G2)
-    moves the mark back. ``source`` may be a function of the lower bound so the
-    bound is applied at the scans.
+    moves the mark back. With ``mark_by`` every key has its own mark (a small
+    key -> mark table).
     """
     if mark_by:
-        marks = high_water_mark(target, date_col, mark_by)
-        src = source(None) if callable(source) else source
-        j = src.join(marks, list(mark_by), "left")
+        marks = target.groupBy(*mark_by).agg(F.max(date_col).alias("__mark"))
+        j = source.join(marks, list(mark_by), "left")
         bound = F.date_sub(F.col("__mark"), lookback_days) if lookback_days else F.col("__mark")
         return j.where(F.col("__mark").isNull() | (F.col(date_col) >= bound)).drop("__mark")
-    mark = _shift(high_water_mark(target, date_col), lookback_days)
-    if callable(source):
-        return source(mark)
-    if mark is None:
-        return source
-    return source.where(F.col(date_col) >= F.lit(mark))
+    mark = mark_of(target, date_col, lookback_days)
+    return source.where(mark.isNull() | (F.col(date_col) >= mark))
 
 
-def incremental_merge(target: DataFrame, source: DataFrame | Callable[[object], DataFrame],
+def incremental_merge(target: DataFrame, source: DataFrame,
                       keys: Sequence[str], date_col: str, lookback_days: int = 0,
                       mark_by: Sequence[str] | None = None,
                       order: Sequence[str | Column] | None = None) -> DataFrame:
@@ -334,7 +321,7 @@ def incremental_window_merge(target: DataFrame, source: DataFrame, keys: Sequenc
     read as context (a per-key top-k, limited map-side), ``compute`` runs on
     context + new rows, and only rows at or after the mark are merged.
     """
-    mark = _shift(high_water_mark(target, date_col), lookback_days)
+    mark = mark_of(target, date_col, lookback_days)
     return upsert(target, incremental_window_rows(source, mark, date_col, by, context_rows, compute),
                   keys)
 
@@ -343,20 +330,12 @@ def incremental_window_rows(source: DataFrame, mark, date_col: str, by: Sequence
                             context_rows: int, compute: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The rows a windowed incremental model (G1) must (re)write: ``compute``
     over the source rows at or after ``mark`` plus the last ``context_rows``
-    rows per key before it, keeping only rows at or after ``mark``. A NULL
-    mark (empty target) computes everything."""
+    rows per key before it, keeping only rows at or after ``mark``. ``mark`` is
+    a value or a column (``mark_of``); NULL (empty target) computes everything."""
     if mark is None:
         return compute(source)
-    m = F.lit(mark)
-    new = source.where(F.col(date_col) >= m)
+    m = mark if isinstance(mark, Column) else F.lit(mark)
+    fresh = m.isNull() | (F.col(date_col) >= m)
     from tidemark.operators.relational import topk_per_key
     ctx = topk_per_key(source.where(F.col(date_col) < m), by, [F.col(date_col).desc()], context_rows)
-    return compute(new.unionByName(ctx)).where(F.col(date_col) >= m)
-
-
-def as_date(value) -> date | None:
-    if value is None or isinstance(value, date) and not isinstance(value, datetime):
-        return value
-    if isinstance(value, datetime):
-        return value.date()
-    return date.fromisoformat(str(value))
+    return compute(source.where(fresh).unionByName(ctx)).where(fresh)

@@ -11,9 +11,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.expr import col_of
 
+
 def _join_same_keys(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join on ``keys`` with NULL-safe equality.
 
@@ -44,50 +46,37 @@ def pivot_wide(df: DataFrame, index: Sequence[str], key: str, value: str,
         fn(F.when(F.col(key) == F.lit(k), F.col(value))).alias(out) for k, out in keys.items()])
 
 
-def _ffill_window(df: DataFrame, order: Sequence[Column], cols: Mapping[str, str],
-                  partition_by: Sequence[str]) -> DataFrame:
-    w = (Window.partitionBy(*partition_by) if partition_by else Window).orderBy(*order) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df
-    for src, dst in cols.items():
-        out = out.withColumn(dst, F.last(F.col(src), ignorenulls=True).over(w))
-    return out
+def time_bucket(df: DataFrame, col: str):
+    """The default time bucket of an ordering column: the month of a DATE, the
+    day of a timestamp. One key's rows of one bucket meet in one task."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.DateType):
+        return F.date_trunc("month", F.col(col))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("day", F.col(col))
+    raise ValueError(f"{col} is no date or timestamp: give a bucket that is monotone in it")
 
 
 def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str] | Mapping[str, str],
-                 partition_by: Sequence[str] | None = None,
-                 bucket: Column | str | None = None, rows_per_task: int = 5_000_000) -> DataFrame:
+                 partition_by: Sequence[str] | None = None, bucket: Column | None = None) -> DataFrame:
     """``last_value(c ignore nulls) over (order by t rows unbounded preceding)``.
 
-    * ``bucket=None``: one window, partitioned by ``partition_by``. Without a
-      partition this is the reference's literal form, a single-partition
-      window; use it only for tables with a proven size bound (one row per
-      calendar date).
-    * ``bucket`` given (e.g. ``F.date_trunc('month', 'd')``): two passes that
-      never put a whole key into one task. (1) per (key, bucket) the last
-      non-NULL value by ``max_by`` (partial + final aggregate), (2) carry those
-      over the small bucket table with a window per key, (3) fill inside each
-      (key, bucket) and fall back to the carry. Hot keys split into buckets.
+    Two passes that never put a whole key into one task: (1) per (key, bucket)
+    the last non-NULL value by ``max_by`` (partial + final aggregate), (2) carry
+    those over the small bucket table with a window per key, (3) fill inside
+    each (key, bucket) and fall back to the carry. ``bucket`` must be monotone
+    in the order; it defaults to ``time_bucket``.
 
     ``order`` lists the ordering columns (the first is the time, the rest
-    break ties); NULLs before the first value stay NULL.
-
-    ``bucket="auto"`` measures the largest (key, month) group of the time
-    column (one small aggregate) and runs the single window when it fits in
-    ``rows_per_task`` rows, else the two passes by month, or by day when a
-    key-month is still larger than that.
+    break ties); NULLs before the first value stay NULL; a NULL key is a key.
     """
     order_cols = [order] if isinstance(order, str) else list(order)
-    if isinstance(bucket, str) and bucket == "auto":
-        bucket = _auto_fill_bucket(df, order_cols[0], list(partition_by or []), rows_per_task)
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     keys = list(partition_by or [])
     order_exprs = [F.col(c).asc() for c in order_cols]
-    if bucket is None:
-        return _ffill_window(df, order_exprs, mapping, keys)
 
     b = "__ff_bucket"
-    x = df.withColumn(b, bucket)
+    x = df.withColumn(b, time_bucket(df, order_cols[0]) if bucket is None else bucket)
     okey = F.struct(*[F.col(c) for c in order_cols])
     names = {src: (f"__ff_in_{i}", f"__ff_last_{i}", f"__ff_carry_{i}")
              for i, src in enumerate(mapping)}
@@ -102,30 +91,12 @@ def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str]
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = x.select("*", *[F.last(F.col(src), ignorenulls=True).over(wi).alias(n[0])
                              for src, n in names.items()])
-    out = filled.join(carry, [*keys, b], "left")
+    out = _join_same_keys(filled, carry, [*keys, b])
     for src, (n_in, _, n_carry) in names.items():
         out = out.withColumn(mapping[src], F.coalesce(F.col(n_in), F.col(n_carry)))
     return out.drop(b, *[n for trio in names.values() for n in (trio[0], trio[2])])
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the largest group: a partial + final count per key, then one
-    scalar to the driver. Used to decide whether a key needs splitting."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else df.select(
-        F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
-def _auto_fill_bucket(df: DataFrame, time_col: str, keys: list[str], rows_per_task: int):
-    month = F.date_trunc("month", F.col(time_col))
-    if largest_group(df, keys) <= rows_per_task:
-        return None
-    probe = df.select(*keys, month.alias("__ff_b"))
-    if largest_group(probe, [*keys, "__ff_b"]) <= rows_per_task:
-        return month
-    return F.date_trunc("day", F.col(time_col))
-
-
 def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket: Column,
               name: str = "__idx") -> DataFrame:
     """1-based position of each row within its key under ``order``, without
@@ -139,9 +110,9 @@ def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket:
     b, n, off, rn = "__ri_bucket", "__ri_n", "__ri_off", "__ri_rn"
     x = df.withColumn(b, bucket)
     local = x.withColumn(rn, F.row_number().over(Window.partitionBy(*by, b).orderBy(*order)))
-    # The per-bucket counts come from the same windowed rows, so both
-    # branches share one shuffle of the input (a reused exchange).
-    counts = local.groupBy(*by, b).agg(F.max(rn).alias(n))
+    # The counts read all columns of the windowed rows, so neither branch is
+    # pruned and both share one shuffle of the input (a reused exchange).
+    counts = local.groupBy(*by, b).agg(F.max(F.struct(rn, *df.columns)).getField(rn).alias(n))
     before = (Window.partitionBy(*by) if by else Window).orderBy(b) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, b, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off))
@@ -152,103 +123,72 @@ def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket:
 
 def rolling_std(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], value: str,
                 windows: Mapping[str, int], digits: int | None = 4,
-                split_rows: int | None = None, bucket: Column | None = None,
-                check_skew: bool = False) -> DataFrame:
+                chunk_rows: int = 100_000, bucket: Column | None = None) -> DataFrame:
     """Sample stddev over the last ``n`` rows per key, rounded.
 
-    All frames share one partition/order spec, so Spark computes them in a
-    single Window operator after a single shuffle and sort.
-
-    ``split_rows`` (with a ``bucket`` monotone in the order, e.g. the month)
-    bounds the rows any task sorts: each row gets its position within the key
-    (``row_index``), keys are cut into chunks of ``split_rows`` positions, and
-    the last ``max(n) - 1`` rows of each chunk are copied into the next chunk
-    as context only. A key holding a third of all rows then spreads over many
-    tasks, with the same result as the single window. With ``check_skew`` the
-    largest key is measured first and the single window is kept when no key
-    exceeds ``split_rows``.
+    Each row gets its position within the key (``row_index`` over ``bucket``,
+    which must be monotone in the order and defaults to ``time_bucket`` of the
+    first order column), keys are cut into chunks of ``chunk_rows`` positions,
+    and the last ``max(n) - 1`` rows of each chunk are copied into the next one
+    as context only. A key holding a third of all rows spreads over many tasks.
+    All frames share one window operator.
     """
     order_cols = [col_of(o) for o in order]
-    if split_rows is not None and check_skew and largest_group(df, by) <= split_rows:
-        split_rows = None
-    if split_rows is None:
-        w = Window.partitionBy(*by).orderBy(*order_cols)
-        out = df
-        for name, n in windows.items():
-            sd = F.stddev_samp(F.col(value)).over(w.rowsBetween(-(n - 1), Window.currentRow))
-            out = out.withColumn(name, F.round(sd, digits) if digits is not None else sd)
-        return out
     if bucket is None:
-        raise ValueError("split_rows needs a bucket column monotone in the order")
+        if not isinstance(order[0], str):
+            raise ValueError("give a bucket that is monotone in the order")
+        bucket = time_bucket(df, order[0])
     overlap = max(windows.values()) - 1
-    if split_rows <= overlap:
-        raise ValueError("split_rows must exceed the largest window")
+    if chunk_rows <= overlap:
+        raise ValueError("chunk_rows must exceed the largest window")
     idx, chunk, ctx = "__rs_idx", "__rs_chunk", "__rs_ctx"
     x = row_index(df, by, order_cols, bucket, idx)
-    pos = (F.col(idx) - 1) % split_rows
-    c = F.floor((F.col(idx) - 1) / F.lit(split_rows)).cast("bigint")
+    pos = (F.col(idx) - 1) % chunk_rows
+    c = F.floor((F.col(idx) - 1) / F.lit(chunk_rows)).cast("bigint")
     copies = F.array(F.struct(c.alias(chunk), F.lit(False).alias(ctx)),
-                     F.when(pos >= split_rows - overlap,
+                     F.when(pos >= chunk_rows - overlap,
                             F.struct((c + 1).alias(chunk), F.lit(True).alias(ctx))))
-    x = (x.withColumn("__rs_copy", F.explode(copies)).where(F.col("__rs_copy").isNotNull())
+    x = (x.withColumn("__rs_copy", F.explode(F.array_compact(copies)))
           .withColumn(chunk, F.col("__rs_copy." + chunk)).withColumn(ctx, F.col("__rs_copy." + ctx))
           .drop("__rs_copy"))
     w = Window.partitionBy(*by, chunk).orderBy(idx)
     for name, n in windows.items():
         sd = F.stddev_samp(F.col(value)).over(w.rowsBetween(-(n - 1), Window.currentRow))
-        x = x.withColumn(name, F.round(sd, digits) if digits is not None else sd)
+        # from 9 decimals, so that the last bits of the sum do not decide a tie
+        x = x.withColumn(name, F.round(F.round(sd, 9), digits) if digits is not None else sd)
     return x.where(~F.col(ctx)).drop(idx, chunk, ctx)
 
 
-def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str,
-                method: str = "rank") -> DataFrame:
-    """Rank (ties share a rank, next rank skipped) within a group, as bigint."""
-    fn = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}[method]
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn(name, fn().over(w).cast("bigint"))
-
-
 def rank_by_value(df: DataFrame, by: Sequence[str], value: Column, name: str,
-                  descending: bool = True, splits: int | str | None = None,
-                  accuracy: int = 10000, rows_per_task: int = 5_000_000) -> DataFrame:
-    """``rank() over (partition by by order by value)`` as bigint.
-
-    With ``splits`` a group is never ranked in one task: approximate
-    quantiles per group (a mergeable sketch aggregate) cut the value range
-    into ``splits`` slices, equal values always fall into the same slice,
-    each slice is ranked on its own and shifted by the number of rows in the
-    slices ranked before it. The result is exact; the quantiles only decide
-    how evenly the work spreads. NULLs order as Spark's default (last when
-    descending, first when ascending). ``splits="auto"`` measures the largest
-    group and uses ``ceil(largest / rows_per_task)`` slices (one slice, i.e.
-    the single window, when no group is that large).
+                  descending: bool = True, method: str = "rank") -> DataFrame:
+    """``rank()`` or ``dense_rank()`` over (partition by by order by value)
+    as bigint, for a numeric ``value``.
+
+    Ranked from counts: rows are counted per (group, value) by a partial
+    aggregate, so a common value is one row however often it occurs; the counts
+    are summed over the values before it, slice by slice of the value range;
+    and the rank is joined back by value. Slices are cut by a fixed monotone
+    function of the value (64 to a power of two), so no group is sorted in
+    one task and no statistics are gathered first. NULLs order as Spark's
+    default (last when descending, first when ascending).
     """
-    if splits == "auto":
-        largest = largest_group(df, by)
-        splits = max(1, -(-largest // rows_per_task))
-    if splits is None or splits <= 1:
-        o = value.desc() if descending else value.asc()
-        return rank_within(df, by, [o], name)
-    v, r, n, off = "__rv_v", "__rv_slice", "__rv_n", "__rv_off"
+    v, s, n, at = "__rv_v", "__rv_slice", "__rv_n", "__rv_at"
     x = df.withColumn(v, value)
-    probs = [i / splits for i in range(1, splits)]
-    bounds = x.groupBy(*by).agg(F.percentile_approx(v, probs, accuracy).alias("__rv_b"))
-    below = F.size(F.filter(F.col("__rv_b"), lambda b: b < F.col(v)))
-    null_slice = F.lit(splits) if descending else F.lit(-1)
-    x = (_join_same_keys(x, bounds, list(by))
-          .withColumn(r, F.when(F.col(v).isNull(), null_slice).otherwise(below))
-          .drop("__rv_b"))
-    o = F.col(v).desc() if descending else F.col(v).asc()
-    local = x.withColumn("__rv_local", F.rank().over(Window.partitionBy(*by, r).orderBy(o)))
-    # Slice sizes from the same windowed rows: one shuffle of the input.
-    counts = local.groupBy(*by, r).agg(F.count(F.lit(1)).alias(n))
-    if descending:  # higher slices first, the NULL slice last
-        slice_order = [F.col(r) == null_slice, F.col(r).desc()]
-    else:           # the NULL slice (-1) first, then lower slices
-        slice_order = [F.col(r).asc()]
-    before_w = (Window.partitionBy(*by) if by else Window).orderBy(*slice_order) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, r, F.coalesce(F.sum(n).over(before_w), F.lit(0)).alias(off))
-    return (_join_same_keys(local, offsets, [*by, r])
-                 .withColumn(name, (F.col("__rv_local") + F.col(off)).cast("bigint"))
-                 .drop(v, r, off, "__rv_local"))
+    number = F.col(v).cast("double")
+    steps = F.least((F.log2(F.abs(number)) + 1100) * 64, F.lit(1e9))  # positive for any double
+    cut = F.when(F.isnan(number), F.lit(2 ** 31)).when(number == 0, F.lit(0)) \
+        .when(number.isNotNull(), F.floor(F.signum(number) * steps)).cast("bigint")
+    counts = x.groupBy(*by, cut.alias(s), v).agg(F.count(F.lit(1)).alias(n))
+    if method == "dense_rank":
+        counts = counts.withColumn(n, F.lit(1).cast("bigint"))
+    elif method != "rank":
+        raise ValueError(f"unknown method {method!r}")
+    order = (lambda c: F.col(c).desc_nulls_last()) if descending else (lambda c: F.col(c).asc_nulls_first())
+    rows_before = (Window.unboundedPreceding, -1)
+    inside = F.sum(n).over(Window.partitionBy(*by, s).orderBy(order(v)).rowsBetween(*rows_before))
+    slices = counts.groupBy(*by, s).agg(F.sum(n).alias(n))
+    before = F.sum(n).over(Window.partitionBy(*by).orderBy(order(s)).rowsBetween(*rows_before))
+    slices = slices.select(*by, s, F.coalesce(before, F.lit(0)).alias(at))
+    ranks = _join_same_keys(counts.withColumn("__rv_in", F.coalesce(inside, F.lit(0))), slices, [*by, s])
+    ranks = ranks.select(*by, v, (F.col("__rv_in") + F.col(at) + 1).cast("bigint").alias(name))
+    return _join_same_keys(x, ranks, [*by, v]).drop(v)

@@ -31,29 +31,15 @@ SERIES_NAMES = {
     "DGS10": "10-Year Treasury",
     "DEXUSEU": "USD/EUR Exchange Rate",
 }
-MACRO_MIN_PRICE = 450000.0
 MACRO_SCALE = 100000.0
 MACRO_LOADED_AT = "2024-01-25 12:00:00"
 CRYPTO_LOADED_AT = "2024-01-31 06:00:00"
 CRYPTO_CAP_FACTOR = 2000000
 
 
-_LOADED: dict[tuple, DataFrame] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a lazy DataFrame, resolved once per session.
-
-    Resolving a parquet relation lists the files and infers the schema (a
-    small Spark job); reusing the resolved relation also lets identical scans
-    in one plan be recognised and their exchanges reused.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(getattr(spark, "_jsparkSession", spark)), path)
-    df = _LOADED.get(key)
-    if df is None:
-        df = _LOADED[key] = spark.read.parquet(path)
-    return df
+    """The driver table as a lazy DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_equity(events: DataFrame) -> DataFrame:
@@ -105,11 +91,10 @@ def raw_crypto(customer: DataFrame, loaded_at: str = CRYPTO_LOADED_AT) -> DataFr
 
 
 def raw_macro(orders: DataFrame) -> DataFrame:
-    """Sparse macro series: orders above a price threshold, one series per
-    priority, value = max price of the day / 100,000."""
+    """Macro series: one per order priority, value = max price of the day /
+    100,000; a series has no value on days without an order of its priority."""
     sid = label_map("o_orderpriority", PRIORITY_SERIES, None)
-    return (orders.where(F.col("o_totalprice") > F.lit(MACRO_MIN_PRICE))
-            .groupBy(sid.alias("series_id"), F.col("o_orderdate").cast("date").alias("observation_date"))
+    return (orders.groupBy(sid.alias("series_id"), F.col("o_orderdate").cast("date").alias("observation_date"))
             .agg(F.max("o_totalprice").alias("mx"))
             .select("series_id",
                     label_map("series_id", SERIES_NAMES, None).alias("series_name"),
@@ -164,7 +149,7 @@ SQL_RAW_MACRO = f"""raw_macro AS (
          mx / {MACRO_SCALE} AS value, TIMESTAMP '{MACRO_LOADED_AT}' AS loaded_at
   FROM (SELECT {_case('o_orderpriority', PRIORITY_SERIES)} AS series_id,
                CAST(o_orderdate AS DATE) AS observation_date, max(o_totalprice) AS mx
-        FROM orders WHERE o_totalprice > {MACRO_MIN_PRICE} GROUP BY 1, 2))"""
+        FROM orders GROUP BY 1, 2))"""
 
 SQL_SEED = """seed AS (
   SELECT 'EQ' || CAST(n_nationkey AS VARCHAR) AS ticker_symbol, n_name AS company_name,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
+    SURROGATE_NULL_TOKEN,
     add_surrogate_key,
     calendar_parts,
     lenient_double,
@@ -32,7 +33,7 @@ from tidemark.operators.sinks import (
     upsert,
     with_load_stamp,
 )
-from tidemark.operators.timeseries import pivot_wide, rank_by_value, rank_within, rolling_std
+from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rolling_std
 from tidemark.plans import bindings as B
 from tidemark.plans import market as M
 from tidemark.schemas import ddl
@@ -114,16 +115,16 @@ class Inputs:
         return M.int_prices_combined(self.stg_crypto(), self.stg_equity())
 
     @_once
-    def macro_daily(self, bucket: bool = False):
-        return M.int_macro_daily(self.stg_macro(), bucket=bucket)
+    def macro_daily(self):
+        return M.int_macro_daily(self.stg_macro())
 
     @_once
     def dim(self):
         return M.dim_assets(self.stg_crypto(), self.stg_equity(), self.seed())
 
     @_once
-    def fct(self, since=None):
-        return M.fct_daily_prices(self.prices(), self.dim(), since=since)
+    def fct(self):
+        return M.fct_daily_prices(self.prices(), self.dim())
 
 
 # ------------------------------------------------------------------ SQL models
@@ -131,6 +132,25 @@ class Inputs:
 # Spark plan above is checked against an independent engine. Column names
 # and constants are the fixed values of the data model.
 
+
+
+def _tier_sql(value: str) -> str:
+    return "CASE " + " ".join(f"WHEN {value} >= {low} THEN '{name}'" for low, name in M.MARKET_CAP_TIERS) \
+        + f" ELSE '{M.MARKET_CAP_TIER_DEFAULT}' END"
+
+
+def _key_sql(*columns: str) -> str:
+    parts = [f"coalesce(CAST({c} AS VARCHAR), '{SURROGATE_NULL_TOKEN}')" for c in columns]
+    return f"md5(concat_ws('-', {', '.join(parts)}))"
+
+
+def _rolling_sql(value: str, by: str, order: str, windows: dict[str, int], digits: int = 4) -> str:
+    # rounded from 9 decimals on both sides, see ``rolling_std``
+    return ",\n         ".join(
+        f"round(round(stddev_samp({value}) OVER (PARTITION BY {by} ORDER BY {order} "
+        f"ROWS {n - 1} PRECEDING), 9), {digits}) AS {name}" for name, n in windows.items())
+
+
 _CTE: dict[str, tuple[str, tuple[str, ...]]] = {
     "raw_equity": (B.SQL_RAW_EQUITY, ()),
     "raw_crypto": (B.SQL_RAW_CRYPTO, ()),
@@ -156,9 +176,7 @@ _CTE: dict[str, tuple[str, tuple[str, ...]]] = {
   FROM raw_crypto)""", ("raw_crypto",)),
     "stg_macro": ("""stg_macro AS (
   SELECT series_id AS indicator_id, series_name AS indicator_name,
-         CASE series_id WHEN 'FEDFUNDS' THEN 'interest_rate' WHEN 'CPIAUCSL' THEN 'inflation'
-              WHEN 'UNRATE' THEN 'employment' WHEN 'DGS10' THEN 'interest_rate'
-              WHEN 'DEXUSEU' THEN 'fx_rate' ELSE 'other' END AS indicator_category,
+         coalesce(MAP """ + str(M.INDICATOR_CATEGORIES) + """[series_id], '""" + M.INDICATOR_CATEGORY_DEFAULT + """') AS indicator_category,
          observation_date, value AS indicator_value, loaded_at
   FROM raw_macro)""", ("raw_macro",)),
     "prices": ("""prices AS (
@@ -170,67 +188,45 @@ _CTE: dict[str, tuple[str, tuple[str, ...]]] = {
   SELECT ticker_symbol, ticker_symbol, ticker_symbol, 'equity', trade_date, close_usd,
          CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), price_change_pct
   FROM stg_equity)""", ("stg_crypto", "stg_equity")),
-    "macro_wide": ("""macro_wide AS (
-  SELECT observation_date,
-         max(CASE WHEN indicator_id = 'FEDFUNDS' THEN indicator_value END) AS fed_funds_rate_raw,
-         max(CASE WHEN indicator_id = 'CPIAUCSL' THEN indicator_value END) AS cpi_raw,
-         max(CASE WHEN indicator_id = 'UNRATE' THEN indicator_value END) AS unemployment_rate_raw,
-         max(CASE WHEN indicator_id = 'DGS10' THEN indicator_value END) AS treasury_10y_yield_raw,
-         max(CASE WHEN indicator_id = 'DEXUSEU' THEN indicator_value END) AS usd_eur_rate_raw
-  FROM stg_macro GROUP BY observation_date)""", ("stg_macro",)),
-    "macro_daily": ("""macro_daily AS (
-  SELECT observation_date,
-    last_value(fed_funds_rate_raw IGNORE NULLS) OVER w AS fed_funds_rate,
-    last_value(cpi_raw IGNORE NULLS) OVER w AS cpi,
-    last_value(unemployment_rate_raw IGNORE NULLS) OVER w AS unemployment_rate,
-    last_value(treasury_10y_yield_raw IGNORE NULLS) OVER w AS treasury_10y_yield,
-    last_value(usd_eur_rate_raw IGNORE NULLS) OVER w AS usd_eur_rate
-  FROM macro_wide
-  WINDOW w AS (ORDER BY observation_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
-                    ("macro_wide",)),
-    "dim": ("""dim AS (
-  SELECT coin_id AS asset_id, coin_symbol AS asset_symbol, coin_name AS asset_name,
-         'crypto' AS asset_class, market_cap_rank, market_cap_usd,
-         CASE WHEN market_cap_usd >= 10000000000 THEN 'large_cap'
-              WHEN market_cap_usd >= 1000000000 THEN 'mid_cap'
-              WHEN market_cap_usd >= 100000000 THEN 'small_cap' ELSE 'micro_cap' END AS market_cap_tier,
+    "macro_wide": ("macro_wide AS (\n  SELECT observation_date,\n" + ",\n".join(
+        f"    max(indicator_value) FILTER (WHERE indicator_id = '{k}') AS seen_{v}"
+        for k, v in M.INDICATOR_COLUMNS.items()) + "\n  FROM stg_macro GROUP BY observation_date)", ("stg_macro",)),
+    # carried forward by joining each date to the newest release at or before it
+    "macro_daily": ("macro_daily AS (\n  SELECT d.observation_date, " + ", ".join(
+        f"r_{v}.value AS {v}" for v in M.INDICATOR_COLUMNS.values())
+        + "\n  FROM (SELECT DISTINCT observation_date FROM stg_macro) d\n" + "\n".join(
+        f"  ASOF LEFT JOIN (SELECT observation_date, max(indicator_value) AS value FROM stg_macro WHERE indicator_id = '{k}' "
+        f"GROUP BY observation_date HAVING max(indicator_value) IS NOT NULL) r_{v} ON d.observation_date >= r_{v}.observation_date"
+        for k, v in M.INDICATOR_COLUMNS.items()) + ")", ("stg_macro",)),
+    "dim": (f"""dim AS (
+  SELECT coin_id AS asset_id, coin_symbol AS asset_symbol, coin_name AS asset_name, 'crypto' AS asset_class,
+         market_cap_rank, market_cap_usd, {_tier_sql('market_cap_usd')} AS market_cap_tier,
          all_time_high_usd, all_time_high_date, circulating_supply, max_supply,
          CAST(NULL AS VARCHAR) AS company_name, CAST(NULL AS VARCHAR) AS sector
   FROM stg_crypto
-  UNION ALL
-  SELECT DISTINCT stg.ticker_symbol, stg.ticker_symbol, stg.ticker_symbol, 'equity',
-         CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE),
-         CAST(NULL AS TIMESTAMP), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
-         seed.company_name, seed.sector
-  FROM stg_equity stg LEFT JOIN seed ON stg.ticker_symbol = seed.ticker_symbol)""",
+  UNION ALL BY NAME
+  SELECT t.ticker_symbol AS asset_id, t.ticker_symbol AS asset_symbol, t.ticker_symbol AS asset_name,
+         'equity' AS asset_class, s.company_name, s.sector
+  FROM (SELECT ticker_symbol FROM stg_equity GROUP BY ticker_symbol) t LEFT JOIN seed s USING (ticker_symbol))""",
             ("stg_crypto", "stg_equity", "seed")),
-    "fct": ("""fct AS (
-  SELECT md5(coalesce(CAST(p.asset_id AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
-             coalesce(CAST(p.price_date AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS price_id,
-         p.asset_id, p.asset_symbol, p.asset_name, p.asset_class, p.price_date,
-         a.market_cap_tier, a.market_cap_rank, p.price_usd, p.volume_usd, p.market_cap_usd,
-         p.price_change_pct, year(p.price_date) AS price_year, month(p.price_date) AS price_month,
-         dayofweek(p.price_date) AS price_day_of_week
-  FROM prices p LEFT JOIN dim a ON p.asset_id = a.asset_id)""", ("prices", "dim")),
-    "volatility": ("""volatility AS (
-  SELECT price_id, asset_id, asset_symbol, asset_name, asset_class, market_cap_tier, price_date,
-         price_usd, price_change_pct,
-         round(stddev_samp(price_change_pct) OVER (PARTITION BY asset_id ORDER BY price_date
-               ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS volatility_7d,
-         round(stddev_samp(price_change_pct) OVER (PARTITION BY asset_id ORDER BY price_date
-               ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 4) AS volatility_30d,
-         round(stddev_samp(price_change_pct) OVER (PARTITION BY asset_id ORDER BY price_date
-               ROWS BETWEEN 89 PRECEDING AND CURRENT ROW), 4) AS volatility_90d,
-         rank() OVER (PARTITION BY price_date ORDER BY abs(price_change_pct) DESC) AS volatility_rank_daily
-  FROM fct WHERE price_change_pct IS NOT NULL)""", ("fct",)),
-    "macro_fact": ("""macro_fact AS (
-  SELECT p.price_id, p.asset_id, p.asset_symbol, p.asset_name, p.asset_class, p.market_cap_tier,
-         p.price_date, p.price_year, p.price_month, p.price_usd, p.price_change_pct, p.volume_usd,
-         m.fed_funds_rate, m.cpi, m.unemployment_rate, m.treasury_10y_yield, m.usd_eur_rate,
-         CASE WHEN m.observation_date IS NOT NULL THEN true ELSE false END AS has_macro_data
-  FROM fct p LEFT JOIN macro_daily m ON m.observation_date = (
-       SELECT max(m2.observation_date) FROM macro_daily m2 WHERE m2.observation_date <= p.price_date)
-  WHERE p.price_change_pct IS NOT NULL)""", ("fct", "macro_daily")),
+    "fct": (f"""fct AS (
+  SELECT {_key_sql('asset_id', 'price_date')} AS price_id, asset_id, prices.asset_symbol, prices.asset_name,
+         prices.asset_class, price_date, dim.market_cap_tier, dim.market_cap_rank, price_usd, volume_usd,
+         prices.market_cap_usd, price_change_pct, date_part('year', price_date) AS price_year,
+         date_part('month', price_date) AS price_month, date_part('dow', price_date) AS price_day_of_week
+  FROM prices LEFT JOIN dim USING (asset_id))""", ("prices", "dim")),
+    "volatility": (f"""volatility AS (
+  SELECT price_id, asset_id, asset_symbol, asset_name, asset_class, market_cap_tier, price_date, price_usd,
+         price_change_pct, {_rolling_sql('price_change_pct', 'asset_id', 'price_date', M.VOLATILITY_WINDOWS)},
+         rank() OVER (PARTITION BY price_date ORDER BY size DESC) AS volatility_rank_daily
+  FROM moved)""", ("moved",)),
+    "moved": ("""moved AS (
+  SELECT *, abs(price_change_pct) AS size FROM fct WHERE price_change_pct IS NOT NULL)""", ("fct",)),
+    "macro_fact": ("macro_fact AS (\n  SELECT f.price_id, f.asset_id, f.asset_symbol, f.asset_name, f.asset_class, "
+                   "f.market_cap_tier, f.price_date, f.price_year, f.price_month, f.price_usd, f.price_change_pct, f.volume_usd, "
+                   + ", ".join(f"d.{v}" for v in M.INDICATOR_COLUMNS.values())
+                   + ", d.observation_date IS NOT NULL AS has_macro_data\n"
+                   "  FROM moved f ASOF LEFT JOIN macro_daily d ON f.price_date >= d.observation_date)", ("moved", "macro_daily")),
 }
 
 
@@ -277,76 +273,47 @@ def q_label_lookup(spark, sf):
 # ================================================================== windows
 
 
-@register("rolling_volatility", "W2 W3 W4 F1", with_("stg_equity") + """
-SELECT ticker_symbol, trade_date, price_change_pct,
-  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
-        ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS volatility_7d,
-  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
-        ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 4) AS volatility_30d,
-  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
-        ROWS BETWEEN 89 PRECEDING AND CURRENT ROW), 4) AS volatility_90d
-FROM stg_equity WHERE price_change_pct IS NOT NULL""")
-def q_rolling_volatility(spark, sf):
-    s = Inputs(spark, sf).stg_equity().where(F.col("price_change_pct").isNotNull()) \
-        .select("ticker_symbol", "trade_date", "price_change_pct")
-    return rolling_std(s, ["ticker_symbol"], ["trade_date"], "price_change_pct", M.VOLATILITY_WINDOWS)
+_MOVES = with_("stg_equity") + "SELECT ticker_symbol, trade_date, price_change_pct, {} FROM stg_equity WHERE price_change_pct IS NOT NULL"
+_ROLLING_SQL = _MOVES.format(_rolling_sql("price_change_pct", "ticker_symbol", "trade_date", M.VOLATILITY_WINDOWS))
+_RANK_SQL = _MOVES.format("rank() OVER (PARTITION BY trade_date ORDER BY abs(price_change_pct) DESC) AS move_rank")
 
 
-@register("daily_move_rank", "W5 X9", with_("stg_equity") + """
-SELECT ticker_symbol, trade_date, price_change_pct,
-  rank() OVER (PARTITION BY trade_date ORDER BY abs(price_change_pct) DESC) AS move_rank
-FROM stg_equity WHERE price_change_pct IS NOT NULL""")
-def q_daily_move_rank(spark, sf):
-    s = Inputs(spark, sf).stg_equity().where(F.col("price_change_pct").isNotNull()) \
+def _moves(spark, sf):
+    return Inputs(spark, sf).stg_equity().where(F.col("price_change_pct").isNotNull()) \
         .select("ticker_symbol", "trade_date", "price_change_pct")
-    return rank_within(s, ["trade_date"], [F.abs(F.col("price_change_pct")).desc()], "move_rank")
 
 
-_ROLLING_SQL = with_("stg_equity") + """
-SELECT ticker_symbol, trade_date, price_change_pct,
-  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
-        ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS volatility_7d,
-  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
-        ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 4) AS volatility_30d,
-  round(stddev_samp(price_change_pct) OVER (PARTITION BY ticker_symbol ORDER BY trade_date
-        ROWS BETWEEN 89 PRECEDING AND CURRENT ROW), 4) AS volatility_90d
-FROM stg_equity WHERE price_change_pct IS NOT NULL"""
+@register("rolling_volatility", "W2 W3 W4 F1", _ROLLING_SQL)
+def q_rolling_volatility(spark, sf):
+    return rolling_std(_moves(spark, sf), ["ticker_symbol"], ["trade_date"], "price_change_pct", M.VOLATILITY_WINDOWS)
 
 
-@register("rolling_volatility_split", "W2 W3 W4, hot keys cut into row chunks", _ROLLING_SQL)
-def q_rolling_volatility_split(spark, sf):
-    s = Inputs(spark, sf).stg_equity().where(F.col("price_change_pct").isNotNull()) \
-        .select("ticker_symbol", "trade_date", "price_change_pct")
-    # The chunked path forced on (100-row chunks, the smallest above the
-    # 90-row window); chunk borders are crossed in the pytest's hot key.
-    return rolling_std(s, ["ticker_symbol"], ["trade_date"], "price_change_pct", M.VOLATILITY_WINDOWS,
-                       split_rows=100, bucket=F.date_trunc("week", F.col("trade_date")))
+@register("daily_move_rank", "W5 X9", _RANK_SQL)
+def q_daily_move_rank(spark, sf):
+    return rank_by_value(_moves(spark, sf), ["trade_date"], F.abs(F.col("price_change_pct")), "move_rank")
 
 
-_EVENT_ROLLING_SQL = """
-SELECT user_id, event_id, ts, value,
-  round(stddev_samp(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
-        ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS v7,
-  round(stddev_samp(value) OVER (PARTITION BY user_id ORDER BY ts, event_id
-        ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 4) AS v30
-FROM events"""
+@register("rolling_volatility_split", "W2 W3 W4, the smallest chunks and weekly buckets", _ROLLING_SQL)
+def q_rolling_volatility_split(spark, sf):
+    return rolling_std(_moves(spark, sf), ["ticker_symbol"], ["trade_date"], "price_change_pct", M.VOLATILITY_WINDOWS,
+                       chunk_rows=90, bucket=F.date_trunc("week", F.col("trade_date")))
 
 
-@register("event_rolling_split", "W2 W3 over every event per user, 40-row chunks crossed", _EVENT_ROLLING_SQL)
+@register("event_rolling_split", "W2 W3 over every event per user, 40-row chunks crossed",
+          "SELECT user_id, event_id, ts, value, "
+          + _rolling_sql("value", "user_id", "ts, event_id", {"v7": 7, "v30": 30}) + " FROM events")
 def q_event_rolling_split(spark, sf):
     ev = Inputs(spark, sf).table("events").select("user_id", "event_id", "ts", "value")
-    return rolling_std(ev, ["user_id"], [F.col("ts"), F.col("event_id")], "value",
-                       {"v7": 7, "v30": 30}, split_rows=40, bucket=F.date_trunc("day", F.col("ts")))
+    return rolling_std(ev, ["user_id"], ["ts", "event_id"], "value", {"v7": 7, "v30": 30}, chunk_rows=40)
 
 
-@register("daily_move_rank_split", "W5 X9, hot dates cut into value slices", with_("stg_equity") + """
+@register("daily_move_rank_split", "W5 dense rank, ascending", with_("stg_equity") + """
 SELECT ticker_symbol, trade_date, price_change_pct,
-  rank() OVER (PARTITION BY trade_date ORDER BY abs(price_change_pct) DESC) AS move_rank
-FROM stg_equity WHERE price_change_pct IS NOT NULL""")
+  dense_rank() OVER (PARTITION BY trade_date ORDER BY price_change_pct NULLS FIRST) AS move_rank
+FROM stg_equity""")
 def q_daily_move_rank_split(spark, sf):
-    s = Inputs(spark, sf).stg_equity().where(F.col("price_change_pct").isNotNull()) \
-        .select("ticker_symbol", "trade_date", "price_change_pct")
-    return rank_by_value(s, ["trade_date"], F.abs(F.col("price_change_pct")), "move_rank", splits=16)
+    s = Inputs(spark, sf).stg_equity().select("ticker_symbol", "trade_date", "price_change_pct")
+    return rank_by_value(s, ["trade_date"], F.col("price_change_pct"), "move_rank", descending=False, method="dense_rank")
 
 
 @register("topk_per_key", "W6 T1", """
@@ -373,9 +340,7 @@ def q_topk_global(spark, sf):
 
 
 @register("surrogate_key_calendar", "X13 X14 X15 G5", with_("stg_equity") + """
-SELECT md5(coalesce(CAST(ticker_symbol AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
-           coalesce(CAST(trade_date AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS price_id,
-       ticker_symbol, trade_date, year(trade_date) AS price_year, month(trade_date) AS price_month,
+SELECT """ + _key_sql("ticker_symbol", "trade_date") + """ AS price_id, ticker_symbol, trade_date, year(trade_date) AS price_year, month(trade_date) AS price_month,
        dayofweek(trade_date) AS price_day_of_week
 FROM stg_equity""")
 def q_surrogate_key_calendar(spark, sf):
@@ -386,10 +351,7 @@ def q_surrogate_key_calendar(spark, sf):
 
 
 @register("market_cap_tier", "X10 X1 G6", with_("stg_crypto") + """
-SELECT coin_id, coin_symbol_upper, market_cap_usd,
-  CASE WHEN market_cap_usd >= 10000000000 THEN 'large_cap'
-       WHEN market_cap_usd >= 1000000000 THEN 'mid_cap'
-       WHEN market_cap_usd >= 100000000 THEN 'small_cap' ELSE 'micro_cap' END AS market_cap_tier
+SELECT coin_id, coin_symbol_upper, market_cap_usd, """ + _tier_sql("market_cap_usd") + """ AS market_cap_tier
 FROM stg_crypto""")
 def q_market_cap_tier(spark, sf):
     s = Inputs(spark, sf).stg_crypto()
@@ -448,29 +410,33 @@ def q_load_counts(spark, sf):
 
 @register("pivot_wide", "A1", with_("macro_wide") + "SELECT * FROM macro_wide")
 def q_pivot_wide(spark, sf):
-    raw = {k: f"{v}_raw" for k, v in M.INDICATOR_COLUMNS.items()}
+    seen = {k: f"seen_{v}" for k, v in M.INDICATOR_COLUMNS.items()}
     return pivot_wide(Inputs(spark, sf).stg_macro(), ["observation_date"], "indicator_id",
-                      "indicator_value", raw)
+                      "indicator_value", seen)
 
 
 @register("forward_fill", "W1 M5 G16 G17", with_("macro_daily") + "SELECT * FROM macro_daily")
 def q_forward_fill(spark, sf):
-    return Inputs(spark, sf).macro_daily(bucket=False)
+    return Inputs(spark, sf).macro_daily()
 
 
-@register("forward_fill_scaled", "W1 (two-pass by month)",
-          with_("macro_daily") + "SELECT * FROM macro_daily")
+@register("forward_fill_scaled", "W1 by key, NULL keys and values included", """
+WITH o AS (SELECT o_orderkey, nullif(o_custkey % 50, 7) AS grp, CAST(o_orderdate AS DATE) AS day,
+                  CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice END AS price FROM orders)
+SELECT o_orderkey, grp, day, last_value(price IGNORE NULLS) OVER (
+         PARTITION BY grp ORDER BY day, o_orderkey ROWS UNBOUNDED PRECEDING) AS price FROM o""")
 def q_forward_fill_scaled(spark, sf):
-    return Inputs(spark, sf).macro_daily(bucket=True)
+    o = Inputs(spark, sf).table("orders").select(
+        "o_orderkey", F.nullif(F.col("o_custkey") % 50, F.lit(7)).alias("grp"), F.col("o_orderdate").cast("date").alias("day"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.col("o_totalprice")).alias("price"))
+    return forward_fill(o, ["day", "o_orderkey"], ["price"], partition_by=["grp"])
 
 
 @register("asof_join", "J3 J6 A3 X12 G7", with_("macro_daily") + """
 SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_shipdate AS DATE) AS ship_date, l.l_extendedprice,
        m.fed_funds_rate, m.cpi, m.unemployment_rate, m.treasury_10y_yield, m.usd_eur_rate,
        m.observation_date IS NOT NULL AS has_macro_data
-FROM lineitem l LEFT JOIN macro_daily m ON m.observation_date = (
-     SELECT max(m2.observation_date) FROM macro_daily m2
-     WHERE m2.observation_date <= CAST(l.l_shipdate AS DATE))""")
+FROM lineitem l ASOF LEFT JOIN macro_daily m ON CAST(l.l_shipdate AS DATE) >= m.observation_date""")
 def q_asof_join(spark, sf):
     i = Inputs(spark, sf)
     li = i.table("lineitem").select("l_orderkey", "l_linenumber",
@@ -486,7 +452,7 @@ WITH closed AS (
   FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
 open_orders AS (
   SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date
-  FROM orders WHERE o_orderstatus = 'O')
+  FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F')
 SELECT o.o_orderkey, o.o_custkey, o.order_date, c.closed_date, c.closed_price,
        c.cust IS NOT NULL AS has_prior
 FROM open_orders o ASOF LEFT JOIN closed c ON o.o_custkey = c.cust AND o.order_date >= c.closed_date"""
@@ -497,19 +463,19 @@ def _keyed_inputs(spark, sf):
     closed = (o.where(F.col("o_orderstatus") == "F")
               .groupBy(F.col("o_custkey"), F.col("o_orderdate").cast("date").alias("closed_date"))
               .agg(F.max("o_totalprice").alias("closed_price")))
-    open_ = o.where(F.col("o_orderstatus") == "O").select(
+    open_ = o.where(~F.col("o_orderstatus").eqNullSafe("F")).select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"))
     return open_, closed
 
 
-@register("asof_join_keyed", "J3 by key (union + last non-null per key, one window)", _KEYED_SQL)
+@register("asof_join_keyed", "J3 by key (time map)", _KEYED_SQL)
 def q_asof_join_keyed(spark, sf):
     open_, closed = _keyed_inputs(spark, sf)
     return asof_join(open_, closed, "order_date", "closed_date", by=["o_custkey"],
-                     right_cols=["closed_date", "closed_price"], flag_col="has_prior", bucket=None)
+                     right_cols=["closed_date", "closed_price"], flag_col="has_prior")
 
 
-@register("asof_join_keyed_bucketed", "J3 by key, hot keys split by time bucket", _KEYED_SQL)
+@register("asof_join_keyed_bucketed", "J3 by key, yearly buckets", _KEYED_SQL)
 def q_asof_join_keyed_bucketed(spark, sf):
     open_, closed = _keyed_inputs(spark, sf)
     return asof_join(open_, closed, "order_date", "closed_date", by=["o_custkey"],
@@ -540,14 +506,10 @@ def q_asset_volatility(spark, sf):
     return M.fct_asset_volatility(Inputs(spark, sf).fct())
 
 
-@register("asset_volatility_skew_safe", "M8 with the skew-safe windows forced on",
+@register("asset_volatility_skew_safe", "M8 with the smallest chunks",
           with_("volatility") + "SELECT * FROM volatility")
 def q_asset_volatility_skew_safe(spark, sf):
-    # The split paths forced on: every date cut into 8 value slices; assets
-    # indexed and chunked (200-row chunks; the driver data has at most 30 rows
-    # per asset, so chunk borders are crossed only in the pytest with a
-    # 700-row key).
-    return M.asset_volatility(Inputs(spark, sf).fct(), split_rows=200, rank_splits=8)
+    return M.asset_volatility(Inputs(spark, sf).fct(), chunk_rows=90)
 
 
 @register("macro_enriched_fact", "M9 J3 X12 F1", with_("macro_fact") + "SELECT * FROM macro_fact")
@@ -638,7 +600,7 @@ def q_incremental_merge(spark, sf):
     first = i.fct().where(F.col("price_date") <= mark) \
         .withColumn("price_usd", F.when(F.col("price_date") == mark, F.lit(-1.0))
                     .otherwise(F.col("price_usd")))
-    return incremental_merge(first, lambda since: i.fct(since=since), ["price_id"], "price_date")
+    return incremental_merge(first, i.fct(), ["price_id"], "price_date")
 
 
 @register("incremental_volatility", "K3 W2 G1 (context rows keep it equal to a full refresh)",
@@ -672,8 +634,7 @@ _SNAP_T1, _SNAP_T2 = "2024-01-15 00:00:00", AS_OF
 _SNAP_SRC = """SELECT 'cust-' || CAST(c_custkey AS VARCHAR) AS asset_id,
     'c' || CAST(c_custkey AS VARCHAR) AS asset_symbol, c_name AS asset_name,
     CAST(c_custkey AS INTEGER) AS market_cap_rank, bal * 2000000 AS market_cap_usd,
-    CASE WHEN bal * 2000000 >= 10000000000 THEN 'large_cap' WHEN bal * 2000000 >= 1000000000 THEN 'mid_cap'
-         WHEN bal * 2000000 >= 100000000 THEN 'small_cap' ELSE 'micro_cap' END AS market_cap_tier"""
+    """ + _tier_sql("bal * 2000000") + " AS market_cap_tier"
 _SNAP_CHANGED = """(h.market_cap_tier IS DISTINCT FROM s.market_cap_tier
        OR h.market_cap_rank IS DISTINCT FROM s.market_cap_rank
        OR h.market_cap_usd IS DISTINCT FROM s.market_cap_usd)"""
@@ -766,15 +727,13 @@ def q_dq_unique(spark, sf):
                 "market_cap_tier NOT IN ('large_cap', 'mid_cap', 'small_cap')) FROM fct")]))
 def q_dq_accepted_values(spark, sf):
     i = Inputs(spark, sf)
-    fct = i.fct()
-    a = Q.check_table(fct, "fct_daily_prices", [
-        Q.AcceptedValues("asset_class", ("crypto", "equity"))])
+    a = Q.check_table(i.fct(), "fct_daily_prices", [
+        Q.AcceptedValues("asset_class", ("crypto", "equity")),
+        Q.AcceptedValues("market_cap_tier", ("large_cap", "mid_cap", "small_cap"))])
     b = Q.check_table(i.stg_macro(), "stg_macro_indicators", [
         Q.AcceptedValues("indicator_category",
                          ("interest_rate", "inflation", "employment", "fx_rate", "other"))])
-    c = Q.check_table(fct, "fct_daily_prices", [
-        Q.AcceptedValues("market_cap_tier", ("large_cap", "mid_cap", "small_cap"))])
-    return _rename_report(a.unionByName(b).unionByName(c))
+    return _rename_report(a.unionByName(b))
 
 
 @register("dq_relationships", "Q4 J5", with_("fct", "dim") + "\nUNION ALL\n".join([

@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
-from tidemark.operators.relational import topk, topk_per_key
+from tidemark.operators.relational import topk, topk_per_key, unique_by
 from tidemark.operators.scd2 import scd2_snapshot
 from tidemark.operators.sinks import (
+    dedupe_by_key,
+    drop_old_versions,
     high_water_mark,
     incremental_window_rows,
     layer_path,
@@ -36,6 +38,7 @@ from tidemark.operators.sinks import (
     write_version,
 )
 from tidemark.plans import market as M
+from tidemark.session import cut_lineage
 from tidemark.schemas import RAW_CRYPTO, RAW_EQUITY, RAW_MACRO
 from tidemark.sources.tables import read_seed
 from tidemark.sources.payloads import (
@@ -67,6 +70,7 @@ def _write_counted(df: DataFrame, path: str, name: str) -> None:
     counted, obs = _counted(df, name)
     write_version(counted, path)
     LOAD_COUNTS[name] = obs.get.get("rows", 0)
+    drop_old_versions(df.sparkSession, path)
 
 
 def load_seed(spark: SparkSession, csv_path: str, root: str, table: str = "seed_equity_reference") -> DataFrame:
@@ -80,7 +84,9 @@ def load_seed(spark: SparkSession, csv_path: str, root: str, table: str = "seed_
 def load_equity(spark: SparkSession, landing: str, root: str, as_of, days: int = EQUITY_DAYS) -> DataFrame:
     """Parse daily series payloads, keep the newest ``days`` per symbol,
     merge into the raw table on (symbol, trade_date)."""
-    parsed = read_timeseries_payload(spark, landing)
+    parsed = read_timeseries_payload(spark, landing, landed_col="landed")
+    # The last landed file wins a day, before days are counted
+    parsed = dedupe_by_key(parsed, ["symbol", "trade_date"], ["landed"]).drop("landed")
     newest = topk_per_key(parsed, ["symbol"], [F.col("trade_date").desc()], days)
     newest = Q.require_not_null(newest, ["symbol", "trade_date"], "equity_daily_prices")
     path = layer_path(root, RAW, "equity_daily_prices")
@@ -115,14 +121,16 @@ def load_macro(spark: SparkSession, landing: str, root: str, as_of, names: dict[
                since_days: int = MACRO_SINCE_DAYS) -> DataFrame:
     """Parse observation payloads of the last ``since_days`` days, merge on
     (series_id, observation_date); updates value, name and load time."""
-    obs = read_observations_payload(spark, landing, names, since_days, as_of)
-    obs = Q.require_not_null(obs, ["series_id", "observation_date"], "macro_observations")
+    keys = ["series_id", "observation_date"]
+    obs = read_observations_payload(spark, landing, names, since_days, as_of, landed_col="landed")
+    obs = Q.require_not_null(dedupe_by_key(obs, keys, ["landed"]).drop("landed"), keys, "macro_observations")
+    obs = cut_lineage(obs)  # payloads are parsed once
     # earliest observation this load may change: marts depending on the
     # macro series need rebuilding only from here on
     LOAD_MIN_DATE["macro_observations"] = obs.agg(F.min("observation_date")).first()[0]
     path = layer_path(root, RAW, "macro_observations")
     target = read_current(spark, path, RAW_MACRO)
-    merged = upsert(target, obs, ["series_id", "observation_date"], stamp=("loaded_at", as_of))
+    merged = upsert(target, obs, keys, stamp=("loaded_at", as_of))
     _write_counted(merged.select(*RAW_MACRO.fieldNames()), path, "macro_observations")
     return read_current(spark, path, RAW_MACRO)
 
@@ -156,7 +164,8 @@ class DailyRun:
         prices = M.int_prices_combined(stg_c, stg_e)
         macro = M.int_macro_daily(stg_m)
 
-        dim = M.dim_assets(stg_c, stg_e, self.seed)
+        # a repeated coin fails here, before anything downstream is rewritten
+        dim = unique_by(M.dim_assets(stg_c, stg_e, self.seed), ["asset_id"])
         dim_path = self.path(CORE, "dim_assets")
         write_version(dim, dim_path)
         dim = read_current(spark, dim_path)
@@ -192,7 +201,7 @@ class DailyRun:
                                                         self.lookback_days)
         src = fct.where(F.col("price_change_pct").isNotNull())
         vol_rows = incremental_window_rows(src, vol_mark, "price_date", ["asset_id"], 89,
-                                           M.asset_volatility_skew_safe).select(*vol_schema.fieldNames())
+                                           M.asset_volatility).select(*vol_schema.fieldNames())
         if self.full_refresh:
             write_table(vol_rows, vol_path, ["price_date"], replace_all=True)
         else:
@@ -214,7 +223,8 @@ class DailyRun:
             write_table(M.fct_macro_correlation(fct, macro), corr_path, ["price_date"],
                         replace_all=True)
         else:
-            rows = M.fct_macro_correlation(fct.where(F.col("price_date") >= F.lit(since)), macro)
+            rows = M.fct_macro_correlation(fct.where(F.col("price_date").isNull()
+                                                     | (F.col("price_date") >= F.lit(since))), macro)
             replace_partitions_from(rows.select(*corr_schema.fieldNames()), corr_path,
                                     "price_date", since)
 
@@ -259,8 +269,8 @@ class DailyRun:
             Q.check_table(fct, "fct_daily_prices", [
                 *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date", "price_usd", "asset_class")],
                 Q.AcceptedValues("asset_class", ("crypto", "equity")),
-                Q.Expectation("assert_prices_are_positive", Q.positive("price_usd"), "price_usd"),
-                Q.Expectation("asset_no_future_prices", Q.not_in_future("price_date", self.as_of),
+                Q.Expectation("price_is_positive", Q.positive("price_usd"), "price_usd"),
+                Q.Expectation("price_date_not_in_future", Q.not_in_future("price_date", self.as_of),
                               "price_date"),
                 Q.Unique(("price_id",)),
                 Q.Relationship("asset_id", dim, "asset_id", severity="warn")]),
@@ -269,7 +279,7 @@ class DailyRun:
             Q.check_table(corr, "fct_macro_correlation", [
                 *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date")], Q.Unique(("price_id",)),
                 Q.AcceptedValues("asset_class", ("crypto", "equity")),
-                Q.Expectation("assert_macro_indicators_in_range", Q.out_of_range(M.INDICATOR_RANGES))]),
+                Q.Expectation("indicators_within_bounds", Q.out_of_range(M.INDICATOR_RANGES))]),
         ]
         report = parts[0]
         for p in parts[1:]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import (
@@ -20,7 +20,6 @@ from tidemark.functions.expr import (
 )
 from tidemark.operators.asof import asof_join
 from tidemark.operators.relational import conform_union, enrich, select_renamed
-from tidemark.operators.scd2 import scd2_merge
 from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rolling_std
 from tidemark.schemas import DIM_ASSETS, PRICES_COMBINED
 
@@ -153,19 +152,12 @@ def int_prices_combined(stg_crypto: DataFrame, stg_equity: DataFrame) -> DataFra
 
 
 def int_macro_daily(stg_macro: DataFrame, columns: Mapping[str, str] = INDICATOR_COLUMNS,
-                    bucket: bool = False) -> DataFrame:
+                    bucket: Column | None = None) -> DataFrame:
     """M5: pivot the five series to one row per observation date, then carry
-    each value forward over dates without a release.
-
-    One row per calendar date with an observation, so the table is bounded by
-    the calendar, not by the data volume; ``bucket=True`` runs the two-pass
-    fill by month instead of one single-partition window.
-    """
-    raw = {k: f"{v}_raw" for k, v in columns.items()}
-    wide = pivot_wide(stg_macro, ["observation_date"], "indicator_id", "indicator_value", raw)
-    fill = {f"{v}_raw": v for v in columns.values()}
-    b = F.date_trunc("month", F.col("observation_date")) if bucket else None
-    filled = forward_fill(wide, "observation_date", fill, bucket=b)
+    each value forward over dates without a release (by month, or ``bucket``)."""
+    seen = {k: f"seen_{v}" for k, v in columns.items()}
+    wide = pivot_wide(stg_macro, ["observation_date"], "indicator_id", "indicator_value", seen)
+    filled = forward_fill(wide, "observation_date", {f"seen_{v}": v for v in columns.values()}, bucket=bucket)
     return filled.select("observation_date", *columns.values())
 
 
@@ -216,38 +208,15 @@ def fct_daily_prices(prices: DataFrame, assets: DataFrame, since=None) -> DataFr
         "price_change_pct", "price_year", "price_month", "price_day_of_week")
 
 
-def asset_volatility(fct: DataFrame, split_rows: int | None = None,
-                     rank_splits: int | str | None = None, check_skew: bool = False,
-                     rows_per_task: int = 5_000_000) -> DataFrame:
-    """M8 computation: rolling volatility per asset and daily move rank.
-
-    ``split_rows`` / ``rank_splits`` switch on the skew-safe forms (a hot
-    asset cut into row chunks, a hot date cut into value slices); the result
-    is the same.
-    """
+def asset_volatility(fct: DataFrame, chunk_rows: int = 100_000) -> DataFrame:
+    """M8 computation: rolling volatility per asset (a hot asset is cut into
+    chunks of ``chunk_rows``) and daily move rank (from counts per value)."""
     base = fct.where(F.col("price_change_pct").isNotNull()).select(
         "price_id", "asset_id", "asset_symbol", "asset_name", "asset_class", "market_cap_tier",
         "price_date", "price_usd", "price_change_pct")
     vol = rolling_std(base, ["asset_id"], ["price_date"], "price_change_pct", VOLATILITY_WINDOWS,
-                      split_rows=split_rows,
-                      bucket=F.date_trunc("month", F.col("price_date")) if split_rows else None,
-                      check_skew=check_skew)
-    return rank_by_value(vol, ["price_date"], F.abs(F.col("price_change_pct")),
-                         "volatility_rank_daily", descending=True, splits=rank_splits,
-                         rows_per_task=rows_per_task)
-
-
-# Skew-safe settings for production runs: the largest asset and the largest
-# date are measured first (one small aggregate each); an asset with more
-# than five million rows is cut into row chunks of that size, a date into
-# ceil(rows / five million) value slices. Without such keys the plain
-# single windows run.
-SKEW_SAFE = {"split_rows": 5_000_000, "rank_splits": "auto", "check_skew": True,
-             "rows_per_task": 5_000_000}
-
-
-def asset_volatility_skew_safe(fct: DataFrame) -> DataFrame:
-    return asset_volatility(fct, **SKEW_SAFE)
+                      chunk_rows=chunk_rows)
+    return rank_by_value(vol, ["price_date"], F.abs(F.col("price_change_pct")), "volatility_rank_daily")
 
 
 def fct_asset_volatility(fct: DataFrame) -> DataFrame:
@@ -255,14 +224,13 @@ def fct_asset_volatility(fct: DataFrame) -> DataFrame:
     return asset_volatility(fct)
 
 
-def fct_macro_correlation(fct: DataFrame, macro_daily: DataFrame, bucket="auto") -> DataFrame:
+def fct_macro_correlation(fct: DataFrame, macro_daily: DataFrame) -> DataFrame:
     """M9: each priced day with the latest macro row at or before it."""
     p = fct.where(F.col("price_change_pct").isNotNull()).select(
         "price_id", "asset_id", "asset_symbol", "asset_name", "asset_class", "market_cap_tier",
         "price_date", "price_year", "price_month", "price_usd", "price_change_pct", "volume_usd")
     out = asof_join(p, macro_daily, "price_date", "observation_date",
-                    right_cols=list(INDICATOR_COLUMNS.values()), flag_col="has_macro_data",
-                    bucket=bucket)
+                    right_cols=list(INDICATOR_COLUMNS.values()), flag_col="has_macro_data")
     return out
 
 
@@ -274,9 +242,3 @@ def crypto_tier_snapshot_source(assets: DataFrame) -> DataFrame:
 
 
 SNAPSHOT_CHECK_COLS = ["market_cap_tier", "market_cap_rank", "market_cap_usd"]
-
-
-def snapshot_crypto_tiers(history: DataFrame, assets: DataFrame, as_of) -> DataFrame:
-    """Apply one SCD2 snapshot of crypto tiers at ``as_of``."""
-    return scd2_merge(history, crypto_tier_snapshot_source(assets), "asset_id",
-                      SNAPSHOT_CHECK_COLS, as_of)

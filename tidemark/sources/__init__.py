@@ -3,4 +3,4 @@ from tidemark.sources.payloads import (  # noqa: F401
     read_records_payload,
     read_timeseries_payload,
 )
-from tidemark.sources.tables import max_value, read_seed, read_table, within_days  # noqa: F401
+from tidemark.sources.tables import read_seed, within_days  # noqa: F401

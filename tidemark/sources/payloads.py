@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.expr import (
     days_before,
-    json_text,
     lenient_double,
     nan_to_null,
     strict_date,
@@ -40,16 +39,34 @@ def _file_stem() -> Column:
     return F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
 
 
+def _landed() -> Column:
+    """Order of landing: the file's time, then its name."""
+    return F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_name").alias("file"))
+
+
+def _json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """A JSON scan that fails on broken text and on values of another type."""
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+
+
+def _required(value: Column, what: str, key: Column) -> Column:
+    """``value``; the job fails where it is missing."""
+    return F.when(value.isNull(), F.raise_error(F.concat(F.lit(f"no {what} for "), key))).otherwise(value)
+
+
 def read_timeseries_payload(spark: SparkSession, path: str, root: str = DAILY_SERIES_ROOT,
                             fields: Mapping[str, str] = DAILY_FIELDS, key_col: str = "symbol",
                             date_col: str = "trade_date", integral: Sequence[str] = ("volume",),
-                            key_field: tuple[str, str] | None = None) -> DataFrame:
+                            key_field: tuple[str, str] | None = None,
+                            landed_col: str | None = None) -> DataFrame:
     """``{root: {date: {field: "text"}}}`` per file.
 
-    Each date entry becomes a row; values parse strictly (bad text fails the
-    job) and a payload without ``root`` fails the job, as the reference raises.
-    The key is the file name stem, or with ``key_field=(object, field)`` the
-    text at that place in the payload (the file stem when it is absent).
+    Each date entry becomes a row; values parse strictly (bad or missing text
+    fails the job) and a payload that is broken or has no ``root`` fails the
+    job, as the reference raises. The key is the file name stem, or with
+    ``key_field=(object, field)`` the text at that place in the payload (the
+    file stem when it is absent). ``landed_col`` adds a column that orders rows
+    by their file's time and name, for loads where the last file wins.
     """
     inner = T.MapType(T.StringType(), T.StringType())
     fields_ = [T.StructField(root, T.MapType(T.StringType(), inner))]
@@ -58,18 +75,15 @@ def read_timeseries_payload(spark: SparkSession, path: str, root: str = DAILY_SE
     key = _file_stem()
     if key_field:
         key = F.coalesce(F.col(f"`{key_field[0]}`").getItem(key_field[1]), key)
-    raw = (spark.read.schema(T.StructType(fields_)).option("multiLine", True).json(path)
-           .select(F.col(f"`{root}`").alias("series"), key.alias(key_col)))
-    checked = raw.withColumn(
-        "series", F.when(F.col("series").isNull(),
-                         F.raise_error(F.concat(F.lit(f"no '{root}' in payload for "),
-                                                F.col(key_col)))).otherwise(F.col("series")))
-    rows = checked.select(key_col, F.explode("series").alias("d", "v"))
+    landed = [_landed().alias(landed_col)] if landed_col else []
+    series = _required(F.col(f"`{root}`"), f"'{root}' in payload", key)
+    raw = _json(spark, path, T.StructType(fields_)).select(series.alias("series"), key.alias(key_col), *landed)
+    rows = raw.select(key_col, *[c for c in (landed_col,) if c], F.explode("series").alias("d", "v"))
     out = [F.col(key_col), strict_date(F.col("d")).alias(date_col)]
     for name, field in fields.items():
         conv = strict_long if name in integral else strict_double
-        out.append(conv(F.col("v").getItem(field), name).alias(name))
-    return rows.select(*out)
+        out.append(conv(_required(F.col("v").getItem(field), f"'{field}'", F.col(key_col)), name).alias(name))
+    return rows.select(*out, *[c for c in (landed_col,) if c])
 
 
 def read_records_payload(spark: SparkSession, path: str,
@@ -78,9 +92,10 @@ def read_records_payload(spark: SparkSession, path: str,
                          json_cols: Sequence[str] = ("roi",), multi_line: bool = True) -> DataFrame:
     """A JSON array of flat records per file.
 
-    Only ``columns`` are kept (extra payload fields are ignored). ``json_cols``
-    hold nested objects: they are kept as compact JSON text and a missing or
-    null object becomes the text ``null`` (G8). Doubles have NaN turned to NULL.
+    Only ``columns`` are kept (extra payload fields are ignored); a column that
+    no record has fails the read, as does a value of another type. ``json_cols``
+    hold nested objects: they are kept as the JSON text that landed, numbers as
+    numbers, and a missing or null object becomes the text ``null`` (G8). Doubles have NaN turned to NULL.
     Timestamps are read as text and parsed without any zone shift.
 
     ``multi_line=True`` reads API-style files (one JSON array per file, each
@@ -91,17 +106,21 @@ def read_records_payload(spark: SparkSession, path: str,
     for c in columns:
         f = schema[c]
         if c in json_cols:
-            read_fields.append(T.StructField(c, T.MapType(T.StringType(), T.StringType())))
+            read_fields.append(T.StructField(c, T.StringType()))
         elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
             read_fields.append(T.StructField(c, T.StringType()))
         else:
             read_fields.append(f)
-    raw = spark.read.schema(T.StructType(read_fields)).option("multiLine", multi_line).json(path)
+    landed = spark.read.option("multiLine", multi_line).json(path).columns
+    missing = [c for c in columns if c not in landed]
+    if missing:
+        raise ValueError(f"no record has {missing}")
+    raw = _json(spark, path, T.StructType(read_fields), multi_line)
     out = []
     for c in columns:
         f = schema[c]
         if c in json_cols:
-            out.append(json_text(c).alias(c))
+            out.append(F.coalesce(F.col(c), F.lit("null")).alias(c))
         elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
             ts = F.regexp_replace(F.col(c), "Z$", "")
             out.append(ts.cast(T.TimestampNTZType()).alias(c))
@@ -114,24 +133,28 @@ def read_records_payload(spark: SparkSession, path: str,
 
 def read_observations_payload(spark: SparkSession, path: str,
                               names: Mapping[str, str] | None = None,
-                              since_days: int | None = None, as_of=None) -> DataFrame:
+                              since_days: int | None = None, as_of=None,
+                              landed_col: str | None = None) -> DataFrame:
     """``{"observations": [{"date", "value"}]}`` per file.
 
-    The series id is the file stem; ``names`` gives the series name.
-    Unparsable values ('.') become NULL and the row is dropped; with
+    The series id is the file stem; ``names`` gives the series name. A payload
+    that is broken or has no observations list fails the job. Unparsable values ('.') become NULL and the row is dropped; with
     ``since_days`` only observations from ``as_of - since_days`` on are kept.
     """
     obs = T.StructType([T.StructField("date", T.StringType()), T.StructField("value", T.StringType())])
     schema = T.StructType([T.StructField("observations", T.ArrayType(obs))])
-    raw = (spark.read.schema(schema).option("multiLine", True).json(path)
-           .select(_file_stem().alias("series_id"), F.explode("observations").alias("o")))
+    landed = [c for c in (landed_col,) if c]
+    found = _required(F.col("observations"), "observations in payload", _file_stem())
+    raw = _json(spark, path, schema).select(_file_stem().alias("series_id"), found.alias("found"),
+                                            *[_landed().alias(c) for c in landed])
+    raw = raw.select("series_id", F.explode("found").alias("o"), *landed)
     name_col = F.lit(None).cast("string")
     if names:
         m = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
         name_col = m[F.col("series_id")]
     df = raw.select("series_id", name_col.alias("series_name"),
                     strict_date(F.col("o.date")).alias("observation_date"),
-                    lenient_double(F.col("o.value")).alias("value"))
+                    lenient_double(F.col("o.value")).alias("value"), *landed)
     df = df.dropna(subset=["value"])
     if since_days is not None:
         df = df.where(F.col("observation_date") >= days_before(as_of, since_days))

@@ -3,14 +3,12 @@
 ``readStream`` over a landing directory -> ``foreachBatch`` that merges each
 micro-batch into the target with the same set-based ``upsert`` as batch loads.
 Each batch writes a new table version (``write_version``), so a failed batch
-leaves the previous version current, and the streaming checkpoint (in the
-shared checkpoint folder) makes a restarted query resume after the last
-committed batch; a re-delivered batch is idempotent because the merge is by key.
+leaves the previous version current, and the streaming checkpoint, which the
+caller names, makes a restarted query resume after the last committed batch; a re-delivered batch is idempotent because the merge is by key.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +16,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.sinks import merge_partitions, read_current, upsert, write_version
-from tidemark.session import checkpoint_root
 
 
 def merge_batch(target_path: str, schema: T.StructType, keys: Sequence[str],
@@ -48,23 +45,21 @@ def merge_batch(target_path: str, schema: T.StructType, keys: Sequence[str],
 
 def stream_upsert(spark: SparkSession, landing: str, source_schema: T.StructType,
                   target_path: str, target_schema: T.StructType, keys: Sequence[str],
-                  checkpoint: str | None = None, fmt: str = "parquet",
+                  checkpoint: str, fmt: str = "parquet",
                   order: Sequence[str | Column] | None = None,
                   stamp: tuple[str, object] | None = None,
                   transform: Callable[[DataFrame], DataFrame] | None = None,
                   available_now: bool = True, options: dict | None = None,
                   partition_col: str | None = None) -> StreamingQuery:
-    """Start the streaming upsert. ``available_now=True`` processes what has
+    """Start the streaming upsert. ``checkpoint`` is a shared folder of this
+    stream's own; a restart with the same one resumes. ``available_now=True`` processes what has
     landed and stops (scheduled runs); False keeps running every trigger."""
     reader = spark.readStream.format(fmt).schema(source_schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     stream = reader.load(landing)
-    # a stable name: a restarted driver must find the same checkpoint
-    digest = hashlib.sha1(target_path.encode()).hexdigest()[:16]
-    ckpt = checkpoint or f"{checkpoint_root(spark)}/stream-upsert-{digest}"
     writer = (stream.writeStream.foreachBatch(
         merge_batch(target_path, target_schema, keys, order, stamp, transform, partition_col))
-        .option("checkpointLocation", ckpt))
+        .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
