@@ -2,14 +2,16 @@
 
 Each entry of ``QUERIES`` is ``(spark, sf_dir) -> DataFrame`` built from the
 library's operators; ``ORACLE_SQL`` holds the equivalent ANSI SQL over the
-same parquet tables. Keys are the SURVEY §8 names; the covered §2 ids are in
-``COVERS``. Every query reads whole tables (slices of one table are used only
-to build two loads of the same data for the merge operators).
+same parquet tables. The covered §2 ids are in ``COVERS``. Every query reads
+whole tables (slices of one table are used only to build two loads of the same
+data for the merge operators). Queries of write operators write under the
+shared scratch folder and return the state they read back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +32,27 @@ from tidemark.operators.sinks import (
     add_missing_columns,
     incremental_merge,
     incremental_window_merge,
+    merge_partitions,
+    read_current,
+    replace_partitions_from,
     upsert,
     with_load_stamp,
+    write_version,
 )
 from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rolling_std
 from tidemark.plans import bindings as B
+from tidemark.plans import jobs
 from tidemark.plans import market as M
-from tidemark.schemas import ddl
+from tidemark.schemas import RAW_CRYPTO, ddl
+from tidemark.session import scratch_path
+from tidemark.sources.payloads import (
+    DAILY_FIELDS,
+    DAILY_SERIES_ROOT,
+    read_observations_payload,
+    read_records_payload,
+    read_timeseries_payload,
+)
+from tidemark.streaming.upsert_stream import stream_upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -380,7 +396,7 @@ def q_strict_parse(spark, sf):
                      .alias("k_value"))
 
 
-@register("json_props", "S1 S2 S3 (JSON field extraction)", """
+@register("json_props", "JSON field extraction", """
 SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
 FROM events""")
 def q_json_props(spark, sf):
@@ -398,11 +414,78 @@ def q_date_window_filter(spark, sf):
     return within_days(r, "observation_date", 365, as_of="2001-08-01")
 
 
-@register("load_counts", "A5", with_("raw_equity") + """
-SELECT symbol, count(*) AS rows_loaded FROM raw_equity GROUP BY symbol""")
+@register("load_counts", "A5 (rows seen by the writes themselves)", with_("raw_equity", "raw_macro") + """
+SELECT 'equity' AS load, count(*) AS rows_loaded FROM raw_equity
+UNION ALL SELECT 'macro', count(*) FROM raw_macro
+UNION ALL SELECT 'customers', count(*) FROM customer""")
 def q_load_counts(spark, sf):
-    r = Inputs(spark, sf).raw_equity()
-    return r.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows_loaded"))
+    i = Inputs(spark, sf)
+    found = [(name, jobs.write_counted(df, scratch_path(spark, f"load-{name}"), name)) for name, df in (
+        ("equity", i.raw_equity()), ("macro", i.raw_macro()), ("customers", i.table("customer")))]
+    return spark.createDataFrame(found, "load string, rows_loaded long")
+
+
+# ================================================================== landed payloads
+# The driver tables written as payload text under the shared scratch folder,
+# then read by the payload readers.
+
+
+def _landed(df: DataFrame, payload: F.Column) -> str:
+    path = scratch_path(df.sparkSession, "payloads")
+    df.select(F.to_json(payload)).write.text(path)
+    return path
+
+
+@register("payload_timeseries", "S1 S10 X3 X4 X22 P8 P10 Q9 Q10", with_("raw_equity") + """
+SELECT symbol, trade_date, open, high, low, close, volume FROM raw_equity""")
+def q_payload_timeseries(spark, sf):
+    day = F.struct(F.col("trade_date").cast("string"), F.struct(*[
+        F.col(c).cast("string").alias(f) for c, f in DAILY_FIELDS.items()]))
+    payloads = Inputs(spark, sf).raw_equity().groupBy("symbol").agg(F.map_from_entries(F.collect_list(day)).alias("days"))
+    path = _landed(payloads, F.struct(F.struct(F.col("symbol").alias("2. Symbol")).alias("Meta Data"),
+                                      F.col("days").alias(DAILY_SERIES_ROOT)))
+    out = read_timeseries_payload(spark, path, key_field=("Meta Data", "2. Symbol"), multi_line=False)
+    return Q.require_not_null(out, ["symbol", "trade_date"], "payload_timeseries")
+
+
+@register("payload_records", "S2 S4 X16 X17 P9", with_("raw_crypto") + """
+SELECT id, symbol, name, current_price, market_cap, CAST(market_cap_rank AS INTEGER) AS market_cap_rank,
+       CASE WHEN market_cap_rank % 10 = 0 THEN NULL ELSE high_24h END AS high_24h, last_updated,
+       CASE WHEN market_cap_rank % 3 = 0 THEN '{"times":' || CAST(market_cap_rank AS VARCHAR) || ',"currency":"btc"}'
+            ELSE 'null' END AS roi
+FROM raw_crypto""")
+def q_payload_records(spark, sf):
+    c = Inputs(spark, sf).raw_crypto()
+    wide = c.withColumns({
+        "high_24h": F.when(F.col("market_cap_rank") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("high_24h")),
+        "last_updated": F.date_format("last_updated", "yyyy-MM-dd'T'HH:mm:ss'.000Z'"),
+        "roi": F.when(F.col("market_cap_rank") % 3 == 0, F.struct(
+            F.col("market_cap_rank").alias("times"), F.lit("btc").alias("currency"))),
+        "not_listed": F.lit(1)})
+    path = _landed(wide, F.struct("*"))
+    return read_records_payload(spark, path, multi_line=False, columns=[
+        "id", "symbol", "name", "current_price", "market_cap", "market_cap_rank", "high_24h", "last_updated", "roi"])
+
+
+@register("payload_observations", "S3 S9 X5 F3 F8 P8", with_("raw_macro") + """
+SELECT series_id, series_name, observation_date, value FROM raw_macro
+WHERE date_part('day', observation_date) <> 5 AND observation_date >= DATE '2001-08-01' - INTERVAL 365 DAY""")
+def q_payload_observations(spark, sf):
+    raw = Inputs(spark, sf).raw_macro()
+    missing = F.dayofmonth("observation_date") == 5
+    one = F.struct(F.col("observation_date").cast("string").alias("date"),
+                   F.when(missing, F.lit(".")).otherwise(F.col("value").cast("string")).alias("value"))
+    payloads = raw.groupBy("series_id").agg(F.collect_list(one).alias("observations"))
+    path = _landed(payloads, F.struct("series_id", "observations"))
+    return read_observations_payload(spark, path, B.SERIES_NAMES, since_days=365, as_of="2001-08-01",
+                                     key_field="series_id", multi_line=False)
+
+
+@register("seed_csv", "S5 K9 K4", with_("seed") + "SELECT * FROM seed")
+def q_seed_csv(spark, sf):
+    root = scratch_path(spark, "seed")
+    Inputs(spark, sf).seed().write.option("header", True).csv(f"{root}/csv")
+    return jobs.load_seed(spark, f"{root}/csv", root)
 
 
 # ================================================================== pivot, fill, as-of
@@ -558,7 +641,7 @@ def q_upsert_by_key(spark, sf):
     return out.drop("version")
 
 
-@register("upsert_evolved_schema", "K11 K10", f"""
+@register("upsert_evolved_schema", "K11", f"""
 WITH target AS (
   SELECT o_orderkey, o_custkey, o_totalprice, TIMESTAMP '2024-01-01 00:00:00' AS loaded_at
   FROM orders WHERE o_orderkey % 3 <> 2),
@@ -581,14 +664,61 @@ def q_upsert_evolved_schema(spark, sf):
     return upsert(target, src, ["o_orderkey"], stamp=("loaded_at", AS_OF))
 
 
-@register("full_reload", "K2 K12 S4 (reload replaces the whole table)", with_("raw_crypto").replace(
+@register("full_reload", "K2 K10 K12 G20 (two versions written, the newest read)", with_("raw_crypto").replace(
     f"TIMESTAMP '{B.CRYPTO_LOADED_AT}' AS loaded_at", f"TIMESTAMP '{AS_OF}' AS loaded_at")
     + "SELECT * FROM raw_crypto")
 def q_full_reload(spark, sf):
-    # The second load replaces the first as a whole (written as a new version
-    # by ``write_version`` in a job; here the state after the write).
-    i = Inputs(spark, sf)
-    return with_load_stamp(i.raw_crypto(), "loaded_at", AS_OF)
+    # two versions written, the newest read: the second load replaces the first
+    path = scratch_path(spark, "full-reload")
+    raw = Inputs(spark, sf).raw_crypto()
+    write_version(raw.where(F.col("market_cap") > 0), path)
+    write_version(with_load_stamp(raw, "loaded_at", AS_OF), path)
+    return read_current(spark, path, RAW_CRYPTO)
+
+
+_PARTITION_STATE = """
+WITH o AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE date_trunc('year', o_orderdate)::DATE END AS year,
+         o_totalprice FROM orders),
+merged AS (
+  SELECT o_orderkey, year, o_totalprice + CASE WHEN o_orderkey % 3 <> 0 AND year IS NOT NULL THEN 1000.0 ELSE 0 END AS o_totalprice
+  FROM o WHERE NOT (o_orderkey % 3 = 2 AND year IS NULL)
+  UNION ALL SELECT o_orderkey, year, o_totalprice + 1000.0 FROM o WHERE o_orderkey % 3 <> 0 AND year IS NULL)"""
+
+
+@register("partition_merge", "K1 K3 K4 on storage, NULL partitions included", _PARTITION_STATE + """
+SELECT o_orderkey, year, o_totalprice FROM merged WHERE year < DATE '1997-01-01' OR year IS NULL
+UNION ALL SELECT o_orderkey, year, 0.0 FROM o WHERE year >= DATE '1997-01-01' AND o_orderkey % 5 = 0""")
+def q_partition_merge(spark, sf):
+    path, schema = scratch_path(spark, "partition-merge"), ddl("o_orderkey bigint, year date, o_totalprice double")
+    o = Inputs(spark, sf).table("orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 4 != 0, F.trunc("o_orderdate", "year")).alias("year"), "o_totalprice")
+    k = F.col("o_orderkey") % 3
+    merge_partitions(o.where(k != 2), path, ["o_orderkey", "year"], "year", schema)
+    # a row with a NULL year matches nothing, so it is inserted beside the old one
+    second = o.where(k != 0).withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1000.0))
+    merge_partitions(second, path, ["o_orderkey", "year"], "year", schema)
+    since = date(1997, 1, 1)
+    last = o.where((F.col("year") >= F.lit(since)) & (F.col("o_orderkey") % 5 == 0)).withColumn("o_totalprice", F.lit(0.0))
+    replace_partitions_from(last, path, "year", since)
+    return spark.read.schema(schema).parquet(path).select("o_orderkey", "year", "o_totalprice")
+
+
+@register("stream_upsert", "R1 K1 K10 K12 (two landed batches, AvailableNow)", f"""
+SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 3 <> 0 THEN 1000.0 ELSE 0 END AS o_totalprice,
+       TIMESTAMP '{AS_OF}' AS loaded_at
+FROM orders""")
+def q_stream_upsert(spark, sf):
+    root = scratch_path(spark, "stream-upsert")
+    source, target = ddl("o_orderkey bigint, o_totalprice double, seq int"), \
+        ddl("o_orderkey bigint, o_totalprice double, loaded_at timestamp_ntz")
+    o = Inputs(spark, sf).table("orders").select("o_orderkey", "o_totalprice", F.lit(1).alias("seq"))
+    later = o.where(F.col("o_orderkey") % 3 != 0).select("o_orderkey", (F.col("o_totalprice") + 1000.0).alias("o_totalprice"), F.lit(2).alias("seq"))
+    for n, batch in enumerate((o, later)):
+        batch.write.parquet(f"{root}/landing/b{n}")
+        stream_upsert(spark, f"{root}/landing/*", source, f"{root}/table", target, ["o_orderkey"], f"{root}/checkpoint",
+                      order=["seq"], stamp=("loaded_at", AS_OF)).awaitTermination()
+    return read_current(spark, f"{root}/table", target)
 
 
 @register("incremental_merge", "K3 F4 A2 S8 G3", with_("fct") + "SELECT * FROM fct")

@@ -66,17 +66,19 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def _write_counted(df: DataFrame, path: str, name: str) -> None:
+def write_counted(df: DataFrame, path: str, name: str) -> int:
+    """Write a new version, drop old ones, and return the rows written."""
     counted, obs = _counted(df, name)
     write_version(counted, path)
     LOAD_COUNTS[name] = obs.get.get("rows", 0)
     drop_old_versions(df.sparkSession, path)
+    return LOAD_COUNTS[name]
 
 
 def load_seed(spark: SparkSession, csv_path: str, root: str, table: str = "seed_equity_reference") -> DataFrame:
     """K9: a CSV seed (S5) materialized in the seeds layer (K4)."""
     path = layer_path(root, "seeds", table)
-    _write_counted(read_seed(spark, csv_path), path, table)
+    write_counted(read_seed(spark, csv_path), path, table)
     return read_current(spark, path)
 
 
@@ -92,7 +94,7 @@ def load_equity(spark: SparkSession, landing: str, root: str, as_of, days: int =
     path = layer_path(root, RAW, "equity_daily_prices")
     target = read_current(spark, path, RAW_EQUITY)
     merged = upsert(target, newest, ["symbol", "trade_date"], stamp=("loaded_at", as_of))
-    _write_counted(merged, path, "equity_daily_prices")
+    write_counted(merged, path, "equity_daily_prices")
     return read_current(spark, path, RAW_EQUITY)
 
 
@@ -113,7 +115,7 @@ def load_crypto(spark: SparkSession, landing: str, root: str, as_of, top_n: int
         top = upsert(read_current(spark, path, RAW_CRYPTO), top, ["id", "last_updated"])
     elif mode != "replace":
         raise ValueError(f"unknown mode {mode!r}")
-    _write_counted(top, path, "crypto_markets")
+    write_counted(top, path, "crypto_markets")
     return read_current(spark, path, RAW_CRYPTO)
 
 
@@ -131,7 +133,7 @@ def load_macro(spark: SparkSession, landing: str, root: str, as_of, names: dict[
     path = layer_path(root, RAW, "macro_observations")
     target = read_current(spark, path, RAW_MACRO)
     merged = upsert(target, obs, keys, stamp=("loaded_at", as_of))
-    _write_counted(merged.select(*RAW_MACRO.fieldNames()), path, "macro_observations")
+    write_counted(merged.select(*RAW_MACRO.fieldNames()), path, "macro_observations")
     return read_current(spark, path, RAW_MACRO)
 
 

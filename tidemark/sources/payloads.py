@@ -58,7 +58,7 @@ def read_timeseries_payload(spark: SparkSession, path: str, root: str = DAILY_SE
                             fields: Mapping[str, str] = DAILY_FIELDS, key_col: str = "symbol",
                             date_col: str = "trade_date", integral: Sequence[str] = ("volume",),
                             key_field: tuple[str, str] | None = None,
-                            landed_col: str | None = None) -> DataFrame:
+                            landed_col: str | None = None, multi_line: bool = True) -> DataFrame:
     """``{root: {date: {field: "text"}}}`` per file.
 
     Each date entry becomes a row; values parse strictly (bad or missing text
@@ -67,6 +67,7 @@ def read_timeseries_payload(spark: SparkSession, path: str, root: str = DAILY_SE
     ``key_field=(object, field)`` the text at that place in the payload (the
     file stem when it is absent). ``landed_col`` adds a column that orders rows
     by their file's time and name, for loads where the last file wins.
+    ``multi_line=False`` reads one payload a line instead of one a file.
     """
     inner = T.MapType(T.StringType(), T.StringType())
     fields_ = [T.StructField(root, T.MapType(T.StringType(), inner))]
@@ -77,7 +78,7 @@ def read_timeseries_payload(spark: SparkSession, path: str, root: str = DAILY_SE
         key = F.coalesce(F.col(f"`{key_field[0]}`").getItem(key_field[1]), key)
     landed = [_landed().alias(landed_col)] if landed_col else []
     series = _required(F.col(f"`{root}`"), f"'{root}' in payload", key)
-    raw = _json(spark, path, T.StructType(fields_)).select(series.alias("series"), key.alias(key_col), *landed)
+    raw = _json(spark, path, T.StructType(fields_), multi_line).select(series.alias("series"), key.alias(key_col), *landed)
     rows = raw.select(key_col, *[c for c in (landed_col,) if c], F.explode("series").alias("d", "v"))
     out = [F.col(key_col), strict_date(F.col("d")).alias(date_col)]
     for name, field in fields.items():
@@ -134,19 +135,25 @@ def read_records_payload(spark: SparkSession, path: str,
 def read_observations_payload(spark: SparkSession, path: str,
                               names: Mapping[str, str] | None = None,
                               since_days: int | None = None, as_of=None,
-                              landed_col: str | None = None) -> DataFrame:
+                              landed_col: str | None = None, key_field: str | None = None,
+                              multi_line: bool = True) -> DataFrame:
     """``{"observations": [{"date", "value"}]}`` per file.
 
-    The series id is the file stem; ``names`` gives the series name. A payload
+    The series id is the file stem, or with ``key_field`` the text of that field
+    (the file stem when it is absent); ``names`` gives the series name. A payload
     that is broken or has no observations list fails the job. Unparsable values ('.') become NULL and the row is dropped; with
     ``since_days`` only observations from ``as_of - since_days`` on are kept.
     """
     obs = T.StructType([T.StructField("date", T.StringType()), T.StructField("value", T.StringType())])
     schema = T.StructType([T.StructField("observations", T.ArrayType(obs))])
+    key = _file_stem()
+    if key_field:
+        schema = schema.add(key_field, T.StringType())
+        key = F.coalesce(F.col(f"`{key_field}`"), key)
     landed = [c for c in (landed_col,) if c]
-    found = _required(F.col("observations"), "observations in payload", _file_stem())
-    raw = _json(spark, path, schema).select(_file_stem().alias("series_id"), found.alias("found"),
-                                            *[_landed().alias(c) for c in landed])
+    found = _required(F.col("observations"), "observations in payload", key)
+    raw = _json(spark, path, schema, multi_line).select(key.alias("series_id"), found.alias("found"),
+                                                        *[_landed().alias(c) for c in landed])
     raw = raw.select("series_id", F.explode("found").alias("o"), *landed)
     name_col = F.lit(None).cast("string")
     if names:
