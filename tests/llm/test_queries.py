@@ -115,9 +115,9 @@ def brute_cut(rows):
         return line.strip(line_dedup.BLANKS)
 
     pages, counts = Counter(), Counter()
-    for _, text, _, source in rows:
+    for text, source in {(text, source) for _, text, _, source in rows if text is not None}:
         pages[source] += 1
-        counts.update({(source, mark(x)) for x in (text or "").split("\n") if mark(x)})
+        counts.update({(source, mark(x)) for x in text.split("\n") if mark(x)})
     often = {k for k, n in counts.items() if n >= line_dedup.MIN_PAGES and n > line_dedup.RATIO * pages[k[0]]}
     return [(i, None if t is None else "\n".join(x for x in t.split("\n") if (s, mark(x)) not in often), lang, s)
             for i, t, lang, s in rows]

@@ -358,6 +358,9 @@ def test_line_dedup(spark):
     assert (by[101]["text"], by[101]["n_lines"], by[101]["n_dropped"]) == ("", 1, 0)
     assert by[102]["text"] == "body" and by[103]["text"] == "menu\nbody" and by[104]["text"] == "rare"
     assert line_dedup.dedup_lines(docs(spark, []), F.col("source")).count() == 0
+    # a page that was crawled many times keeps its lines
+    copies = [(i, "same page\nof many lines", None, "h") for i in range(30)] + [(50 + i, f"page {i}", None, "h") for i in range(30)]
+    assert all(r["n_dropped"] == 0 for r in line_dedup.dedup_lines(docs(spark, copies), F.col("source")).collect())
 
 
 # --------------------------------------------------------- token counts

@@ -1,9 +1,11 @@
 """Line dedup by site-relative frequency.
 
 For every host, the pages that have a line are divided by the host's pages;
-lines above the boilerplate ratio are dropped from the host's pages. Built-in
-expressions only: counts are partial aggregates over (host, line hash), so a
-hot host or line is summed where it is read.
+lines above the boilerplate ratio are dropped from the host's pages. Copies of
+a page are one page here: that a page was crawled a thousand times says nothing
+about its lines. Built-in expressions only: counts are partial aggregates over
+hashes of host, line and page, so a hot host, line or page is summed where it is
+read.
 
 The lines dropped from one host number at most its distinct lines a page over
 the ratio, so they go to its pages as one array. Hosts join their pages by hash
@@ -34,11 +36,14 @@ def _mark(line: Column) -> Column:
 def boilerplate(df: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO,
                 min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, marks): hashes of the lines that each host repeats too often."""
-    pages = df.select(host.alias("host"), F.col(text_col).alias("text"))
-    lines = pages.select("host", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _mark))).alias("mark"))
+    text = F.col(text_col)
+    pages = df.where(text.isNotNull()).select(host.alias("host"), F.xxhash64(text).alias("page"), text.alias("text"))
+    lines = pages.select("host", "page", F.explode(F.transform(_lines(F.col("text")), _mark)).alias("mark"))
     blank = F.xxhash64(F.lit(""))
-    counts = lines.where(F.col("mark") != blank).groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n"))
-    totals = pages.groupBy(F.col("host").alias("total_host")).agg(F.count(F.lit(1)).alias("pages"))
+    counts = (lines.where(F.col("mark") != blank).distinct()
+              .groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")))
+    totals = (pages.select(F.col("host").alias("total_host"), "page").distinct()
+              .groupBy("total_host").agg(F.count(F.lit(1)).alias("pages")))
     often = (counts.where(F.col("n") >= min_pages)
              .join(totals, F.col("host").eqNullSafe(F.col("total_host")))
              .where(F.col("n") > F.lit(ratio) * F.col("pages")))
@@ -68,11 +73,11 @@ def dedup_lines(df: DataFrame, host: Column, text_col: str = "text", ratio: floa
     n_dropped (long), which replace columns of these names.
 
     Lines are parted by line feeds and compared without blanks at their ends; a
-    page counts once however often it repeats a line. Defined cases: lines
-    without anything but blanks stay; a null text stays null with 0 lines and
-    counts as a page; null hosts are one host; a page may become empty but no
-    row is dropped; equal rows are pages of their own; an empty table gives no
-    rows. Columns of any other name pass through.
+    page counts once however often it repeats a line, and pages of equal text
+    count once. Defined cases: lines without anything but blanks stay; a null
+    text stays null with 0 lines and is no page; null hosts are one host; a page
+    may become empty but no row is dropped; equal rows get equal results; an
+    empty table gives no rows. Columns of any other name pass through.
     """
     return (cut_lines(df.drop("n_lines", "n_dropped"), host, text_col, ratio, min_pages)
             .withColumnsRenamed({"__n_lines": "n_lines", "__n_dropped": "n_dropped"}))

@@ -159,11 +159,11 @@ WITH lines AS (
   SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
          unnest(generate_series(1, len(string_split(text, chr(10))))) AS place
   FROM documents WHERE text IS NOT NULL),
-marked AS (SELECT doc_id, source, place, line, trim(line, {BLANKS}) AS mark FROM lines),
+marked AS (SELECT doc_id, source, text, place, line, trim(line, {BLANKS}) AS mark FROM lines),
 often AS (
   SELECT n.source, n.mark
-  FROM (SELECT source, mark, count(DISTINCT doc_id) AS n FROM marked WHERE mark <> '' GROUP BY source, mark) n
-  JOIN (SELECT source, count(*) AS pages FROM documents GROUP BY source) p ON n.source IS NOT DISTINCT FROM p.source
+  FROM (SELECT source, mark, count(DISTINCT text) AS n FROM marked WHERE mark <> '' GROUP BY source, mark) n
+  JOIN (SELECT source, count(DISTINCT text) AS pages FROM documents GROUP BY source) p ON n.source IS NOT DISTINCT FROM p.source
   WHERE n.n >= {line_dedup.MIN_PAGES} AND n.n > {line_dedup.RATIO}::DOUBLE * p.pages),
 kept AS (
   SELECT m.doc_id, count(*) AS n_lines, count(o.mark) AS n_dropped,
