@@ -175,8 +175,10 @@ def training_sample(df: DataFrame, text_col: str, lang_col: str, id_col: str) ->
     window = F.substring(text, F.pmod(mark, places).cast("int") + 1, F.lit(SAMPLE_CHARS))
     rows = (df.where(F.col(lang_col).isNotNull() & text.isNotNull())
             .select(F.col(lang_col).cast("string").alias("lang"), mark.alias("mark"), window.alias("window")))
-    order = Window.partitionBy("lang").orderBy("mark", "window")
-    rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_PER_LANG)
+    # first in parts of a language, so that no task gets a whole language
+    for group in (["lang", F.pmod("mark", F.lit(256))], ["lang"]):
+        order = Window.partitionBy(*group).orderBy("mark", "window")
+        rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_PER_LANG)
     return sorted_rows(rows.select("window", "lang", "mark").collect())
 
 
