@@ -13,8 +13,9 @@ are no longer confirmed on their full sets) with probability 1e-5.
 Keys that many documents share are never expanded into pairs:
 
 * Equal sets become one representative first.
-* Each representative goes to its *home*, the most shared of its keys, which is
-  cut into tiles of bounded size. Inside a tile signatures are compared by array
+* Each representative goes to its *home*, the most shared of its keys or of those
+  of the others that share one of its keys, so that a group of near copies has
+  one home. A home is cut into tiles of bounded size. Inside a tile signatures are compared by array
   operations, pairs that are not yet connected are confirmed on their full
   sets, and only links that connect something new leave the task. The tiles of
   one home also share a few members, which connects them.
@@ -205,6 +206,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     homes = stored(members.groupBy("rep").agg(F.max(F.struct("n", "key")).alias("h"))
                    .select("rep", F.col("h.key").alias("home")), "dup-homes")
+    # move on to the most lived-in home among those one shares a key with
+    lived = homes.join(homes.groupBy("home").agg(F.count(F.lit(1)).alias("n")), "home").select(
+        "rep", F.struct("n", "home").alias("h"))
+    best = members.select("key", "rep").join(lived, "rep").groupBy("key").agg(F.max("h").alias("h"))
+    homes = stored(members.select("key", "rep").join(best, "key").groupBy("rep").agg(F.max("h").alias("h"))
+                   .select("rep", F.col("h.home").alias("home")), "dup-homes")
     texts = docs.join(homes.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
     sets = stored(texts.mapInArrow(_sets_task(shingle), "rep long, sig binary, shingles binary"), "dup-sets")
     sizes = sets.groupBy("rep").agg(F.max(F.length("shingles") / 8).alias("size"))
