@@ -52,13 +52,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the curriculum takes it, in training order.
-    Rows that share an id share the positions of the shortest."""
+    Every row has its own positions, also where rows share an id or have none."""
     apply_conf(spark)
-    places = (mixing.assign_positions(docs).groupBy(F.col("doc_id").alias("__id"))
-              .agg(F.min_by("positions", "size").alias("__positions")))
-    return (docs.join(places, F.col("doc_id").eqNullSafe(F.col("__id")))
-            .withColumn("__position", F.explode("__positions"))
-            .orderBy("__position", "doc_id").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return (mixing.placed_rows(docs).withColumn("__position", F.explode("__positions"))
+            .orderBy("__position", "doc_id", "__tie").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

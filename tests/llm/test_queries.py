@@ -187,3 +187,24 @@ def test_pipeline_stages_take_odd_rows(spark, name):
     if name == "mix_sources":
         assert 2 not in ids and 3 not in ids and 0 in ids
     assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_mix_sources_places_rows_without_an_id(spark):
+    """Rows that share an id, or have none, are taken by their own places."""
+    from collections import Counter
+
+    docs = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"own{i} " * (i % 17), "en", "abc"[i % 2], 0) for i in range(300)]
+    docs.append((None, "", "en", "a", 0))
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.mix_sources(spark, table, SF).collect()
+    times = Counter(r["text"] for r in found)
+    assert "" not in times and max(times.values()) <= 2
+    sizes, taken = Counter(), Counter()
+    for _, text, _, source, _ in docs:
+        sizes[source] += len(text.split())
+        taken[source] += len(text.split()) * times[text]
+    from tests.llm.test_small_tables import brute_targets
+
+    want = brute_targets(sizes)
+    assert all(abs(taken[s] - want[s]) <= 17 for s in sizes)
+    assert any(r["doc_id"] is None for r in found)

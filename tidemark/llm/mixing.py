@@ -65,11 +65,54 @@ def source_targets(sizes: DataFrame, ramps: Sequence[tuple[float, float]] = RAMP
 def _time_of(share: Column) -> Column:
     """The time at which a ramp's running integral is ``share`` of the whole:
     the root of start * t + (end - start) * t**2 / 2 = share * (start + end) / 2."""
-    a, b = (F.col("ramp_end") - F.col("ramp_start")) / 2, F.col("ramp_start")
-    c = share * ((F.col("ramp_start") + F.col("ramp_end")) / 2)
+    start, end = F.col("__ramp_start"), F.col("__ramp_end")
+    a, b, c = (end - start) / 2, start, share * ((start + end) / 2)
     return (c * 2) / (b + F.sqrt(b * b + a * 4 * c))
 
 
+def _place(rows: DataFrame, ramps: Sequence[tuple[float, float]], budget: float, most: int) -> DataFrame:
+    """``rows`` (with __id, __source, __size and __tie) plus a struct __mix of
+    source_size, target, copies, taken and positions."""
+    mark = F.coalesce(F.md5(F.col("__id").cast("string")), F.lit(""))
+    # null ids, which all have the first mark, are spread by size
+    bucket = F.when(F.col("__id").isNull(), F.concat(F.lit("!"), F.lpad(F.col("__size").cast("string"), 19, "0"))) \
+        .otherwise(F.substring("__mark", 1, 3))
+    sized = (rows.withColumn("__mark", mark).withColumn("__bucket", bucket)
+             .withColumn("__stream", F.coalesce(F.concat(F.lit("s"), F.col("__source").cast("string")), F.lit(""))))
+    sums = stored(sized.groupBy("__stream", "__bucket").agg(
+        F.first("__source").alias("source"), F.sum("__size").alias("bucket_size")), "mix-buckets")
+    targets = source_targets(sums, ramps, budget, most, size_col="bucket_size")
+    before = F.sum("bucket_size").over(Window.partitionBy("__stream").orderBy("__bucket")) - F.col("bucket_size")
+    buckets = sums.withColumn("__before", before).alias("b").join(
+        targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select(
+        "__stream", "__bucket", "__before", *[F.col(c).alias(f"__{c}") for c in ("source_size", "ramp_start", "ramp_end", "target")])
+    inside = Window.partitionBy("__stream", "__bucket").orderBy("__mark", "__id", "__size", "__tie") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (sized.withColumn("__upto", F.sum("__size").over(inside) - F.col("__size"))
+              .join(buckets, ["__stream", "__bucket"])
+              .withColumn("__start", F.col("__before") + F.col("__upto")))
+    times = F.transform(F.sequence(F.lit(0), F.lit(most - 1)),
+                        lambda k: F.col("__start") + k * F.col("__source_size") + F.col("__size") / 2)
+    taken = F.filter(times, lambda x: (x < F.col("__target")) & (F.col("__size") > 0))
+    return placed.withColumn("__middles", taken).select(*[F.col(f"`{c}`") for c in rows.columns], F.struct(
+        F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+        F.size("__middles").alias("copies"), (F.size("__middles") * F.col("__size")).cast("long").alias("taken"),
+        F.transform("__middles", lambda x: _time_of(x / F.col("__target"))).alias("positions")).alias("__mix"))
+
+
+def placed_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                ramps: Sequence[tuple[float, float]] = RAMPS, budget: float = BUDGET,
+                most: int = MOST_REPEATS) -> DataFrame:
+    """All columns of ``df`` plus __positions, each row's own training times,
+    and __tie, a hash of the row; see ``assign_positions``. Rows that share an
+    id and a size are ordered by the hash of all their columns."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    rows = df.select(*columns, F.col(id_col).cast("long").alias("__id"), F.col(source_col).alias("__source"),
+                     word_count(F.col(text_col)).alias("__size"),
+                     F.xxhash64(*columns, *[c.isNull() for c in columns]).alias("__tie"))
+    return _place(rows, ramps, budget, most).select(*columns, F.col("__mix.positions").alias("__positions"), "__tie")
+
+
 def assign_positions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                      ramps: Sequence[tuple[float, float]] = RAMPS, budget: float = BUDGET,
                      most: int = MOST_REPEATS) -> DataFrame:
@@ -83,33 +126,14 @@ def assign_positions(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Defined cases: a null text has size 0 and takes nothing; null sources form
     one source, last in order; null ids come first in hash order; equal rows
-    are documents of their own, and tied ids are ordered by size; an empty
-    table gives no rows. Other columns are not read.
+    are documents of their own, and tied ids are ordered by size, then by the
+    hash of their text; an empty table gives no rows. Other columns are not read.
     """
-    sized = stored(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
-                             word_count(F.col(text_col)).alias("size"))
-                   .withColumn("mark", F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit(""))), "mix-sized")
-    sized = sized.withColumn("bucket", F.substring("mark", 1, 3))
-    targets = source_targets(sized, ramps, budget, most)
-    sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    before = F.sum("bucket_size").over(Window.partitionBy("source").orderBy("bucket")) - F.col("bucket_size")
-    buckets = sums.withColumn("before", before).alias("b").join(
-        targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))).select(
-        F.col("b.source").alias("b_source"), F.col("bucket").alias("b_bucket"), "before",
-        "source_size", "ramp_start", "ramp_end", "target")
-    inside = Window.partitionBy("source", "bucket").orderBy("mark", "doc_id", "size") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (sized.withColumn("upto", F.sum("size").over(inside) - F.col("size"))
-            .join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
-            .withColumn("start", F.col("before") + F.col("upto")))
-    times = F.transform(F.sequence(F.lit(0), F.lit(most - 1)),
-                        lambda k: F.col("start") + k * F.col("source_size") + F.col("size") / 2)
-    taken = F.filter(times, lambda x: (x < F.col("target")) & (F.col("size") > 0))
-    return (rows.withColumn("middles", taken).select(
-        "doc_id", "source", "size", "source_size", "target",
-        F.size("middles").alias("copies"),
-        (F.size("middles") * F.col("size")).cast("long").alias("taken"),
-        F.transform("middles", lambda x: _time_of(x / F.col("target"))).alias("positions")))
+    rows = stored(df.select(F.col(id_col).cast("long").alias("__id"), F.col(source_col).alias("__source"),
+                            word_count(F.col(text_col)).alias("__size"), F.xxhash64(F.col(text_col)).alias("__tie")),
+                  "mix-sized")
+    return _place(rows, ramps, budget, most).select(
+        F.col("__id").alias("doc_id"), F.col("__source").alias("source"), F.col("__size").alias("size"), "__mix.*")
 
 
 def training_order(assigned: DataFrame) -> DataFrame:
