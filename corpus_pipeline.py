@@ -33,9 +33,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that their source repeats too often;
-    n_chars follows the text."""
+    n_chars follows the text. The near copies that the next stage keeps one of
+    are one page here, so that their common lines stay for it."""
     apply_conf(spark)
-    out = line_dedup.cut_lines(docs, F.col("source"))
+    out = line_dedup.cut_lines(docs, F.col("source"), groups=line_dedup.page_groups(docs))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 

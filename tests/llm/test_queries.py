@@ -208,3 +208,28 @@ def test_mix_sources_places_rows_without_an_id(spark):
     want = brute_targets(sizes)
     assert all(abs(taken[s] - want[s]) <= 17 for s in sizes)
     assert any(r["doc_id"] is None for r in found)
+
+
+def test_near_copies_are_one_page_of_their_host(spark):
+    """6 near copies among 60 pages keep their lines until one of them is kept;
+    a line that the host's other pages repeat is cut."""
+    import random
+
+    r = random.Random(8)
+
+    def page():
+        return [" ".join(f"w{r.randrange(10**6)}" for _ in range(12)) for _ in range(10)]
+
+    copied, rows = page(), []
+    for i in range(60):
+        lines = page()
+        if i < 6:
+            lines = list(copied)
+            lines[i] = f"changed{i} " + lines[i].split(" ", 1)[1]
+        rows.append((i, "\n".join([*lines, "home about"]), "en", "h", 0))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    cut = stored(corpus_pipeline.dedup_lines(spark, table, SF), "test-near-copies")
+    want = {i: text.removesuffix("\nhome about") for i, text, *_ in rows}
+    assert {x["doc_id"]: x["text"] for x in cut.collect()} == want
+    kept = {x["doc_id"]: x["text"] for x in corpus_pipeline.near_duplicates(spark, cut, SF).collect()}
+    assert kept == {i: t for i, t in want.items() if not 0 < i < 6}

@@ -3,7 +3,8 @@
 For every host, the pages that have a line are divided by the host's pages;
 lines above the boilerplate ratio are dropped from the host's pages. Copies of
 a page are one page here: that a page was crawled a thousand times says nothing
-about its lines. Built-in expressions only: counts are partial aggregates over
+about its lines. A caller that takes near copies for one page as well hands in
+their groups (``page_groups``). Built-in expressions only: counts are partial aggregates over
 hashes of host, line and page, so a hot host, line or page is summed where it is
 read.
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import near_dup
 from tidemark.llm.common import stored
 
 RATIO = 0.05    # share of a host's pages above which a line is boilerplate
@@ -33,16 +35,32 @@ def _mark(line: Column) -> Column:
     return F.xxhash64(F.btrim(line, F.lit(BLANKS)))
 
 
+def page_groups(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """(page, group) for the pages that are near copies of others (5-word
+    shingles, 0.8) but for the one that names the group."""
+    text = F.col(text_col)
+    pages = stored(df.where(text.isNotNull()).select(F.xxhash64(text).alias("page"), text.alias("text"))
+                   .dropDuplicates(["page"]), "line-pages")
+    return stored(near_dup.near_duplicates(pages, "page").where("component_id <> doc_id").select(
+        F.col("doc_id").alias("page"), F.col("component_id").alias("group")), "line-groups")
+
+
 def boilerplate(df: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO,
-                min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, marks): hashes of the lines that each host repeats too often."""
+                min_pages: int = MIN_PAGES, groups: DataFrame | None = None) -> DataFrame:
+    """(host, marks): hashes of the lines that each host repeats too often. The
+    pages of one of ``groups`` are one page."""
+    def grouped(rows: DataFrame) -> DataFrame:
+        if groups is None:
+            return rows
+        return rows.join(groups, "page", "left").withColumn("page", F.coalesce("group", "page")).drop("group").distinct()
+
     text = F.col(text_col)
     pages = df.where(text.isNotNull()).select(host.alias("host"), F.xxhash64(text).alias("page"), text.alias("text"))
     lines = pages.select("host", "page", F.explode(F.transform(_lines(F.col("text")), _mark)).alias("mark"))
     blank = F.xxhash64(F.lit(""))
-    counts = (lines.where(F.col("mark") != blank).distinct()
+    counts = (grouped(lines.where(F.col("mark") != blank).distinct())
               .groupBy("host", "mark").agg(F.count(F.lit(1)).alias("n")))
-    totals = (pages.select(F.col("host").alias("total_host"), "page").distinct()
+    totals = (grouped(pages.select(F.col("host").alias("total_host"), "page").distinct())
               .groupBy("total_host").agg(F.count(F.lit(1)).alias("pages")))
     often = (counts.where(F.col("n") >= min_pages)
              .join(totals, F.col("host").eqNullSafe(F.col("total_host")))
@@ -51,10 +69,10 @@ def boilerplate(df: DataFrame, host: Column, text_col: str = "text", ratio: floa
 
 
 def cut_lines(df: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO,
-              min_pages: int = MIN_PAGES) -> DataFrame:
+              min_pages: int = MIN_PAGES, groups: DataFrame | None = None) -> DataFrame:
     """``df`` with boilerplate lines cut from ``text_col``, plus __n_lines and
     __n_dropped; see ``dedup_lines``."""
-    marks = stored(boilerplate(df, host, text_col, ratio, min_pages), "line-marks")
+    marks = stored(boilerplate(df, host, text_col, ratio, min_pages, groups), "line-marks")
     marks = marks.select(F.col("host").alias("__host"), F.col("marks").alias("__marks"))
     lines = _lines(F.col(text_col))
     kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__marks"), _mark(x)))
