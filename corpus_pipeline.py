@@ -43,12 +43,23 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (5-word shingles, 0.8): the
-    smallest doc_id, once. Documents without an id are not linked; equal ones
-    stay once."""
+    smallest doc_id, once. Documents without an id are linked among themselves,
+    under the hash of their text, and their group goes where one of them has the
+    shingles of a document with an id."""
     apply_conf(spark)
-    kept = near_dup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    found = stored(near_dup.grouped(docs), "pipeline-groups")
+    kept = found.where("doc_id is not null and coalesce(component_id, doc_id) = doc_id").select("doc_id").distinct()
     named = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id is null").dropDuplicates(["text"]))
+    unnamed = stored(docs.where("doc_id is null").dropDuplicates(["text"]).withColumn("__key", F.xxhash64("text")),
+                     "pipeline-unnamed")
+    if unnamed.isEmpty():
+        return named
+    groups = stored(near_dup.grouped(unnamed, "__key"), "pipeline-unnamed-groups")
+    elsewhere = groups.join(found.where("component_id is not null").select("digest").distinct(), "digest", "left_semi")
+    first = (groups.where("coalesce(component_id, doc_id) = doc_id")
+             .join(elsewhere.select("component_id").distinct(), "component_id", "left_anti")
+             .select(F.col("doc_id").alias("__key")))
+    return named.unionByName(unnamed.join(first, "__key", "left_semi").drop("__key"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -233,3 +233,24 @@ def test_near_copies_are_one_page_of_their_host(spark):
     assert {x["doc_id"]: x["text"] for x in cut.collect()} == want
     kept = {x["doc_id"]: x["text"] for x in corpus_pipeline.near_duplicates(spark, cut, SF).collect()}
     assert kept == {i: t for i, t in want.items() if not 0 < i < 6}
+
+
+def test_near_copies_without_an_id_are_kept_once(spark):
+    import random
+
+    r = random.Random(9)
+    base = [[f"w{r.randrange(10**6)}" for _ in range(60)] for _ in range(3)]
+
+    def near(k, i):
+        return " ".join([*base[k][:-1], f"end{i}"])
+
+    rows = [(5, near(0, 0)), (None, near(0, 0).upper()), (None, near(0, 1))]       # the group of document 5
+    rows += [(None, near(1, i)) for i in range(4)] + [(None, near(1, 0))]           # a group without ids
+    rows += [(None, " ".join(base[2])), (None, ""), (None, None), (None, ""), (6, "")]
+    table = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    found = [(x["doc_id"], x["text"]) for x in corpus_pipeline.near_duplicates(spark, stored(table, "unnamed"), SF).collect()]
+    group = [x for x in found if x[1] and x[1].startswith(base[1][0])]
+    assert len(group) == 1 and group[0] in rows
+    rest = [x for x in found if x not in group]
+    assert sorted(rest, key=repr) == sorted([(5, near(0, 0)), (None, " ".join(base[2])), (None, ""), (None, None), (6, "")], key=repr)

@@ -194,6 +194,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     unique; a row whose id another text has too follows its own text. An empty
     table gives no rows. Other columns are not read.
     """
+    return grouped(df, id_col, text_col, shingle, percent).select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, digest, component_id) for every row of ``df``; the
+    digest of the shingle set and the component are null for an empty set. See
+    ``near_duplicates``."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     features = stored(docs.mapInArrow(_features_task(shingle),
                                       "doc_id long, n_shingles long, digest binary, sig binary"), "dup-features")
@@ -256,5 +266,4 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
     return features.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+        "doc_id", "n_shingles", "digest", "component_id")
