@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, chat_format, language_id, line_dedup, mixing, near_dup, quality, secret_scan, token_counts, topk,
+    alignment, bpe, chat_format, fim, language_id, line_dedup, mixing, near_dup, packing, quality, secret_scan,
+    token_counts, topk,
 )
 from tidemark.llm.common import read
 
@@ -138,6 +139,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's rearrangement and restoration."""
+    return fim.fill_in_middle_digests(read(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of all documents in sequences of 1,024 tokens."""
+    packed = packing.pack(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of two tokenizers for every document."""
+    docs = read(spark, sf_dir, "documents")
+    return alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")).documents
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -149,6 +167,9 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_packing": op12_packing,
+    "op13_alignment": op13_alignment,
 }
 
 BLANKS = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
