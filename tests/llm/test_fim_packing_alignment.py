@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -86,12 +87,17 @@ def test_cut_splits_descriptors():
 
 # ------------------------------------------------------------- packing
 
-def library_ids(texts, special_as_text=False):
+@lru_cache
+def library(special_as_text):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
     tok.encode_special_tokens = special_as_text
-    return [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    return tok
+
+
+def library_ids(texts, special_as_text=False):
+    return [e.ids for e in library(special_as_text).encode_batch(texts, add_special_tokens=False)]
 
 
 def check_packed(rows, want: Counter, size=1024):
