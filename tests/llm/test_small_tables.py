@@ -268,30 +268,91 @@ def test_secret_spans_and_ledger(spark, tmp_root):
 
 # ---------------------------------------------------------------- top k
 
-def test_top_k_equals_brute_force(spark, monkeypatch):
-    import numpy as np
-
+def brute_top_k(rows, k=20):
+    """The rows' answers from exact integers; ``rows`` are (id, vector)."""
+    from fractions import Fraction
+    from math import floor
+
+    whole = [(i, [floor(64 * Fraction(x)) for x in v]) for i, v in rows]
+    out = []
+    for q in {i for i, _ in whole if i % 20 == 0}:
+        found = [(-sum(a * b for a, b in zip(x, y)), j) for i, x in whole if i == q
+                 for j, y in whole if j != q and len(x) == len(y)]
+        out += [(q, n + 1, j, -s) for n, (s, j) in enumerate(sorted(found)[:k])]
+    return sorted(out, key=repr)
+
+
+@pytest.fixture()
+def small_shards(monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 100)
     monkeypatch.setattr(topk, "QUERY_ROWS", 7)
     monkeypatch.setattr(topk, "LEAF_ROWS", 8)
+
+
+VECTORS = "vec_id long, embedding array<double>, rank int"
+
+
+def vector_table(spark, rows):
+    return spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+
+
+def test_top_k_equals_brute_force(spark, small_shards):
+    import numpy as np
+
     rng = np.random.default_rng(3)
-    vectors = {i: [float(np.float32(x)) for x in rng.normal(0, 0.3, 6)] for i in range(400)}
-    vectors |= {i: vectors[i - 400] for i in range(400, 480)}                        # ties
-    vectors |= {500: [1e30] + [0.0] * 5, 501: [1.0, 2.0], 502: [3.0, -1.0], 520: [0.5, 0.5]}
-    odd = [(600, None, 0), (601, [1.0, None] + [0.0] * 4, 0), (602, [float("nan")] * 6, 0), (603, [float("inf")] * 6, 0),
-           (None, [1.0] * 6, 0)]
-    table = spark.createDataFrame([(i, v, 0) for i, v in vectors.items()] + odd, "vec_id long, embedding array<float>, rank int")
-    got = {}
-    for r in topk.top_k(table, F.col("vec_id") % 20 == 0, k=20).collect():
-        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    whole = {i: [max(-2 ** 26, min(2 ** 26, int(np.floor(64 * float(np.float32(x)))))) for x in v] for i, v in vectors.items()}
-    for q in [i for i in whole if i % 20 == 0]:
-        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
-        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(scores[:20])]
-    assert all(q % 20 == 0 and q < 600 for q in got)
+    rows = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(400)]
+    rows += [(i, rows[i - 400][1]) for i in range(400, 480)]                         # ties
+    rows += [(i, [0.25] * 6) for i in range(1000, 1300)]                             # equal vectors
+    rows += [(500, [0.0] * 6), (501, [1.0, 2.0]), (502, [3.0, -1.0]), (520, [0.5, 0.5])]
+    odd = [(600, None), (601, [1.0, None] + [0.0] * 4), (602, [float("nan")] * 6), (603, [float("inf")] * 6), (None, [1.0] * 6)]
+    table = vector_table(spark, rows + odd)
+    assert collect(topk.top_k(table, F.col("vec_id") % 20 == 0, k=20)) == brute_top_k(rows)
     assert topk.top_k(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_of_large_components_is_exact(spark, small_shards):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) * 10 ** rng.choice((0, 3, 7)) for _ in range(5)]) for i in range(300)]
+    rows += [(1000 + i, [1e7 + i, -1e7, 3e6, 9e6, 0.5]) for i in range(40)]
+    table = vector_table(spark, rows)
+    assert collect(topk.top_k(table, F.col("vec_id") % 20 == 0, k=20)) == brute_top_k(rows)
+
+
+def test_top_k_past_floating_point_and_past_long(spark, small_shards):
+    # terms of 2**70 that cancel: exact sums that neither doubles nor longs hold on the way
+    rows = [(i, [2.0 ** 29 + i, -(2.0 ** 29), float(i)]) for i in range(0, 60)]
+    rows += [(100, [2.0 ** 29 + 3, 2.0 ** 29 + 1, 1.0])]
+    table = vector_table(spark, rows)
+    assert collect(topk.top_k(table, F.col("vec_id") == 100, k=20)) == [r for r in brute_top_k(rows) if r[0] == 100]
+    with pytest.raises(Exception, match="does not fit in a long"):
+        topk.top_k(vector_table(spark, [(20, [1e12]), (1, [1e12])]), F.col("vec_id") % 20 == 0).collect()
+
+
+def test_top_k_of_repeated_ids_and_rows(spark, small_shards):
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(200)]
+    rows += [(40, [0.9, 0.9, 0.9]), (40, [-0.9, 0.1, 0.2])]          # other vectors under a query's id
+    rows += [rows[60]] * 3 + [rows[7]] * 25 + [(3, [1.0, 1.0, 1.0])]  # repeated query, repeated candidates
+    assert collect(topk.top_k(vector_table(spark, rows), F.col("vec_id") % 20 == 0, k=20)) == brute_top_k(rows)
+
+
+def test_top_k_drops_cells_before_vectors_move(spark, small_shards):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 1, (8, 6)) * 3
+    points = np.concatenate([c + rng.normal(0, 0.05, (200, 6)) for c in centres])
+    cells = topk.Cells(np.floor(64 * points), 16)
+    low, high = (np.array([f(np.floor(64 * points)[cells.of(np.floor(64 * points)) == c], 0) for c in range(cells.count)])
+                 for f in (np.min, np.max))
+    queries = np.floor(64 * points[::20])
+    kth = np.sort(queries @ np.floor(64 * points).T, 1)[:, -20]
+    part = spark.createDataFrame([(int(t), q.tolist(), 6) for t, q in zip(kth, queries)], "kth long, v array<double>, dim int")
+    reached = part.mapInArrow(topk._reach_task({6: (np.arange(cells.count), low, high)}),
+                              "kth long, v array<double>, dim int, cell int")
+    assert 0 < reached.count() < 0.5 * len(queries) * cells.count
+
+
 # --------------------------------------------------------------- mixing
 
 def brute_targets(sizes):
