@@ -103,6 +103,39 @@ def test_near_duplicates_small_cases(spark):
     assert near_dup.near_duplicates(docs(spark, [])).count() == 0
 
 
+def brute_rows(rows, shingle=5):
+    """component_id of each row of (id, text), linked by text alone."""
+    groups = brute.components({n: brute.shingles(t, shingle) for n, (_, t) in enumerate(rows)})
+    least = {}
+    for n, (i, _) in enumerate(rows):
+        if i is not None:
+            least[groups[n]] = min(i, least.get(groups[n], i))
+    return [least.get(groups[n], i) if brute.shingles(t, shingle) else i for n, (i, t) in enumerate(rows)]
+
+
+def test_near_duplicates_link_rows_by_text_whatever_their_ids(spark):
+    r = random.Random(12)
+    base = [[f"w{r.randrange(10**6)}" for _ in range(100)] for _ in range(4)]
+
+    def at(k, *places):  # base k with some words of the middle changed
+        w = list(base[k])
+        for p in places:
+            w[p] = f"x{p}"
+        return " ".join(w)
+
+    chain = [(1, at(0, 5, 6)), (None, at(0, 5, 6, 50, 51)), (3, at(0, 50, 51)), (None, at(0, 50, 51, 90, 91))]
+    shared = [(7, at(1)), (7, at(2)), (8, at(1)), (9, at(2)), (9, at(2)), (5, at(2, 40))]   # two texts under id 7
+    unnamed = [(None, at(3)), (None, at(3)), (None, at(3, 10)), (None, ""), (None, None), (None, "")]
+    rows = chain + shared + unnamed
+    # the ends of the chain are linked through the row without an id alone
+    sets = [brute.shingles(t, 5) for _, t in chain]
+    assert 100 * len(sets[0] & sets[2]) < 80 * len(sets[0] | sets[2])
+    want = brute_rows(rows)
+    assert want[:3] == [1, 1, 1] and want[4:10] == [7, 5, 7, 5, 5, 5]
+    got = collect(near_dup.near_duplicates(docs(spark, rows)).select("doc_id", "n_shingles", "component_id", "kept"))
+    assert got == sorted([(i, len(brute.shingles(t, 5)), c, c == i) for (i, t), c in zip(rows, want)], key=repr)
+
+
 def test_signature_keys_guarantee_the_distance(spark):
     """Any two signatures within the pigeonhole distance share a key."""
     import numpy as np

@@ -80,6 +80,11 @@ def _sets(batches, shingle: int):
             done += len(group)
 
 
+# what a row is told apart by: its id and two hashes of its text
+_ROW = pa.struct([("doc_id", pa.int64()), ("mark", pa.int64()), ("check", pa.int32())])
+ROW = "struct<doc_id:bigint,mark:bigint,check:int>"
+
+
 def _features_task(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -88,7 +93,7 @@ def _features_task(shingle: int):
             raw, cuts = flat.tobytes(), (offsets * 8).tolist()
             digests = [xxh3_128_digest(raw[a:b]) if b > a else None for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(np.diff(offsets)),
+                "row": pa.array(ids, _ROW), "n_shingles": pa.array(np.diff(offsets)),
                 "digest": pa.array(digests, pa.binary()), "sig": pa.array([s.tobytes() for s in sigs], pa.binary())})
 
     return run
@@ -189,28 +194,58 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Defined cases: a text with fewer words is one shingle; a null text or one
     without words has the empty set and is linked with nothing. Equal rows
-    share a component and are all kept if one is. A null doc_id takes the
-    component of its text (null if no other row has that set). Ids should be
-    unique; a row whose id another text has too follows its own text. An empty
-    table gives no rows. Other columns are not read.
+    share a component and are all kept if one is. Rows are linked by their
+    texts, whatever their ids: a row without an id links what is near it on
+    both sides, and two texts under one id are two documents. A row without an
+    id takes the component of its text; if no id is reachable, component_id is
+    null and kept is true. An empty table gives no rows. Other columns are not
+    read.
     """
     return grouped(df, id_col, text_col, shingle, percent).select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("component_id", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
+def marked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` plus __row, which tells its rows apart by id and text."""
+    text = F.col(text_col).cast("string")
+    return df.withColumn("__row", F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"),
+                                           F.hash(text).alias("check")))
+
+
+def rows_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``df`` (with __row) joined with ``wanted`` (row, repeated, and more):
+    each wanted row once. Only those that are marked as repeated are
+    deduplicated, with a map-side aggregate."""
+    w = wanted.select(F.col("row.doc_id").alias("__w_id"), F.col("row.mark").alias("__w_mark"),
+                      F.col("row.check").alias("__w_check"), *[c for c in wanted.columns if c != "row"])
+    found = df.join(w.hint("shuffle_hash"), (F.col("__row.mark") == F.col("__w_mark")) & (F.col("__row.check") == F.col("__w_check"))
+                    & F.col("__row.doc_id").eqNullSafe(F.col("__w_id"))).drop("__w_id", "__w_mark", "__w_check")
+    columns = [c for c in found.columns if c not in ("__row", "repeated")]
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    once = found.where("repeated").groupBy("__row").agg(F.first(whole).alias("__first")).select("__first.*")
+    return found.where("not repeated").select(*[F.col(f"`{c}`") for c in columns]).unionByName(once)
+
+
 def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, digest, component_id) for every row of ``df``; the
-    digest of the shingle set and the component are null for an empty set. See
-    ``near_duplicates``."""
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    features = stored(docs.mapInArrow(_features_task(shingle),
-                                      "doc_id long, n_shingles long, digest binary, sig binary"), "dup-features")
-    classes = features.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes.where("rep is not null"), "dup-classes")
-    reps = features.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"])
-    keys = stored(reps.select("doc_id", "sig"), "dup-reps").mapInArrow(_keys_task, "key long, rep long")
+    """(doc_id, n_shingles, row, component, component_id) for every row of ``df``:
+    ``row`` as ``marked`` gives it, ``component`` a number of the group that is
+    null for an empty set, ``component_id`` its smallest id. See
+    ``near_duplicates``.
+
+    Classes of equal sets are numbered, and everything between works on these
+    numbers, so that neither a missing nor a shared id hides or makes a link.
+    """
+    docs = marked(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    features = stored(docs.select("__row", "text").mapInArrow(
+        _features_task(shingle), f"row {ROW}, n_shingles long, digest binary, sig binary"), "dup-features")
+    first = F.struct(F.col("row.doc_id").isNull().alias("no_id"), "row")
+    classes = (features.where("digest is not null").groupBy("digest")
+               .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig")))
+    classes = stored(classes.select("digest", "sig", F.col("first.row").alias("row"), (F.col("n") > 1).alias("repeated"))
+                     .withColumn("rep", F.monotonically_increasing_id()), "dup-classes")
+    keys = classes.select("rep", "sig").mapInArrow(_keys_task, "key long, rep long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(keys.join(shared, "key"), "dup-members")
 
@@ -222,8 +257,8 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = members.select("key", "rep").join(lived, "rep").groupBy("key").agg(F.max("h").alias("h"))
     homes = stored(members.select("key", "rep").join(best, "key").groupBy("rep").agg(F.max("h").alias("h"))
                    .select("rep", F.col("h.home").alias("home")), "dup-homes")
-    texts = docs.join(homes.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = stored(texts.mapInArrow(_sets_task(shingle), "rep long, sig binary, shingles binary"), "dup-sets")
+    texts = rows_of(docs, classes.join(homes.select("rep"), "rep").select("row", "repeated", "rep"))
+    sets = stored(texts.select("rep", "text").mapInArrow(_sets_task(shingle), "rep long, sig binary, shingles binary"), "dup-sets")
     sizes = sets.groupBy("rep").agg(F.max(F.length("shingles") / 8).alias("size"))
     tiles = homes.join(sizes, "rep")
     cuts = tiles.groupBy("home").agg(F.ceil(F.greatest(
@@ -264,6 +299,9 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = connected_components(links.union(late))
 
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component_id"))
-    return features.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
-        "doc_id", "n_shingles", "digest", "component_id")
+        "digest", "row", F.coalesce("component", "rep").alias("component"))
+    named = stored(named, "dup-named")
+    smallest = named.groupBy("component").agg(F.min("row.doc_id").alias("component_id"))
+    named = named.drop("row").join(smallest, "component")
+    return features.select(F.col("row.doc_id").alias("doc_id"), "n_shingles", "row", "digest").join(named, "digest", "left").select(
+        "doc_id", "n_shingles", "row", "component", "component_id")
