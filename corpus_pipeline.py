@@ -43,23 +43,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (5-word shingles, 0.8): the
-    smallest doc_id, once. Documents without an id are linked among themselves,
-    under the hash of their text, and their group goes where one of them has the
-    shingles of a document with an id."""
+    smallest doc_id, once; where no document of a group has an id, the one of the
+    smallest text hash. Documents without words are no copies of each other, but
+    repeated rows of one id and text are one document here too."""
     apply_conf(spark)
-    found = stored(near_dup.grouped(docs), "pipeline-groups")
-    kept = found.where("doc_id is not null and coalesce(component_id, doc_id) = doc_id").select("doc_id").distinct()
-    named = docs.join(kept.hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    unnamed = stored(docs.where("doc_id is null").dropDuplicates(["text"]).withColumn("__key", F.xxhash64("text")),
-                     "pipeline-unnamed")
-    if unnamed.isEmpty():
-        return named
-    groups = stored(near_dup.grouped(unnamed, "__key"), "pipeline-unnamed-groups")
-    elsewhere = groups.join(found.where("component_id is not null").select("digest").distinct(), "digest", "left_semi")
-    first = (groups.where("coalesce(component_id, doc_id) = doc_id")
-             .join(elsewhere.select("component_id").distinct(), "component_id", "left_anti")
-             .select(F.col("doc_id").alias("__key")))
-    return named.unionByName(unnamed.join(first, "__key", "left_semi").drop("__key"))
+    found = near_dup.grouped(docs)
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "row")
+    alone = F.when(F.col("component").isNull(), F.col("row"))  # without words: each id and text by itself
+    kept = (found.groupBy("component", alone.alias("alone")).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
+            .select(F.col("first.row").alias("row"), (F.col("n") > 1).alias("repeated")))
+    out = near_dup.rows_of(near_dup.marked(docs), stored(kept, "pipeline-kept"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
