@@ -133,6 +133,60 @@ def test_forward_fill_null_key_is_a_key(spark):
     assert rows(forward_fill(df, "d", ["v"], partition_by=["k"]), "k", "d", "v") == rows(
         spark.createDataFrame([(None, D(2024, 1, 1), 1.0), (None, D(2024, 3, 1), 1.0), ("a", D(2024, 2, 1), None)],
                               "k string, d date, v double"), "k", "d", "v")
-    import pytest
-    with pytest.raises(ValueError, match="bucket"):
-        forward_fill(df, "v", ["v"])
+    # any order will do, not only dates and timestamps
+    assert rows(forward_fill(df, ["v", "d"], {"k": "last_k"}), "d", "last_k") == [
+        (D(2024, 1, 1), "a"), (D(2024, 2, 1), "a"), (D(2024, 3, 1), "a")]
+
+
+def _one_day(spark, n=3000):
+    """A key with a third of all rows, inside one day."""
+    rnd = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    data = [(0, start + dt.timedelta(seconds=rnd.randrange(86400)), i, round(rnd.uniform(-5, 5), 2) if i % 4 else None)
+            for i in range(n // 3)]
+    data += [(1 + i % 40, start + dt.timedelta(hours=rnd.randrange(2000)), n + i, round(rnd.uniform(-5, 5), 2) if i % 4 else None)
+             for i in range(n - n // 3)]
+    rnd.shuffle(data)
+    return spark.createDataFrame(data, "k int, ts timestamp_ntz, id int, v double").repartition(8)
+
+
+def test_a_hot_key_inside_one_day_spreads_over_ranges(spark, monkeypatch):
+    from tidemark.operators import ranges
+    df = _one_day(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        x = ranges.ranged(df, ["k"], ["ts", "id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per = {r["r"]: (r["n"], r["hot"]) for r in x.groupBy(ranges.range_of().alias("r")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("k") == 0).alias("hot")).collect()}
+    assert len(per) == 4 and max(n for n, _ in per.values()) < 0.4 * df.count()
+    assert sum(hot > 0 for _, hot in per.values()) >= 2
+    placed = ranges.positions(x, "i").collect()
+    assert [(r["k"], r["ts"], r["id"]) for r in sorted(placed, key=lambda r: r["i"])] == sorted((r["k"], r["ts"], r["id"]) for r in df.collect())
+    assert sorted(r["i"] for r in placed) == list(range(df.count()))
+
+
+def test_fill_and_rolling_over_ranges_equal_plain_windows(spark):
+    df = _one_day(spark)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    plain = df.withColumn("f", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        filled = forward_fill(df, ["ts", "id"], {"v": "f"}, partition_by=["k"])
+        rolled = rolling_std(df, ["k"], ["ts", "id"], "v", {"s": 7}, chunk_rows=10)
+        assert rows(filled, "id", "f") == rows(plain, "id", "f")
+        sd = F.round(F.round(F.stddev_samp("v").over(w.rowsBetween(-6, 0)), 9), 4)
+        got = {r["id"]: r["s"] for r in rolled.collect()}
+        want = {r["id"]: r["s"] for r in df.withColumn("s", sd).collect()}
+        assert got.keys() == want.keys()
+        assert all((got[i] is None) == (s is None) and (s is None or abs(got[i] - s) <= 1.01e-4) for i, s in want.items())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_ranges_of_rows_with_maps_and_of_an_empty_table(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, None)], "k string, t int, m map<string,int>")
+    assert rows(forward_fill(df, "t", {"t": "f"}, partition_by=["k"]), "t", "f") == [(1, 1), (2, 2)]
+    assert forward_fill(df.limit(0), "t", {"t": "f"}, partition_by=["k"]).count() == 0
+    assert rolling_std(df.limit(0), ["k"], ["t"], "t", {"s": 3}, chunk_rows=10).count() == 0

@@ -9,11 +9,11 @@ linear plans are used instead:
 * no key, DATE times: a *calendar spine* from the right side alone (each
   right date covers the days until the next one), joined to the left by
   date; left dates past the last right date take the last one.
-* otherwise: a *time map*. Distinct (key, left time) and (key, right time) are
-  unioned, the latest right time at or before each is forward-filled per key
-  over that table (in two passes by time bucket, so a hot key is split), and
-  two equi joins attach the right row. Repeated times of a key collapse in the
-  aggregate; the joins back are split by adaptive execution where they skew.
+* otherwise: a *merge*. Left and right rows go into one table sorted by (key,
+  time, side), right rows first; each left row takes the last right row before
+  it, and a range of that table takes the last one of earlier ranges of its key
+  (``forward_fill``). Neither side is joined, so repeated times and hot keys
+  cost no more than their rows.
 """
 
 from __future__ import annotations
@@ -44,8 +44,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     "a match exists" column (X12). The right side must be unique on
     ``(by, right_on)``; ``check_unique=True`` verifies it with one aggregate.
     ``bucket`` is a function ``Column -> Column`` giving the time bucket of the
-    fill (default: month of a date, day of a timestamp). A NULL key or time
-    matches nothing.
+    merge (default: ranges cut from the data). A NULL key or time matches
+    nothing.
     """
     keys = list(by or [])
     cols = _right_columns(right, right_on, keys, right_cols)
@@ -59,7 +59,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     if (not keys and bucket is None and isinstance(left.schema[left_on].dataType, T.DateType)
             and isinstance(right.schema[right_on].dataType, T.DateType)):
         return _asof_calendar(left, right, left_on, right_on, cols, flag_col)
-    return _asof_time_map(left, right, left_on, right_on, keys, cols, flag_col, bucket)
+    return _asof_merge(left, right, left_on, right_on, keys, cols, flag_col, bucket)
 
 
 def _asof_calendar(left, right, left_on, right_on, cols, flag_col):
@@ -91,23 +91,25 @@ def _asof_calendar(left, right, left_on, right_on, cols, flag_col):
     return out.drop(m)
 
 
-def _asof_time_map(left, right, left_on, right_on, keys, cols, flag_col, bucket):
-    t, m = "__asof_t", "__asof_match"
-
-    def times(df, on, match):
-        named = [F.col(k).alias(f"__asof_k_{k}") for k in keys]
-        rows = df.select(*named, F.col(on).cast(right.schema[right_on].dataType).alias(t)).dropna()
-        return rows.select("*", match.cast(right.schema[right_on].dataType).alias(m))
-
+def _asof_merge(left, right, left_on, right_on, keys, cols, flag_col, bucket):
+    t, side, row, match = "__asof_t", "__asof_side", "__asof_row", "__asof_match"
+    kind = right.schema[right_on].dataType
     names = [f"__asof_k_{k}" for k in keys]
-    both = times(left, left_on, F.lit(None)).unionByName(times(right, right_on, F.col(t)))
-    time_map = forward_fill(both.groupBy(*names, t).agg(F.max(m).alias(m)), [t], [m], partition_by=names,
-                            bucket=bucket(F.col(t)) if bucket is not None else None)
-    rsel = right.select(*[F.col(k).alias(f"__asof_r_{k}") for k in keys], F.col(right_on).alias("__asof_r"),
-                        *[F.col(c).alias(c) for c in cols])
-    on_left = [left[left_on] == F.col(t), *[left[k] == F.col(f"__asof_k_{k}") for k in keys]]
-    on_right = [F.col(m) == F.col("__asof_r"), *[F.col(f"__asof_k_{k}") == F.col(f"__asof_r_{k}") for k in keys]]
-    out = left.join(time_map, on_left, "left").join(rsel, on_right, "left")
-    if flag_col:
-        out = out.withColumn(flag_col, F.col(m).isNotNull())
-    return out.drop(t, m, "__asof_r", *names, *[f"__asof_r_{k}" for k in keys])
+
+    def rows(df, on, number, own, other):
+        return df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(on).cast(kind).alias(t),
+                         F.lit(number).alias(side), own, other)
+
+    here = F.struct(*[F.col(c) for c in left.columns])
+    there = F.struct(F.col(right_on).alias("__asof_r"), *[F.col(c) for c in cols])
+    lefts = rows(left, left_on, 1, here.alias(row), F.lit(None).cast(right.select(there).schema[0].dataType).alias(match))
+    rights = rows(right, right_on, 0, F.lit(None).cast(left.select(here).schema[0].dataType).alias(row), there.alias(match))
+    found = forward_fill(lefts.unionByName(rights.dropna(subset=[*names, t])), [t, side], [match], partition_by=names,
+                         bucket=bucket(F.col(t)) if bucket is not None else None)
+    # a left row without a key or time matches nothing
+    known = F.lit(True)
+    for c in [*names, t]:
+        known = known & F.col(c).isNotNull()
+    found = found.where(F.col(side) == 1).withColumn(match, F.when(known, F.col(match)))
+    flag = [F.col(match).isNotNull().alias(flag_col)] if flag_col else []
+    return found.select(*[F.col(row)[c].alias(c) for c in left.columns], *[F.col(match)[c].alias(c) for c in cols], *flag)

@@ -53,9 +53,11 @@ def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
            columns: Sequence[str] | None = None, how: str = "left") -> DataFrame:
     """Fact-to-dimension equi join that never multiplies facts.
 
-    A dimension key that occurs twice fails the job: the dimension is grouped
-    by its key first (the join needs it shuffled by that key anyway), and a
-    group of several rows raises. NULL keys match nothing and may repeat.
+    A dimension key that occurs twice fails the job. The check stands beside the
+    join, as a scalar subquery over the dimension's keys alone that a filter
+    above the join reads, so both inputs of the join are plain shuffles and
+    adaptive execution can split a skewed key. NULL keys match nothing and may
+    repeat.
 
     The broadcast decision is left to the planner by default: the static
     planner broadcasts a side whose estimated size is under
@@ -65,17 +67,28 @@ def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
     """
     keys = [on] if isinstance(on, str) else list(on)
     others = [c for c in (dim.columns if columns is None else columns) if c not in keys]
-    return fact.join(unique_by(dim.select(*keys, *others), keys), keys, how)
+    return fact.join(dim.select(*keys, *others), keys, how).where(no_duplicate_key(dim, keys))
+
+
+def _told(keys: Sequence[str]) -> Column:
+    return F.concat(F.lit(f"duplicate key {', '.join(keys)}: "),
+                    F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+
+
+def no_duplicate_key(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A scalar subquery that is true, and fails the job if ``df`` holds a
+    non-NULL key twice. Only the keys are read and counted."""
+    known = df.select(*keys).dropna()
+    twice = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+    return twice.agg(F.min(F.raise_error(_told(keys)).cast("boolean"))).scalar().isNull()
 
 
 def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df``, whose rows with a repeated non-NULL key fail the job."""
     others = [c for c in df.columns if c not in keys]
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    told = F.concat(F.lit(f"duplicate key {', '.join(keys)}: "),
-                    F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
     rows = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in others])
-            .withColumn("__n", F.when(known & (F.col("__n") > 1), F.raise_error(told).cast("bigint")).otherwise(F.col("__n"))))
+            .withColumn("__n", F.when(known & (F.col("__n") > 1), F.raise_error(_told(keys)).cast("bigint")).otherwise(F.col("__n"))))
     return rows.where(F.col("__n") >= 1).select(*df.columns)
 
 

@@ -10,8 +10,9 @@ only the touched partitions, never the path being read.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,7 +125,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
                 mode: str = "overwrite", replace_all: bool = False) -> str:
     """K4: materialize as parquet. With ``partition_by`` and dynamic partition
     overwrite only the partitions present in ``df`` are replaced;
-    ``replace_all`` replaces the whole table (static overwrite)."""
+    ``replace_all`` replaces the whole table (static overwrite). Rows are dealt
+    by partition before the write, and AQE splits large ones again, so a
+    partition gets few files and a hot one is written by many tasks."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -186,7 +191,8 @@ def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partitio
         target = target.where(hit | F.col(partition_col).isNull() if None in touched else hit)
     else:
         target = empty_table(spark, schema)
-    merged = cut_lineage(upsert(target, source, keys, order=order, stamp=stamp).select(*schema.fieldNames()))
+    merged = upsert(target, source, keys, order=order, stamp=stamp).select(*schema.fieldNames())
+    merged = cut_lineage(merged.hint("rebalance", F.col(partition_col)))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return merged
@@ -242,6 +248,59 @@ def read_current(spark: SparkSession, base: str, schema: T.StructType | None = N
     return add_missing_columns(df, schema) if schema is not None else df
 
 
+# --------------------------------------------------------------------------- F4 A2 S8, stored
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+_MARK_FILE = "_MARK"  # readers skip files that begin with an underscore
+
+
+def write_mark(spark: SparkSession, path: str, mark) -> None:
+    """Keep a high-water mark (a date, or None) beside the table at ``path``."""
+    p, fs = _hadoop(spark, f"{path.rstrip('/')}/{_MARK_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(("" if mark is None else mark.isoformat()).encode()))
+    finally:
+        out.close()
+
+
+def read_mark(spark: SparkSession, path: str):
+    """The mark that ``write_mark`` kept, as a date; None if there is none."""
+    p, fs = _hadoop(spark, f"{path.rstrip('/')}/{_MARK_FILE}")
+    if not fs.exists(p):
+        return None
+    size = fs.getFileStatus(p).getLen()
+    stream = fs.open(p)
+    try:
+        text = "".join(chr(stream.read()) for _ in range(size))
+    finally:
+        stream.close()
+    return date.fromisoformat(text) if text else None
+
+
+def write_marked_version(df: DataFrame, base: str, date_col: str) -> date | None:
+    """``write_version`` whose version keeps ``max(date_col)`` beside its files;
+    the maximum is observed by the write itself, so the table is not read again.
+    Returns the mark."""
+    seen = Observation()
+    path = write_version(df.observe(seen, F.max(date_col).alias("mark")), base)
+    mark = seen.get.get("mark")
+    write_mark(df.sparkSession, path, mark)
+    return mark
+
+
+def current_mark(spark: SparkSession, base: str):
+    """The mark of the newest complete version; None if the table is new."""
+    versions = _versions(spark, base)
+    return read_mark(spark, f"{base.rstrip('/')}/v={versions[-1]:08d}") if versions else None
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """K5: a staging model as a temporary view."""
     df.createOrReplaceTempView(name)
@@ -308,6 +367,26 @@ def incremental_merge(target: DataFrame, source: DataFrame,
     return upsert(target, cand, keys, order=order)
 
 
+def stored_incremental_merge(source: DataFrame, base: str, schema: T.StructType, keys: Sequence[str],
+                             date_col: str, lookback_days: int = 0,
+                             order: Sequence[str | Column] | None = None) -> DataFrame:
+    """K3 into the versioned table at ``base``: the mark is read as a value from
+    beside the newest version, so the source is pruned by a literal and the
+    target is read once, by the merge alone. The merged table is written as the
+    next version with its own mark; two versions stay."""
+    spark = source.sparkSession
+    mark = move_back(current_mark(spark, base), lookback_days)
+    fresh = source if mark is None else source.where(F.col(date_col) >= F.lit(mark))
+    merged = upsert(read_current(spark, base, schema), fresh, keys, order=order)
+    write_marked_version(merged.select(*schema.fieldNames()), base, date_col)
+    drop_old_versions(spark, base)
+    return read_current(spark, base, schema)
+
+
+def move_back(mark, days: int):
+    return mark - timedelta(days=days) if mark is not None and days else mark
+
+
 def incremental_window_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
                              date_col: str, by: Sequence[str], context_rows: int,
                              compute: Callable[[DataFrame], DataFrame],
@@ -339,3 +418,54 @@ def incremental_window_rows(source: DataFrame, mark, date_col: str, by: Sequence
     from tidemark.operators.relational import topk_per_key
     ctx = topk_per_key(source.where(F.col(date_col) < m), by, [F.col(date_col).desc()], context_rows)
     return compute(source.where(fresh).unionByName(ctx)).where(fresh)
+
+
+# --------------------------------------------------------------------------- K3 with stored windows
+
+
+def stored_window_increment(source: DataFrame, path: str, state: str, schema: T.StructType, keys: Sequence[str],
+                            date_col: str, by: Sequence[str], context_rows: int,
+                            compute: Callable[[DataFrame], DataFrame], lookback_days: int = 0,
+                            full_refresh: bool = False, order: Sequence[str | Column] = ()) -> DataFrame:
+    """K3 + G1 from stored state: one run of a windowed incremental model whose
+    table, partitioned by ``date_col``, lies at ``path``.
+
+    The versioned table ``state`` holds, for each ``by`` key, the last
+    ``context_rows`` source rows before its *cut*, a date kept beside it. A run
+    reads the state and the source from the cut on (a literal bound on the
+    scan), never the history: ``compute`` runs over both, the rows at or after
+    the mark replace or join those of their days, and the state moves on to the
+    new mark (``lookback_days`` earlier, so that later runs may go back that
+    far). The first run, a full refresh, and a run that asks for days before the
+    cut read the whole source, and give the same table.
+
+    The state is written after the table. A run that died between the two finds
+    an older cut, reads from there, and merges the same rows again.
+    """
+    from tidemark.operators.relational import topk_per_key
+
+    spark = source.sparkSession
+    mark = None if full_refresh else read_mark(spark, path)
+    since, cut = move_back(mark, lookback_days), None if full_refresh else current_mark(spark, state)
+    if since is None or cut is None or since < cut:
+        known = source  # nothing stored reaches back far enough
+    else:
+        known = read_current(spark, state).select(*source.columns).unionByName(source.where(F.col(date_col) >= F.lit(cut)))
+    if since is None:
+        rows = compute(known).select(*schema.fieldNames())
+        seen = Observation()
+        write_table(rows.observe(seen, F.max(date_col).alias("mark")), path, [date_col], replace_all=True)
+        mark = seen.get.get("mark")
+    else:
+        ctx = topk_per_key(known.where(F.col(date_col) < F.lit(since)), by, [F.col(date_col).desc(), *[o for o in order]], context_rows)
+        window = known.where(F.col(date_col) >= F.lit(since)).unionByName(ctx)
+        rows = compute(window).where(F.col(date_col) >= F.lit(since)).select(*schema.fieldNames())
+        merged = merge_partitions(rows, path, [*keys, date_col], date_col, schema)
+        mark = max(d for d in (mark, merged.agg(F.max(date_col)).first()[0]) if d is not None)
+    if mark is not None:
+        write_mark(spark, path, mark)
+        cut = move_back(mark, lookback_days)
+        kept = topk_per_key(known.where(F.col(date_col) < F.lit(cut)), by, [F.col(date_col).desc(), *order], context_rows)
+        write_mark(spark, write_version(kept, state), cut)
+        drop_old_versions(spark, state)
+    return spark.read.schema(schema).parquet(path)

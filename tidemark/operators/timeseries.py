@@ -8,12 +8,14 @@ the ordering inside a key must be unique; pass a tie-break column otherwise.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.expr import col_of
+from tidemark.operators.ranges import AT, positions, range_of, ranged
 
 
 def _join_same_keys(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,11 +63,14 @@ def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str]
                  partition_by: Sequence[str] | None = None, bucket: Column | None = None) -> DataFrame:
     """``last_value(c ignore nulls) over (order by t rows unbounded preceding)``.
 
-    Two passes that never put a whole key into one task: (1) per (key, bucket)
+    Two passes that never put a whole key into one task: (1) per (key, range)
     the last non-NULL value by ``max_by`` (partial + final aggregate), (2) carry
-    those over the small bucket table with a window per key, (3) fill inside
-    each (key, bucket) and fall back to the carry. ``bucket`` must be monotone
-    in the order; it defaults to ``time_bucket``.
+    those over the small table of ranges with a window per key, (3) fill inside
+    each (key, range) and fall back to the carry. Ranges are cut from the data
+    (``ranged``), so a hot key or day is split; the rows are written for that.
+    With ``bucket``, an expression that is monotone in the order, rows of one
+    (key, bucket) meet in one task and nothing is written: for tables that the
+    calendar bounds, pass ``time_bucket``.
 
     ``order`` lists the ordering columns (the first is the time, the rest
     break ties); NULLs before the first value stay NULL; a NULL key is a key.
@@ -73,10 +78,14 @@ def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str]
     order_cols = [order] if isinstance(order, str) else list(order)
     mapping = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     keys = list(partition_by or [])
-    order_exprs = [F.col(c).asc() for c in order_cols]
 
     b = "__ff_bucket"
-    x = df.withColumn(b, time_bucket(df, order_cols[0]) if bucket is None else bucket)
+    if bucket is None:
+        x = ranged(df, keys, order_cols).withColumn(b, range_of())
+        order_cols = [AT]
+    else:
+        x = df.withColumn(b, bucket)
+    order_exprs = [F.col(c).asc() for c in order_cols]
     okey = F.struct(*[F.col(c) for c in order_cols])
     names = {src: (f"__ff_in_{i}", f"__ff_last_{i}", f"__ff_carry_{i}")
              for i, src in enumerate(mapping)}
@@ -87,6 +96,8 @@ def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str]
         .rowsBetween(Window.unboundedPreceding, -1)
     carry = last.select(*keys, b, *[
         F.last(F.col(n[1]), ignorenulls=True).over(wb).alias(n[2]) for n in names.values()])
+    # most keys lie in one range and carry nothing
+    carry = carry.where(reduce(lambda a, c: a | c, [F.col(n[2]).isNotNull() for n in names.values()]))
     wi = Window.partitionBy(*keys, b).orderBy(*order_exprs) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = x.select("*", *[F.last(F.col(src), ignorenulls=True).over(wi).alias(n[0])
@@ -94,7 +105,7 @@ def forward_fill(df: DataFrame, order: str | Sequence[str], cols: Sequence[str]
     out = _join_same_keys(filled, carry, [*keys, b])
     for src, (n_in, _, n_carry) in names.items():
         out = out.withColumn(mapping[src], F.coalesce(F.col(n_in), F.col(n_carry)))
-    return out.drop(b, *[n for trio in names.values() for n in (trio[0], trio[2])])
+    return out.drop(b, AT, *[n for trio in names.values() for n in (trio[0], trio[2])])
 
 
 def row_index(df: DataFrame, by: Sequence[str], order: Sequence[Column], bucket: Column,
@@ -126,23 +137,24 @@ def rolling_std(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
                 chunk_rows: int = 100_000, bucket: Column | None = None) -> DataFrame:
     """Sample stddev over the last ``n`` rows per key, rounded.
 
-    Each row gets its position within the key (``row_index`` over ``bucket``,
-    which must be monotone in the order and defaults to ``time_bucket`` of the
-    first order column), keys are cut into chunks of ``chunk_rows`` positions,
-    and the last ``max(n) - 1`` rows of each chunk are copied into the next one
-    as context only. A key holding a third of all rows spreads over many tasks.
-    All frames share one window operator.
+    Rows sorted by key and order get their position over the whole table (a
+    prefix sum by range, ``positions``), the table is cut into chunks of
+    ``chunk_rows`` positions, and the last ``max(n) - 1`` rows of each chunk are
+    copied into the next one as context only. A key holding a third of all rows,
+    or all rows of a day, spreads over many tasks. All frames share one window
+    operator, whose groups are the keys of a chunk. With ``bucket``, monotone in
+    the order, positions come from counts per (key, bucket) instead
+    (``row_index``) and nothing is written.
     """
     order_cols = [col_of(o) for o in order]
-    if bucket is None:
-        if not isinstance(order[0], str):
-            raise ValueError("give a bucket that is monotone in the order")
-        bucket = time_bucket(df, order[0])
     overlap = max(windows.values()) - 1
     if chunk_rows <= overlap:
         raise ValueError("chunk_rows must exceed the largest window")
     idx, chunk, ctx = "__rs_idx", "__rs_chunk", "__rs_ctx"
-    x = row_index(df, by, order_cols, bucket, idx)
+    if bucket is None:
+        x = positions(ranged(df, by, order_cols), idx).drop(AT).withColumn(idx, F.col(idx) + 1)
+    else:
+        x = row_index(df, by, order_cols, bucket, idx)
     pos = (F.col(idx) - 1) % chunk_rows
     c = F.floor((F.col(idx) - 1) / F.lit(chunk_rows)).cast("bigint")
     copies = F.array(F.struct(c.alias(chunk), F.lit(False).alias(ctx)),

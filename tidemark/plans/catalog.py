@@ -30,13 +30,14 @@ from tidemark.operators.relational import topk, topk_per_key
 from tidemark.operators.scd2 import empty_history, scd2_merge
 from tidemark.operators.sinks import (
     add_missing_columns,
-    incremental_merge,
-    incremental_window_merge,
     merge_partitions,
     read_current,
     replace_partitions_from,
+    stored_incremental_merge,
+    stored_window_increment,
     upsert,
     with_load_stamp,
+    write_marked_version,
     write_version,
 )
 from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rolling_std
@@ -44,7 +45,7 @@ from tidemark.plans import bindings as B
 from tidemark.plans import jobs
 from tidemark.plans import market as M
 from tidemark.schemas import RAW_CRYPTO, ddl
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources.payloads import (
     DAILY_FIELDS,
     DAILY_SERIES_ROOT,
@@ -723,26 +724,28 @@ def q_stream_upsert(spark, sf):
 
 @register("incremental_merge", "K3 F4 A2 S8 G3", with_("fct") + "SELECT * FROM fct")
 def q_incremental_merge(spark, sf):
-    i = Inputs(spark, sf)
+    # a stored table, as in the daily run
+    fct, base = materialize(Inputs(spark, sf).fct(), "fct"), scratch_path(spark, "incremental-merge")
     mark = F.lit(INCREMENTAL_MARK).cast("date")
     # First load: everything up to the mark; rows on the mark date carry a
     # stale price that the inclusive (>=) re-merge must overwrite.
-    first = i.fct().where(F.col("price_date") <= mark) \
+    first = fct.where(F.col("price_date") <= mark) \
         .withColumn("price_usd", F.when(F.col("price_date") == mark, F.lit(-1.0))
                     .otherwise(F.col("price_usd")))
-    return incremental_merge(first, i.fct(), ["price_id"], "price_date")
+    write_marked_version(first, base, "price_date")
+    return stored_incremental_merge(fct, base, fct.schema, ["price_id"], "price_date")
 
 
-@register("incremental_volatility", "K3 W2 G1 (context rows keep it equal to a full refresh)",
+@register("incremental_volatility", "K3 M8 W2 G1 (stored state keeps it equal to a full refresh)",
           with_("volatility") + "SELECT * FROM volatility")
 def q_incremental_volatility(spark, sf):
-    i = Inputs(spark, sf)
-    fct = i.fct()
-    mark = F.lit(INCREMENTAL_MARK).cast("date")
-    first = M.asset_volatility(fct.where(F.col("price_date") < mark))
-    source = fct.where(F.col("price_change_pct").isNotNull())
-    return incremental_window_merge(first, source, ["price_id"], "price_date", ["asset_id"],
-                                    context_rows=89, compute=M.asset_volatility)
+    fct = materialize(Inputs(spark, sf).fct().where(F.col("price_change_pct").isNotNull()), "fct")
+    path, state = (scratch_path(spark, f"volatility-{n}") for n in ("table", "state"))
+    schema = M.asset_volatility_schema(fct.schema)
+    for load in (fct.where(F.col("price_date") < F.lit(INCREMENTAL_MARK).cast("date")), fct):
+        result = stored_window_increment(load, path, state, schema, ["price_id"], "price_date", ["asset_id"], 89,
+                                         M.asset_volatility)
+    return result
 
 
 def _snapshot_source(customer: DataFrame) -> DataFrame:

@@ -25,13 +25,13 @@ from tidemark.operators.sinks import (
     dedupe_by_key,
     drop_old_versions,
     high_water_mark,
-    incremental_window_rows,
     layer_path,
     merge_partitions,
     path_exists,
     read_current,
     register_view,
     replace_partitions_from,
+    stored_window_increment,
     upsert,
     with_load_stamp,
     write_table,
@@ -194,20 +194,13 @@ class DailyRun:
             merge_partitions(new_rows, fct_path, ["price_id", "price_date"], "price_date", fct_schema)
         fct = _read_partitioned(spark, fct_path, fct_schema)
 
-        # K3 + G1: volatility with context rows, equal to a full refresh;
-        # only the days at or after the volatility table's own mark change.
+        # K3 + G1: volatility from the days at or after its mark and the stored
+        # last rows of each asset, equal to a full refresh.
         vol_path = self.path(CORE, "fct_asset_volatility")
-        vol_schema = _vol_schema(spark, fct)
-        vol_prev = _read_partitioned(spark, vol_path, vol_schema)
-        vol_mark = None if self.full_refresh else _back(high_water_mark(vol_prev, "price_date"),
-                                                        self.lookback_days)
-        src = fct.where(F.col("price_change_pct").isNotNull())
-        vol_rows = incremental_window_rows(src, vol_mark, "price_date", ["asset_id"], 89,
-                                           M.asset_volatility).select(*vol_schema.fieldNames())
-        if self.full_refresh:
-            write_table(vol_rows, vol_path, ["price_date"], replace_all=True)
-        else:
-            merge_partitions(vol_rows, vol_path, ["price_id", "price_date"], "price_date", vol_schema)
+        vol_schema = M.asset_volatility_schema(fct_schema)
+        stored_window_increment(fct.where(F.col("price_change_pct").isNotNull()), vol_path,
+                                self.path(CORE, "fct_asset_volatility_state"), vol_schema, ["price_id"], "price_date",
+                                ["asset_id"], 89, M.asset_volatility, self.lookback_days, self.full_refresh)
 
         # K4 (rebuild) limited to the days that can change: a day's macro
         # values depend only on observations at or before it, so only days at
@@ -331,10 +324,6 @@ def _fct_schema(spark, prices, dim):
     return M.fct_daily_prices(prices.limit(0), dim.limit(0)).schema
 
 
-def _vol_schema(spark, fct):
-    return M.asset_volatility(fct.limit(0)).schema
-
-
 def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str],
               seed: DataFrame, macro_names: dict[str, str], crypto_mode: str = "replace",
               full_refresh: bool = False, allow_history_loss: bool = False,

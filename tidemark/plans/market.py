@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.expr import (
     calendar_parts,
@@ -20,7 +21,7 @@ from tidemark.functions.expr import (
 )
 from tidemark.operators.asof import asof_join
 from tidemark.operators.relational import conform_union, enrich, select_renamed
-from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rolling_std
+from tidemark.operators.timeseries import forward_fill, pivot_wide, rank_by_value, rolling_std, time_bucket
 from tidemark.schemas import DIM_ASSETS, PRICES_COMBINED
 
 # Macro series id -> category label (X11), default 'other'.
@@ -157,6 +158,7 @@ def int_macro_daily(stg_macro: DataFrame, columns: Mapping[str, str] = INDICATOR
     each value forward over dates without a release (by month, or ``bucket``)."""
     seen = {k: f"seen_{v}" for k, v in columns.items()}
     wide = pivot_wide(stg_macro, ["observation_date"], "indicator_id", "indicator_value", seen)
+    bucket = time_bucket(wide, "observation_date") if bucket is None else bucket
     filled = forward_fill(wide, "observation_date", {f"seen_{v}": v for v in columns.values()}, bucket=bucket)
     return filled.select("observation_date", *columns.values())
 
@@ -208,12 +210,20 @@ def fct_daily_prices(prices: DataFrame, assets: DataFrame, since=None) -> DataFr
         "price_change_pct", "price_year", "price_month", "price_day_of_week")
 
 
+_VOLATILITY_BASE = ["price_id", "asset_id", "asset_symbol", "asset_name", "asset_class", "market_cap_tier",
+                    "price_date", "price_usd", "price_change_pct"]
+
+
+def asset_volatility_schema(fct: T.StructType) -> T.StructType:
+    """The columns of ``asset_volatility`` for a fact of this schema."""
+    return T.StructType([*[fct[c] for c in _VOLATILITY_BASE], *[T.StructField(w, T.DoubleType()) for w in VOLATILITY_WINDOWS],
+                         T.StructField("volatility_rank_daily", T.LongType())])
+
+
 def asset_volatility(fct: DataFrame, chunk_rows: int = 100_000) -> DataFrame:
-    """M8 computation: rolling volatility per asset (a hot asset is cut into
+    """M8 computation: rolling volatility per asset (the sorted fact is cut into
     chunks of ``chunk_rows``) and daily move rank (from counts per value)."""
-    base = fct.where(F.col("price_change_pct").isNotNull()).select(
-        "price_id", "asset_id", "asset_symbol", "asset_name", "asset_class", "market_cap_tier",
-        "price_date", "price_usd", "price_change_pct")
+    base = fct.where(F.col("price_change_pct").isNotNull()).select(*_VOLATILITY_BASE)
     vol = rolling_std(base, ["asset_id"], ["price_date"], "price_change_pct", VOLATILITY_WINDOWS,
                       chunk_rows=chunk_rows)
     return rank_by_value(vol, ["price_date"], F.abs(F.col("price_change_pct")), "volatility_rank_daily")

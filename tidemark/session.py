@@ -93,3 +93,12 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared scratch folder and read it back: what
+    follows never repeats the work, or a choice such as a row's position, that
+    made it, also when an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
