@@ -155,14 +155,25 @@ def _versions(spark: SparkSession, base: str, complete: bool = True) -> list[int
     return sorted(out)
 
 
-def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None = None) -> str:
+def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None = None,
+                  notes: Callable[[], Mapping[str, str]] | None = None) -> str:
     """Atomic full reload. Writes a new version directory; readers
     switch only once its ``_SUCCESS`` marker exists, so there is no moment
     where the table is empty (the reference truncates, then inserts). A
-    version left incomplete by a failed job is skipped, never reused."""
-    versions = _versions(df.sparkSession, base, complete=False)
+    version left incomplete by a failed job is skipped, never reused.
+
+    ``notes`` is called after the data is written and gives small texts by file
+    name; they are put beside the data before the marker, so a complete version
+    has its notes."""
+    spark = df.sparkSession
+    versions = _versions(spark, base, complete=False)
     path = f"{base.rstrip('/')}/v={(versions[-1] + 1) if versions else 1:08d}"
-    return write_table(df, path, partition_by, mode="errorifexists")
+    if notes is None:
+        return write_table(df, path, partition_by, mode="errorifexists")
+    df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    for name, text in {**notes(), "_SUCCESS": ""}.items():
+        write_text(spark, f"{path}/{name}", text)
+    return path
 
 
 def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partition_col: str,
@@ -248,7 +259,7 @@ def read_current(spark: SparkSession, base: str, schema: T.StructType | None = N
     return add_missing_columns(df, schema) if schema is not None else df
 
 
-# --------------------------------------------------------------------------- F4 A2 S8, stored
+# --------------------------------------------------------------------------- notes and marks
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -257,48 +268,73 @@ def _hadoop(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-_MARK_FILE = "_MARK"  # readers skip files that begin with an underscore
-
-
-def write_mark(spark: SparkSession, path: str, mark) -> None:
-    """Keep a high-water mark (a date, or None) beside the table at ``path``."""
-    p, fs = _hadoop(spark, f"{path.rstrip('/')}/{_MARK_FILE}")
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file (a note, a mark, a commit marker) in the table's store."""
+    p, fs = _hadoop(spark, path)
     out = fs.create(p, True)
     try:
-        out.write(bytearray(("" if mark is None else mark.isoformat()).encode()))
+        out.write(bytearray(text.encode()))
     finally:
         out.close()
 
 
-def read_mark(spark: SparkSession, path: str):
-    """The mark that ``write_mark`` kept, as a date; None if there is none."""
-    p, fs = _hadoop(spark, f"{path.rstrip('/')}/{_MARK_FILE}")
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What ``write_text`` wrote; None if there is no such file."""
+    p, fs = _hadoop(spark, path)
     if not fs.exists(p):
         return None
-    size = fs.getFileStatus(p).getLen()
     stream = fs.open(p)
     try:
-        text = "".join(chr(stream.read()) for _ in range(size))
+        return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, False)
+
+
+MARK = "_MARK"  # readers skip files that begin with an underscore
+
+
+def write_mark(spark: SparkSession, path: str, mark: date | None) -> None:
+    """Keep a high-water mark beside the table at ``path``."""
+    write_text(spark, f"{path.rstrip('/')}/{MARK}", _mark_text(mark))
+
+
+def _mark_text(mark: date | None) -> str:
+    return "" if mark is None else mark.isoformat()
+
+
+def read_mark(spark: SparkSession, path: str) -> date | None:
+    """The mark that was kept beside the table at ``path``, if any."""
+    text = read_text(spark, f"{path.rstrip('/')}/{MARK}")
     return date.fromisoformat(text) if text else None
 
 
 def write_marked_version(df: DataFrame, base: str, date_col: str) -> date | None:
-    """``write_version`` whose version keeps ``max(date_col)`` beside its files;
-    the maximum is observed by the write itself, so the table is not read again.
-    Returns the mark."""
+    """``write_version`` whose version keeps ``max(date_col)`` beside its
+    files; the maximum is observed by the write itself, so the table is not read
+    again. Returns the mark."""
     seen = Observation()
-    path = write_version(df.observe(seen, F.max(date_col).alias("mark")), base)
-    mark = seen.get.get("mark")
-    write_mark(df.sparkSession, path, mark)
-    return mark
 
+    def notes():
+        return {MARK: _mark_text(seen.get.get("mark"))}
+    write_version(df.observe(seen, F.max(date_col).alias("mark")), base, notes=notes)
+    return seen.get.get("mark")
 
-def current_mark(spark: SparkSession, base: str):
-    """The mark of the newest complete version; None if the table is new."""
+
+def current_note(spark: SparkSession, base: str, name: str) -> str | None:
+    """A note of the newest complete version; None if there is none."""
     versions = _versions(spark, base)
-    return read_mark(spark, f"{base.rstrip('/')}/v={versions[-1]:08d}") if versions else None
+    return read_text(spark, f"{base.rstrip('/')}/v={versions[-1]:08d}/{name}") if versions else None
+
+
+def current_mark(spark: SparkSession, base: str) -> date | None:
+    """The mark of the newest complete version; None if the table is new."""
+    text = current_note(spark, base, MARK)
+    return date.fromisoformat(text) if text else None
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -466,6 +502,6 @@ def stored_window_increment(source: DataFrame, path: str, state: str, schema: T.
         write_mark(spark, path, mark)
         cut = move_back(mark, lookback_days)
         kept = topk_per_key(known.where(F.col(date_col) < F.lit(cut)), by, [F.col(date_col).desc(), *order], context_rows)
-        write_mark(spark, write_version(kept, state), cut)
+        write_version(kept, state, notes=lambda: {MARK: _mark_text(cut)})
         drop_old_versions(spark, state)
     return spark.read.schema(schema).parquet(path)

@@ -53,7 +53,7 @@ from tidemark.sources.payloads import (
     read_records_payload,
     read_timeseries_payload,
 )
-from tidemark.streaming.upsert_stream import stream_upsert
+from tidemark.streaming.upsert_stream import merge_batch, stream_upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -722,6 +722,17 @@ def q_stream_upsert(spark, sf):
     return read_current(spark, f"{root}/table", target)
 
 
+@register("stream_replay", "R1, a committed batch delivered again with other rows", ORACLE_SQL["stream_upsert"])
+def q_stream_replay(spark, sf):
+    path, schema = scratch_path(spark, "stream-replay"), ddl("o_orderkey bigint, o_totalprice double, loaded_at timestamp_ntz")
+    o = Inputs(spark, sf).table("orders").select("o_orderkey", "o_totalprice", F.lit(1).alias("seq"))
+    merge = merge_batch(path, schema, ["o_orderkey"], order=["seq"], stamp=("loaded_at", AS_OF), stream="orders")
+    merge(o, 0)
+    merge(o.where(F.col("o_orderkey") % 3 != 0).withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1000.0)), 1)
+    merge(o.withColumn("o_orderkey", -F.col("o_orderkey")), 1)  # skipped: the stream has committed batch 1
+    return read_current(spark, path, schema)
+
+
 @register("incremental_merge", "K3 F4 A2 S8 G3", with_("fct") + "SELECT * FROM fct")
 def q_incremental_merge(spark, sf):
     # a stored table, as in the daily run
