@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.byte_bpe import ByteBpe, cut, numbered
 from tidemark.llm.common import spark_partitions, stored
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 8_000_000
 MOST_PARTITIONS = 4096
 
 
