@@ -32,7 +32,8 @@ from tidemark.llm.common import stored
 SHARD_ROWS = 8192        # vectors of a shard, on average at most
 QUERY_ROWS = 16384       # queries that one task searches a shard for, on average at most
 LEAF_ROWS = 64
-SAMPLE_ROWS = 16384      # vectors that the cells are fitted on
+SAMPLE_ROWS = 16384      # vectors that the cells are fitted on, and no more
+SAMPLE_VALUES = 1 << 20  # than so many components of the longest ones
 MAX_CELLS = 1024         # cells of one vector length; their boxes go to every task
 EXACT = 2 ** 53          # sums under this are exact in floating point
 LONG = 2 ** 63
@@ -298,9 +299,11 @@ def top_k(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_c
                   .withColumn("dim", F.size("v")), "knn-rows")
     sizes = {r["dim"]: r["n"] for r in rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a length
     sample: dict[int, list] = {}
-    for r in rows.select("dim", "v").orderBy(F.xxhash64("id", "v")).limit(SAMPLE_ROWS).collect():
+    taken = min(SAMPLE_ROWS, SAMPLE_VALUES // max([1, *sizes]) + 1)
+    for r in rows.select("dim", "v").orderBy(F.xxhash64("id", "v")).limit(taken).collect():
         sample.setdefault(r["dim"], []).append(r["v"])
-    cells = {d: Cells(np.array(v), min(MAX_CELLS, -(-sizes[d] // SHARD_ROWS))) for d, v in sample.items()}
+    cells = {d: Cells(np.array(v), min(MAX_CELLS, SAMPLE_VALUES // max(1, d) + 1, -(-sizes[d] // SHARD_ROWS)))
+             for d, v in sample.items()}
     placed = rows.mapInArrow(_cell_task(cells), "id long, v array<double>, asks boolean, dim int, cell int")
     of_box = "dim int, cell int, n long, low array<double>, high array<double>"
     found = (placed.mapInArrow(_boxes_task, of_box).repartition("dim", "cell").mapInArrow(_boxes_task, of_box)
