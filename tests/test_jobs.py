@@ -17,9 +17,9 @@ def _seed(spark):
 def test_daily_run_twice_equals_full_rebuild(spark, tmp_root):
     root = f"{tmp_root}/wh"
     t1, rep1 = jobs.daily_run(spark, root, "2024-01-10 00:00:00", write_landing(f"{tmp_root}/d1", 0),
-                              _seed(spark), SERIES_NAMES)
+                              _seed(spark), SERIES_NAMES, gate=False)
     t2, rep2 = jobs.daily_run(spark, root, "2024-01-12 00:00:00", write_landing(f"{tmp_root}/d2", 2),
-                              _seed(spark), SERIES_NAMES, lookback_days=2)
+                              _seed(spark), SERIES_NAMES, lookback_days=2, gate=False)
     fct = t2["fct_daily_prices"]
     assert spark.sql("SELECT count(*) AS n FROM stg_equity_prices").first().n == 12  # K5 view: AAPL 8 days + ZERO 4
     assert spark.sql("SELECT count(*) AS n FROM fct_daily_prices").first().n == fct.count()
@@ -67,11 +67,15 @@ def test_seed_load_and_counts(spark, tmp_root):
     p = f"{tmp_root}/seed.csv"
     with open(p, "w") as f:
         f.write("ticker_symbol,company_name,sector\nAAPL,Apple,Technology\nMSFT,Microsoft,Technology\n")
-    seed = jobs.load_seed(spark, p, f"{tmp_root}/wh")
-    assert seed.count() == 2 and jobs.LOAD_COUNTS["seed_equity_reference"] == 2
-    land = write_landing(f"{tmp_root}/d", 0)
-    jobs.load_crypto(spark, land["crypto"], f"{tmp_root}/wh", "2024-01-10 00:00:00")
-    assert jobs.LOAD_COUNTS["crypto_markets"] == 3
+    loaded = jobs.Loaded()
+    seed = jobs.load_seed(spark, p, f"{tmp_root}/wh", loaded=loaded)
+    land, at = write_landing(f"{tmp_root}/d", 0), "2024-01-10 00:00:00"
+    jobs.load_crypto(spark, land["crypto"], f"{tmp_root}/wh", at, loaded=loaded)
+    jobs.load_equity(spark, land["equity"], f"{tmp_root}/wh", at, loaded=loaded)
+    jobs.load_macro(spark, land["macro"], f"{tmp_root}/wh", at, SERIES_NAMES, loaded=loaded)
+    assert seed.count() == 2
+    assert loaded.rows == {"seed_equity_reference": 2, "crypto_markets": 3, "equity_daily_prices": 8, "macro_observations": 4}
+    assert loaded.macro_since == dt.date(2024, 1, 1)
 
 
 def test_require_not_null_fails_fast(spark):
@@ -91,7 +95,7 @@ def test_crypto_append_mode_and_guarded_full_refresh(spark, tmp_root):
     assert raw.count() == 6  # two snapshots of three coins
     with pytest.raises(ValueError, match="history"):
         jobs.daily_run(spark, root, "2024-01-12 00:00:00", l2, _seed(spark), SERIES_NAMES,
-                       full_refresh=True)
+                       full_refresh=True, gate=False)
 
 
 def test_command_line_daily_run(spark, tmp_root, capsys):
@@ -100,7 +104,7 @@ def test_command_line_daily_run(spark, tmp_root, capsys):
     seed = f"{tmp_root}/seed.csv"
     with open(seed, "w") as f:
         f.write("ticker_symbol,company_name,sector\nAAPL,Apple,Technology\n")
-    code = main(["daily-run", "--root", f"{tmp_root}/wh", "--as-of", "2024-01-10 00:00:00",
+    code = main(["daily-run", "--report-only", "--root", f"{tmp_root}/wh", "--as-of", "2024-01-10 00:00:00",
                  "--equity", land["equity"], "--crypto", land["crypto"], "--macro", land["macro"],
                  "--seed", seed])
     out = capsys.readouterr().out
@@ -128,12 +132,34 @@ def test_duplicate_coin_fails_the_run_and_leaves_facts(spark, tmp_root):
     import pytest
     from tests.fixtures import coin, write_json
     root = f"{tmp_root}/wh"
-    t, _ = jobs.daily_run(spark, root, "2024-01-10 00:00:00", write_landing(f"{tmp_root}/d1", 0), _seed(spark), SERIES_NAMES)
+    t, _ = jobs.daily_run(spark, root, "2024-01-10 00:00:00", write_landing(f"{tmp_root}/d1", 0), _seed(spark), SERIES_NAMES, gate=False)
     before = rows(t["fct_daily_prices"], "price_id", "price_usd"), rows(t["dim_assets"], "asset_id")
     land = write_landing(f"{tmp_root}/d2", 2)
     write_json(land["crypto"], "again.json", [coin("bitcoin", 1e12, 1, "2024-01-09T10:00:00.000Z")])
     with pytest.raises(Exception, match="duplicate key"):
-        jobs.daily_run(spark, root, "2024-01-12 00:00:00", land, _seed(spark), SERIES_NAMES)
+        jobs.daily_run(spark, root, "2024-01-12 00:00:00", land, _seed(spark), SERIES_NAMES, gate=False)
     from tidemark.operators.sinks import read_current
     stored = spark.read.parquet(f"{root}/marts_core/fct_daily_prices"), read_current(spark, f"{root}/marts_core/dim_assets")
     assert (rows(stored[0], "price_id", "price_usd"), rows(stored[1], "asset_id")) == before
+
+
+def test_steps_stop_at_a_failed_check_and_go_on_from_there(spark, tmp_root):
+    import os
+    import pytest
+    from tidemark.operators import quality as Q
+    built, good = [], {"b": False}
+
+    def checks(name):
+        value = None if name == "b" and not good["b"] else 1
+        return Q.check_table(spark.createDataFrame([(value,)], "x int"), name, [Q.NotNull("x"), Q.NotNull("x", severity="warn")])
+    steps = [jobs.Step(n, lambda n=n: built.append(n), lambda n=n: checks(n)) for n in "abc"] + [jobs.Step("d", lambda: built.append("d"))]
+    record = f"{tmp_root}/_runs/day.steps"
+    with pytest.raises(jobs.ChecksFailed, match="after b: b.x not_null: 1") as e:
+        jobs.run_steps(spark, steps, record)
+    assert built == ["a", "b"] and e.value.step == "b" and len(e.value.report) == 4
+    good["b"] = True
+    report = jobs.run_steps(spark, steps, record)
+    assert built == ["a", "b", "b", "c", "d"] and {r.table for r in report} == {"b", "c"} and not os.path.exists(record)
+    jobs.run_steps(spark, steps[:1], record)  # a finished run begins anew
+    good["b"] = False
+    assert [r.status for r in jobs.run_steps(spark, steps, record, gate=False) if r.table == "b"] == ["fail", "warn"]

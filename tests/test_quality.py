@@ -61,3 +61,20 @@ def test_freshness_age_ignores_daylight_saving(spark):
         assert r.age_hours == 4.0  # wall clock, although the zone skips an hour that night
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_checked_write_counts_and_keeps_rejected_rows(spark, tmp_root):
+    from tidemark.operators import quality as Q
+    df = spark.createDataFrame([(1, 5.0, "a"), (2, -1.0, "b"), (3, None, "z"), (3, 2.0, None)], "k int, v double, c string")
+    done = Q.write_checked(df, f"{tmp_root}/t", "t", [
+        Q.NotNull("v"), Q.Expectation("positive", Q.positive("v"), "v"), Q.AcceptedValues("c", ("a", "b"), severity="warn"), Q.Unique(("k",))])
+    assert {(r["check"], r["column"], r["violations"], r["status"]) for r in done.report.collect()} == {
+        ("not_null", "v", 1, "fail"), ("positive", "v", 1, "fail"), ("accepted_values", "c", 1, "warn"), ("unique", "k", 1, "fail")}
+    assert {(r["k"], tuple(r["__failed"])) for r in done.rejected.collect()} == {
+        (2, ("positive(v)",)), (3, ("not_null(v)", "accepted_values(c)"))}
+    assert sorted(map(tuple, done.rows.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    plan = done.rejected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__rejected" in plan  # the rejected rows are read from a folder of their own
+    empty = Q.write_checked(df.limit(0), f"{tmp_root}/e", "e", [Q.NotNull("v"), Q.Unique(("k",))])
+    assert empty.rows.count() == 0 and {r["status"] for r in empty.report.collect()} == {"pass"}
+    assert Q.write_checked(df, f"{tmp_root}/u", "u", [Q.Unique(("k",))]).rejected.count() == 0

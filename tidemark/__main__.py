@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--lookback-days", type=int, default=0)
     d.add_argument("--full-refresh", action="store_true")
     d.add_argument("--allow-history-loss", action="store_true")
+    d.add_argument("--report-only", action="store_true", help="go on after a failed check")
     d.add_argument("--master", default=None)
     t = sub.add_parser("test", help="data tests and source freshness on existing tables")
     t.add_argument("--root", required=True)
@@ -51,13 +52,18 @@ def main(argv: list[str] | None = None) -> int:
         report, fresh = jobs.test_tables(spark, a.root, a.as_of)
         return _print_report(report.collect(), fresh.collect())
     seed = jobs.load_seed(spark, a.seed, a.root)
-    tables, report = jobs.daily_run(
-        spark, a.root, a.as_of, {"equity": a.equity, "crypto": a.crypto, "macro": a.macro},
-        seed, json.loads(a.series_names), crypto_mode=a.crypto_mode,
-        full_refresh=a.full_refresh, allow_history_loss=a.allow_history_loss,
-        lookback_days=a.lookback_days)
-    code = _print_report(report.collect(), tables["source_freshness"].collect())
-    print("loaded:", json.dumps(jobs.LOAD_COUNTS))
+    loaded = jobs.Loaded()
+    try:
+        tables, report = jobs.daily_run(
+            spark, a.root, a.as_of, {"equity": a.equity, "crypto": a.crypto, "macro": a.macro},
+            seed, json.loads(a.series_names), crypto_mode=a.crypto_mode,
+            full_refresh=a.full_refresh, allow_history_loss=a.allow_history_loss,
+            lookback_days=a.lookback_days, gate=not a.report_only, loaded=loaded)
+        code = _print_report(report.collect(), tables["source_freshness"].collect())
+    except jobs.ChecksFailed as e:
+        code = _print_report(e.report, [])
+        print(f"stopped after {e.step}; run again for the same time to go on from there")
+    print("loaded:", json.dumps(loaded.rows))
     return code
 
 

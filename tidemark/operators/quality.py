@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import as_of_date, as_of_timestamp
+from tidemark.operators.sinks import write_version
 
 
 @dataclass(frozen=True)
@@ -167,6 +169,50 @@ def check_table(df: DataFrame, table: str, checks: Sequence) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+class CheckedWrite(NamedTuple):
+    """A table that was checked while it was written."""
+
+    rows: DataFrame      # the table, all rows
+    rejected: DataFrame  # the rows that violate a check, with __failed, the labels of those checks
+    report: DataFrame    # one row a check, as ``check_table`` gives it
+
+
+def _label(check) -> str:
+    return f"{check.name}({getattr(check, 'column', '')})"
+
+
+def write_checked(df: DataFrame, base: str, table: str, checks: Sequence) -> CheckedWrite:
+    """Q1 Q3 Q5–Q7 during the write: row checks are counted by the write itself
+    (observed metrics), and rows that violate one are written into a folder of
+    their own beside the others, so neither the report nor the rejected rows
+    read the table again. A new version is written, as by ``write_version``.
+
+    Checks over several rows (Unique, Relationship) read their key column of the
+    version afterwards. Nothing is left out: ``rows`` has all rows, rejected ones
+    included; what to do about them is the caller's decision.
+    """
+    spark = df.sparkSession
+    row_checks = [c for c in checks if not isinstance(c, (Unique, Relationship))]
+    others = [c for c in checks if isinstance(c, (Unique, Relationship))]
+    failed = F.array_compact(F.array(*[F.when(c.violation(), F.lit(_label(c))) for c in row_checks]))
+    seen = Observation()
+    x = df.withColumn("__failed", failed.cast("array<string>"))
+    if row_checks:
+        x = x.observe(seen, *[F.count_if(F.array_contains("__failed", _label(c))).alias(f"v{i}") for i, c in enumerate(row_checks)])
+    path = write_version(x.withColumn("__rejected", F.size("__failed") > 0), base, ["__rejected"], deal=False)
+    written = spark.read.schema(x.schema.add("__rejected", "boolean")).parquet(path)
+    counts = seen.get if row_checks else {}
+    found = [Row(check=c.name, table=table, column=getattr(c, "column", ""), severity=c.severity,
+                 violations=counts.get(f"v{i}", 0)) for i, c in enumerate(row_checks)]
+    report = spark.createDataFrame(found, "check string, table string, column string, severity string, violations long").select(
+        "*", (F.col("violations") == 0).alias("passed"),
+        F.when(F.col("violations") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail").alias("status"))
+    rows = written.select(*df.columns)
+    if others:
+        report = report.unionByName(check_table(rows, table, others))
+    return CheckedWrite(rows, written.where("__rejected").select(*df.columns, "__failed"), report)
+
+
 def freshness(df: DataFrame, source: str, loaded_at: str, warn_after_hours: float,
               error_after_hours: float, as_of=None) -> DataFrame:
     """Age of the newest ``loaded_at`` against warn / error thresholds.

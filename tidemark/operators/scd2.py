@@ -95,7 +95,7 @@ def scd2_snapshot(source: DataFrame, base: str, key: str, check_cols: Sequence[s
     rerunning the same snapshot overwrites that partition, so a retry after
     a failure between the two writes leaves no duplicates.
     """
-    from tidemark.operators.sinks import read_current, write_version
+    from tidemark.operators.sinks import drop_old_versions, read_current, write_version
     from tidemark.session import cut_lineage
 
     spark = source.sparkSession
@@ -108,6 +108,7 @@ def scd2_snapshot(source: DataFrame, base: str, key: str, check_cols: Sequence[s
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("closed_at").parquet(closed_path))
     write_version(merged.where(F.col("valid_to").isNull()), cur_path)
+    drop_old_versions(spark, cur_path)
     return read_history(spark, base, schema)
 
 

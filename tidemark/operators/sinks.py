@@ -122,13 +122,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                mode: str = "overwrite", replace_all: bool = False) -> str:
+                mode: str = "overwrite", replace_all: bool = False, deal: bool = True) -> str:
     """K4: materialize as parquet. With ``partition_by`` and dynamic partition
     overwrite only the partitions present in ``df`` are replaced;
     ``replace_all`` replaces the whole table (static overwrite). Rows are dealt
-    by partition before the write, and AQE splits large ones again, so a
-    partition gets few files and a hot one is written by many tasks."""
-    if partition_by:
+    by partition before the write (``deal``), and AQE splits large ones again,
+    so a partition gets few files and a hot one is written by many tasks."""
+    if partition_by and deal:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode(mode)
     if partition_by:
@@ -156,7 +156,7 @@ def _versions(spark: SparkSession, base: str, complete: bool = True) -> list[int
 
 
 def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None = None,
-                  notes: Callable[[], Mapping[str, str]] | None = None) -> str:
+                  notes: Callable[[], Mapping[str, str]] | None = None, deal: bool = True) -> str:
     """Atomic full reload. Writes a new version directory; readers
     switch only once its ``_SUCCESS`` marker exists, so there is no moment
     where the table is empty (the reference truncates, then inserts). A
@@ -169,7 +169,7 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None =
     versions = _versions(spark, base, complete=False)
     path = f"{base.rstrip('/')}/v={(versions[-1] + 1) if versions else 1:08d}"
     if notes is None:
-        return write_table(df, path, partition_by, mode="errorifexists")
+        return write_table(df, path, partition_by, mode="errorifexists", deal=deal)
     df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     for name, text in {**notes(), "_SUCCESS": ""}.items():
         write_text(spark, f"{path}/{name}", text)
@@ -178,12 +178,12 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None =
 
 def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partition_col: str,
                      schema: T.StructType, order: Sequence[str | Column] | None = None,
-                     stamp: tuple[str, object] | None = None) -> DataFrame:
+                     stamp: tuple[str, object] | None = None, stored: bool = False) -> DataFrame:
     """K1 at scale: merge ``source`` into a table partitioned by
     ``partition_col``, rewriting only the partitions the source touches.
 
-    The source is checkpointed into the shared checkpoint folder and read from
-    there for both its partition values and the merge. The values (at most as
+    The source is checkpointed into the shared checkpoint folder (unless it is
+    ``stored`` already) and read from there for both its partition values and the merge. The values (at most as
     many as the table has partition directories, which the driver lists anyway)
     prune the target read as literals; a NULL partition value, which the writer
     keeps in a directory of its own, counts as one of them. The merged
@@ -194,7 +194,7 @@ def merge_partitions(source: DataFrame, path: str, keys: Sequence[str], partitio
     if partition_col not in keys:
         raise ValueError("the partition column must be one of the keys")
     spark = source.sparkSession
-    source = cut_lineage(source)
+    source = source if stored else cut_lineage(source)
     if path_exists(spark, path):
         target = spark.read.schema(schema).parquet(path)
         touched = [r[0] for r in source.select(partition_col).distinct().collect()]

@@ -759,6 +759,81 @@ def q_incremental_volatility(spark, sf):
     return result
 
 
+_TWO_DAYS_SQL = "WITH " + ", ".join([B.SQL_RAW_EQUITY, _CTE["stg_equity"][0]]) + f""",
+top AS (SELECT * FROM customer ORDER BY c_acctbal DESC, 'cust-' || CAST(c_custkey AS VARCHAR) LIMIT 50),
+coins AS (
+  SELECT 'cust-' || CAST(c_custkey AS VARCHAR) AS asset_id, DATE '2024-01-10' + CAST(c_custkey % 10 AS INTEGER) AS price_date,
+         c_acctbal AS price_usd, CAST(c_nationkey - 12 AS DOUBLE) / 4 AS price_change_pct, c_acctbal * 2000000 AS cap FROM top
+  UNION ALL
+  SELECT 'cust-' || CAST(c_custkey AS VARCHAR), DATE '2024-01-30', c_acctbal + 1, CAST(c_nationkey - 12 AS DOUBLE) / 4,
+         c_acctbal * 2000000 FROM top),
+f AS (
+  SELECT asset_id, price_date, price_usd, price_change_pct, {_tier_sql('cap')} AS market_cap_tier FROM coins
+  UNION ALL SELECT ticker_symbol, trade_date, close_usd, price_change_pct, NULL FROM stg_equity),
+early AS (
+  SELECT count(*) AS n FROM f
+  WHERE price_date < DATE '2024-01-20' AND NOT (asset_id = 'EQ1' AND price_date = DATE '2024-01-18'))
+SELECT 'mart' AS part, asset_id, price_date, price_usd, market_cap_tier,
+       {_rolling_sql('price_change_pct', 'asset_id', 'price_date', M.VOLATILITY_WINDOWS)},
+       rank() OVER (PARTITION BY price_date ORDER BY abs(price_change_pct) DESC) AS volatility_rank_daily
+FROM f WHERE price_change_pct IS NOT NULL
+UNION ALL
+SELECT 'after the failed run', 'load_crypto', NULL, NULL, NULL, NULL, NULL, NULL, n FROM early"""
+
+
+def _land_days(spark, sf, root: str, first: bool) -> dict[str, str]:
+    """Payloads of one day's landing, made from the driver tables: the second has
+    the days from the 15th on, with a day of EQ1 that the first one lacked."""
+    i, day = Inputs(spark, sf), F.col("trade_date")
+    late = (F.col("symbol") == "EQ1") & (day == F.lit("2024-01-18").cast("date"))
+    bars = i.raw_equity()
+    bars = bars.where((day < F.lit(INCREMENTAL_MARK).cast("date")) & ~late) if first else bars.where(day >= F.lit("2024-01-15").cast("date"))
+    bar = F.struct(F.col("trade_date").cast("string"), F.struct(*[F.col(c).cast("string").alias(f) for c, f in DAILY_FIELDS.items()]))
+    # at most 30 days of one symbol: a payload is bounded
+    series = bars.groupBy("symbol").agg(F.map_from_entries(F.collect_list(bar)).alias("days"))
+    series.select(F.to_json(F.struct(F.struct(F.col("symbol").alias("2. Symbol")).alias("Meta Data"),
+                                     F.col("days").alias(DAILY_SERIES_ROOT)))).write.text(f"{root}/equity")
+    stamp = (F.date_format(F.date_add(F.lit("2024-01-10").cast("date"), (F.substring("id", 6, 20).cast("int") % 10)), "yyyy-MM-dd'T12:00:00.000Z'")
+             if first else F.lit("2024-01-30T12:00:00.000Z"))
+    coins = i.raw_crypto().drop("loaded_at").withColumns({
+        "last_updated": stamp, "roi": F.lit(None).cast("struct<times:int>"),
+        "current_price": F.col("current_price") + (0 if first else 1)})
+    coins.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).write.text(f"{root}/crypto")
+    month = F.trunc("observation_date", "month")
+    one = F.struct(F.col("observation_date").cast("string").alias("date"), (F.col("value") / 10 + 0.5).cast("string").alias("value"))
+    series = i.raw_macro().groupBy("series_id", month).agg(F.collect_list(one).alias("observations"))  # a month of a series at most
+    series.select(F.to_json(F.struct("series_id", "observations"))).write.text(f"{root}/macro")
+    return {n: f"{root}/{n}" for n in ("equity", "crypto", "macro")}
+
+
+@register("daily_run_two_days", "M11 M12 M13 M14 K5 K8 X21: a late row, a failed check, a resumed run", _TWO_DAYS_SQL)
+def q_daily_run_two_days(spark, sf):
+    root = scratch_path(spark, "daily-run")
+    options = {"crypto": {"multi_line": False}, "equity": {"multi_line": False, "key_field": ("Meta Data", "2. Symbol")},
+               "macro": {"multi_line": False, "key_field": "series_id", "since_days": 40 * 365}}
+
+    def run(as_of, landing):
+        return jobs.daily_run(spark, f"{root}/tables", as_of, landing, Inputs(spark, sf).seed(), B.SERIES_NAMES,
+                              lookback_days=3, payload_options=options)[0]
+    run("2024-01-20 00:00:00", _land_days(spark, sf, f"{root}/day1", True))
+    second = _land_days(spark, sf, f"{root}/day2", False)
+    # the same coins with one that has no price: the run stops at their check, and the facts stay as they were
+    bad = spark.read.text(second["crypto"])
+    bad.withColumn("value", F.regexp_replace("value", r'"current_price":[^,]*', '"current_price":null')).write.text(f"{root}/day2/bad")
+    try:
+        run("2024-01-31 00:00:00", {**second, "crypto": f"{root}/day2/bad"})
+        stopped = "not stopped"
+    except jobs.ChecksFailed as e:
+        stopped = e.step
+    kept = spark.read.parquet(f"{root}/tables/marts_core/fct_daily_prices").count()
+    tables = run("2024-01-31 00:00:00", second)
+    out = tables["fct_asset_volatility"]
+    none = [F.lit(None).cast(out.schema[c].dataType).alias(c) for c in ("price_date", "price_usd", "market_cap_tier", *M.VOLATILITY_WINDOWS)]
+    gate = spark.range(1).select(F.lit("after the failed run").alias("part"), F.lit(stopped).alias("asset_id"), *none,
+                                 F.lit(kept).cast("long").alias("volatility_rank_daily"))
+    return out.select(F.lit("mart").alias("part"), *gate.columns[1:]).unionByName(gate)
+
+
 def _snapshot_source(customer: DataFrame) -> DataFrame:
     return M.crypto_tier_snapshot_source(M.crypto_assets(M.stg_crypto_prices(B.raw_crypto(customer))))
 
@@ -926,6 +1001,33 @@ def q_dq_range(spark, sf):
         "price_id", "price_date", *M.INDICATOR_COLUMNS.values())
 
 
+_CHECKED = {  # label of the check -> what violates it
+    "not_null(price_change_pct)": "price_change_pct IS NULL",
+    "price_is_positive(price_usd)": "price_usd <= 0",
+    "price_date_not_in_future(price_date)": f"price_date > DATE '{FUTURE_AS_OF}'",
+    "accepted_values(market_cap_tier)": "market_cap_tier NOT IN ('large_cap', 'mid_cap', 'small_cap')",
+}
+
+
+@register("checked_write", "Q1 Q2 Q3 Q5 Q6 counted by the mart's own write, rejected rows beside it", with_("fct") + " UNION ALL ".join(
+    f"SELECT 'report' AS part, '{label}' AS what, NULL AS price_id, count(*) FILTER ({cond}) AS n FROM fct "
+    f"UNION ALL SELECT 'row', '{label}', price_id, 1 FROM fct WHERE {cond}" for label, cond in _CHECKED.items())
+    + " UNION ALL SELECT 'report', 'unique(price_id)', NULL, count(*) FROM (SELECT price_id FROM fct GROUP BY 1 HAVING count(*) > 1)"
+    + " UNION ALL SELECT 'table', 'rows', NULL, count(*) FROM fct")
+def q_checked_write(spark, sf):
+    fct = Inputs(spark, sf).fct()
+    done = Q.write_checked(fct, scratch_path(spark, "checked-write"), "fct_daily_prices", [
+        Q.NotNull("price_change_pct"), Q.Expectation("price_is_positive", Q.positive("price_usd"), "price_usd"),
+        Q.Expectation("price_date_not_in_future", Q.not_in_future("price_date", FUTURE_AS_OF), "price_date"),
+        Q.AcceptedValues("market_cap_tier", ("large_cap", "mid_cap", "small_cap")), Q.Unique(("price_id",))])
+    none, what = F.lit(None).cast("string").alias("price_id"), F.format_string("%s(%s)", "check", "column").alias("what")
+    report = done.report.select(F.lit("report").alias("part"), what, none, F.col("violations").alias("n"))
+    rejected = done.rejected.select(F.lit("row").alias("part"), F.explode("__failed").alias("what"), "price_id",
+                                    F.lit(1).cast("long").alias("n"))
+    table = done.rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("table").alias("part"), F.lit("rows").alias("what"), none, "n")
+    return report.unionByName(rejected).unionByName(table)
+
+
 def _fresh_sql(source: str, table: str, warn: float, error: float) -> str:
     age = (f"(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(loaded_at))) / 3600000000.0")
     return (f"SELECT '{source}' AS source, max(loaded_at) AS max_loaded_at, round({age}, 4) AS age_hours, "

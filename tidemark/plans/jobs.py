@@ -1,45 +1,55 @@
 """Batch jobs that read and write tables.
 
 Layout: ``<root>/<schema>/<table>`` with the schema names of the reference's
-layers (K8). Raw tables are merged by key (K1), the crypto snapshot is a full
-reload (K2), marts are rebuilt (K4) or merged incrementally (K3), the tier
-history is an SCD2 snapshot (K7), and the data tests run at the end (Q1–Q8).
-Raw, dimension and snapshot tables are written as new version directories,
-so no job overwrites the path it reads and a job that dies leaves the
-previous version current. The two incremental facts are partitioned by
-``price_date``: a run reads and rewrites only the days at or after its
-high-water mark (``merge_partitions``), checkpointing the merged days first.
+layers (K8). A daily run is a list of steps, each of which builds one table and
+then checks it (Q1–Q8). The first failed error-level check stops the run, so
+what depends on the table is left as it was; a run that is started again for
+the same time goes on from the step that failed.
+
+The raw equity table and the facts are partitioned by day: a load or a run
+reads and rewrites only the days it touches (``merge_partitions``). The crypto
+snapshot is a full reload (K2), the macro series (one row a series and day) a
+keyed merge, the dimension a rebuild, all as new version directories, so no job overwrites the path it reads and a job that dies
+leaves the previous version current. The tier history is an SCD2 snapshot (K7).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.operators.relational import topk, topk_per_key, unique_by
-from tidemark.operators.scd2 import scd2_snapshot
+from tidemark.operators.scd2 import history_schema, read_history, scd2_snapshot
 from tidemark.operators.sinks import (
     dedupe_by_key,
     drop_old_versions,
     high_water_mark,
     layer_path,
     merge_partitions,
+    move_back,
     path_exists,
     read_current,
+    read_mark,
+    read_text,
     register_view,
+    remove_file,
     replace_partitions_from,
     stored_window_increment,
     upsert,
     with_load_stamp,
+    write_mark,
     write_table,
+    write_text,
     write_version,
 )
 from tidemark.plans import market as M
-from tidemark.session import cut_lineage
-from tidemark.schemas import RAW_CRYPTO, RAW_EQUITY, RAW_MACRO
+from tidemark.session import materialize
+from tidemark.schemas import DIM_ASSETS, RAW_CRYPTO, RAW_EQUITY, RAW_MACRO
 from tidemark.sources.tables import read_seed
 from tidemark.sources.payloads import (
     read_observations_payload,
@@ -51,55 +61,73 @@ EQUITY_DAYS = 30          # newest rows kept per symbol per load (G18)
 CRYPTO_TOP_N = 50         # coins kept per load, by market cap
 MACRO_SINCE_DAYS = 365    # observation window of the macro load
 
+EQUITY, CRYPTO, MACRO = "equity_daily_prices", "crypto_markets", "macro_observations"
+RAW_SCHEMAS = {EQUITY: RAW_EQUITY, CRYPTO: RAW_CRYPTO, MACRO: RAW_MACRO}
 RAW, STAGING, CORE, FINANCE, SNAPSHOTS = "raw", "staging", "marts_core", "marts_finance", "snapshots"
 
 
 # ------------------------------------------------------------------ M11–M13
 
-LOAD_COUNTS: dict[str, int] = {}
-LOAD_MIN_DATE: dict[str, object] = {}
+
+@dataclass
+class Loaded:
+    """What the loads of one run have read: rows by table (A5), and the earliest
+    observation date of the macro load, from which on its marts may change."""
+
+    rows: dict[str, int] = field(default_factory=dict)
+    macro_since: date | None = None
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def _counted(df: DataFrame, **more) -> tuple[DataFrame, Observation]:
     """A5: rows per load, gathered while the write runs (no extra job)."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    obs = Observation()
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in more.items()]), obs
 
 
-def write_counted(df: DataFrame, path: str, name: str) -> int:
+def write_counted(df: DataFrame, path: str, name: str, loaded: Loaded | None = None) -> int:
     """Write a new version, drop old ones, and return the rows written."""
-    counted, obs = _counted(df, name)
+    counted, obs = _counted(df)
     write_version(counted, path)
-    LOAD_COUNTS[name] = obs.get.get("rows", 0)
+    n = obs.get.get("rows", 0)
+    if loaded is not None:
+        loaded.rows[name] = n
     drop_old_versions(df.sparkSession, path)
-    return LOAD_COUNTS[name]
+    return n
 
 
-def load_seed(spark: SparkSession, csv_path: str, root: str, table: str = "seed_equity_reference") -> DataFrame:
+def load_seed(spark: SparkSession, csv_path: str, root: str, table: str = "seed_equity_reference",
+              loaded: Loaded | None = None) -> DataFrame:
     """K9: a CSV seed (S5) materialized in the seeds layer (K4)."""
     path = layer_path(root, "seeds", table)
-    write_counted(read_seed(spark, csv_path), path, table)
+    write_counted(read_seed(spark, csv_path), path, table, loaded)
     return read_current(spark, path)
 
 
+def raw_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A raw table as it is stored; empty before its first load."""
+    schema, path = RAW_SCHEMAS[table], layer_path(root, RAW, table)
+    return _read_partitioned(spark, path, schema) if table == EQUITY else read_current(spark, path, schema)
 
-def load_equity(spark: SparkSession, landing: str, root: str, as_of, days: int = EQUITY_DAYS) -> DataFrame:
+
+def load_equity(spark: SparkSession, landing: str, root: str, as_of, days: int = EQUITY_DAYS,
+                loaded: Loaded | None = None, multi_line: bool = True, key_field=None) -> DataFrame:
     """Parse daily series payloads, keep the newest ``days`` per symbol,
-    merge into the raw table on (symbol, trade_date)."""
-    parsed = read_timeseries_payload(spark, landing, landed_col="landed")
+    merge into the raw table on (symbol, trade_date); only the days that landed
+    are read and rewritten."""
+    parsed = read_timeseries_payload(spark, landing, landed_col="landed", multi_line=multi_line, key_field=key_field)
     # The last landed file wins a day, before days are counted
     parsed = dedupe_by_key(parsed, ["symbol", "trade_date"], ["landed"]).drop("landed")
     newest = topk_per_key(parsed, ["symbol"], [F.col("trade_date").desc()], days)
-    newest = Q.require_not_null(newest, ["symbol", "trade_date"], "equity_daily_prices")
-    path = layer_path(root, RAW, "equity_daily_prices")
-    target = read_current(spark, path, RAW_EQUITY)
-    merged = upsert(target, newest, ["symbol", "trade_date"], stamp=("loaded_at", as_of))
-    write_counted(merged, path, "equity_daily_prices")
-    return read_current(spark, path, RAW_EQUITY)
+    newest, obs = _counted(Q.require_not_null(newest, ["symbol", "trade_date"], EQUITY))
+    merge_partitions(materialize(newest, EQUITY), layer_path(root, RAW, EQUITY), ["symbol", "trade_date"], "trade_date",
+                     RAW_EQUITY, stamp=("loaded_at", as_of), stored=True)
+    if loaded is not None:
+        loaded.rows[EQUITY] = obs.get.get("rows", 0)
+    return raw_table(spark, root, EQUITY)
 
 
 def load_crypto(spark: SparkSession, landing: str, root: str, as_of, top_n: int = CRYPTO_TOP_N,
-                mode: str = "replace") -> DataFrame:
+                mode: str = "replace", loaded: Loaded | None = None, multi_line: bool = True) -> DataFrame:
     """Parse the market records, keep the top ``top_n`` by market cap.
 
     ``mode="replace"`` swaps the raw table as a whole, as the reference
@@ -107,77 +135,149 @@ def load_crypto(spark: SparkSession, landing: str, root: str, as_of, top_n: int
     ``mode="append"`` keeps every snapshot (merged on coin and update time),
     so the raw layer holds crypto history too (G13).
     """
-    recs = read_records_payload(spark, landing)
+    recs = read_records_payload(spark, landing, multi_line=multi_line)
     top = with_load_stamp(topk(recs, [F.col("market_cap").desc_nulls_last(), F.col("id")], top_n),
                           "loaded_at", as_of)
-    path = layer_path(root, RAW, "crypto_markets")
+    path = layer_path(root, RAW, CRYPTO)
     if mode == "append":
         top = upsert(read_current(spark, path, RAW_CRYPTO), top, ["id", "last_updated"])
     elif mode != "replace":
         raise ValueError(f"unknown mode {mode!r}")
-    write_counted(top, path, "crypto_markets")
-    return read_current(spark, path, RAW_CRYPTO)
+    write_counted(top, path, CRYPTO, loaded)
+    return raw_table(spark, root, CRYPTO)
 
 
 def load_macro(spark: SparkSession, landing: str, root: str, as_of, names: dict[str, str],
-               since_days: int = MACRO_SINCE_DAYS) -> DataFrame:
+               since_days: int = MACRO_SINCE_DAYS, loaded: Loaded | None = None, multi_line: bool = True,
+               key_field=None) -> DataFrame:
     """Parse observation payloads of the last ``since_days`` days, merge on
-    (series_id, observation_date); updates value, name and load time."""
+    (series_id, observation_date); updates value, name and load time. The table
+    has one row a series and day, so it is rewritten as a new version rather than
+    kept in a folder a day."""
     keys = ["series_id", "observation_date"]
-    obs = read_observations_payload(spark, landing, names, since_days, as_of, landed_col="landed")
-    obs = Q.require_not_null(dedupe_by_key(obs, keys, ["landed"]).drop("landed"), keys, "macro_observations")
-    obs = cut_lineage(obs)  # payloads are parsed once
-    # earliest observation this load may change: marts depending on the
-    # macro series need rebuilding only from here on
-    LOAD_MIN_DATE["macro_observations"] = obs.agg(F.min("observation_date")).first()[0]
-    path = layer_path(root, RAW, "macro_observations")
-    target = read_current(spark, path, RAW_MACRO)
-    merged = upsert(target, obs, keys, stamp=("loaded_at", as_of))
-    write_counted(merged.select(*RAW_MACRO.fieldNames()), path, "macro_observations")
-    return read_current(spark, path, RAW_MACRO)
+    obs = read_observations_payload(spark, landing, names, since_days, as_of, landed_col="landed", multi_line=multi_line,
+                                    key_field=key_field)
+    obs = Q.require_not_null(dedupe_by_key(obs, keys, ["landed"]).drop("landed"), keys, MACRO)
+    obs, seen = _counted(obs, first=F.min("observation_date"))
+    merged = upsert(raw_table(spark, root, MACRO), materialize(obs, MACRO), keys, stamp=("loaded_at", as_of))
+    write_version(merged.select(*RAW_MACRO.fieldNames()), layer_path(root, RAW, MACRO))
+    drop_old_versions(spark, layer_path(root, RAW, MACRO))
+    if loaded is not None:
+        loaded.rows[MACRO], loaded.macro_since = seen.get.get("rows", 0), seen.get.get("first")
+    return raw_table(spark, root, MACRO)
 
 
 # ------------------------------------------------------------------ M14
 
 
+class ChecksFailed(RuntimeError):
+    """An error-level check failed after a step; later steps have not run."""
+
+    def __init__(self, step: str, report: list[Row]):
+        self.step, self.report = step, report
+        bad = [f"{r.table}.{r.column} {r.check}: {r.violations}" for r in report if r.status == "fail"]
+        super().__init__(f"checks failed after {step}: " + "; ".join(bad))
+
+
+@dataclass
+class Step:
+    """``build`` writes a table; ``checks`` gives its report (None: no checks)."""
+
+    name: str
+    build: Callable[[], None]
+    checks: Callable[[], DataFrame] | None = None
+
+
+def run_steps(spark: SparkSession, steps: list[Step], record: str, resume: bool = True, gate: bool = True) -> list[Row]:
+    """Run steps in order; each is checked before the next one begins.
+
+    A step whose checks fail at error level raises ``ChecksFailed``, with the
+    report so far, and nothing after it runs. Finished steps are listed in the
+    small file ``record``; with ``resume`` a later call goes on behind them (the
+    failed step is built again). The file is removed when all steps are done.
+    Without ``gate`` failed checks are reported and nothing stops. Returns the
+    report rows of this call's steps.
+    """
+    done = (read_text(spark, record) or "").split("\n") if resume else []
+    report: list[Row] = []
+    for step in steps:
+        if step.name in done:
+            continue
+        step.build()
+        if step.checks is not None:
+            rows = step.checks().collect()  # one row a check
+            report += rows
+            if gate and any(r.status == "fail" for r in rows):
+                raise ChecksFailed(step.name, report)
+        done.append(step.name)
+        write_text(spark, record, "\n".join(d for d in done if d))
+    remove_file(spark, record)
+    return report
+
+
+REPORT = "check string, table string, column string, severity string, violations long, passed boolean, status string"
+
+
 @dataclass
 class DailyRun:
-    """The ordered daily run over a table root."""
+    """The tables of a daily run under a root, and how each is built and checked."""
 
     spark: SparkSession
     root: str
     as_of: str
-    seed: DataFrame
-    reports: list = field(default_factory=list)
+    seed: DataFrame | None = None
     full_refresh: bool = False
     allow_history_loss: bool = False
-    macro_changed_since: object = None   # earliest macro date changed by this run's load
     lookback_days: int = 0               # G2: re-merge this many days below the mark (late rows)
 
     def path(self, layer, table):
         return layer_path(self.root, layer, table)
 
-    def build_marts(self, raw_equity: DataFrame, raw_crypto: DataFrame, raw_macro: DataFrame) -> dict:
-        spark = self.spark
-        # K5: staging models are views (lazy, queryable by name)
-        stg_e = register_view(M.stg_equity_prices(raw_equity), "stg_equity_prices")
-        stg_c = register_view(M.stg_crypto_prices(raw_crypto), "stg_crypto_prices")
-        stg_m = register_view(M.stg_macro_indicators(raw_macro), "stg_macro_indicators")
-        prices = M.int_prices_combined(stg_c, stg_e)
-        macro = M.int_macro_daily(stg_m)
-
-        # a repeated coin fails here, before anything downstream is rewritten
-        dim = unique_by(M.dim_assets(stg_c, stg_e, self.seed), ["asset_id"])
-        dim_path = self.path(CORE, "dim_assets")
-        write_version(dim, dim_path)
-        dim = read_current(spark, dim_path)
-
-        # K3: fct_daily_prices merged from the high-water mark on (inclusive).
-        # Partitioned by price_date; only the days at or after the mark are
-        # read and rewritten (price_id determines price_date).
-        fct_path = self.path(CORE, "fct_daily_prices")
-        fct_schema = _fct_schema(spark, prices, dim)
-        fct_prev = _read_partitioned(spark, fct_path, fct_schema)
+    def raw(self, table):
+        return raw_table(self.spark, self.root, table)
+
+    # K5: staging models are functions of the raw tables, registered as views
+    def stg_equity(self):
+        return register_view(M.stg_equity_prices(self.raw(EQUITY)), "stg_equity_prices")
+
+    def stg_crypto(self):
+        return register_view(M.stg_crypto_prices(self.raw(CRYPTO)), "stg_crypto_prices")
+
+    def stg_macro(self):
+        return register_view(M.stg_macro_indicators(self.raw(MACRO)), "stg_macro_indicators")
+
+    def prices(self):
+        return M.int_prices_combined(self.stg_crypto(), self.stg_equity())
+
+    def dim(self):
+        return read_current(self.spark, self.path(CORE, "dim_assets"), DIM_ASSETS)
+
+    def fct_schema(self):
+        return M.fct_daily_prices(self.prices().limit(0), self.dim().limit(0)).schema
+
+    def fct(self):
+        return _read_partitioned(self.spark, self.path(CORE, "fct_daily_prices"), self.fct_schema())
+
+    def volatility(self):
+        return _read_partitioned(self.spark, self.path(CORE, "fct_asset_volatility"),
+                                 M.asset_volatility_schema(self.fct_schema()))
+
+    def _correlation_model(self, fct: DataFrame) -> DataFrame:
+        return M.fct_macro_correlation(fct, M.int_macro_daily(self.stg_macro()))
+
+    def correlation(self):
+        schema = self._correlation_model(self.fct().limit(0)).schema
+        return _read_partitioned(self.spark, self.path(FINANCE, "fct_macro_correlation"), schema)
+
+    def build_dim(self):
+        dim = unique_by(M.dim_assets(self.stg_crypto(), self.stg_equity(), self.seed), ["asset_id"])
+        write_version(dim, self.path(CORE, "dim_assets"))
+        drop_old_versions(self.spark, self.path(CORE, "dim_assets"))
+
+    def build_fct(self):
+        """K3: merged from the high-water mark on (inclusive); only the days at or
+        after it are read and rewritten (price_id determines price_date)."""
+        path, schema = self.path(CORE, "fct_daily_prices"), self.fct_schema()
         if self.full_refresh:
             # The fact is the only place crypto history survives when the
             # raw crypto table is replaced on each load; refuse to drop it
@@ -185,162 +285,173 @@ class DailyRun:
             if not self.allow_history_loss:
                 raise ValueError("full refresh of fct_daily_prices drops history not held in raw "
                                  "tables; pass allow_history_loss=True or load crypto in append mode")
-            fct_prev = fct_prev.limit(0)
-        mark = _back(high_water_mark(fct_prev, "price_date"), self.lookback_days)
-        new_rows = M.fct_daily_prices(prices, dim, since=mark)
-        if self.full_refresh:
-            write_table(new_rows, fct_path, ["price_date"], replace_all=True)
+            write_table(M.fct_daily_prices(self.prices(), self.dim()), path, ["price_date"], replace_all=True)
         else:
-            merge_partitions(new_rows, fct_path, ["price_id", "price_date"], "price_date", fct_schema)
-        fct = _read_partitioned(spark, fct_path, fct_schema)
-
-        # K3 + G1: volatility from the days at or after its mark and the stored
-        # last rows of each asset, equal to a full refresh.
-        vol_path = self.path(CORE, "fct_asset_volatility")
-        vol_schema = M.asset_volatility_schema(fct_schema)
-        stored_window_increment(fct.where(F.col("price_change_pct").isNotNull()), vol_path,
-                                self.path(CORE, "fct_asset_volatility_state"), vol_schema, ["price_id"], "price_date",
-                                ["asset_id"], 89, M.asset_volatility, self.lookback_days, self.full_refresh)
-
-        # K4 (rebuild) limited to the days that can change: a day's macro
-        # values depend only on observations at or before it, so only days at
-        # or after min(this table's mark, earliest macro date loaded now) are
-        # recomputed; their partitions are replaced whole (equal to a rebuild).
-        corr_path = self.path(FINANCE, "fct_macro_correlation")
-        corr_schema = M.fct_macro_correlation(fct.limit(0), macro.limit(0)).schema
-        corr_prev = _read_partitioned(spark, corr_path, corr_schema)
-        corr_mark = None if self.full_refresh else _back(high_water_mark(corr_prev, "price_date"),
-                                                         self.lookback_days)
-        since = None
-        if corr_mark is not None and self.macro_changed_since is not None:
-            since = min(corr_mark, self.macro_changed_since)
-        if since is None:
-            write_table(M.fct_macro_correlation(fct, macro), corr_path, ["price_date"],
-                        replace_all=True)
+            mark = read_mark(self.spark, path) or high_water_mark(self.fct(), "price_date")
+            rows = M.fct_daily_prices(self.prices(), self.dim(), since=move_back(mark, self.lookback_days))
+            merge_partitions(rows, path, ["price_id", "price_date"], "price_date", schema)
+        write_mark(self.spark, path, high_water_mark(self.fct(), "price_date"))
+
+    def build_volatility(self):
+        """K3 + G1: from the days at or after its mark and the stored last rows of
+        each asset, equal to a full refresh."""
+        fct = self.fct()
+        stored_window_increment(fct.where(F.col("price_change_pct").isNotNull()), self.path(CORE, "fct_asset_volatility"),
+                                self.path(CORE, "fct_asset_volatility_state"), M.asset_volatility_schema(fct.schema),
+                                ["price_id"], "price_date", ["asset_id"], 89, M.asset_volatility,
+                                self.lookback_days, self.full_refresh)
+
+    def build_correlation(self):
+        """K4 (rebuild) limited to the days that can change: a day's macro values
+        depend only on observations at or before it, so only days at or after
+        min(this table's mark, the earliest macro date loaded since the last
+        build) are recomputed; their partitions are replaced whole."""
+        path, fct = self.path(FINANCE, "fct_macro_correlation"), self.fct()
+        stored = self.correlation()
+        mark = None if self.full_refresh else move_back(high_water_mark(stored, "price_date"), self.lookback_days)
+        changed = read_mark(self.spark, self.pending())
+        if mark is None:
+            write_table(self._correlation_model(fct), path, ["price_date"], replace_all=True)
         else:
-            rows = M.fct_macro_correlation(fct.where(F.col("price_date").isNull()
-                                                     | (F.col("price_date") >= F.lit(since))), macro)
-            replace_partitions_from(rows.select(*corr_schema.fieldNames()), corr_path,
-                                    "price_date", since)
-
-        # K7: tier history; only the open rows are rewritten, closed versions
-        # are appended once (scd2_snapshot).
-        snap_path = self.path(SNAPSHOTS, "snapshot_crypto_market_cap_tier")
-        snapshot = scd2_snapshot(M.crypto_tier_snapshot_source(dim), snap_path, "asset_id",
-                                 M.SNAPSHOT_CHECK_COLS, self.as_of)
-
-        out = {
-            "stg_equity": stg_e, "stg_crypto": stg_c, "stg_macro": stg_m,
-            "dim_assets": read_current(spark, dim_path),
-            "fct_daily_prices": fct,
-            "fct_asset_volatility": _read_partitioned(spark, vol_path, vol_schema),
-            "fct_macro_correlation": _read_partitioned(spark, corr_path, corr_schema),
-            "snapshot": snapshot,
-        }
-        # the stored tables, queryable by name with spark.sql
+            since = min(d for d in (mark, changed) if d is not None)
+            rows = self._correlation_model(fct.where(F.col("price_date").isNull() | (F.col("price_date") >= F.lit(since))))
+            replace_partitions_from(rows.select(*stored.columns), path, "price_date", since)
+        write_mark(self.spark, self.pending(), None)
+
+    def build_snapshot(self):
+        """K7: tier history; only the open rows are rewritten, closed versions are
+        appended once."""
+        scd2_snapshot(M.crypto_tier_snapshot_source(self.dim()), self.path(SNAPSHOTS, "snapshot_crypto_market_cap_tier"),
+                      "asset_id", M.SNAPSHOT_CHECK_COLS, self.as_of)
+
+    def snapshot(self):
+        schema = history_schema(M.crypto_tier_snapshot_source(self.dim()).schema)
+        return read_history(self.spark, self.path(SNAPSHOTS, "snapshot_crypto_market_cap_tier"), schema)
+
+    def pending(self):
+        """Where the earliest macro date waits that the correlation has not taken in."""
+        return f"{self.root.rstrip('/')}/_runs/macro_pending"
+
+    def note_macro(self, since: date | None):
+        before = read_mark(self.spark, self.pending())
+        write_mark(self.spark, self.pending(), min((d for d in (before, since) if d is not None), default=None))
+
+    # Q1–Q8 of the reference's YAML and SQL tests, by table
+    def check_equity(self):
+        return Q.check_table(self.stg_equity(), "stg_equity_prices", [
+            Q.NotNull(c) for c in ("ticker_symbol", "trade_date", "close_usd", "open_usd")])
+
+    def check_crypto(self):
+        return Q.check_table(self.stg_crypto(), "stg_crypto_prices", [
+            *[Q.NotNull(c) for c in ("coin_id", "coin_symbol", "coin_name", "price_usd", "market_cap_usd")],
+            Q.Unique(("coin_id",))])
+
+    def check_macro(self):
+        return Q.check_table(self.stg_macro(), "stg_macro_indicators", [
+            *[Q.NotNull(c) for c in ("indicator_id", "indicator_category", "observation_date", "indicator_value")],
+            Q.AcceptedValues("indicator_category", ("interest_rate", "inflation", "employment", "fx_rate", "other"))])
+
+    def check_dim(self):
+        return Q.check_table(self.dim(), "dim_assets", [
+            Q.NotNull("asset_id"), Q.Unique(("asset_id",)), Q.NotNull("asset_symbol"),
+            Q.NotNull("asset_class"), Q.AcceptedValues("asset_class", ("crypto", "equity"))])
+
+    def check_fct(self):
+        return Q.check_table(self.fct(), "fct_daily_prices", [
+            *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date", "price_usd", "asset_class")],
+            Q.AcceptedValues("asset_class", ("crypto", "equity")),
+            Q.Expectation("price_is_positive", Q.positive("price_usd"), "price_usd"),
+            Q.Expectation("price_date_not_in_future", Q.not_in_future("price_date", self.as_of), "price_date"),
+            Q.Unique(("price_id",)),
+            Q.Relationship("asset_id", self.dim(), "asset_id", severity="warn")])
+
+    def check_volatility(self):
+        return Q.check_table(self.volatility(), "fct_asset_volatility", [
+            *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date")], Q.Unique(("price_id",))])
+
+    def check_correlation(self):
+        return Q.check_table(self.correlation(), "fct_macro_correlation", [
+            *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date")], Q.Unique(("price_id",)),
+            Q.AcceptedValues("asset_class", ("crypto", "equity")),
+            Q.Expectation("indicators_within_bounds", Q.out_of_range(M.INDICATOR_RANGES))])
+
+    def marts(self) -> list[Step]:
+        return [Step("dim_assets", self.build_dim, self.check_dim),
+                Step("fct_daily_prices", self.build_fct, self.check_fct),
+                Step("fct_asset_volatility", self.build_volatility, self.check_volatility),
+                Step("fct_macro_correlation", self.build_correlation, self.check_correlation),
+                Step("snapshot", self.build_snapshot)]
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The staging views and the stored tables, also queryable by name with spark.sql."""
+        out = {"stg_equity": self.stg_equity(), "stg_crypto": self.stg_crypto(), "stg_macro": self.stg_macro(),
+               "dim_assets": self.dim(), "fct_daily_prices": self.fct(), "fct_asset_volatility": self.volatility(),
+               "fct_macro_correlation": self.correlation()}
         for name in ("dim_assets", "fct_daily_prices", "fct_asset_volatility", "fct_macro_correlation"):
             register_view(out[name], name)
-        register_view(snapshot, "snapshot_crypto_market_cap_tier")
         return out
 
-    def test(self, t: dict, raw: dict) -> DataFrame:
-        """Q1–Q8 of the reference's YAML and SQL tests as one report frame."""
-        fct, dim, vol, corr = (t["fct_daily_prices"], t["dim_assets"],
-                               t["fct_asset_volatility"], t["fct_macro_correlation"])
-        parts = [
-            Q.check_table(t["stg_equity"], "stg_equity_prices", [
-                Q.NotNull(c) for c in ("ticker_symbol", "trade_date", "close_usd", "open_usd")]),
-            Q.check_table(t["stg_crypto"], "stg_crypto_prices", [
-                *[Q.NotNull(c) for c in ("coin_id", "coin_symbol", "coin_name", "price_usd", "market_cap_usd")],
-                Q.Unique(("coin_id",))]),
-            Q.check_table(t["stg_macro"], "stg_macro_indicators", [
-                *[Q.NotNull(c) for c in ("indicator_id", "indicator_category", "observation_date",
-                                         "indicator_value")],
-                Q.AcceptedValues("indicator_category",
-                                 ("interest_rate", "inflation", "employment", "fx_rate", "other"))]),
-            Q.check_table(dim, "dim_assets", [
-                Q.NotNull("asset_id"), Q.Unique(("asset_id",)), Q.NotNull("asset_symbol"),
-                Q.NotNull("asset_class"), Q.AcceptedValues("asset_class", ("crypto", "equity"))]),
-            Q.check_table(fct, "fct_daily_prices", [
-                *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date", "price_usd", "asset_class")],
-                Q.AcceptedValues("asset_class", ("crypto", "equity")),
-                Q.Expectation("price_is_positive", Q.positive("price_usd"), "price_usd"),
-                Q.Expectation("price_date_not_in_future", Q.not_in_future("price_date", self.as_of),
-                              "price_date"),
-                Q.Unique(("price_id",)),
-                Q.Relationship("asset_id", dim, "asset_id", severity="warn")]),
-            Q.check_table(vol, "fct_asset_volatility", [
-                *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date")], Q.Unique(("price_id",))]),
-            Q.check_table(corr, "fct_macro_correlation", [
-                *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date")], Q.Unique(("price_id",)),
-                Q.AcceptedValues("asset_class", ("crypto", "equity")),
-                Q.Expectation("indicators_within_bounds", Q.out_of_range(M.INDICATOR_RANGES))]),
-        ]
-        report = parts[0]
-        for p in parts[1:]:
-            report = report.unionByName(p)
-        fresh = [Q.freshness(raw["equity"], "equity_daily", "loaded_at", 25, 48, self.as_of),
-                 Q.freshness(raw["crypto"], "crypto_markets", "loaded_at", 25, 48, self.as_of),
-                 Q.freshness(raw["macro"], "macro_series", "loaded_at", 49, 168, self.as_of)]
-        self.reports = [report, fresh[0].unionByName(fresh[1]).unionByName(fresh[2])]
-        return report
+    def freshness(self) -> DataFrame:
+        parts = [Q.freshness(self.raw(t), name, "loaded_at", warn, error, self.as_of) for t, name, warn, error in (
+            (EQUITY, "equity_daily", 25, 48), (CRYPTO, "crypto_markets", 25, 48), (MACRO, "macro_series", 49, 168))]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def test_tables(spark: SparkSession, root: str, as_of: str) -> tuple[DataFrame, DataFrame]:
     """Q1–Q8 on the tables already under ``root`` (no load, no build):
     returns (test report, source freshness)."""
-    run = DailyRun(spark, root, as_of, seed=None)
-    raw = {"equity": read_current(spark, layer_path(root, RAW, "equity_daily_prices"), RAW_EQUITY),
-           "crypto": read_current(spark, layer_path(root, RAW, "crypto_markets"), RAW_CRYPTO),
-           "macro": read_current(spark, layer_path(root, RAW, "macro_observations"), RAW_MACRO)}
-    tables = {
-        "stg_equity": M.stg_equity_prices(raw["equity"]),
-        "stg_crypto": M.stg_crypto_prices(raw["crypto"]),
-        "stg_macro": M.stg_macro_indicators(raw["macro"]),
-        "dim_assets": read_current(spark, run.path(CORE, "dim_assets")),
-        "fct_daily_prices": spark.read.parquet(run.path(CORE, "fct_daily_prices")),
-        "fct_asset_volatility": spark.read.parquet(run.path(CORE, "fct_asset_volatility")),
-        "fct_macro_correlation": spark.read.parquet(run.path(FINANCE, "fct_macro_correlation")),
-    }
-    report = run.test(tables, raw)
-    return report, run.reports[1]
-
-
-def _back(mark, days: int):
-    if mark is None or not days:
-        return mark
-    from datetime import timedelta
-    return mark - timedelta(days=days)
+    run = DailyRun(spark, root, as_of)
+    report = run.check_equity()
+    for check in (run.check_crypto, run.check_macro, run.check_dim, run.check_fct, run.check_volatility, run.check_correlation):
+        report = report.unionByName(check())
+    return report, run.freshness()
 
 
 def _read_partitioned(spark, path, schema):
     """A date-partitioned table, or an empty one before the first run."""
     if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     return spark.createDataFrame([], schema)
 
 
-def _fct_schema(spark, prices, dim):
-    return M.fct_daily_prices(prices.limit(0), dim.limit(0)).schema
-
-
 def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str],
               seed: DataFrame, macro_names: dict[str, str], crypto_mode: str = "replace",
               full_refresh: bool = False, allow_history_loss: bool = False,
-              lookback_days: int = 0) -> tuple[dict, DataFrame]:
-    """Loads (crypto, equity, macro, as in the reference's order), marts, tests."""
-    crypto = load_crypto(spark, landing["crypto"], root, as_of, mode=crypto_mode)
-    equity = load_equity(spark, landing["equity"], root, as_of)
-    macro = load_macro(spark, landing["macro"], root, as_of, macro_names)
+              lookback_days: int = 0, resume: bool = True, gate: bool = True, loaded: Loaded | None = None,
+              crypto_top_n: int = CRYPTO_TOP_N, payload_options: dict[str, dict] | None = None) -> tuple[dict, DataFrame]:
+    """Loads (crypto, equity, macro, as in the reference's order), then marts,
+    each checked before what depends on it is built.
+
+    Raises ``ChecksFailed`` at the first failed error-level check: the tables of
+    later steps are as they were. Called again with the same ``as_of`` it goes on
+    from that step (``resume``), building it again from what has landed by then.
+    ``gate=False`` only reports failed checks.
+    ``payload_options`` gives more arguments of the loads, by load.
+    """
     run = DailyRun(spark, root, as_of, seed, full_refresh=full_refresh,
-                   allow_history_loss=allow_history_loss,
-                   macro_changed_since=LOAD_MIN_DATE.get("macro_observations"),
-                   lookback_days=lookback_days)
-    tables = run.build_marts(equity, crypto, macro)
-    report = run.test(tables, {"equity": equity, "crypto": crypto, "macro": macro})
-    tables["source_freshness"] = run.reports[1]
-    return tables, report
+                   allow_history_loss=allow_history_loss, lookback_days=lookback_days)
+    loaded = Loaded() if loaded is None else loaded
+    more = payload_options or {}
+
+    def crypto():
+        load_crypto(spark, landing["crypto"], root, as_of, crypto_top_n, crypto_mode, loaded, **more.get("crypto", {}))
+
+    def equity():
+        load_equity(spark, landing["equity"], root, as_of, loaded=loaded, **more.get("equity", {}))
+
+    def macro():
+        load_macro(spark, landing["macro"], root, as_of, macro_names, loaded=loaded, **more.get("macro", {}))
+        run.note_macro(loaded.macro_since)
+
+    steps = [Step("load_crypto", crypto, run.check_crypto), Step("load_equity", equity, run.check_equity),
+             Step("load_macro", macro, run.check_macro), *run.marts()]
+    name = "".join(c if c.isalnum() else "-" for c in as_of)
+    rows = run_steps(spark, steps, f"{root.rstrip('/')}/_runs/{name}.steps", resume, gate)
+    tables = run.tables()
+    tables["snapshot"] = register_view(run.snapshot(), "snapshot_crypto_market_cap_tier")
+    tables["source_freshness"] = run.freshness()
+    return tables, spark.createDataFrame(rows, REPORT)
 
 
 __all__ = ["load_equity", "load_crypto", "load_macro", "load_seed", "DailyRun", "daily_run", "test_tables",
-           "LOAD_COUNTS", "LOAD_MIN_DATE"]
+           "ChecksFailed", "Loaded", "Step", "run_steps"]
