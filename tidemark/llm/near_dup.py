@@ -217,13 +217,15 @@ def rows_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
     """``df`` (with __row) joined with ``wanted`` (row, repeated, and more):
     each wanted row once. Only those that are marked as repeated are
     deduplicated, with a map-side aggregate."""
+    keys = ["__w_id", "__w_mark", "__w_check"]
     w = wanted.select(F.col("row.doc_id").alias("__w_id"), F.col("row.mark").alias("__w_mark"),
                       F.col("row.check").alias("__w_check"), *[c for c in wanted.columns if c != "row"])
     found = df.join(w.hint("shuffle_hash"), (F.col("__row.mark") == F.col("__w_mark")) & (F.col("__row.check") == F.col("__w_check"))
-                    & F.col("__row.doc_id").eqNullSafe(F.col("__w_id"))).drop("__w_id", "__w_mark", "__w_check")
-    columns = [c for c in found.columns if c not in ("__row", "repeated")]
+                    & F.col("__row.doc_id").eqNullSafe(F.col("__w_id")))
+    columns = [c for c in found.columns if c not in ("__row", "repeated", *keys)]
     whole = F.struct(*[F.col(f"`{c}`") for c in columns])
-    once = found.where("repeated").groupBy("__row").agg(F.first(whole).alias("__first")).select("__first.*")
+    # grouped by the keys of the wanted side, so that both branches read one shuffle of ``df``
+    once = found.where("repeated").groupBy(*keys).agg(F.first(whole).alias("__first")).select("__first.*")
     return found.where("not repeated").select(*[F.col(f"`{c}`") for c in columns]).unionByName(once)
 
 
@@ -257,7 +259,7 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = members.select("key", "rep").join(lived, "rep").groupBy("key").agg(F.max("h").alias("h"))
     homes = stored(members.select("key", "rep").join(best, "key").groupBy("rep").agg(F.max("h").alias("h"))
                    .select("rep", F.col("h.home").alias("home")), "dup-homes")
-    texts = rows_of(docs, classes.join(homes.select("rep"), "rep").select("row", "repeated", "rep"))
+    texts = rows_of(docs.select("text", "__row"), classes.join(homes.select("rep"), "rep").select("row", "repeated", "rep"))
     sets = stored(texts.select("rep", "text").mapInArrow(_sets_task(shingle), "rep long, sig binary, shingles binary"), "dup-sets")
     sizes = sets.groupBy("rep").agg(F.max(F.length("shingles") / 8).alias("size"))
     tiles = homes.join(sizes, "rep")
