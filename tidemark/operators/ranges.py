@@ -49,7 +49,7 @@ def positions(x: DataFrame, name: str) -> DataFrame:
     partitions), and a row's place in its range is added.
     """
     r, n, before = "__range_bucket", "__range_n", "__range_before"
-    counts = x.groupBy(range_of().alias(r)).agg(F.count(F.lit(1)).alias(n))
+    counts = x.select(range_of().alias(r)).groupBy(r).agg(F.count(F.lit(1)).alias(n))
     w = Window.orderBy(r).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(r, F.coalesce(F.sum(n).over(w), F.lit(0)).alias(before))
     place = F.col(AT).bitwiseAND(F.lit((1 << _BITS) - 1))
