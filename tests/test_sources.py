@@ -104,6 +104,28 @@ def test_broken_and_incomplete_payloads_fail(spark, tmp_root):
         read_records_payload(spark, f"{tmp_root}/c2")
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_columns_may_be_spread_over_records(spark, tmp_root, multi_line):
+    """A column is missing only if no record has it, whatever each one lacks."""
+    import json
+    import os
+    a, b = (coin(x, 1e9, 1, "2024-01-05T10:00:00.000Z") for x in "ab")
+    del a["market_cap"], b["name"]
+    os.makedirs(f"{tmp_root}/s{multi_line}")
+
+    def land(name, records):
+        with open(f"{tmp_root}/s{multi_line}/{name}.json", "w") as f:
+            f.write(json.dumps(records) if multi_line else "\n".join(json.dumps(r) for r in records))
+
+    land("p1", [a])
+    with pytest.raises(ValueError, match="market_cap"):
+        read_records_payload(spark, f"{tmp_root}/s{multi_line}", multi_line=multi_line)
+    land("p2", [b])
+    got = {r.id: (r.name, r.market_cap) for r in read_records_payload(
+        spark, f"{tmp_root}/s{multi_line}", multi_line=multi_line).collect()}
+    assert got["a"][1] is None and got["b"] == (None, 1e9)
+
+
 def test_exact_integers_and_json_numbers(spark, tmp_root):
     p = equity_payload({"2024-01-02": (1, 2, 0.5, 1.5, 9007199254740993)})
     write_json(f"{tmp_root}/big", "X.json", p)

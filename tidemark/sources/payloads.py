@@ -87,6 +87,25 @@ def read_timeseries_payload(spark: SparkSession, path: str, root: str = DAILY_SE
     return rows.select(*out, *[c for c in (landed_col,) if c])
 
 
+def _missing(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool) -> list[str]:
+    """Those of ``columns`` that no record has.
+
+    Reading stops at the first record that has all of them, as API records do;
+    only where there is none are the names of all records collected, at most
+    one row a column. Text that is not JSON has no names here and fails the
+    read itself.
+    """
+    text = spark.read.text(path, wholetext=multi_line)
+    wanted = [c for c in columns if c not in text.columns or c == "value"]
+    record = T.MapType(T.StringType(), T.StringType())
+    records = F.explode(F.from_json("value", T.ArrayType(record))) if multi_line else F.from_json("value", record)
+    names = text.select(records.alias("record")).select(F.map_keys("record").alias("names"))
+    if not names.where(F.size(F.array_except(F.array(*[F.lit(c) for c in wanted]), "names")) == 0).isEmpty():
+        return []
+    seen = names.select(F.explode("names").alias("name")).where(F.col("name").isin(wanted)).distinct().collect()
+    return [c for c in wanted if c not in {r["name"] for r in seen}]
+
+
 def read_records_payload(spark: SparkSession, path: str,
                          columns: Sequence[str] = CRYPTO_PAYLOAD_COLUMNS,
                          schema: T.StructType = RAW_CRYPTO,
@@ -112,8 +131,7 @@ def read_records_payload(spark: SparkSession, path: str,
             read_fields.append(T.StructField(c, T.StringType()))
         else:
             read_fields.append(f)
-    landed = spark.read.option("multiLine", multi_line).json(path).columns
-    missing = [c for c in columns if c not in landed]
+    missing = _missing(spark, path, columns, multi_line)
     if missing:
         raise ValueError(f"no record has {missing}")
     raw = _json(spark, path, T.StructType(read_fields), multi_line)
