@@ -66,6 +66,36 @@ def test_bpe_empty_table_and_null_ids(spark):
     assert [r["decoded"] for r in bpe.decode(ids, path).orderBy("k").collect()] == [None, "", "a</w>"]
 
 
+def test_bpe_decode_by_blocks_passes_rows_through(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    r = random.Random(8)
+    rows = [(i, f"x{i}", [r.randrange(49_000) for _ in range(r.choice([0, 1, 3, 700]))], None) for i in range(120)]
+    rows += [(500, None, None, "old"), (501, "a", [320, None, 10**8, -1, 320], "old"), (1, "x1", [320], None)]
+    kind = "id int, `n ids` string, piece array<int>, decoded string"
+    for size in (1, 4000, 1 << 20):  # a block of each batch, of some, of all
+        monkeypatch.setattr(bpe, "DECODE_BYTES", size)
+        out = bpe.decode(spark.createDataFrame(rows, kind).coalesce(2), path, "piece")
+        got = sorted(((x["id"], x["n ids"], x["piece"], x["decoded"]) for x in out.collect()), key=repr)
+        want = [(i, n, ids, None if ids is None else " ".join(
+            tok.id_to_token(k) for k in ids if k is not None and 0 <= k < tok.get_vocab_size())) for i, n, ids, _ in rows]
+        assert got == sorted(want, key=repr) and out.columns == ["id", "n ids", "piece", "decoded"]
+    assert bpe.decode(spark.createDataFrame([], kind), path, "piece").count() == 0
+
+
+def test_mixing_targets_of_many_sources(spark):
+    """More sources than one range holds: the targets of the plain algorithm."""
+    r = random.Random(3)
+    sizes = {None: 40, **{f"{'aé'[i % 2]}{i}.example": r.randrange(0, 1000) ** 2 // 7 for i in range(1500)}}
+    df = spark.createDataFrame([(s, n) for s, n in sizes.items() for n in (n // 2, n - n // 2)], "source string, size long")
+    got = mixing.source_targets(df).collect()
+    want = brute_targets(sizes)
+    assert len(got) == len(sizes)
+    assert all(g["source_size"] == sizes[g["source"]] and g["target"] == pytest.approx(want[g["source"]]) for g in got)
+
+
 # ------------------------------------------------------- near duplicates
 
 def near_rows(n=200, seed=5):
@@ -497,6 +527,10 @@ def test_chat_format(spark):
     got = {r["conv_id"]: [tuple(t) for t in r["turns"]]
            for r in chat_format.gather_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()}
     assert got == {1: [("user", "hi"), ("assistant", "yo"), ("user", "more")], 2: [("", ""), ("assistant", "é")]}
+    apart = spark.createDataFrame([(None, 1, "user", "x"), (None, 1, "user", "x"), (None, None, None, None), (-3, 0, "user", "y")],
+                                  "conv_id long, turn long, role string, text string")
+    assert sorted(((r["conv_id"], [tuple(t) for t in r["turns"]]) for r in chat_format.gather_turns(apart).collect()), key=repr) == sorted(
+        [(None, [("user", "x")]), (None, [("user", "x")]), (None, [("", "")]), (-3, [("user", "y")])], key=repr)
     u, a, b = ("user", "q"), ("assistant", "yes"), ("assistant", "no é")
     pairs = [(1, [u, a], [u, b]), (2, [u, a], [u, a]), (3, [u], [u, a]), (4, None, [u]), (5, [a, u, b], [b]), (1, [u, a], [u, b])]
     kind = "array<struct<role:string,text:string>>"

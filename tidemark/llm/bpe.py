@@ -38,11 +38,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import spark_partitions
+from tidemark.llm.common import spark_partitions, stored
 
 BLOCK_TOKENS = 3_000_000  # pre-tokens after which a task closes a block
 SEGMENT_CHARS = 250_000   # characters that are split at once
+MOST_PIECES = 500_000     # entries of a vocabulary whose pieces are broadcast
+DECODE_BYTES = 64 << 20   # rows that share a list of distinct ids when they are decoded
+NO_ID = -(1 << 62)        # stands before a block's ids
 
 
 def _byte_chars() -> list[str]:
@@ -333,13 +337,98 @@ def pieces(vocab_path: str) -> list[str]:
     return [tok.id_to_token(i) for i in range(tok.get_vocab_size(with_added_tokens=True))]
 
 
+def _lines_task(ids_col: str):
+    """Rows to lines (id, n_ids, row): for each block of rows its distinct ids,
+    in order, one a line, then its rows with the number of those ids."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def lines(block: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kind = pa.struct(list(block[0].schema))
+            flat = pa.chunked_array([b.column(ids_col).flatten() for b in block]).drop_null()
+            ids = np.append(NO_ID, np.unique(flat.to_numpy())).astype(np.int64)  # a first line, also without ids
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), kind)],
+                                             names=["id", "n_ids", "row"])
+            for b in block:
+                yield pa.RecordBatch.from_arrays([
+                    pa.nulls(b.num_rows, pa.int64()), pa.array(np.full(b.num_rows, len(ids), np.int32)),
+                    pa.StructArray.from_arrays(b.columns, fields=list(b.schema))], names=["id", "n_ids", "row"])
+
+        block, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block.append(batch)
+            size += batch.nbytes
+            if size >= DECODE_BYTES:
+                yield from lines(block)
+                block, size = [], 0
+        if block:
+            yield from lines(block)
+
+    return run
+
+
+def _decode_task(schema: T.StructType, ids_col: str, out_col: str):
+    """Lines with their pieces (id, n_ids, row, piece) back to rows with their text."""
+    names = [f.name for f in schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: list[tuple[pa.Array, pa.Array]] = []  # a block's ids and pieces
+        in_rows = False
+
+        def decoded(row: pa.StructArray, n_ids: int) -> pa.RecordBatch:
+            ids = pa.concat_arrays([t[0] for t in table]).to_numpy()
+            words = pa.concat_arrays([t[1] for t in table])
+            if len(ids) != n_ids or (np.diff(ids) <= 0).any():
+                raise RuntimeError("the ids of a block are missing or out of order")
+            found = dict(zip((f.name for f in row.type), row.flatten()))
+            own = found[ids_col]
+            flat = own.flatten()
+            place = np.searchsorted(ids, flat.fill_null(-1).to_numpy())
+            texts = words.take(pa.array(place, mask=flat.is_null().to_numpy(zero_copy_only=False)))
+            keep = texts.is_valid().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False))
+            offsets = np.append(0, np.cumsum(keep))[np.append(0, ends)]
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), texts.drop_null()), " ")
+            found[out_col] = pc.if_else(own.is_null(), pa.scalar(None, pa.string()), joined)
+            return pa.RecordBatch.from_arrays([found[n] for n in names], names=names)
+
+        for batch in batches:
+            id_, n_ids, row, piece = batch.columns
+            is_row = n_ids.is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.append(0, np.flatnonzero(np.diff(is_row)) + 1) if len(is_row) else []
+            for at, end in zip(cuts, np.append(cuts[1:], len(is_row))):
+                part = slice(int(at), int(end))
+                if is_row[at]:
+                    yield decoded(row[part], n_ids[part][0].as_py())
+                else:
+                    if in_rows:
+                        table.clear()
+                    table.append((id_[part], piece[part]))
+                in_rows = bool(is_row[at])
+
+    return run
+
+
 def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` plus the decoded text of ``ids_col``: its pieces joined by one space.
 
-    The id-to-piece table has one row an id of the vocabulary (at most a few
-    hundred thousand, whatever the data). It goes into the plan as one array
-    and ids are joined to it by position. Null ids stay null; no ids give an
-    empty text.
+    Tasks put the distinct ids of a block of rows (``DECODE_BYTES``) before its
+    rows, one a line; lines are joined to the id-to-piece table; the pieces then
+    stand before the rows that need them and replace their ids by place. The
+    table is broadcast: it has one row an id of the vocabulary, at most
+    ``MOST_PIECES`` whatever the data. Such a join keeps the order of lines
+    inside their task, which is checked; nothing is shuffled.
+
+    Null ids stay null; no ids give an empty text; ids that the table lacks, and
+    nulls among the ids, are left out of the text; other columns pass through.
     """
-    table = F.split(F.lit("\n".join(pieces(vocab_path))), "\n")
-    return df.withColumn(out_col, F.array_join(F.transform(ids_col, lambda i: F.get(table, i)), " "))
+    table = pieces(vocab_path)
+    if len(table) > MOST_PIECES:
+        raise ValueError(f"a vocabulary of {len(table)} pieces is more than {MOST_PIECES}")
+    by_id = stored(df.sparkSession.createDataFrame(list(enumerate(table)), "piece_id long, piece string"), "bpe-pieces")
+    rows = df.select(*[F.col(f"`{c}`") for c in df.columns if c != out_col])
+    schema = T.StructType([*rows.schema.fields, T.StructField(out_col, T.StringType())])
+    lines = rows.mapInArrow(_lines_task(ids_col), T.StructType(
+        [T.StructField("id", T.LongType()), T.StructField("n_ids", T.IntegerType()), T.StructField("row", rows.schema)]))
+    found = lines.join(F.broadcast(by_id), F.col("id") == F.col("piece_id"), "left").select("id", "n_ids", "row", "piece")
+    return found.mapInArrow(_decode_task(schema, ids_col, out_col), schema)
