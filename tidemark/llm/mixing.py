@@ -7,8 +7,9 @@ source's word stream (the source's documents in hash order, repeated), and the
 time when the demand reaches that place is its training position. Sorting by
 position gives the training order.
 
-All of it is built-in expressions. Per-source tables have one row a source; the
-place of a document is a sum over hash buckets of its source plus a sum inside
+All of it is built-in expressions. Per-source tables have one row a source and
+are ordered by range, so there may be as many sources as web hosts; the place of
+a document is a sum over hash buckets of its source plus a sum inside
 its bucket, so a source with a third of all rows is spread over 4,096 groups.
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored, word_count
+from tidemark.operators.ranges import AT, positions, range_of, ranged
 
 #: (weight at the start, weight at the end) of the sources in turn; the mean is
 #: the source's overall weight: 5, 2, 1.
@@ -40,28 +42,46 @@ def source_targets(sizes: DataFrame, ramps: Sequence[tuple[float, float]] = RAMP
     (words a unit of weight) for itself and all after it. Sources of size 0
     have target 0.
     """
+    by_source = (F.col("source").isNull(), "source")
     sums = sizes.groupBy(F.col(source_col).alias("source")).agg(F.sum(size_col).cast("long").alias("source_size"))
-    turn = F.pmod(F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1, F.lit(len(ramps)))
+    rows = positions(ranged(sums, [], by_source), "place").drop(AT)
 
     def pick(k: int) -> Column:
-        return F.element_at(F.array(*[F.lit(float(r[k])) for r in ramps]), F.col("turn") + 1)
+        return F.element_at(F.array(*[F.lit(float(r[k])) for r in ramps]), F.pmod("place", F.lit(len(ramps))).cast("int") + 1)
 
-    rows = (sums.withColumn("turn", turn)
-            .select("source", "source_size", pick(0).alias("ramp_start"), pick(1).alias("ramp_end"))
+    rows = (rows.select("source", "source_size", pick(0).alias("ramp_start"), pick(1).alias("ramp_end"))
             .withColumn("weight", (F.col("ramp_start") + F.col("ramp_end")) / 2)
-            .withColumn("cap", F.col("source_size") * F.lit(float(most)))
-            .withColumn("budget", F.sum("source_size").over(Window.partitionBy()) * F.lit(float(budget))))
-    order = Window.orderBy((F.col("cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
-    level = ((F.col("budget") - F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-             / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
-    rows = rows.withColumn("level", level).withColumn("place", F.row_number().over(order))
-    fits = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct("place", "level"))
-    found = F.min(fits).over(Window.partitionBy()).getField("level")
+            .withColumn("cap", F.col("source_size") * F.lit(float(most))))
+    rows = _levels(ranged(rows, [], (F.col("cap") / F.col("weight"), *by_source)), budget)
+    fits = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct(AT, "level"))
+    found = rows.agg(F.min(fits).getField("level")).scalar()
     return rows.withColumn("found", found).select(
         "source", "source_size", "ramp_start", "ramp_end",
         F.coalesce(F.least("cap", F.col("found") * F.col("weight")), F.col("cap")).alias("target"))
 
 
+def _levels(rows: DataFrame, budget: float) -> DataFrame:
+    """``ranged`` sources plus level: what the sources before leave of the budget,
+    a unit of weight of the source and those after it. Sums inside a range are
+    windows; the sums of ranges are one row a range, so the table that is
+    broadcast is as long as the number of partitions."""
+    rows = rows.withColumn("__part", range_of())
+    every = Window.partitionBy()
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (rows.groupBy("__part").agg(F.sum("source_size").alias("n"), F.sum("cap").alias("cap"), F.sum("weight").alias("weight"))
+             .select("__part", (F.sum("n").over(every) * F.lit(float(budget))).alias("__budget"),
+                     F.coalesce(F.sum("cap").over(before), F.lit(0.0)).alias("__caps"),
+                     (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))).alias("__weights")))
+    inside = Window.partitionBy("__part").orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
+
+    def upto(column: str) -> Column:
+        return F.coalesce(F.sum(column).over(inside), F.lit(0.0))
+
+    rows = rows.withColumn("__cap_upto", upto("cap")).withColumn("__weight_upto", upto("weight"))
+    level = (F.col("__budget") - F.col("__caps") - F.col("__cap_upto")) / (F.col("__weights") - F.col("__weight_upto"))
+    return rows.join(F.broadcast(parts), "__part").withColumn("level", level)
+
+
 def _time_of(share: Column) -> Column:
     """The time at which a ramp's running integral is ``share`` of the whole:
     the root of start * t + (end - start) * t**2 / 2 = share * (start + end) / 2."""
