@@ -255,3 +255,20 @@ def test_near_copies_without_an_id_are_kept_once(spark):
     assert len(group) == 1 and group[0] in rows
     rest = [x for x in found if x not in group]
     assert sorted(rest, key=repr) == sorted([(5, near(0, 0)), (5, near(2, 7)), (None, " ".join(base[1][::-1])), (None, ""), (None, None), (6, "")], key=repr)
+
+
+def test_chat_query_of_odd_ids_matches_oracle(spark, tmp_path):
+    """Negative and null conversation ids; rows without an id are one each."""
+    turns = [(i, t, ("user", "assistant")[t % 2], f"say {i} {t} more words") for i in (-4, -3, 2, 3) for t in range(4)]
+    turns += [(None, 0, "assistant", "a b c"), (None, 1, "user", "x"), (None, 0, "assistant", "a b c"), (None, None, None, None)]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").coalesce(1).write.parquet(
+        str(tmp_path / "conversations.parquet"))
+    got = queries.QUERIES["op6_chat_format"](spark, str(tmp_path))
+    import duckdb
+
+    odd = duckdb.connect()
+    odd.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = odd.execute(queries.ORACLE_SQL["op6_chat_format"])
+    names = [d[0] for d in want.description]
+    assert sorted(map(tuple, got.select(*names).collect()), key=repr) == sorted(want.fetchall(), key=repr)
+    assert got.count() == 8

@@ -20,12 +20,14 @@ def gather_turns(df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",
                  text_col: str = "text", out_col: str = "turns") -> DataFrame:
     """(id, turns): each conversation as an array of (role, text) by turn
     number; null numbers first, ties by role and text. Null roles and texts
-    become empty. Rows with a null id are one conversation."""
-    rows = F.array_sort(F.collect_list(F.struct(
-        F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"))))
-    turns = F.transform(rows, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return df.groupBy(F.col(id_col).alias(id_col)).agg(turns.alias(out_col))
+    become empty. Rows with a null id belong to no conversation that could be
+    told apart: each is one of its own, of one turn, and is never gathered."""
+    turn = F.struct(F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = F.array_sort(F.collect_list(F.struct(F.col(turn_col).alias("turn"), turn.alias("said"))))
+    told = F.col(id_col).isNotNull()
+    gathered = (df.where(told).groupBy(F.col(id_col).alias(id_col))
+                .agg(F.transform(rows, lambda t: t["said"]).alias(out_col)))
+    return gathered.unionByName(df.where(~told).select(F.col(id_col), F.array(turn).alias(out_col)))
 
 
 def common_turns(a: Column, b: Column) -> Column:

@@ -196,36 +196,36 @@ SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
     "op6_chat_format": """
 WITH t AS (
-  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
-  FROM conversations),
+  SELECT key, conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY key ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), 'row ' || row_number() OVER ()) AS key FROM conversations)),
 c AS (
-  SELECT conv_id, count(*) AS n, coalesce(max(place) FILTER (WHERE role = 'assistant'), 0) AS last,
-         CASE WHEN coalesce(conv_id, 0) % 2 = 1 THEN coalesce(min(place) FILTER (WHERE role = 'assistant'), 0)
+  SELECT key, count(*) AS n, coalesce(max(place) FILTER (WHERE role = 'assistant'), 0) AS last,
+         CASE WHEN abs(coalesce(conv_id, 0)) % 2 = 1 THEN coalesce(min(place) FILTER (WHERE role = 'assistant'), 0)
               ELSE coalesce(max(place) FILTER (WHERE role = 'assistant'), 0) END AS cut
-  FROM t GROUP BY conv_id),
+  FROM t GROUP BY key, conv_id),
 halves AS (
-  SELECT t.conv_id, t.place, t.role,
+  SELECT t.key, t.conv_id, t.place, t.role,
          array_to_string(list_slice(string_split(t.text, ' '), 1, (len(string_split(t.text, ' ')) + 1) // 2), ' ') AS text
-  FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id AND t.place = c.cut),
+  FROM t JOIN c ON t.key = c.key AND t.place = c.cut),
 sides AS (
-  SELECT 'c' AS side, t.conv_id, t.place, t.role, t.text FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+  SELECT 'c' AS side, t.key, t.conv_id, t.place, t.role, t.text FROM t JOIN c ON t.key = c.key
   WHERE c.last = 0 OR t.place <= c.last
   UNION ALL
-  SELECT 'r', t.conv_id, t.place, t.role, t.text FROM t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+  SELECT 'r', t.key, t.conv_id, t.place, t.role, t.text FROM t JOIN c ON t.key = c.key
   WHERE c.last = 0 OR t.place < c.cut
-  UNION ALL SELECT 'r', conv_id, place, role, text FROM halves),
+  UNION ALL SELECT 'r', key, conv_id, place, role, text FROM halves),
 common AS (
-  SELECT x.conv_id, coalesce(min(x.place) FILTER (WHERE y.place IS NULL OR x.role <> y.role OR x.text <> y.text),
+  SELECT x.key, coalesce(min(x.place) FILTER (WHERE y.place IS NULL OR x.role <> y.role OR x.text <> y.text),
                              max(x.place) + 1) - 1 AS n_common
-  FROM sides x LEFT JOIN sides y ON y.side = 'r' AND x.conv_id IS NOT DISTINCT FROM y.conv_id AND x.place = y.place
-  WHERE x.side = 'c' GROUP BY x.conv_id),
+  FROM sides x LEFT JOIN sides y ON y.side = 'r' AND x.key = y.key AND x.place = y.place
+  WHERE x.side = 'c' GROUP BY x.key),
 shown AS (
   SELECT s.*, k.n_common, '<|' || s.role || '|>' || chr(10) AS head, chr(10) || '<|end|>' || chr(10) AS tail
-  FROM sides s JOIN common k ON s.conv_id IS NOT DISTINCT FROM k.conv_id),
+  FROM sides s JOIN common k ON s.key = k.key),
 placed AS (
   SELECT *, coalesce(sum(length(head) + length(text) + length(tail)) OVER (
-           PARTITION BY side, conv_id, place > n_common ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun
+           PARTITION BY side, key, place > n_common ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun
   FROM shown),
 rendered AS (
   SELECT conv_id, n_common,
@@ -236,7 +236,7 @@ rendered AS (
            FILTER (WHERE side = 'c' AND place > n_common AND role = 'assistant') AS chosen_spans,
          string_agg((begun + length(head)) || ':' || (begun + length(head) + length(text) + length(tail)), ',' ORDER BY place)
            FILTER (WHERE side = 'r' AND place > n_common AND role = 'assistant') AS rejected_spans
-  FROM placed GROUP BY conv_id, n_common)
+  FROM placed GROUP BY key, conv_id, n_common)
 SELECT conv_id, CAST(n_common AS INTEGER) AS n_common, sha256(coalesce(prompt, '')) AS prompt_sha256,
        sha256(coalesce(chosen, '')) AS chosen_sha256, sha256(coalesce(rejected, '')) AS rejected_sha256,
        coalesce(chosen_spans, '') AS chosen_spans, coalesce(rejected_spans, '') AS rejected_spans,
