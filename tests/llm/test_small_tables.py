@@ -47,6 +47,9 @@ def test_bpe_equals_the_library_and_decodes(spark):
         ids = tok.encode(t or "", add_special_tokens=False).ids
         want.append((i, ids, tok.decode(ids, skip_special_tokens=False)))
     assert got == sorted(want, key=repr)
+    both = bpe.encode_decode(docs(spark, rows), path)
+    assert collect(both.select("row_id", "ids", "decoded")) == got
+    assert bpe.encode_decode(docs(spark, []), path).count() == 0
 
 
 def test_bpe_blocks_close_within_a_task(spark, monkeypatch):

@@ -6,7 +6,7 @@ joined back by position; decoding joins ids to the pieces of the vocabulary.
 Three passes over compact columns, none of which moves a text:
 
 1. *Split.* Each task cuts its texts into pre-tokens and closes a block every
-   few million of them: its distinct pre-tokens plus, for every text, the
+   two million of them: its distinct pre-tokens plus, for every text, the
    positions into that list. Blocks are dealt out by number.
 2. *Encode.* The lists are dealt out by a hash of the word, so all blocks'
    copies of a word meet in one task, which encodes it once.
@@ -42,10 +42,11 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import spark_partitions, stored
 
-BLOCK_TOKENS = 3_000_000  # pre-tokens after which a task closes a block
+BLOCK_TOKENS = 2_000_000  # pre-tokens after which a task closes a block
 SEGMENT_CHARS = 250_000   # characters that are split at once
 MOST_PIECES = 500_000     # entries of a vocabulary whose pieces are broadcast
 DECODE_BYTES = 64 << 20   # rows that share a list of distinct ids when they are decoded
+_ENCODED = "row_id long, ids array<int>"
 NO_ID = -(1 << 62)        # stands before a block's ids
 
 
@@ -312,12 +313,8 @@ def _join_block(rows: pa.Table, table: pa.Table) -> pa.Table:
     return pa.table({"row_id": pa.array(row_ids, pa.int64()), "ids": pa.chunked_array(found, pa.list_(pa.int32()))})
 
 
-def encode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row_id, ids): the token ids of every text, without special tokens added.
-
-    ``vocab_path`` names a tokenizer file of the splitting and word-end kind
-    this module reads; the driver reads it (a few MB) and ships its content.
-    """
+def _dealt_and_encoded(df: DataFrame, vocab_path: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The texts as positions, by block, and the ids of the words of each block."""
     with open(vocab_path, encoding="utf-8") as f:
         vocab = f.read()
     buckets = max(512, spark_partitions(df.sparkSession))
@@ -325,8 +322,17 @@ def encode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str
     dealt = texts.mapInArrow(_split_task(vocab, buckets), _SPLIT).repartition("block")
     words = dealt.mapInArrow(_only_words, _SPLIT).select("block", "bucket", "packed", "words").repartition("bucket")
     table = words.mapInArrow(_encode_task(vocab), "block long, sizes array<int>, packed binary, lens binary, ids binary")
-    return (dealt.groupBy("block").cogroup(table.groupBy("block"))
-            .applyInArrow(_join_block, "row_id long, ids array<int>"))
+    return dealt, table
+
+
+def encode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row_id, ids): the token ids of every text, without special tokens added.
+
+    ``vocab_path`` names a tokenizer file of the splitting and word-end kind
+    this module reads; the driver reads it (a few MB) and ships its content.
+    """
+    dealt, table = _dealt_and_encoded(df, vocab_path, id_col, text_col)
+    return dealt.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(_join_block, _ENCODED)
 
 
 def pieces(vocab_path: str) -> list[str]:
@@ -337,21 +343,27 @@ def pieces(vocab_path: str) -> list[str]:
     return [tok.id_to_token(i) for i in range(tok.get_vocab_size(with_added_tokens=True))]
 
 
+def _lines(block: list[pa.RecordBatch], ids_col: str) -> Iterator[pa.RecordBatch]:
+    """Lines (id, n_ids, row) of a block of rows: its distinct ids, in order, one
+    a line, then its rows with the number of those ids."""
+    kind = pa.struct(list(block[0].schema))
+    flat = pa.chunked_array([b.column(ids_col).flatten() for b in block]).drop_null()
+    ids = np.append(NO_ID, np.unique(flat.to_numpy())).astype(np.int64)  # a first line, also without ids
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), kind)],
+                                     names=["id", "n_ids", "row"])
+    for b in block:
+        yield pa.RecordBatch.from_arrays([
+            pa.nulls(b.num_rows, pa.int64()), pa.array(np.full(b.num_rows, len(ids), np.int32)),
+            pa.StructArray.from_arrays(b.columns, fields=list(b.schema))], names=["id", "n_ids", "row"])
+
+
+def _line_type(rows: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField("id", T.LongType()), T.StructField("n_ids", T.IntegerType()), T.StructField("row", rows)])
+
+
 def _lines_task(ids_col: str):
-    """Rows to lines (id, n_ids, row): for each block of rows its distinct ids,
-    in order, one a line, then its rows with the number of those ids."""
+    """Rows to the lines of blocks of ``DECODE_BYTES``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def lines(block: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            kind = pa.struct(list(block[0].schema))
-            flat = pa.chunked_array([b.column(ids_col).flatten() for b in block]).drop_null()
-            ids = np.append(NO_ID, np.unique(flat.to_numpy())).astype(np.int64)  # a first line, also without ids
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), kind)],
-                                             names=["id", "n_ids", "row"])
-            for b in block:
-                yield pa.RecordBatch.from_arrays([
-                    pa.nulls(b.num_rows, pa.int64()), pa.array(np.full(b.num_rows, len(ids), np.int32)),
-                    pa.StructArray.from_arrays(b.columns, fields=list(b.schema))], names=["id", "n_ids", "row"])
-
         block, size = [], 0
         for batch in batches:
             if not batch.num_rows:
@@ -359,14 +371,20 @@ def _lines_task(ids_col: str):
             block.append(batch)
             size += batch.nbytes
             if size >= DECODE_BYTES:
-                yield from lines(block)
+                yield from _lines(block, ids_col)
                 block, size = [], 0
         if block:
-            yield from lines(block)
+            yield from _lines(block, ids_col)
 
     return run
 
 
+def _block_lines(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The lines of a block whose ids are joined back."""
+    block = _join_block(left, right).combine_chunks().to_batches()
+    return pa.Table.from_batches(_lines(block, "ids"))
+
+
 def _decode_task(schema: T.StructType, ids_col: str, out_col: str):
     """Lines with their pieces (id, n_ids, row, piece) back to rows with their text."""
     names = [f.name for f in schema.fields]
@@ -422,13 +440,26 @@ def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str =
     Null ids stay null; no ids give an empty text; ids that the table lacks, and
     nulls among the ids, are left out of the text; other columns pass through.
     """
+    rows = df.select(*[F.col(f"`{c}`") for c in df.columns if c != out_col])
+    lines = rows.mapInArrow(_lines_task(ids_col), _line_type(rows.schema))
+    return _decoded(lines, vocab_path, rows.schema, ids_col, out_col)
+
+
+def _decoded(lines: DataFrame, vocab_path: str, rows: T.StructType, ids_col: str, out_col: str) -> DataFrame:
+    """Rows with their text from lines, by a join with the id-to-piece table."""
     table = pieces(vocab_path)
     if len(table) > MOST_PIECES:
         raise ValueError(f"a vocabulary of {len(table)} pieces is more than {MOST_PIECES}")
-    by_id = stored(df.sparkSession.createDataFrame(list(enumerate(table)), "piece_id long, piece string"), "bpe-pieces")
-    rows = df.select(*[F.col(f"`{c}`") for c in df.columns if c != out_col])
-    schema = T.StructType([*rows.schema.fields, T.StructField(out_col, T.StringType())])
-    lines = rows.mapInArrow(_lines_task(ids_col), T.StructType(
-        [T.StructField("id", T.LongType()), T.StructField("n_ids", T.IntegerType()), T.StructField("row", rows.schema)]))
+    by_id = stored(lines.sparkSession.createDataFrame(list(enumerate(table)), "piece_id long, piece string"), "bpe-pieces")
+    schema = T.StructType([*rows.fields, T.StructField(out_col, T.StringType())])
     found = lines.join(F.broadcast(by_id), F.col("id") == F.col("piece_id"), "left").select("id", "n_ids", "row", "piece")
     return found.mapInArrow(_decode_task(schema, ids_col, out_col), schema)
+
+
+def encode_decode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row_id, ids, decoded): ``decode`` of ``encode``, where the blocks of the
+    one are the blocks of the other, which saves each task a Python worker."""
+    rows = T.StructType.fromDDL(_ENCODED)
+    dealt, table = _dealt_and_encoded(df, vocab_path, id_col, text_col)
+    lines = dealt.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(_block_lines, _line_type(rows))
+    return _decoded(lines, vocab_path, rows, "ids", "decoded")

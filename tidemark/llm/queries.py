@@ -130,9 +130,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
-    vocab = vocabulary("word_bpe_49k.json")
-    ids = bpe.encode(read(spark, sf_dir, "documents"), vocab)
-    return bpe.decode(ids, vocab).select(
+    return bpe.encode_decode(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")).select(
         F.col("row_id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
