@@ -67,8 +67,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every document."""
     apply_conf(spark)
-    vocab = vocabulary("word_bpe_49k.json")
-    return bpe.decode(bpe.encode(docs, vocab), vocab).select(
+    return bpe.encode_decode(docs, vocabulary("word_bpe_49k.json")).select(
         F.col("row_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
