@@ -22,6 +22,28 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, msg
 
 
+def test_two_days_go_on_past_a_price_of_zero(spark, tmp_root):
+    """Its check warns, the rows belong to the marts, and the run still stops at the coin without a price."""
+    import duckdb
+    rows = {
+        "region": "SELECT i::INTEGER AS r_regionkey, 'R' || i AS r_name FROM range(2) t(i)",
+        "nation": "SELECT i::INTEGER AS n_nationkey, 'N' || i AS n_name, (i % 2)::INTEGER AS n_regionkey FROM range(3) t(i)",
+        "customer": "SELECT i AS c_custkey, 'C' || i AS c_name, (i % 3)::INTEGER AS c_nationkey, 100.5::DOUBLE * (i + 1) AS c_acctbal,"
+                    " 'X' AS c_mktsegment FROM range(4) t(i)",
+        "orders": "SELECT i AS o_orderkey, 0 AS o_custkey, 'F' AS o_orderstatus, 50000::DOUBLE AS o_totalprice,"
+                  " TIMESTAMP '1997-01-15' + to_days(i::INTEGER) AS o_orderdate, '5-LOW' AS o_orderpriority FROM range(3) t(i)",
+        # readings of two users on days 12 to 21, one closing value of a first day's and one of a second day's zero
+        "events": "SELECT i AS event_id, TIMESTAMP '2024-01-12 08:00:00' + to_days((i // 4)::INTEGER) + to_hours((i % 4)::INTEGER) AS ts,"
+                  " 1 + i % 2 AS user_id, 'e' AS event_type, CASE WHEN i IN (7, 38) THEN 0::DOUBLE ELSE 10::DOUBLE + i * i % 7 END AS value,"
+                  " '{}' AS props FROM range(40) t(i)"}
+    for name in ("supplier", "part", "lineitem"):  # not read
+        rows[name] = "SELECT 1 AS i"
+    for name, sql in rows.items():
+        duckdb.sql(f"COPY ({sql}) TO '{tmp_root}/{name}.parquet' (FORMAT parquet)")
+    ok, msg = compare(spark, duck(tmp_root), "daily_run_two_days", tmp_root)
+    assert ok, msg
+
+
 def test_every_query_has_oracle():
     assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
 

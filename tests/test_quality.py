@@ -22,6 +22,14 @@ def test_check_table_report(spark):
     assert got[("relationships", "id")] == (0, True, "pass")
 
 
+def test_severity_by_check_name(spark):
+    df = spark.createDataFrame([(0.0,), (None,)], "price double")
+    checks = [Q.NotNull("price"), Q.Expectation("price_is_positive", Q.positive("price"), "price")]
+    found = lambda *more: {r.check: (r.severity, r.violations, r.status) for r in Q.check_table(df, "t", checks, *more).collect()}
+    assert found() == {"not_null": ("error", 1, "fail"), "price_is_positive": ("error", 1, "fail")}
+    assert found({"price_is_positive": "warn"}) == {"not_null": ("error", 1, "fail"), "price_is_positive": ("warn", 1, "warn")}
+
+
 def test_relationship_is_warn(spark):
     child = spark.createDataFrame([("x",), (None,)], "id string")
     parent = spark.createDataFrame([("a",)], "id string")

@@ -8,8 +8,8 @@ check is one partial/final group-by; each relationship is one anti join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import NamedTuple
 
@@ -146,8 +146,10 @@ def _report_row(check: str, table: str, column: str, severity: str, n: Column) -
                     _status(severity, n).alias("status"))
 
 
-def check_table(df: DataFrame, table: str, checks: Sequence) -> DataFrame:
-    """Run ``checks`` against ``df``; one report row per check."""
+def check_table(df: DataFrame, table: str, checks: Sequence, severities: Mapping[str, str] | None = None) -> DataFrame:
+    """Run ``checks`` against ``df``; one report row per check. ``severities``
+    gives checks another severity, by name."""
+    checks = [replace(c, severity=(severities or {}).get(c.name, c.severity)) for c in checks]
     row_checks = [c for c in checks if isinstance(c, (NotNull, AcceptedValues, Expectation))]
     parts: list[DataFrame] = []
     if row_checks:

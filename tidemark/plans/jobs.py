@@ -229,6 +229,7 @@ class DailyRun:
     full_refresh: bool = False
     allow_history_loss: bool = False
     lookback_days: int = 0               # G2: re-merge this many days below the mark (late rows)
+    severities: dict[str, str] = field(default_factory=dict)  # other severities, by check name
 
     def path(self, layer, table):
         return layer_path(self.root, layer, table)
@@ -337,27 +338,30 @@ class DailyRun:
         write_mark(self.spark, self.pending(), min((d for d in (before, since) if d is not None), default=None))
 
     # Q1–Q8 of the reference's YAML and SQL tests, by table
+    def _checked(self, df, table, checks):
+        return Q.check_table(df, table, checks, self.severities)
+
     def check_equity(self):
-        return Q.check_table(self.stg_equity(), "stg_equity_prices", [
+        return self._checked(self.stg_equity(), "stg_equity_prices", [
             Q.NotNull(c) for c in ("ticker_symbol", "trade_date", "close_usd", "open_usd")])
 
     def check_crypto(self):
-        return Q.check_table(self.stg_crypto(), "stg_crypto_prices", [
+        return self._checked(self.stg_crypto(), "stg_crypto_prices", [
             *[Q.NotNull(c) for c in ("coin_id", "coin_symbol", "coin_name", "price_usd", "market_cap_usd")],
             Q.Unique(("coin_id",))])
 
     def check_macro(self):
-        return Q.check_table(self.stg_macro(), "stg_macro_indicators", [
+        return self._checked(self.stg_macro(), "stg_macro_indicators", [
             *[Q.NotNull(c) for c in ("indicator_id", "indicator_category", "observation_date", "indicator_value")],
             Q.AcceptedValues("indicator_category", ("interest_rate", "inflation", "employment", "fx_rate", "other"))])
 
     def check_dim(self):
-        return Q.check_table(self.dim(), "dim_assets", [
+        return self._checked(self.dim(), "dim_assets", [
             Q.NotNull("asset_id"), Q.Unique(("asset_id",)), Q.NotNull("asset_symbol"),
             Q.NotNull("asset_class"), Q.AcceptedValues("asset_class", ("crypto", "equity"))])
 
     def check_fct(self):
-        return Q.check_table(self.fct(), "fct_daily_prices", [
+        return self._checked(self.fct(), "fct_daily_prices", [
             *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date", "price_usd", "asset_class")],
             Q.AcceptedValues("asset_class", ("crypto", "equity")),
             Q.Expectation("price_is_positive", Q.positive("price_usd"), "price_usd"),
@@ -366,11 +370,11 @@ class DailyRun:
             Q.Relationship("asset_id", self.dim(), "asset_id", severity="warn")])
 
     def check_volatility(self):
-        return Q.check_table(self.volatility(), "fct_asset_volatility", [
+        return self._checked(self.volatility(), "fct_asset_volatility", [
             *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date")], Q.Unique(("price_id",))])
 
     def check_correlation(self):
-        return Q.check_table(self.correlation(), "fct_macro_correlation", [
+        return self._checked(self.correlation(), "fct_macro_correlation", [
             *[Q.NotNull(c) for c in ("price_id", "asset_id", "price_date")], Q.Unique(("price_id",)),
             Q.AcceptedValues("asset_class", ("crypto", "equity")),
             Q.Expectation("indicators_within_bounds", Q.out_of_range(M.INDICATOR_RANGES))])
@@ -418,7 +422,8 @@ def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str
               seed: DataFrame, macro_names: dict[str, str], crypto_mode: str = "replace",
               full_refresh: bool = False, allow_history_loss: bool = False,
               lookback_days: int = 0, resume: bool = True, gate: bool = True, loaded: Loaded | None = None,
-              crypto_top_n: int = CRYPTO_TOP_N, payload_options: dict[str, dict] | None = None) -> tuple[dict, DataFrame]:
+              crypto_top_n: int = CRYPTO_TOP_N, payload_options: dict[str, dict] | None = None,
+              severities: dict[str, str] | None = None) -> tuple[dict, DataFrame]:
     """Loads (crypto, equity, macro, as in the reference's order), then marts,
     each checked before what depends on it is built.
 
@@ -426,10 +431,12 @@ def daily_run(spark: SparkSession, root: str, as_of: str, landing: dict[str, str
     later steps are as they were. Called again with the same ``as_of`` it goes on
     from that step (``resume``), building it again from what has landed by then.
     ``gate=False`` only reports failed checks.
-    ``payload_options`` gives more arguments of the loads, by load.
+    ``payload_options`` gives more arguments of the loads, by load; ``severities``
+    other severities of checks, by check name: one that only warns is reported
+    and its rows stay, as where a source has true zeros for prices.
     """
     run = DailyRun(spark, root, as_of, seed, full_refresh=full_refresh,
-                   allow_history_loss=allow_history_loss, lookback_days=lookback_days)
+                   allow_history_loss=allow_history_loss, lookback_days=lookback_days, severities=severities or {})
     loaded = Loaded() if loaded is None else loaded
     more = payload_options or {}
 
