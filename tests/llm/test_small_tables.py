@@ -548,3 +548,41 @@ def test_chat_format(spark):
     assert by[3]["chosen"] == "" and by[4]["prompt"] == "" and not by[4]["usable"]
     assert by[5]["n_common"] == 0 and len(by[5]["chosen_spans"]) == 2
     assert out.limit(0).count() == 0
+
+
+def test_bpe_tasks_of_a_worker_share_one_splitter(monkeypatch):
+    import zlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    with open(vocabulary("word_bpe_49k.json"), encoding="utf-8") as f:
+        vocab = f.read()
+    made, init = [], bpe.Splitter.__init__
+    monkeypatch.setattr(bpe.Splitter, "__init__", lambda self, v: (made.append(v), init(self, v))[1])
+    bpe.splitter_of.cache_clear()
+    found = []
+    for words in (["hello", "corpora"], ["world", "hello"]):
+        batch = pa.RecordBatch.from_pydict({
+            "block": [1], "bucket": [0], "packed": [bpe._pack(np.arange(len(words)))],
+            "words": [zlib.compress("\n".join(words).encode())]})
+        (out,) = bpe._encode_task(vocab)(iter([batch]))
+        sizes = out.column("sizes")[0].as_py()
+        found.append([bpe._unpack(out.column(c)[0].as_py(), n).tolist() for c, n in (("lens", sizes[0]), ("ids", sizes[1]))])
+    assert len(made) == 1
+    tok = bpe.splitter_of(vocab).tok
+    for words, (lens, ids) in zip((["hello", "corpora"], ["world", "hello"]), found):
+        each = [tok.encode(w, add_special_tokens=False).ids for w in words]
+        assert (lens, ids) == ([len(e) for e in each], [i for e in each for i in e])
+
+
+def test_memory_is_handed_back_after_the_last_batch(monkeypatch):
+    from tidemark.llm import common
+
+    freed, handed = [], []
+    monkeypatch.setattr(common, "free_memory", lambda: freed.append(len(handed)))
+    for batch in common.handing_back(lambda batches: (2 * b for b in batches))(iter([1, 2, 3])):
+        handed.append(batch)
+    assert handed == [2, 4, 6] and freed == [3]
+    monkeypatch.undo()
+    common.free_memory()

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import spark_partitions, stored
+from tidemark.llm.common import handing_back, spark_partitions, stored
 
 BLOCK_TOKENS = 2_000_000  # pre-tokens after which a task closes a block
 SEGMENT_CHARS = 250_000   # characters that are split at once
@@ -190,6 +191,14 @@ class Splitter:
     shown = _byte_chars()
 
 
+@lru_cache(maxsize=1)
+def splitter_of(vocab_json: str) -> Splitter:
+    """The one splitter of a worker, for all its tasks: the tokenizers library
+    keeps what a tokenizer has cached when it is dropped, so one a task would
+    let the worker grow with the number of its tasks."""
+    return Splitter(vocab_json)
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     """Numbers under 2**32 as byte planes, compressed."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
@@ -211,7 +220,7 @@ def _split_task(vocab_json: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        splitter = Splitter(vocab_json)
+        splitter = splitter_of(vocab_json)
         task = str(TaskContext.get().partitionId()).encode()
         chunks: list[pa.Array] = []
         docs: list[tuple[list, list[int]]] = []
@@ -267,7 +276,7 @@ def _only_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _encode_task(vocab_json: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(vocab_json)
+        splitter = splitter_of(vocab_json)
         known: dict[str, list[int]] = {}
         for batch in batches:
             sizes, lens, ids = [], [], []
@@ -319,9 +328,9 @@ def _dealt_and_encoded(df: DataFrame, vocab_path: str, id_col: str, text_col: st
         vocab = f.read()
     buckets = max(512, spark_partitions(df.sparkSession))
     texts = df.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).cast("string").alias("text"))
-    dealt = texts.mapInArrow(_split_task(vocab, buckets), _SPLIT).repartition("block")
+    dealt = texts.mapInArrow(handing_back(_split_task(vocab, buckets)), _SPLIT).repartition("block")
     words = dealt.mapInArrow(_only_words, _SPLIT).select("block", "bucket", "packed", "words").repartition("bucket")
-    table = words.mapInArrow(_encode_task(vocab), "block long, sizes array<int>, packed binary, lens binary, ids binary")
+    table = words.mapInArrow(handing_back(_encode_task(vocab)), "block long, sizes array<int>, packed binary, lens binary, ids binary")
     return dealt, table
 
 
@@ -441,7 +450,7 @@ def decode(df: DataFrame, vocab_path: str, ids_col: str = "ids", out_col: str =
     nulls among the ids, are left out of the text; other columns pass through.
     """
     rows = df.select(*[F.col(f"`{c}`") for c in df.columns if c != out_col])
-    lines = rows.mapInArrow(_lines_task(ids_col), _line_type(rows.schema))
+    lines = rows.mapInArrow(handing_back(_lines_task(ids_col)), _line_type(rows.schema))
     return _decoded(lines, vocab_path, rows.schema, ids_col, out_col)
 
 
@@ -453,7 +462,7 @@ def _decoded(lines: DataFrame, vocab_path: str, rows: T.StructType, ids_col: str
     by_id = stored(lines.sparkSession.createDataFrame(list(enumerate(table)), "piece_id long, piece string"), "bpe-pieces")
     schema = T.StructType([*rows.fields, T.StructField(out_col, T.StringType())])
     found = lines.join(F.broadcast(by_id), F.col("id") == F.col("piece_id"), "left").select("id", "n_ids", "row", "piece")
-    return found.mapInArrow(_decode_task(schema, ids_col, out_col), schema)
+    return found.mapInArrow(handing_back(_decode_task(schema, ids_col, out_col)), schema)
 
 
 def encode_decode(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
