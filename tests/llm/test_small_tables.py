@@ -586,3 +586,39 @@ def test_memory_is_handed_back_after_the_last_batch(monkeypatch):
     assert handed == [2, 4, 6] and freed == [3]
     monkeypatch.undo()
     common.free_memory()
+
+
+def test_tasks_of_near_dup_and_quality_hand_memory_back(spark, monkeypatch):
+    given, frame = [], type(spark.range(0))
+    run = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, func, *a, **b: (given.append(func.__qualname__), run(self, func, *a, **b))[1])
+    rows = docs(spark, [(i, " ".join(f"w{j}" for j in range(300)) + f" number {i % 2}", "en") for i in range(4)])
+    assert [r[2] for r in collect(near_dup.near_duplicates(rows))] == [0, 0, 0, 0]
+    n_near = len(given)
+    assert quality.judged(rows).count() == 4
+    assert n_near >= 5 and len(given) - n_near == 2  # features, keys, sets, tiles twice; counts, figures
+    assert all(name.startswith("handing_back.") for name in given)
+
+
+def test_counting_holds_a_bounded_number_of_words_of_all_languages(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(quality, "HELD_WORDS", 50)
+    rows = [(f"l{i % 10}", f"a{i} b{i} both c{i} d{i}") for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    out = [b.to_pylist() for b in quality._count_task(iter([batch]))]
+    assert len(out) > 2 and max(sum(r["word"] is not None for r in b) for b in out) < 55
+    counted = {}
+    for r in (r for b in out for r in b if r["word"] is not None):
+        counted[r["lang"], r["word"]] = counted.get((r["lang"], r["word"]), 0) + r["n"]
+    assert len(counted) == 170 and sum(counted.values()) == 200 and counted["l3", b"both"] == 4
+
+
+def test_word_hashes_held_by_a_task_stay_few():
+    from xxhash import xxh64_intdigest
+
+    from tidemark.llm.shingles import WordHashes
+
+    known = WordHashes()
+    assert all(known[w] == xxh64_intdigest(w) for w in (b"w%d" % (i % 250_000) for i in range(300_000)))
+    assert len(known) <= 100_000

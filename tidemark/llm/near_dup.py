@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import handing_back, stored
 from tidemark.llm.components import connected_components
 from tidemark.llm.shingles import WordHashes, groups, mix, shingle_sets
 
@@ -180,7 +180,7 @@ def _tiles_task(percent: int):
 def _links(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links inside tiles; ``tiles`` has t1, t2, side, rep, component."""
     return (tiles.join(sets, "rep").repartition("t1", "t2").sortWithinPartitions("t1", "t2")
-            .mapInArrow(_tiles_task(percent), "a long, b long"))
+            .mapInArrow(handing_back(_tiles_task(percent)), "a long, b long"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -241,13 +241,13 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     docs = marked(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
     features = stored(docs.select("__row", "text").mapInArrow(
-        _features_task(shingle), f"row {ROW}, n_shingles long, digest binary, sig binary"), "dup-features")
+        handing_back(_features_task(shingle)), f"row {ROW}, n_shingles long, digest binary, sig binary"), "dup-features")
     first = F.struct(F.col("row.doc_id").isNull().alias("no_id"), "row")
     classes = (features.where("digest is not null").groupBy("digest")
                .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig")))
     classes = stored(classes.select("digest", "sig", F.col("first.row").alias("row"), (F.col("n") > 1).alias("repeated"))
                      .withColumn("rep", F.monotonically_increasing_id()), "dup-classes")
-    keys = classes.select("rep", "sig").mapInArrow(_keys_task, "key long, rep long")
+    keys = classes.select("rep", "sig").mapInArrow(handing_back(_keys_task), "key long, rep long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(keys.join(shared, "key"), "dup-members")
 
@@ -260,7 +260,8 @@ def grouped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     homes = stored(members.select("key", "rep").join(best, "key").groupBy("rep").agg(F.max("h").alias("h"))
                    .select("rep", F.col("h.home").alias("home")), "dup-homes")
     texts = rows_of(docs.select("text", "__row"), classes.join(homes.select("rep"), "rep").select("row", "repeated", "rep"))
-    sets = stored(texts.select("rep", "text").mapInArrow(_sets_task(shingle), "rep long, sig binary, shingles binary"), "dup-sets")
+    sets = stored(texts.select("rep", "text").mapInArrow(
+        handing_back(_sets_task(shingle)), "rep long, sig binary, shingles binary"), "dup-sets")
     sizes = sets.groupBy("rep").agg(F.max(F.length("shingles") / 8).alias("size"))
     tiles = homes.join(sizes, "rep")
     cuts = tiles.groupBy("home").agg(F.ceil(F.greatest(

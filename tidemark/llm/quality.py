@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import handing_back, stored
 from tidemark.llm.shingles import parts
 
 COMMON_WORDS = 100          # words of a language's reference
@@ -32,7 +32,7 @@ REFERENCE_WORDS = 1000      # words a language needs to have a reference
 MIN_CHARS, MIN_WORDS = 400, 60       # below these a histogram is not judged
 CHAR_LIMIT = (0.25, 1.5)    # allowed distance: first + second / sqrt(characters)
 WORD_LIMIT = (0.32, 1.5)    # allowed distance: first + second / sqrt(words)
-HELD_WORDS = 400_000        # distinct words a counting task holds at once
+HELD_WORDS = 200_000        # distinct words a counting task holds at once, of all languages
 
 # The base rules.
 BASE_WORDS = 20
@@ -114,6 +114,7 @@ def _texts(column: pa.Array) -> list[bytes]:
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: dict[str, Counter] = {}
     classes: dict[str, np.ndarray] = {}
+    held = 0
 
     def flush():
         rows = [(k, w, n) for k, c in words.items() for w, n in c.items()]
@@ -128,12 +129,15 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), _texts(batch.column(1))):
             counter = words.setdefault(lang, Counter())
+            held -= len(counter)
             for part in parts(text):
                 counter.update(part.lower().split())
             counts = class_counts(byte_counts(text)).astype(np.int64)
             classes[lang] = classes[lang] + counts if lang in classes else counts
-            if len(counter) >= HELD_WORDS:
+            held += len(counter)
+            if held >= HELD_WORDS:
                 yield flush()
+                held = 0
     yield flush()
 
 
@@ -144,7 +148,7 @@ def references(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     with a language; small languages have no reference."""
     counted = stored(df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
                      .where("lang is not null and text is not null")
-                     .mapInArrow(_count_task, "lang string, word binary, n long, classes array<long>")
+                     .mapInArrow(handing_back(_count_task), "lang string, word binary, n long, classes array<long>")
                      .where("word is not null or classes is not null"), "quality-counts")
     by_word = counted.where("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
@@ -216,7 +220,7 @@ def judged(df: DataFrame, text_col: str = "text", lang_col: str = "lang", refs:
                 names=[f.name for f in figures.fields])
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, out_col])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, figures)]))
+    return df.mapInArrow(handing_back(run), T.StructType([*df.schema.fields, T.StructField(out_col, figures)]))
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 GROUP_BYTES = 4_000_000  # texts that are hashed at once; longer ones go alone
-KNOWN_WORDS = 1_000_000  # word hashes a task keeps before it starts anew
+KNOWN_WORDS = 100_000  # word hashes a task keeps before it starts anew
 
 
 def mix(x: np.ndarray) -> np.ndarray:
